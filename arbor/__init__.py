@@ -1,0 +1,34 @@
+"""arbor: questions about large trees held as Spark tables.
+
+Typical use::
+
+    from arbor import Hierarchy, read_edges, read_names, build_vertices, build_index
+    from arbor.operators import direct, indexed, motif, documents
+
+    h = Hierarchy(read_edges(spark, "nodes.dmp"), build_vertices(read_names(spark, "names.dmp")), root=1)
+    index = build_index(h, max_level=-1)
+    write_index(index, "s3://bucket/tree-index")
+    answers = indexed.path_to_root(read_index(spark, "s3://bucket/tree-index"), ids_df)
+"""
+
+from .hierarchy import Hierarchy
+from .operators.index import build_index, read_index, write_index
+from .operators.vertices import build_vertices, find_id_like, find_ids, names_of
+from .sources.dump import read_edges, read_names
+from .sources.edges import edges_from, read_snapshot, write_snapshot
+
+__all__ = [
+    "Hierarchy",
+    "build_index",
+    "read_index",
+    "write_index",
+    "build_vertices",
+    "find_ids",
+    "find_id_like",
+    "names_of",
+    "read_edges",
+    "read_names",
+    "edges_from",
+    "read_snapshot",
+    "write_snapshot",
+]

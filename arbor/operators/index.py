@@ -23,6 +23,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 
 from ..functions.columns import PATH_SEP, ancestors_of, child_path
 from ..hierarchy import Hierarchy
+from ..plans.layout import keyed
 from ..plans.materialize import RoundWriter
 from ..plans.skew import SALT, salt_one
 from ..sources.edges import write_snapshot
@@ -47,7 +48,7 @@ def build_index(h: Hierarchy, max_level: int = DEFAULT_MAX_LEVEL) -> DataFrame:
     spark = h.spark
     writer = RoundWriter(spark, "index")
     hot = h.hot_parents()
-    edges = h.salted_edges().persist()
+    edges = keyed(h.salted_edges(), "dst", SALT)
     try:
         levels = [root_row(spark, h.root)]
         frontier = levels[0]

@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.columns import empty_ids
-from ..plans.materialize import RoundWriter, materialize
+from ..plans.layout import keyed
+from ..plans.materialize import RoundWriter
 
 _GO = "go"
 
@@ -27,8 +28,16 @@ def _rounds(name: str, active: DataFrame, parents: DataFrame, step) -> list[Data
     """Run rounds until no row walks; ``step(joined) -> (status, answer, next-cols)`` picks the outcome."""
     writer = RoundWriter(active, name)
     done: list[DataFrame] = []
+    p = keyed(parents.select(F.col("src").alias("_ps"), F.col("parent").alias("_pp")), "_ps")
+    try:
+        _loop(name, active, p, step, writer, done)
+    finally:
+        p.unpersist()
+    return done
+
+
+def _loop(name, active, p, step, writer, done) -> None:
     n = 0
-    p = parents.select(F.col("src").alias("_ps"), F.col("parent").alias("_pp"))
     while True:
         n += 1
         j = active.join(p, F.col("cur") == F.col("_ps"), "left")
@@ -41,7 +50,6 @@ def _rounds(name: str, active: DataFrame, parents: DataFrame, step) -> list[Data
         if not obs.get["go"]:
             break
         active = wrote.where(F.col("_status") == _GO).drop("_status")
-    return done
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -54,7 +62,6 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 def walk_paths(parents: DataFrame, ids: DataFrame, root: int, id_col: str = "vid") -> DataFrame:
     """``(vid, path)``: root-first path ending in ``vid``; ``[]`` for the root, unknown ids, and chains
     that stop before the root or loop."""
-    parents = materialize(parents, "parents")
     q = ids.select(F.col(id_col).cast("bigint").alias("vid")).where(F.col("vid").isNotNull()).distinct()
     at_root = q.where(F.col("vid") == F.lit(root)).select("vid", empty_ids().alias("path"))
     active = q.where(F.col("vid") != F.lit(root)).select(
@@ -82,7 +89,6 @@ def walk_is_subtree(parents: DataFrame, pairs: DataFrame, root: int,
     True when the ids are equal (known or not) or ``source`` is met before the
     root; false at the root, at a node without parent, or on a loop.
     """
-    parents = materialize(parents, "parents")
     q = pairs.select(F.col(target_col).cast("bigint").alias("target"),
                      F.col(source_col).cast("bigint").alias("source")).dropna().distinct()
     same = q.where(F.col("target") == F.col("source")).withColumn("is_subtree", F.lit(True))

@@ -16,16 +16,27 @@ from pyspark.sql import functions as F
 
 from ..hierarchy import Hierarchy
 from ..plans.skew import SALT, salt_one
+from .common import question_ids as _ids
+from .index import build_index
+from .indexed import path_to_root as _indexed_path
 from .walk import walk_is_subtree, walk_paths
 
 
-def _ids(ids: DataFrame, id_col: str) -> DataFrame:
-    return ids.select(F.col(id_col).cast("bigint").alias("vid")).where(F.col("vid").isNotNull()).distinct()
-
-
-def path_to_root(h: Hierarchy, ids: DataFrame, id_col: str = "vid") -> DataFrame:
-    """``(vid, path array<bigint>)``: root-first path ending in ``vid``, ``[]`` when there is none."""
-    return walk_paths(h.first_parent(), ids, h.root, id_col)
+def path_to_root(h: Hierarchy, ids: DataFrame, id_col: str = "vid", method: str = "walk") -> DataFrame:
+    """``(vid, path array<bigint>)``: root-first path ending in ``vid``, ``[]`` when there is none.
+
+    ``method='walk'`` hops up one parent per round from the asked ids only
+    (rounds = depth; best for a few ids). ``method='doubling'`` jumps pointers
+    over the first-parent table of the whole tree (rounds = log2 depth; best
+    when most nodes are asked). Both follow the smallest parent of each node.
+    """
+    if method == "walk":
+        return walk_paths(h.first_parent(), ids, h.root, id_col)
+    if method != "doubling":
+        raise ValueError(f"method must be 'walk' or 'doubling', got {method!r}")
+    first = h.first_parent().select(F.col("src"), F.col("parent").alias("dst"))
+    chains = build_index(Hierarchy(first, root=h.root, skew=h.skew), -1, method="doubling")
+    return _indexed_path(chains, ids, id_col)
 
 
 def is_subtree(h: Hierarchy, pairs: DataFrame, target_col: str = "target", source_col: str = "source") -> DataFrame:

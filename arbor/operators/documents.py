@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import node
 from . import indexed
-from .direct import _ids
+from .common import question_ids as _ids
 
 
 def _named(df: DataFrame, id_col: str, vertices: DataFrame, out: str = "_node") -> DataFrame:

@@ -27,6 +27,7 @@ from ..plans.layout import keyed
 from ..plans.materialize import RoundWriter
 from ..plans.skew import SALT, salt_one
 from ..sources.edges import write_snapshot
+from .common import union_all as _union
 
 INDEX_SCHEMA = StructType([
     StructField("id", LongType(), False),
@@ -43,8 +44,24 @@ def root_row(spark: SparkSession, root: int) -> DataFrame:
     return spark.createDataFrame([(int(root), PATH_SEP, 0, None, [])], INDEX_SCHEMA)
 
 
-def build_index(h: Hierarchy, max_level: int = DEFAULT_MAX_LEVEL) -> DataFrame:
-    """Rows for the root and every node at depth 1..``max_level`` (-1: all depths, 0: root only)."""
+def build_index(h: Hierarchy, max_level: int = DEFAULT_MAX_LEVEL, method: str = "auto") -> DataFrame:
+    """Rows for the root and every node at depth 1..``max_level`` (-1: all depths, 0: root only).
+
+    ``method='levels'`` walks down one level per round (rounds = depth);
+    ``method='doubling'`` (unlimited depth only) joins partial chains with
+    partial chains, doubling their length each round (rounds = log2 depth).
+    ``'auto'`` picks levels for a depth limit and doubling without one.
+    """
+    if method not in ("auto", "levels", "doubling"):
+        raise ValueError(f"method must be 'auto', 'levels' or 'doubling', got {method!r}")
+    if method == "doubling" and max_level >= 0:
+        raise ValueError("doubling builds the whole index; use max_level=-1 or method='levels'")
+    if max_level < 0 and method in ("auto", "doubling"):
+        return _build_by_doubling(h)
+    return _build_by_levels(h, max_level)
+
+
+def _build_by_levels(h: Hierarchy, max_level: int) -> DataFrame:
     spark = h.spark
     writer = RoundWriter(spark, "index")
     hot = h.hot_parents()
@@ -74,10 +91,57 @@ def build_index(h: Hierarchy, max_level: int = DEFAULT_MAX_LEVEL) -> DataFrame:
             level += 1
     finally:
         edges.unpersist()
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out
+    return _union(levels)
+
+
+def _build_by_doubling(h: Hierarchy) -> DataFrame:
+    """Pointer jumping over partial ancestor chains.
+
+    A row ``(id, top, anc)`` says: going up from ``id`` through ``anc`` (root-first,
+    ending at the parent) reaches ``top = anc[0]``. It is complete when ``top`` is
+    the root. Each round extends every incomplete row by each row of its ``top``
+    (an equi-join on ``top = id``), so chain lengths double; a chain with a
+    repeated node (a cycle) is dropped, and a chain whose ``top`` has no parent
+    (a component cut off from the root) finds no partner and is dropped. For each
+    node, every simple path to the root extends exactly one row, so the result
+    has one row per root path, as the level walk gives. Complete rows are written
+    once, to their round's folder, and never moved again.
+    """
+    spark = h.spark
+    root = F.lit(h.root)
+    writer = RoundWriter(spark, "index-doubling")
+    start = h.edges.where(F.col("src") != root).select(
+        F.col("src").alias("id"), F.col("dst").alias("top"), F.array(F.col("dst")).alias("anc"))
+    cur = writer.write(start.withColumn("done", F.col("top") == root), "round-0")
+    finished: list[DataFrame] = []
+    k = 0
+    while True:
+        finished.append(cur.where(F.col("done")))
+        undone = cur.where(~F.col("done"))
+        look = _union(finished + [undone]).select(
+            F.col("id").alias("_lid"), F.col("top").alias("_ltop"), F.col("anc").alias("_lanc"),
+            F.col("done").alias("_ldone"))
+        j = undone.join(look, F.col("top") == F.col("_lid"))
+        simple = ~F.arrays_overlap(F.col("_lanc"), F.col("anc")) & ~F.array_contains(F.col("_lanc"), F.col("id"))
+        ext = j.where(simple).select(
+            "id", F.col("_ltop").alias("top"), F.concat(F.col("_lanc"), F.col("anc")).alias("anc"),
+            F.col("_ldone").alias("done"))
+        k += 1
+        obs = Observation(f"doubling{k}")
+        counted = ext.observe(obs, F.sum(F.when(F.col("done"), 0).otherwise(1)).alias("open"),
+                              F.count(F.lit(1)).alias("rows"))
+        cur = writer.write(counted, f"round-{k}")
+        if not obs.get["open"]:
+            finished.append(cur)
+            break
+    rows = _union(finished).select(
+        F.col("id"),
+        F.concat(F.lit(PATH_SEP), F.array_join(F.col("anc"), PATH_SEP), F.lit(PATH_SEP)).alias("path"),
+        F.size("anc").cast("int").alias("depth"),
+        F.element_at(F.col("anc"), -1).alias("parent"),
+        F.col("anc").alias("ancestors"),
+    )
+    return root_row(spark, h.root).unionByName(rows)
 
 
 def write_index(index: DataFrame, path: str) -> None:

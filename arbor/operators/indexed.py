@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import child_path, empty_ids
 from ..plans.skew import SALT, salt_many, salt_one
-from .direct import _ids
+from .common import question_ids as _ids
 
 
 def path_to_root(index: DataFrame, ids: DataFrame, id_col: str = "vid") -> DataFrame:

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from ..hierarchy import Hierarchy
 from . import direct
-from .direct import _ids, children_of
+from .common import question_ids as _ids
+from .direct import children_of
 
 
 def motif_edges(h: Hierarchy) -> DataFrame:

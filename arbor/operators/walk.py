@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import empty_ids
 from ..plans.layout import keyed
 from ..plans.materialize import RoundWriter
+from .common import union_all as _union
 
 _GO = "go"
 
@@ -52,13 +53,6 @@ def _loop(name, active, p, step, writer, done) -> None:
         active = wrote.where(F.col("_status") == _GO).drop("_status")
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def walk_paths(parents: DataFrame, ids: DataFrame, root: int, id_col: str = "vid") -> DataFrame:
     """``(vid, path)``: root-first path ending in ``vid``; ``[]`` for the root, unknown ids, and chains
     that stop before the root or loop."""

@@ -155,7 +155,8 @@ def q_path_to_root_motif(spark, sf):
 
 def q_path_to_root_heap(spark, sf):
     h = Hierarchy(heap_edges(spark, sf))
-    return direct.path_to_root(h, tree_nodes(h))
+    # every node of a deep tree is asked: pointer jumping instead of one round per level
+    return direct.path_to_root(h, tree_nodes(h), method="doubling")
 
 
 def q_is_subtree_direct(spark, sf):

@@ -5,7 +5,8 @@ root id, plus two derived tables that several operators share and that are
 computed at most once:
 
 * ``hot_parents()`` -- the bounded hot-key table of parents with very many
-  children (see :mod:`arbor.plans.skew`), written to the checkpoint folder.
+  children (see :mod:`arbor.plans.skew`), computed by one job and kept on the
+  driver (at most ``arbor.skew.maxKeys`` rows).
 * ``first_parent()`` -- one ``(src, parent)`` row per child, the smallest
   parent id, used by the single-answer upward walks.
 """
@@ -17,8 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .plans.materialize import materialize
-from .plans.skew import SkewConf, hot_keys, salt_many
+from .plans.skew import SkewConf, hot_keys, hot_table, salt_many
 
 
 @dataclass
@@ -27,7 +27,7 @@ class Hierarchy:
     vertices: DataFrame | None = None
     root: int = 1
     skew: SkewConf | None = None
-    _hot: DataFrame | None = field(default=None, repr=False)
+    _hot_rows: list | None = field(default=None, repr=False)
 
     @property
     def spark(self) -> SparkSession:
@@ -38,11 +38,15 @@ class Hierarchy:
             self.skew = SkewConf.from_session(self.spark)
         return self.skew
 
-    def hot_parents(self) -> DataFrame:
-        """``(key, buckets)``: parents whose child count passes the skew threshold (bounded)."""
-        if self._hot is None:
-            self._hot = materialize(hot_keys(self.edges, "dst", self.conf()), "hot-parents")
-        return self._hot
+    def hot_parent_rows(self) -> list:
+        """``[(parent, buckets)]``: at most ``max_keys`` parents with very many children (one job, once)."""
+        if self._hot_rows is None:
+            self._hot_rows = [(r["key"], r["buckets"]) for r in hot_keys(self.edges, "dst", self.conf()).collect()]
+        return self._hot_rows
+
+    def hot_parents(self) -> DataFrame | None:
+        """The hot parents as a small local table ``(key, buckets)``, or ``None`` when there are none."""
+        return hot_table(self.spark, self.hot_parent_rows())
 
     def salted_edges(self) -> DataFrame:
         """``(src, dst, _salt)``: edges with hot parents' children spread over buckets."""
@@ -54,7 +58,7 @@ class Hierarchy:
         return e.groupBy("src").agg(F.min("dst").alias("parent"))
 
     def with_vertices(self, vertices: DataFrame) -> "Hierarchy":
-        return Hierarchy(self.edges, vertices, self.root, self.skew, self._hot)
+        return Hierarchy(self.edges, vertices, self.root, self.skew, self._hot_rows)
 
     def require_vertices(self) -> DataFrame:
         if self.vertices is None:

@@ -46,7 +46,11 @@ def is_subtree(h: Hierarchy, pairs: DataFrame, target_col: str = "target", sourc
 
 def children_of(h: Hierarchy, parents: DataFrame, key: str = "vid") -> DataFrame:
     """``(vid, child)`` for every edge whose parent is a ``vid`` of ``parents`` (salted on hot parents)."""
-    q = salt_one(parents, key, h.hot_parents())
+    hot = h.hot_parents()
+    if hot is None:
+        e = h.edges.select(F.col("src").alias("child"), F.col("dst").alias("_p"))
+        return parents.join(e, F.col(key) == F.col("_p")).drop("_p")
+    q = salt_one(parents, key, hot)
     e = h.salted_edges().select(F.col("src").alias("child"), F.col("dst").alias("_p"), F.col(SALT).alias("_s"))
     j = q.join(e, (F.col(key) == F.col("_p")) & (F.col(SALT) == F.col("_s")))
     return j.drop("_p", "_s", SALT)

@@ -65,15 +65,22 @@ def _build_by_levels(h: Hierarchy, max_level: int) -> DataFrame:
     spark = h.spark
     writer = RoundWriter(spark, "index")
     hot = h.hot_parents()
-    edges = keyed(h.salted_edges(), "dst", SALT)
+    if hot is None:
+        edges = keyed(h.edges.select(F.col("src").alias("_c"), F.col("dst").alias("_p")), "_p")
+    else:
+        edges = keyed(h.salted_edges().select(F.col("src").alias("_c"), F.col("dst").alias("_p"),
+                                              F.col(SALT).alias("_s")), "_p", "_s")
     try:
         levels = [root_row(spark, h.root)]
         frontier = levels[0]
         level = 0
         while max_level < 0 or level < max_level:
-            f = salt_one(frontier.select("id", "path", "depth", "ancestors"), "id", hot)
-            e = edges.select(F.col("src").alias("_c"), F.col("dst").alias("_p"), F.col(SALT).alias("_s"))
-            j = f.join(e, (F.col("id") == F.col("_p")) & (F.col(SALT) == F.col("_s")))
+            f = frontier.select("id", "path", "depth", "ancestors")
+            if hot is None:
+                j = f.join(edges, F.col("id") == F.col("_p"))
+            else:
+                f = salt_one(f, "id", hot)
+                j = f.join(edges, (F.col("id") == F.col("_p")) & (F.col(SALT) == F.col("_s")))
             upto = F.concat(F.col("ancestors"), F.array(F.col("id")))
             nxt = j.where((F.col("_c") != F.lit(h.root)) & ~F.array_contains(upto, F.col("_c"))).select(
                 F.col("_c").alias("id"),

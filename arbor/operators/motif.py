@@ -32,7 +32,7 @@ def motif_edges(h: Hierarchy) -> DataFrame:
 
 def motif_hierarchy(h: Hierarchy) -> Hierarchy:
     # The hot-parent table of all edges bounds the motif edges' counts too; share it.
-    return Hierarchy(motif_edges(h), h.vertices, h.root, h.skew, h._hot)
+    return Hierarchy(motif_edges(h), h.vertices, h.root, h.skew, h.hot_parent_rows())
 
 
 def edge_motif(h: Hierarchy) -> DataFrame:

@@ -8,8 +8,9 @@ one task. We split it:
 * ``hot_keys`` counts rows per key once (partial aggregation, so hot keys
   collapse map-side before the shuffle) and keeps at most ``max_keys`` keys whose
   count passes ``min_rows``. The table is bounded by ``max_keys`` rows by
-  construction, so broadcasting it is safe at any data size. Keys past the cap
-  are still joined exactly (salt 0); AQE's skew-join split covers them.
+  construction, so bringing it to the driver and broadcasting it is safe at any
+  data size; with no hot key the joins are left unsalted. Keys past the cap are
+  still joined exactly (salt 0); AQE's skew-join split covers them.
 * ``salt_many`` gives rows of the many-side a salt in ``[0, buckets)`` by hashing
   a second column (the child id), so a hot key's rows spread over ``buckets``
   tasks.
@@ -52,20 +53,31 @@ def hot_keys(df: DataFrame, key: str, conf: SkewConf) -> DataFrame:
     return top.select("key", F.greatest(buckets, F.lit(2)).alias("buckets"))
 
 
+def hot_table(spark, rows: list[tuple[int, int]], key_type: str = "bigint") -> DataFrame | None:
+    """The collected hot keys as a small local table, or ``None`` when no key is hot."""
+    if not rows:
+        return None
+    return spark.createDataFrame([(k, int(b)) for k, b in rows], f"key {key_type}, buckets int")
+
+
 def _buckets(df: DataFrame, key: Column, hot: DataFrame) -> DataFrame:
     h = F.broadcast(hot.select(F.col("key").alias("_hk"), F.col("buckets").alias("_hb")))
     return df.join(h, key == F.col("_hk"), "left")
 
 
-def salt_many(df: DataFrame, key: str, spread: str, hot: DataFrame) -> DataFrame:
-    """Add ``_salt``: a hash bucket of ``spread`` for hot keys, 0 otherwise."""
+def salt_many(df: DataFrame, key: str, spread: str, hot: DataFrame | None) -> DataFrame:
+    """Add ``_salt``: a hash bucket of ``spread`` for hot keys, 0 otherwise (always 0 without hot keys)."""
+    if hot is None:
+        return df.withColumn(SALT, F.lit(0))
     out = _buckets(df, F.col(key), hot)
     salt = F.when(F.col("_hb").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(F.col(spread)), F.col("_hb")))
     return out.withColumn(SALT, salt.cast("int")).drop("_hk", "_hb")
 
 
-def salt_one(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+def salt_one(df: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
     """Add ``_salt``: one copy per bucket for hot keys, a single copy with 0 otherwise."""
+    if hot is None:
+        return df.withColumn(SALT, F.lit(0))
     out = _buckets(df, F.col(key), hot)
     salts = F.when(F.col("_hb").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("_hb") - 1))
     return out.withColumn(SALT, F.explode(salts.cast("array<int>"))).drop("_hk", "_hb")

@@ -118,12 +118,15 @@ def test_orphan_component_and_missing_vertices(spark):
 
 
 def test_chain_deeper_than_one_hundred(spark):
-    n = 130
+    n = 105
     h = Hierarchy(edges_of(spark, [(i + 1, i) for i in range(1, n)]), root=1)
-    idx = build_index(h, -1)
-    deepest = idx.where(F.col("id") == n).collect()[0]
-    assert deepest.depth == n - 1 and deepest.ancestors == list(range(1, n))
-    assert paths(direct.path_to_root(h, ids_df(spark, [n])))[n] == list(range(1, n + 1))
+    for method in ("doubling", "levels"):
+        idx = build_index(h, -1, method=method)
+        deepest = idx.where(F.col("id") == n).collect()[0]
+        assert deepest.depth == n - 1 and deepest.ancestors == list(range(1, n))
+    for method in ("walk", "doubling"):
+        assert paths(direct.path_to_root(h, ids_df(spark, [n, 50]), method=method)) == {
+            n: list(range(1, n + 1)), 50: list(range(1, 51))}
 
 
 def test_salted_joins_give_the_plain_answers(spark):
@@ -138,7 +141,8 @@ def test_salted_joins_give_the_plain_answers(spark):
     def rows(df):
         return sorted(tuple(r) for r in df.collect())
 
-    assert rows(build_index(plain, -1)) == rows(build_index(salted, -1))
+    assert rows(build_index(plain, -1, method="levels")) == rows(build_index(salted, -1, method="levels"))
+    assert rows(build_index(plain, -1)) == rows(build_index(salted, -1, method="levels"))
     assert rows(direct.children(plain, ids)) == rows(direct.children(salted, ids))
     assert rows(direct.siblings(plain, ids)) == rows(direct.siblings(salted, ids))
     idx = build_index(plain, -1)

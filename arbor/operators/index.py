@@ -27,7 +27,6 @@ from ..plans.layout import keyed
 from ..plans.materialize import RoundWriter
 from ..plans.skew import SALT, salt_one
 from ..sources.edges import write_snapshot
-from .common import union_all as _union
 
 INDEX_SCHEMA = StructType([
     StructField("id", LongType(), False),
@@ -71,8 +70,8 @@ def _build_by_levels(h: Hierarchy, max_level: int) -> DataFrame:
         edges = keyed(h.salted_edges().select(F.col("src").alias("_c"), F.col("dst").alias("_p"),
                                               F.col(SALT).alias("_s")), "_p", "_s")
     try:
-        levels = [root_row(spark, h.root)]
-        frontier = levels[0]
+        frontier = writer.write(root_row(spark, h.root), "level-0")
+        tags = ["level-0"]
         level = 0
         while max_level < 0 or level < max_level:
             f = frontier.select("id", "path", "depth", "ancestors")
@@ -93,12 +92,12 @@ def _build_by_levels(h: Hierarchy, max_level: int) -> DataFrame:
             written = writer.write(nxt.observe(obs, F.count(F.lit(1)).alias("rows")), f"level-{level + 1}")
             if obs.get["rows"] == 0:
                 break
-            levels.append(written)
+            tags.append(f"level-{level + 1}")
             frontier = written
             level += 1
     finally:
         edges.unpersist()
-    return _union(levels)
+    return writer.read(tags, INDEX_SCHEMA)
 
 
 def _build_by_doubling(h: Hierarchy) -> DataFrame:
@@ -119,13 +118,18 @@ def _build_by_doubling(h: Hierarchy) -> DataFrame:
     writer = RoundWriter(spark, "index-doubling")
     start = h.edges.where(F.col("src") != root).select(
         F.col("src").alias("id"), F.col("dst").alias("top"), F.array(F.col("dst")).alias("anc"))
-    cur = writer.write(start.withColumn("done", F.col("top") == root), "round-0")
-    finished: list[DataFrame] = []
+    # the root's own row rides along as complete (never joined: no open row has the root as top)
+    seed = spark.range(1).select(root.cast("bigint").alias("id"), root.cast("bigint").alias("top"),
+                                 F.array().cast("array<bigint>").alias("anc"))
+    cur = writer.write(start.unionByName(seed).withColumn("done", F.col("top") == root), "round-0")
+    schema = cur.schema
+    tags = ["round-0"]
     k = 0
     while True:
-        finished.append(cur.where(F.col("done")))
         undone = cur.where(~F.col("done"))
-        look = _union(finished + [undone]).select(
+        earlier = tags[:-1]
+        look = cur if not earlier else writer.read(earlier, schema).where(F.col("done")).unionByName(cur)
+        look = look.select(
             F.col("id").alias("_lid"), F.col("top").alias("_ltop"), F.col("anc").alias("_lanc"),
             F.col("done").alias("_ldone"))
         j = undone.join(look, F.col("top") == F.col("_lid"))
@@ -138,17 +142,18 @@ def _build_by_doubling(h: Hierarchy) -> DataFrame:
         counted = ext.observe(obs, F.sum(F.when(F.col("done"), 0).otherwise(1)).alias("open"),
                               F.count(F.lit(1)).alias("rows"))
         cur = writer.write(counted, f"round-{k}")
+        tags.append(f"round-{k}")
         if not obs.get["open"]:
-            finished.append(cur)
             break
-    rows = _union(finished).select(
+    done = writer.read(tags, schema).where(F.col("done"))
+    return done.select(
         F.col("id"),
-        F.concat(F.lit(PATH_SEP), F.array_join(F.col("anc"), PATH_SEP), F.lit(PATH_SEP)).alias("path"),
+        F.concat(F.lit(PATH_SEP), F.array_join(F.col("anc"), PATH_SEP),
+                 F.when(F.size("anc") > 0, F.lit(PATH_SEP)).otherwise(F.lit(""))).alias("path"),
         F.size("anc").cast("int").alias("depth"),
-        F.element_at(F.col("anc"), -1).alias("parent"),
+        F.try_element_at(F.col("anc"), F.lit(-1)).alias("parent"),
         F.col("anc").alias("ancestors"),
     )
-    return root_row(spark, h.root).unionByName(rows)
 
 
 def write_index(index: DataFrame, path: str) -> None:

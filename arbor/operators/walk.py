@@ -20,37 +20,35 @@ from pyspark.sql import functions as F
 from ..functions.columns import empty_ids
 from ..plans.layout import keyed
 from ..plans.materialize import RoundWriter
-from .common import union_all as _union
 
 _GO = "go"
 
 
-def _rounds(name: str, active: DataFrame, parents: DataFrame, step) -> list[DataFrame]:
-    """Run rounds until no row walks; ``step(joined) -> (status, answer, next-cols)`` picks the outcome."""
+def _rounds(name: str, active: DataFrame, parents: DataFrame, step) -> DataFrame:
+    """Run rounds until no row walks; ``step(joined)`` adds ``_status`` and the next round's columns.
+
+    Returns the finished rows of every round as one Parquet scan."""
     writer = RoundWriter(active, name)
-    done: list[DataFrame] = []
     p = keyed(parents.select(F.col("src").alias("_ps"), F.col("parent").alias("_pp")), "_ps")
+    tags: list[str] = []
+    schema = None
     try:
-        _loop(name, active, p, step, writer, done)
+        n = 0
+        while True:
+            n += 1
+            j = active.join(p, F.col("cur") == F.col("_ps"), "left")
+            staged = step(j)
+            obs = Observation(f"{name}{n}")
+            go = F.sum(F.when(F.col("_status") == _GO, 1).otherwise(0)).alias("go")
+            wrote = writer.write(staged.observe(obs, go), f"round-{n}")
+            tags.append(f"round-{n}")
+            schema = wrote.schema
+            if not obs.get["go"]:
+                break
+            active = wrote.where(F.col("_status") == _GO).drop("_status")
     finally:
         p.unpersist()
-    return done
-
-
-def _loop(name, active, p, step, writer, done) -> None:
-    n = 0
-    while True:
-        n += 1
-        j = active.join(p, F.col("cur") == F.col("_ps"), "left")
-        staged = step(j)
-        obs = Observation(f"{name}{n}")
-        wrote = writer.write(
-            staged.observe(obs, F.sum(F.when(F.col("_status") == _GO, 1).otherwise(0)).alias("go")), f"round-{n}"
-        )
-        done.append(wrote.where(F.col("_status") != _GO))
-        if not obs.get["go"]:
-            break
-        active = wrote.where(F.col("_status") == _GO).drop("_status")
+    return writer.read(tags, schema).where(F.col("_status") != _GO)
 
 
 def walk_paths(parents: DataFrame, ids: DataFrame, root: int, id_col: str = "vid") -> DataFrame:
@@ -70,8 +68,7 @@ def walk_paths(parents: DataFrame, ids: DataFrame, root: int, id_col: str = "vid
         acc = F.when(par.isNull(), F.col("acc")).otherwise(F.concat(F.array(par), F.col("acc")))
         return j.select("vid", par.alias("cur"), acc.alias("acc"), status.alias("_status"))
 
-    pieces = _rounds("walk-path", active, parents, step)
-    finished = _union(pieces).select(
+    finished = _rounds("walk-path", active, parents, step).select(
         "vid", F.when(F.col("_status") == F.lit("root"), F.col("acc")).otherwise(empty_ids()).alias("path"))
     return at_root.unionByName(finished)
 
@@ -99,7 +96,6 @@ def walk_is_subtree(parents: DataFrame, pairs: DataFrame, root: int,
         seen = F.when(par.isNull(), F.col("seen")).otherwise(F.concat(F.col("seen"), F.array(par)))
         return j.select("target", "source", par.alias("cur"), seen.alias("seen"), status.alias("_status"))
 
-    pieces = _rounds("walk-subtree", active, parents, step)
-    finished = _union(pieces).select("target", "source", (F.col("_status") == F.lit("found")).alias("is_subtree"))
+    finished = _rounds("walk-subtree", active, parents, step).select("target", "source", (F.col("_status") == F.lit("found")).alias("is_subtree"))
     return same.unionByName(finished)
 

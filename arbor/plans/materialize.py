@@ -24,13 +24,19 @@ class RoundWriter:
         spark = getattr(df_or_spark, "sparkSession", df_or_spark)
         self.spark = spark
         self.base = f"{checkpoint_root(spark)}/arbor/{name}-{uuid.uuid4().hex[:12]}"
+        self.paths: dict[str, str] = {}
 
     def write(self, df: DataFrame, tag: str) -> DataFrame:
         path = f"{self.base}/{tag}"
         df.write.mode("overwrite").parquet(path)
+        self.paths[tag] = path
         # An empty round may leave no data file to infer from: pass the schema.
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def read(self, tags: list[str], schema) -> DataFrame:
+        """Several written rounds as one Parquet scan (one file listing, filters pushed to every file)."""
+        return self.spark.read.schema(schema).parquet(*[self.paths[t] for t in tags])
+
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """One-off form of :class:`RoundWriter`."""

@@ -11,20 +11,45 @@ pairs inside each parent group.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .hierarchy import Hierarchy
 from .operators import direct, documents, indexed, motif
-from .operators.index import build_index
+from .operators.index import build_index, read_index, write_index
+from .plans.session import checkpoint_root
 from .operators.vertices import build_vertices, find_id_like, find_ids, names_of
 from .sources.tables import (
     CUSTOMER_OFFSET, NATION_OFFSET, REGION_OFFSET, ROOT, geo_edges, geo_names, heap_edges, read_table,
 )
 
 
+_GEO: dict[tuple, Hierarchy] = {}
+
+
 def geo(spark: SparkSession, sf_dir: str) -> Hierarchy:
-    return Hierarchy(geo_edges(spark, sf_dir), build_vertices(geo_names(spark, sf_dir)), root=ROOT)
+    """The geo hierarchy of a table folder; one per session, so its hot-parent table is computed once."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _GEO:
+        _GEO[key] = Hierarchy(geo_edges(spark, sf_dir), build_vertices(geo_names(spark, sf_dir)), root=ROOT)
+    return _GEO[key]
+
+
+_STORED: dict[tuple, str] = {}
+
+
+def stored_index(h: Hierarchy, sf_dir: str, max_level: int) -> DataFrame:
+    """The geo index as searches use it: built once per session and table folder, written to the
+    shared checkpoint folder (clustered by path), then read back by every search."""
+    spark = h.spark
+    key = (spark.sparkContext.applicationId, sf_dir, max_level)
+    if key not in _STORED:
+        path = f"{checkpoint_root(spark)}/arbor/stored-index/{uuid.uuid4().hex}"
+        write_index(build_index(h, max_level), path)
+        _STORED[key] = path
+    return read_index(spark, _STORED[key])
 
 
 def tree_nodes(h: Hierarchy) -> DataFrame:
@@ -92,7 +117,7 @@ def q_children_direct(spark, sf):
 
 def q_children_index(spark, sf):
     h = geo(spark, sf)
-    return indexed.children(build_index(h, -1), vertex_ids(h), hot=h.hot_parents())
+    return indexed.children(stored_index(h, sf, -1), vertex_ids(h), hot=h.hot_parents())
 
 
 def q_children_motif(spark, sf):
@@ -106,7 +131,7 @@ def q_siblings_direct(spark, sf):
 
 def q_siblings_index(spark, sf):
     h = geo(spark, sf)
-    return indexed.siblings(build_index(h, 3), upper_levels(spark, sf), hot=h.hot_parents())
+    return indexed.siblings(stored_index(h, sf, 3), upper_levels(spark, sf), hot=h.hot_parents())
 
 
 def q_siblings_motif(spark, sf):
@@ -116,7 +141,7 @@ def q_siblings_motif(spark, sf):
 def q_subtree_members(spark, sf):
     h = geo(spark, sf)
     regions = upper_levels(spark, sf).where(F.col("vid").between(REGION_OFFSET, NATION_OFFSET - 1))
-    return indexed.subtree_members(build_index(h, -1), regions)
+    return indexed.subtree_members(stored_index(h, sf, -1), regions)
 
 
 def q_find_id(spark, sf):
@@ -135,7 +160,7 @@ def q_motif_edge(spark, sf):
 
 def q_path_names(spark, sf):
     h = geo(spark, sf)
-    return indexed.path_names(build_index(h, -1), h.vertices)
+    return indexed.path_names(stored_index(h, sf, -1), h.vertices)
 
 
 def q_path_to_root_direct(spark, sf):
@@ -145,7 +170,7 @@ def q_path_to_root_direct(spark, sf):
 
 def q_path_to_root_index(spark, sf):
     h = geo(spark, sf)
-    return indexed.path_to_root(build_index(h, -1), tree_nodes(h))
+    return indexed.path_to_root(stored_index(h, sf, -1), tree_nodes(h))
 
 
 def q_path_to_root_motif(spark, sf):
@@ -164,7 +189,7 @@ def q_is_subtree_direct(spark, sf):
 
 
 def q_is_subtree_index(spark, sf):
-    return indexed.is_subtree(build_index(geo(spark, sf), -1), purchase_pairs(spark, sf))
+    return indexed.is_subtree(stored_index(geo(spark, sf), sf, -1), purchase_pairs(spark, sf))
 
 
 def q_is_subtree_motif(spark, sf):
@@ -178,22 +203,22 @@ def q_names_of(spark, sf):
 
 def q_children_doc(spark, sf):
     h = geo(spark, sf)
-    return documents.children_doc(build_index(h, -1), h.vertices, vertex_ids(h), hot=h.hot_parents())
+    return documents.children_doc(stored_index(h, sf, -1), h.vertices, vertex_ids(h), hot=h.hot_parents())
 
 
 def q_path_doc(spark, sf):
     h = geo(spark, sf)
-    return documents.path_doc(build_index(h, -1), h.vertices, tree_nodes(h))
+    return documents.path_doc(stored_index(h, sf, -1), h.vertices, tree_nodes(h))
 
 
 def q_sibling_doc(spark, sf):
     h = geo(spark, sf)
-    return documents.sibling_doc(build_index(h, 3), h.vertices, upper_levels(spark, sf), hot=h.hot_parents())
+    return documents.sibling_doc(stored_index(h, sf, 3), h.vertices, upper_levels(spark, sf), hot=h.hot_parents())
 
 
 def q_nested_doc(spark, sf):
     h = geo(spark, sf)
-    return documents.nested_doc(build_index(h, -1), h.vertices, upper_levels(spark, sf), depth=2,
+    return documents.nested_doc(stored_index(h, sf, -1), h.vertices, upper_levels(spark, sf), depth=2,
                                 hot=h.hot_parents())
 
 

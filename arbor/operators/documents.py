@@ -1,4 +1,4 @@
-"""JSON documents of search answers, one row ``(vid, json)`` per asked id.
+"""JSON documents of search answers, ``(vid, json)`` rows per asked id.
 
 Nodes are ``{"ID": id, "Name": name}`` where the name is the packed name
 string with commas shown as spaces (``",all,root,"`` -> ``" all root "``) and
@@ -6,9 +6,13 @@ string with commas shown as spaces (``",all,root,"`` -> ``" all root "``) and
 keep root-first order). Names come from one left join with the vertex table
 per document, never from per-id lookups; the JSON text is made by ``to_json``.
 
-A document is one value: the list inside it is gathered with ``collect_list``,
-which aggregates partially in every map task before the shuffle, so the final
-task of a node receives already-built partial lists.
+Documents whose list can grow with the data (children, siblings, nested
+children) come in pages, ``(vid, page, json)``: a node with at most
+``page_size`` entries has one document, page 0; a larger one has
+``ceil(n / page_size)`` documents of the same shape, entry ``x`` on page
+``pmod(x.ID, pages)``, each sorted by ``ID`` (see :mod:`arbor.plans.pages`).
+So no list larger than about a page is gathered in one task. Path documents
+are bounded by the depth and are one row ``(vid, json)``.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import node
+from ..plans.pages import page_counts, page_of, page_size as _conf_page_size, spread, with_pages
 from . import indexed
 from .common import question_ids as _ids
 
@@ -27,9 +32,13 @@ def _named(df: DataFrame, id_col: str, vertices: DataFrame, out: str = "_node")
     return j.withColumn(out, node(F.col(id_col), F.col("_vname"))).drop("_vid", "_vname")
 
 
-def _sorted_nodes(df: DataFrame, key: str, node_col: str = "_node", out: str = "_list") -> DataFrame:
-    """Per ``key``, the nodes sorted by ID."""
-    return df.groupBy(key).agg(F.array_sort(F.collect_list(F.col(node_col))).alias(out))
+def _sorted_pages(df: DataFrame, key: str, node_col: str = "_node", out: str = "_list") -> DataFrame:
+    """Per ``(key, page)``, the nodes sorted by ID."""
+    return spread(df, key, "page").groupBy(key, "page").agg(F.array_sort(F.collect_list(F.col(node_col))).alias(out))
+
+
+def _size(df: DataFrame, size: int | None) -> int:
+    return _conf_page_size(df.sparkSession) if size is None else size
 
 
 def _empty_nodes():
@@ -37,14 +46,16 @@ def _empty_nodes():
 
 
 def children_doc(index: DataFrame, vertices: DataFrame, ids: DataFrame, id_col: str = "vid",
-                 hot: DataFrame | None = None) -> DataFrame:
-    """``{"ID", "Name", "children": [{"ID", "Name"}, ...]}`` from the index's children of ``vid``."""
+                 hot: DataFrame | None = None, page_size: int | None = None) -> DataFrame:
+    """``(vid, page, json)``: ``{"ID", "Name", "children": [{"ID", "Name"}, ...]}`` from the index's
+    children of ``vid``; one page (0) up to ``page_size`` children, with ``children: []`` for none."""
     q = _ids(ids, id_col)
-    kids = _named(indexed.children(index, q, hot=hot), "child", vertices)
-    lists = _sorted_nodes(kids, "vid")
+    kids = with_pages(indexed.children(index, q, hot=hot), "vid", "child", _size(q, page_size))
+    lists = _sorted_pages(_named(kids, "child", vertices), "vid")
     me = _named(q, "vid", vertices, "_me")
     doc = me.join(lists, "vid", "left").select(
         "vid",
+        F.coalesce(F.col("page"), F.lit(0).cast("bigint")).alias("page"),
         F.to_json(F.struct(
             F.col("_me.ID").alias("ID"), F.col("_me.Name").alias("Name"),
             F.coalesce(F.col("_list"), _empty_nodes()).alias("children"),
@@ -65,28 +76,37 @@ def path_doc(index: DataFrame, vertices: DataFrame, ids: DataFrame, id_col: str
 
 
 def sibling_doc(index: DataFrame, vertices: DataFrame, ids: DataFrame, id_col: str = "vid",
-                hot: DataFrame | None = None) -> DataFrame:
-    """``[{"ID", "Name"}, ...]`` of the index siblings of ``vid``; ``[]`` when none."""
+                hot: DataFrame | None = None, page_size: int | None = None) -> DataFrame:
+    """``(vid, page, json)``: ``[{"ID", "Name"}, ...]`` of the index siblings of ``vid``; one page (0)
+    up to ``page_size`` siblings, ``[]`` when none."""
     q = _ids(ids, id_col)
-    sib = _named(indexed.siblings(index, q, hot=hot), "sibling", vertices)
-    lists = _sorted_nodes(sib, "vid")
+    sib = with_pages(indexed.siblings(index, q, hot=hot), "vid", "sibling", _size(q, page_size))
+    lists = _sorted_pages(_named(sib, "sibling", vertices), "vid")
     out = q.join(lists, "vid", "left")
-    return out.select("vid", F.to_json(F.coalesce(F.col("_list"), _empty_nodes())).alias("json"))
+    return out.select("vid", F.coalesce(F.col("page"), F.lit(0).cast("bigint")).alias("page"),
+                      F.to_json(F.coalesce(F.col("_list"), _empty_nodes())).alias("json"))
 
 
 def nested_doc(index: DataFrame, vertices: DataFrame, ids: DataFrame, id_col: str = "vid",
-               depth: int = 2, hot: DataFrame | None = None) -> DataFrame:
-    """Children document nested ``depth`` levels: each child carries its own ``children`` list.
+               depth: int = 2, hot: DataFrame | None = None, page_size: int | None = None) -> DataFrame:
+    """``(vid, page, json)``: children document nested ``depth`` levels, each child carrying its own
+    ``children`` list.
 
     Built bottom-up: the deepest level's lists first, each level one join and
     one grouped ``collect_list`` keyed by the parent, so no level is gathered in
     one place. The deepest level's nodes are plain ``{"ID", "Name"}``; every
     node above carries ``children`` (``[]`` when it has none).
+
+    Pages split the nodes below ``vid`` (all levels counted): a deepest-level
+    node is on page ``pmod(ID, pages)``, a node above is on every page holding
+    one of its children (with that page's part of its list), or on
+    ``pmod(ID, pages)`` when it has none. Merging the pages of a ``vid`` by
+    ``ID`` gives the whole document.
     """
     if depth < 1:
         raise ValueError("depth must be at least 1")
     q = _ids(ids, id_col)
-    # frontier ids at each level below the asked ids: level k holds (top, vid at level k-1, child)
+    # level k holds (top, node at level k-1, child)
     levels = []
     parents = q.select(F.col("vid").alias("_top"), F.col("vid"))
     for _ in range(depth):
@@ -94,9 +114,15 @@ def nested_doc(index: DataFrame, vertices: DataFrame, ids: DataFrame, id_col: st
         lv = parents.join(kids, "vid").select("_top", F.col("vid").alias("_up"), "child")
         levels.append(lv)
         parents = lv.select("_top", F.col("child").alias("vid"))
-    # innermost: plain nodes grouped by their parent
-    inner = _named(levels[-1], "child", vertices)
-    lists = inner.groupBy("_top", "_up").agg(F.array_sort(F.collect_list("_node")).alias("_list"))
+    below = levels[0].select("_top")
+    for lv in levels[1:]:
+        below = below.unionByName(lv.select("_top"))
+    pages = page_counts(below, "_top", _size(q, page_size))
+    levels = [lv.join(pages, "_top") for lv in levels]
+    # innermost: plain nodes grouped by their parent and page
+    inner = _named(levels[-1].withColumn("page", page_of(F.col("child"), F.col("_pages"))), "child", vertices)
+    lists = spread(inner, "_top", "page", "_up").groupBy("_top", "page", "_up").agg(
+        F.array_sort(F.collect_list("_node")).alias("_list"))
     for lv in reversed(levels[:-1]):
         named = _named(lv, "child", vertices)
         j = named.join(lists.withColumnRenamed("_up", "child"), ["_top", "child"], "left")
@@ -105,12 +131,14 @@ def nested_doc(index: DataFrame, vertices: DataFrame, ids: DataFrame, id_col: st
             F.col("_node.ID").alias("ID"), F.col("_node.Name").alias("Name"),
             F.coalesce(F.col("_list"), F.array().cast(elem_type)).alias("children"),
         )
-        lists = j.groupBy("_top", "_up").agg(F.array_sort(F.collect_list(kid)).alias("_list"))
+        j = j.withColumn("page", F.coalesce(F.col("page"), page_of(F.col("child"), F.col("_pages"))))
+        lists = spread(j, "_top", "page", "_up").groupBy("_top", "page", "_up").agg(
+            F.array_sort(F.collect_list(kid)).alias("_list"))
     me = _named(q, "vid", vertices, "_me")
-    top = lists.where(F.col("_top") == F.col("_up")).select(F.col("_top").alias("vid"), "_list")
+    top = lists.where(F.col("_top") == F.col("_up")).select(F.col("_top").alias("vid"), "page", "_list")
     elem_type = top.schema["_list"].dataType.simpleString()
     out = me.join(top, "vid", "left")
-    return out.select("vid", F.to_json(F.struct(
+    return out.select("vid", F.coalesce(F.col("page"), F.lit(0).cast("bigint")).alias("page"), F.to_json(F.struct(
         F.col("_me.ID").alias("ID"), F.col("_me.Name").alias("Name"),
         F.coalesce(F.col("_list"), F.array().cast(elem_type)).alias("children"),
     )).alias("json"))

@@ -5,6 +5,8 @@ Column names match the Spark queries."""
 
 from __future__ import annotations
 
+from .plans.pages import DEFAULT_PAGE_SIZE
+
 GEO = """
 WITH RECURSIVE raw(src, dst) AS (
   SELECT CAST(1 AS BIGINT), CAST(1 AS BIGINT)
@@ -55,6 +57,15 @@ NODE = "{{'ID': {i}, 'Name': replace(coalesce({n}, ''), ',', ' ')}}"
 EMPTY_NODES = "CAST([] AS STRUCT(\"ID\" BIGINT, \"Name\" VARCHAR)[])"
 
 
+def _pages(n: str) -> str:
+    # pages of a document list with n entries (see arbor.plans.pages)
+    return f"(({n}) + {DEFAULT_PAGE_SIZE} - 1) // {DEFAULT_PAGE_SIZE}"
+
+
+def _page(x: str, n: str) -> str:
+    return f"((({x}) % ({n})) + ({n})) % ({n})"
+
+
 def _geo(body: str, depth_limit: str = "") -> str:
     return GEO.format(depth_limit=depth_limit) + body
 
@@ -120,10 +131,14 @@ ORACLE = {
     "names_of": _geo("SELECT q.vid, CASE WHEN q.vid < 1 THEN '' ELSE coalesce(v.name, '') END AS name "
                      "FROM (SELECT DISTINCT vid FROM nodes) q LEFT JOIN v ON v.id = q.vid"),
     "children_doc": _geo(
-        "SELECT r.id AS vid, CAST(to_json({'ID': r.id, 'Name': replace(coalesce(r.name, ''), ',', ' '), "
-        f"'children': coalesce(k.children, {EMPTY_NODES})}}) AS VARCHAR) AS json FROM v r LEFT JOIN "
-        f"(SELECT c.parent AS id, list({NODE.format(i='c.id', n='cv.name')} ORDER BY c.id) AS children "
-        "FROM p c LEFT JOIN v cv ON cv.id = c.id WHERE c.parent IS NOT NULL GROUP BY c.parent) k ON k.id = r.id"),
+        ", kc AS (SELECT c.parent AS id, c.id AS child FROM p c WHERE c.parent IS NOT NULL), "
+        f"kn AS (SELECT id, {_pages('count(*)')} AS np FROM kc GROUP BY id), "
+        f"kp AS (SELECT kc.id, {_page('kc.child', 'kn.np')} AS page, "
+        f"list({NODE.format(i='kc.child', n='cv.name')} ORDER BY kc.child) AS children "
+        f"FROM kc JOIN kn ON kn.id = kc.id LEFT JOIN v cv ON cv.id = kc.child GROUP BY kc.id, {_page('kc.child', 'kn.np')}) "
+        "SELECT r.id AS vid, CAST(coalesce(kp.page, 0) AS BIGINT) AS page, "
+        "CAST(to_json({'ID': r.id, 'Name': replace(coalesce(r.name, ''), ',', ' '), "
+        f"'children': coalesce(kp.children, {EMPTY_NODES})}}) AS VARCHAR) AS json FROM v r LEFT JOIN kp ON kp.id = r.id"),
     "path_doc": _geo(
         f"SELECT q.vid, CAST(to_json(coalesce(d.nodes, {EMPTY_NODES})) AS VARCHAR) AS json "
         "FROM (SELECT DISTINCT vid FROM nodes) q LEFT JOIN "
@@ -132,20 +147,33 @@ ORACLE = {
         "generate_subscripts(list_append(p.ancestors, p.id), 1) AS pos FROM p WHERE len(p.ancestors) > 0) h "
         "LEFT JOIN v ON v.id = h.step GROUP BY h.vid) d ON d.vid = q.vid"),
     "sibling_doc": _geo(
-        f"SELECT q.vid, CAST(to_json(coalesce(d.nodes, {EMPTY_NODES})) AS VARCHAR) AS json "
-        "FROM (SELECT DISTINCT vid FROM upper_ids) q LEFT JOIN "
-        f"(SELECT m.id AS vid, list({NODE.format(i='s.id', n='v.name')} ORDER BY s.id) AS nodes "
-        "FROM p m JOIN p s ON s.parent = m.parent AND s.path = m.path AND s.id <> m.id "
-        "LEFT JOIN v ON v.id = s.id GROUP BY m.id) d ON d.vid = q.vid", "AND p.depth < 3"),
+        ", sb AS (SELECT m.id AS vid, s.id AS sib FROM p m JOIN p s ON s.parent = m.parent AND s.path = m.path "
+        "AND s.id <> m.id), "
+        f"sn AS (SELECT vid, {_pages('count(*)')} AS np FROM sb GROUP BY vid), "
+        f"sp AS (SELECT sb.vid, {_page('sb.sib', 'sn.np')} AS page, "
+        f"list({NODE.format(i='sb.sib', n='v.name')} ORDER BY sb.sib) AS nodes "
+        f"FROM sb JOIN sn ON sn.vid = sb.vid LEFT JOIN v ON v.id = sb.sib GROUP BY sb.vid, {_page('sb.sib', 'sn.np')}) "
+        "SELECT q.vid, CAST(coalesce(sp.page, 0) AS BIGINT) AS page, "
+        f"CAST(to_json(coalesce(sp.nodes, {EMPTY_NODES})) AS VARCHAR) AS json "
+        "FROM (SELECT DISTINCT vid FROM upper_ids) q LEFT JOIN sp ON sp.vid = q.vid", "AND p.depth < 3"),
     "nested_doc": _geo(
-        "SELECT q.vid, CAST(to_json({'ID': q.vid, 'Name': replace(coalesce(r.name, ''), ',', ' '), "
+        ", uq AS (SELECT DISTINCT vid FROM upper_ids), "
+        "l1 AS (SELECT uq.vid AS top, c.id AS c1 FROM uq JOIN p c ON c.parent = uq.vid), "
+        "l2 AS (SELECT l1.top, l1.c1, g.id AS c2 FROM l1 JOIN p g ON g.parent = l1.c1), "
+        f"tn AS (SELECT top, {_pages('count(*)')} AS np FROM "
+        "(SELECT top FROM l1 UNION ALL SELECT top FROM l2) GROUP BY top), "
+        f"k2 AS (SELECT l2.top, l2.c1, {_page('l2.c2', 'tn.np')} AS page, "
+        f"list({NODE.format(i='l2.c2', n='gv.name')} ORDER BY l2.c2) AS children "
+        "FROM l2 JOIN tn ON tn.top = l2.top LEFT JOIN v gv ON gv.id = l2.c2 "
+        f"GROUP BY l2.top, l2.c1, {_page('l2.c2', 'tn.np')}), "
+        f"e1 AS (SELECT l1.top, l1.c1, coalesce(k2.page, {_page('l1.c1', 'tn.np')}) AS page, k2.children "
+        "FROM l1 JOIN tn ON tn.top = l1.top LEFT JOIN k2 ON k2.top = l1.top AND k2.c1 = l1.c1), "
+        "k1 AS (SELECT e1.top, e1.page, list({'ID': e1.c1, 'Name': replace(coalesce(cv.name, ''), ',', ' '), "
+        f"'children': coalesce(e1.children, {EMPTY_NODES})}} ORDER BY e1.c1) AS children "
+        "FROM e1 LEFT JOIN v cv ON cv.id = e1.c1 GROUP BY e1.top, e1.page) "
+        "SELECT uq.vid, CAST(coalesce(k1.page, 0) AS BIGINT) AS page, "
+        "CAST(to_json({'ID': uq.vid, 'Name': replace(coalesce(r.name, ''), ',', ' '), "
         "'children': coalesce(k1.children, CAST([] AS STRUCT(\"ID\" BIGINT, \"Name\" VARCHAR, "
         "\"children\" STRUCT(\"ID\" BIGINT, \"Name\" VARCHAR)[])[]))}) AS VARCHAR) AS json "
-        "FROM (SELECT DISTINCT vid FROM upper_ids) q LEFT JOIN v r ON r.id = q.vid LEFT JOIN "
-        "(SELECT c.parent AS id, list({'ID': c.id, 'Name': replace(coalesce(cv.name, ''), ',', ' '), "
-        f"'children': coalesce(k2.children, {EMPTY_NODES})}} ORDER BY c.id) AS children "
-        "FROM p c LEFT JOIN v cv ON cv.id = c.id LEFT JOIN "
-        f"(SELECT g.parent AS id, list({NODE.format(i='g.id', n='gv.name')} ORDER BY g.id) AS children "
-        "FROM p g LEFT JOIN v gv ON gv.id = g.id WHERE g.parent IS NOT NULL GROUP BY g.parent) k2 ON k2.id = c.id "
-        "WHERE c.parent IS NOT NULL GROUP BY c.parent) k1 ON k1.id = q.vid"),
+        "FROM uq LEFT JOIN v r ON r.id = uq.vid LEFT JOIN k1 ON k1.top = uq.vid"),
 }

@@ -1,0 +1,52 @@
+"""Bounded pages for answers that are one list per key (documents).
+
+A children or sibling document of a node is one list by definition, and one
+node can own a third of all rows. Such a list is never gathered in one task:
+the rows of a key are split into ``ceil(n / page_size)`` pages by
+``pmod(item id, pages)``, each page is grouped on its own and becomes its own
+row. A key with at most ``page_size`` rows has exactly one page, 0, so small
+documents keep the single-document shape; together the pages of a key hold
+every row exactly once.
+
+``n`` per key comes from a grouped count (partial aggregation collapses a hot
+key map-side); the ``(key, pages)`` table has one row per key, so joining it
+back is a one-to-many join whose skewed side AQE splits, and rows are
+repartitioned by ``(key, page)`` before grouping, so the pages of one key are
+grouped by different tasks.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Fixed value: list entries per document page (the oracle SQL uses the same).
+DEFAULT_PAGE_SIZE = 10_000
+
+
+def page_size(spark) -> int:
+    return int(spark.conf.get("arbor.doc.pageSize", str(DEFAULT_PAGE_SIZE)))
+
+
+def page_counts(keys: DataFrame, key: str, size: int) -> DataFrame:
+    """``(key, _pages)``: pages needed for the rows of ``keys`` per ``key``."""
+    if size < 1:
+        raise ValueError("page size must be at least 1")
+    n = keys.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return n.select(key, F.ceil(F.col("_n") / F.lit(size)).cast("bigint").alias("_pages"))
+
+
+def page_of(item: Column, pages: Column) -> Column:
+    return F.pmod(item.cast("bigint"), pages).cast("bigint")
+
+
+def with_pages(rows: DataFrame, key: str, item: str, size: int) -> DataFrame:
+    """``rows`` plus ``page`` = ``pmod(item, ceil(rows of key / size))``."""
+    pages = page_counts(rows.select(key), key, size)
+    j = rows.join(pages, key)
+    return j.withColumn("page", page_of(F.col(item), F.col("_pages"))).drop("_pages")
+
+
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition by all grouping keys (key and page), so one key's pages go to different tasks."""
+    return rows.repartition(*keys)

@@ -1,0 +1,78 @@
+"""Paged documents: forced small pages give the same entries as one whole document."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+
+from arbor import build_index
+from arbor.operators import documents
+
+from .conftest import CHILDREN_OF_1, CHILDREN_OF_10239, ids_df
+
+
+@pytest.fixture(scope="module")
+def index_full(mini):
+    return build_index(mini, -1).cache()
+
+
+def pages_of(df):
+    out: dict[int, dict[int, object]] = {}
+    for r in df.collect():
+        out.setdefault(r.vid, {})[r.page] = json.loads(r.json)
+    return out
+
+
+def merge(nodes_lists):
+    """Merge page lists of nodes by ID, recursively merging their ``children``."""
+    by_id: dict[int, dict] = {}
+    for nodes in nodes_lists:
+        for n in nodes:
+            cur = by_id.setdefault(n["ID"], {k: v for k, v in n.items() if k != "children"})
+            if "children" in n:
+                cur.setdefault("_parts", []).append(n["children"])
+    out = []
+    for i in sorted(by_id):
+        n = by_id[i]
+        parts = n.pop("_parts", None)
+        if parts is not None:
+            n["children"] = merge(parts)
+        out.append(n)
+    return out
+
+
+def test_children_pages_split_by_id(spark, mini, index_full):
+    got = pages_of(documents.children_doc(index_full, mini.vertices, ids_df(spark, [10239, 12884, 28384]),
+                                          page_size=4))
+    kids = sorted(CHILDREN_OF_10239)
+    assert sorted(got[10239]) == [0, 1, 2, 3]          # 15 children, 4 per page
+    for page, doc in got[10239].items():
+        ids = [c["ID"] for c in doc["children"]]
+        assert ids == sorted(c for c in kids if c % 4 == page)
+        assert doc["ID"] == 10239
+    assert sorted(c["ID"] for d in got[10239].values() for c in d["children"]) == kids
+    assert list(got[12884]) == [0] and [c["ID"] for c in got[12884][0]["children"]] == [185751, 185752, 265963]
+    assert got[28384] == {0: {"ID": 28384, "Name": "", "children": []}}
+
+
+def test_sibling_pages(spark, mini, index_full):
+    got = pages_of(documents.sibling_doc(index_full, mini.vertices, ids_df(spark, [12884, 1]), page_size=2))
+    assert {p: [n["ID"] for n in d] for p, d in got[12884].items()} == {0: [12908, 28384], 1: [10239, 131567]}
+    assert got[1] == {0: []}
+
+
+def test_nested_pages_merge_to_whole_document(spark, mini, index_full):
+    whole = pages_of(documents.nested_doc(index_full, mini.vertices, ids_df(spark, [1]), depth=2))[1]
+    assert list(whole) == [0]
+    paged = pages_of(documents.nested_doc(index_full, mini.vertices, ids_df(spark, [1]), depth=2, page_size=3))[1]
+    # 5 children + 15 + 3 + 1 grandchildren = 24 nodes below the root -> 8 pages
+    assert len(paged) > 1 and set(paged) <= set(range(8))
+    assert merge([d["children"] for d in paged.values()]) == whole[0]["children"]
+    assert [c["ID"] for c in whole[0]["children"]] == sorted(CHILDREN_OF_1)
+    for page, doc in paged.items():
+        for c in doc["children"]:
+            for g in c["children"]:
+                assert g["ID"] % 8 == page
+            if not c["children"]:
+                assert c["ID"] % 8 == page

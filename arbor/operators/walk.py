@@ -73,29 +73,46 @@ def walk_paths(parents: DataFrame, ids: DataFrame, root: int, id_col: str = "vid
     return at_root.unionByName(finished)
 
 
-def walk_is_subtree(parents: DataFrame, pairs: DataFrame, root: int,
-                    target_col: str = "target", source_col: str = "source") -> DataFrame:
-    """``(target, source, is_subtree)`` per distinct pair, walking up from ``target``.
+def walk_chains(parents: DataFrame, ids: DataFrame, root: int, id_col: str = "vid") -> DataFrame:
+    """``(vid, chain)``: the ancestors met walking up from ``vid``, nearest first.
 
-    True when the ids are equal (known or not) or ``source`` is met before the
-    root; false at the root, at a node without parent, or on a loop.
+    The walk ends after the root (included), at a node without parent, or when
+    a node repeats (a loop); the root and unknown ids have ``[]``.
     """
-    q = pairs.select(F.col(target_col).cast("bigint").alias("target"),
-                     F.col(source_col).cast("bigint").alias("source")).dropna().distinct()
-    same = q.where(F.col("target") == F.col("source")).withColumn("is_subtree", F.lit(True))
-    active = q.where(F.col("target") != F.col("source")).select(
-        "target", "source", F.col("target").alias("cur"), F.array(F.col("target")).alias("seen"))
+    q = ids.select(F.col(id_col).cast("bigint").alias("vid")).where(F.col("vid").isNotNull()).distinct()
+    at_root = q.where(F.col("vid") == F.lit(root)).select("vid", empty_ids().alias("chain"))
+    active = q.where(F.col("vid") != F.lit(root)).select(
+        "vid", F.col("vid").alias("cur"), F.array(F.col("vid")).alias("seen"))
 
     def step(j: DataFrame) -> DataFrame:
         par = F.col("_pp")
         status = (F.when(par.isNull(), F.lit("none"))
-                  .when(par == F.col("source"), F.lit("found"))
                   .when(par == F.lit(root), F.lit("root"))
                   .when(F.array_contains(F.col("seen"), par), F.lit("loop"))
                   .otherwise(F.lit(_GO)))
         seen = F.when(par.isNull(), F.col("seen")).otherwise(F.concat(F.col("seen"), F.array(par)))
-        return j.select("target", "source", par.alias("cur"), seen.alias("seen"), status.alias("_status"))
+        return j.select("vid", par.alias("cur"), seen.alias("seen"), status.alias("_status"))
+
+    finished = _rounds("walk-chain", active, parents, step).select(
+        "vid", F.slice(F.col("seen"), 2, F.greatest(F.size("seen") - 1, F.lit(0))).alias("chain"))
+    return at_root.unionByName(finished)
+
 
-    finished = _rounds("walk-subtree", active, parents, step).select("target", "source", (F.col("_status") == F.lit("found")).alias("is_subtree"))
-    return same.unionByName(finished)
+def walk_is_subtree(parents: DataFrame, pairs: DataFrame, root: int,
+                    target_col: str = "target", source_col: str = "source") -> DataFrame:
+    """``(target, source, is_subtree)`` per distinct pair.
 
+    True when the ids are equal (known or not) or ``source`` is met walking up
+    from ``target`` (the root included); false otherwise. Each distinct target
+    walks once, however many sources it is asked with; the pairs then join the
+    walked chains on ``target`` (one chain row per target, so a target asked
+    with very many sources is a skewed key AQE splits).
+    """
+    q = pairs.select(F.col(target_col).cast("bigint").alias("target"),
+                     F.col(source_col).cast("bigint").alias("source")).dropna().distinct()
+    same = q.where(F.col("target") == F.col("source")).withColumn("is_subtree", F.lit(True))
+    others = q.where(F.col("target") != F.col("source"))
+    chains = walk_chains(parents, others.select(F.col("target").alias("vid")), root)
+    j = others.join(chains, F.col("target") == F.col("vid"), "left")
+    hit = F.coalesce(F.array_contains(F.col("chain"), F.col("source")), F.lit(False))
+    return same.unionByName(j.select("target", "source", hit.alias("is_subtree")))

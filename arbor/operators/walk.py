@@ -7,9 +7,16 @@ as a piece of the answer, the walking rows are the next round's input, and the
 driver learns only how many rows still walk (an ``Observation`` on the write).
 Rounds = depth of the deepest start node, so the plan never grows.
 
-The walking side can be skewed (many start ids sharing an ancestor) while the
-parent table has one row per key: that is the case AQE's skew-join split
-handles for the left side of a left outer join, so no salting is added here.
+The walking side can be skewed: many start ids share an ancestor, so from the
+second round on one current node can hold a large share of the walkers. The
+parent table is laid out once (partitioned and sorted by node, persisted), so
+the sort-merge join reads it without a shuffle -- which also means AQE cannot
+split a skewed partition of that join. So when a round still has at least
+``arbor.skew.minRows`` walkers, one aggregate (partial, map-side) finds the
+current nodes holding that many walkers, at most ``arbor.skew.maxKeys`` of
+them; walkers at those nodes join a broadcast of just those nodes' parent rows
+(at most ``maxKeys`` rows) where they are, and only the other walkers are
+shuffled to the sort-merge join.
 """
 
 from __future__ import annotations
@@ -20,30 +27,50 @@ from pyspark.sql import functions as F
 from ..functions.columns import empty_ids
 from ..plans.layout import keyed
 from ..plans.materialize import RoundWriter
+from ..plans.skew import SkewConf, hot_keys
 
 _GO = "go"
 
 
-def _rounds(name: str, active: DataFrame, parents: DataFrame, step) -> DataFrame:
+def _lookup(active: DataFrame, p: DataFrame, walking: int | None, conf: SkewConf) -> DataFrame:
+    """``active`` left-joined with the keyed parent table on ``cur``, hot current nodes broadcast."""
+    plain = active.join(p, F.col("cur") == F.col("_ps"), "left")
+    if walking is None or walking < conf.min_rows:
+        return plain
+    hot = [r["key"] for r in hot_keys(active, "cur", conf).collect()]
+    if not hot:
+        return plain
+    hk = F.broadcast(active.sparkSession.createDataFrame([(int(k),) for k in hot], "_hk bigint"))
+    at_hot = F.col("cur") == F.col("_hk")
+    hot_rows = p.join(hk, F.col("_ps") == F.col("_hk"), "left_semi")  # at most max_keys rows
+    j_hot = active.join(hk, at_hot, "left_semi").join(F.broadcast(hot_rows), F.col("cur") == F.col("_ps"), "left")
+    j_cold = active.join(hk, at_hot, "left_anti").join(p, F.col("cur") == F.col("_ps"), "left")
+    return j_cold.unionByName(j_hot)
+
+
+def _rounds(name: str, active: DataFrame, parents: DataFrame, step, conf: SkewConf | None = None) -> DataFrame:
     """Run rounds until no row walks; ``step(joined)`` adds ``_status`` and the next round's columns.
 
     Returns the finished rows of every round as one Parquet scan."""
     writer = RoundWriter(active, name)
+    conf = conf or SkewConf.from_session(active.sparkSession)
     p = keyed(parents.select(F.col("src").alias("_ps"), F.col("parent").alias("_pp")), "_ps")
     tags: list[str] = []
     schema = None
+    walking = None  # the asked ids are distinct: no current node is shared in the first round
     try:
         n = 0
         while True:
             n += 1
-            j = active.join(p, F.col("cur") == F.col("_ps"), "left")
+            j = _lookup(active, p, walking, conf)
             staged = step(j)
             obs = Observation(f"{name}{n}")
             go = F.sum(F.when(F.col("_status") == _GO, 1).otherwise(0)).alias("go")
             wrote = writer.write(staged.observe(obs, go), f"round-{n}")
             tags.append(f"round-{n}")
             schema = wrote.schema
-            if not obs.get["go"]:
+            walking = obs.get["go"]
+            if not walking:
                 break
             active = wrote.where(F.col("_status") == _GO).drop("_status")
     finally:
@@ -51,7 +78,8 @@ def _rounds(name: str, active: DataFrame, parents: DataFrame, step) -> DataFrame
     return writer.read(tags, schema).where(F.col("_status") != _GO)
 
 
-def walk_paths(parents: DataFrame, ids: DataFrame, root: int, id_col: str = "vid") -> DataFrame:
+def walk_paths(parents: DataFrame, ids: DataFrame, root: int, id_col: str = "vid",
+               conf: SkewConf | None = None) -> DataFrame:
     """``(vid, path)``: root-first path ending in ``vid``; ``[]`` for the root, unknown ids, and chains
     that stop before the root or loop."""
     q = ids.select(F.col(id_col).cast("bigint").alias("vid")).where(F.col("vid").isNotNull()).distinct()
@@ -68,12 +96,13 @@ def walk_paths(parents: DataFrame, ids: DataFrame, root: int, id_col: str = "vid
         acc = F.when(par.isNull(), F.col("acc")).otherwise(F.concat(F.array(par), F.col("acc")))
         return j.select("vid", par.alias("cur"), acc.alias("acc"), status.alias("_status"))
 
-    finished = _rounds("walk-path", active, parents, step).select(
+    finished = _rounds("walk-path", active, parents, step, conf).select(
         "vid", F.when(F.col("_status") == F.lit("root"), F.col("acc")).otherwise(empty_ids()).alias("path"))
     return at_root.unionByName(finished)
 
 
-def walk_chains(parents: DataFrame, ids: DataFrame, root: int, id_col: str = "vid") -> DataFrame:
+def walk_chains(parents: DataFrame, ids: DataFrame, root: int, id_col: str = "vid",
+                conf: SkewConf | None = None) -> DataFrame:
     """``(vid, chain)``: the ancestors met walking up from ``vid``, nearest first.
 
     The walk ends after the root (included), at a node without parent, or when
@@ -93,13 +122,13 @@ def walk_chains(parents: DataFrame, ids: DataFrame, root: int, id_col: str = "vi
         seen = F.when(par.isNull(), F.col("seen")).otherwise(F.concat(F.col("seen"), F.array(par)))
         return j.select("vid", par.alias("cur"), seen.alias("seen"), status.alias("_status"))
 
-    finished = _rounds("walk-chain", active, parents, step).select(
+    finished = _rounds("walk-chain", active, parents, step, conf).select(
         "vid", F.slice(F.col("seen"), 2, F.greatest(F.size("seen") - 1, F.lit(0))).alias("chain"))
     return at_root.unionByName(finished)
 
 
 def walk_is_subtree(parents: DataFrame, pairs: DataFrame, root: int,
-                    target_col: str = "target", source_col: str = "source") -> DataFrame:
+                    target_col: str = "target", source_col: str = "source", conf: SkewConf | None = None) -> DataFrame:
     """``(target, source, is_subtree)`` per distinct pair.
 
     True when the ids are equal (known or not) or ``source`` is met walking up
@@ -112,7 +141,7 @@ def walk_is_subtree(parents: DataFrame, pairs: DataFrame, root: int,
                      F.col(source_col).cast("bigint").alias("source")).dropna().distinct()
     same = q.where(F.col("target") == F.col("source")).withColumn("is_subtree", F.lit(True))
     others = q.where(F.col("target") != F.col("source"))
-    chains = walk_chains(parents, others.select(F.col("target").alias("vid")), root)
+    chains = walk_chains(parents, others.select(F.col("target").alias("vid")), root, conf=conf)
     j = others.join(chains, F.col("target") == F.col("vid"), "left")
     hit = F.coalesce(F.array_contains(F.col("chain"), F.col("source")), F.lit(False))
     return same.unionByName(j.select("target", "source", hit.alias("is_subtree")))

@@ -150,6 +150,35 @@ def test_salted_joins_give_the_plain_answers(spark):
     assert rows(indexed.siblings(idx, ids)) == rows(indexed.siblings(idx, ids, hot=salted.hot_parents()))
 
 
+def test_walks_split_hot_current_nodes(spark):
+    # 2 under the root, 3..399 under 2, 400..899 under random nodes of 3..399: from the second round
+    # on most walkers stand at the same few nodes
+    rnd = random.Random(5)
+    pairs = [(2, 1)] + [(i, 2) for i in range(3, 400)] + [(i, rnd.randrange(3, 400)) for i in range(400, 900)]
+    e = edges_of(spark, pairs)
+    plain = Hierarchy(e, root=1, skew=SkewConf(min_rows=10**9))
+    split = Hierarchy(e, root=1, skew=SkewConf(min_rows=20, max_keys=4, max_buckets=16))
+    ids = ids_df(spark, list(range(1, 900)) + [-5])
+    q = pairs_df(spark, [(t, s) for t in range(380, 900, 3) for s in (1, 2, 7, 390, t)])
+
+    def rows(df):
+        return sorted((r[0], tuple(r[1]) if isinstance(r[1], list) else r[1]) + tuple(r[2:]) for r in df.collect())
+
+    assert rows(direct.path_to_root(plain, ids)) == rows(direct.path_to_root(split, ids))
+    assert rows(direct.is_subtree(plain, q)) == rows(direct.is_subtree(split, q))
+    parent = dict(pairs)
+
+    def above(t):
+        out = set()
+        while t in parent:
+            t = parent[t]
+            out.add(t)
+        return out
+
+    got = {(r.target, r.source): r.is_subtree for r in direct.is_subtree(split, q).collect()}
+    assert got == {(t, s): s == t or s in above(t) for t in range(380, 900, 3) for s in (1, 2, 7, 390, t)}
+
+
 def test_variants_agree_on_a_random_tree(spark):
     rnd = random.Random(11)
     pairs = [(i, rnd.randrange(1, i)) for i in range(2, 300)]

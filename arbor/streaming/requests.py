@@ -4,8 +4,13 @@ The reference answers one id per web request. Here requests arrive as a
 streaming DataFrame (for instance new files of ids in a folder); each
 micro-batch is answered by any batch operator of this package — a
 stream-static join against the stored index and vertex table — and the answers
-are appended to a Parquet sink. The streaming checkpoint lives under the
+are written to a Parquet sink. The streaming checkpoint lives under the
 session's checkpoint folder, so a restarted query resumes where it stopped.
+
+Each micro-batch overwrites its own folder ``<sink>/batch=<id>``: a batch that
+is run again after a failure replaces its earlier, possibly partial, output
+instead of adding a second copy, so the sink holds every answer exactly once.
+Reading ``<sink>`` gives the answers plus a ``batch`` column.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ def answer_stream(questions: DataFrame, answer: Callable[[DataFrame], DataFrame]
     ckpt = f"{checkpoint_root(questions.sparkSession)}/arbor-stream/{name}"
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        answer(batch).write.mode("append").parquet(sink_path)
+        answer(batch).write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/batch={batch_id}")
 
     writer = questions.writeStream.queryName(name).option("checkpointLocation", ckpt).foreachBatch(run)
     if available_now:

@@ -9,6 +9,9 @@ computed at most once:
   driver (at most ``arbor.skew.maxKeys`` rows).
 * ``first_parent()`` -- one ``(src, parent)`` row per child, the smallest
   parent id, used by the single-answer upward walks.
+* ``walk_table()`` -- the first parents laid out for the walks' joins
+  (partitioned and sorted by child, persisted), built on the first walk and
+  shared by every later walk over this hierarchy; ``release()`` drops it.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ class Hierarchy:
     root: int = 1
     skew: SkewConf | None = None
     _hot_rows: list | None = field(default=None, repr=False)
+    _derived: dict = field(default_factory=dict, repr=False)
 
     @property
     def spark(self) -> SparkSession:
@@ -57,6 +61,30 @@ class Hierarchy:
         e = self.edges.where(F.col("src") != F.lit(self.root))
         return e.groupBy("src").agg(F.min("dst").alias("parent"))
 
+    def walk_table(self) -> DataFrame:
+        """``(_ps, _pp)``: child and first parent, hash-partitioned and sorted by child, persisted once."""
+        if "walk" not in self._derived:
+            from .plans.layout import keyed
+
+            fp = self.first_parent().select(F.col("src").alias("_ps"), F.col("parent").alias("_pp"))
+            self._derived["walk"] = keyed(fp, "_ps")
+        return self._derived["walk"]
+
+    def derived(self, name: str, make):
+        """A derived object kept for the life of this hierarchy (e.g. its motif hierarchy)."""
+        if name not in self._derived:
+            self._derived[name] = make()
+        return self._derived[name]
+
+    def release(self) -> None:
+        """Unpersist the tables prepared for this hierarchy and its derived hierarchies."""
+        for v in self._derived.values():
+            if isinstance(v, Hierarchy):
+                v.release()
+            elif isinstance(v, DataFrame):
+                v.unpersist()
+        self._derived.clear()
+
     def with_vertices(self, vertices: DataFrame) -> "Hierarchy":
         return Hierarchy(self.edges, vertices, self.root, self.skew, self._hot_rows)
 

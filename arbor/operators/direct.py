@@ -31,7 +31,7 @@ def path_to_root(h: Hierarchy, ids: DataFrame, id_col: str = "vid", method: str
     when most nodes are asked). Both follow the smallest parent of each node.
     """
     if method == "walk":
-        return walk_paths(h.first_parent(), ids, h.root, id_col, conf=h.conf())
+        return walk_paths(h.walk_table(), ids, h.root, id_col, conf=h.conf())
     if method != "doubling":
         raise ValueError(f"method must be 'walk' or 'doubling', got {method!r}")
     first = h.first_parent().select(F.col("src"), F.col("parent").alias("dst"))
@@ -41,7 +41,7 @@ def path_to_root(h: Hierarchy, ids: DataFrame, id_col: str = "vid", method: str
 
 def is_subtree(h: Hierarchy, pairs: DataFrame, target_col: str = "target", source_col: str = "source") -> DataFrame:
     """``(target, source, is_subtree)``: is ``target`` in the subtree of ``source``."""
-    return walk_is_subtree(h.first_parent(), pairs, h.root, target_col, source_col, conf=h.conf())
+    return walk_is_subtree(h.walk_table(), pairs, h.root, target_col, source_col, conf=h.conf())
 
 
 def children_of(h: Hierarchy, parents: DataFrame, key: str = "vid") -> DataFrame:

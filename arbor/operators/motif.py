@@ -31,8 +31,10 @@ def motif_edges(h: Hierarchy) -> DataFrame:
 
 
 def motif_hierarchy(h: Hierarchy) -> Hierarchy:
-    # The hot-parent table of all edges bounds the motif edges' counts too; share it.
-    return Hierarchy(motif_edges(h), h.vertices, h.root, h.skew, h.hot_parent_rows())
+    """The hierarchy of motif edges, kept on ``h`` so its prepared walk table is built once.
+
+    The hot-parent table of all edges bounds the motif edges' counts too; it is shared."""
+    return h.derived("motif", lambda: Hierarchy(motif_edges(h), h.vertices, h.root, h.skew, h.hot_parent_rows()))
 
 
 def edge_motif(h: Hierarchy) -> DataFrame:

@@ -54,7 +54,9 @@ def _rounds(name: str, active: DataFrame, parents: DataFrame, step, conf: SkewCo
     Returns the finished rows of every round as one Parquet scan."""
     writer = RoundWriter(active, name)
     conf = conf or SkewConf.from_session(active.sparkSession)
-    p = keyed(parents.select(F.col("src").alias("_ps"), F.col("parent").alias("_pp")), "_ps")
+    # a prepared table (``Hierarchy.walk_table()``) is used as it is and left persisted
+    owned = not {"_ps", "_pp"} <= set(parents.columns)
+    p = keyed(parents.select(F.col("src").alias("_ps"), F.col("parent").alias("_pp")), "_ps") if owned else parents
     tags: list[str] = []
     schema = None
     walking = None  # the asked ids are distinct: no current node is shared in the first round
@@ -74,13 +76,16 @@ def _rounds(name: str, active: DataFrame, parents: DataFrame, step, conf: SkewCo
                 break
             active = wrote.where(F.col("_status") == _GO).drop("_status")
     finally:
-        p.unpersist()
+        if owned:
+            p.unpersist()
     return writer.read(tags, schema).where(F.col("_status") != _GO)
 
 
 def walk_paths(parents: DataFrame, ids: DataFrame, root: int, id_col: str = "vid",
                conf: SkewConf | None = None) -> DataFrame:
-    """``(vid, path)``: root-first path ending in ``vid``; ``[]`` for the root, unknown ids, and chains
+    """``parents`` is ``(src, parent)``, or a prepared ``Hierarchy.walk_table()``.
+
+    ``(vid, path)``: root-first path ending in ``vid``; ``[]`` for the root, unknown ids, and chains
     that stop before the root or loop."""
     q = ids.select(F.col(id_col).cast("bigint").alias("vid")).where(F.col("vid").isNotNull()).distinct()
     at_root = q.where(F.col("vid") == F.lit(root)).select("vid", empty_ids().alias("path"))

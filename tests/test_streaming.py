@@ -22,3 +22,21 @@ def test_stream_of_requests_gets_children_documents(spark, mini):
     docs = {r.vid: json.loads(r.json) for r in spark.read.parquet(os.path.join(out, "docs")).collect()}
     assert sorted(docs) == [1, 12884]
     assert [c["ID"] for c in docs[12884]["children"]] == [185751, 185752, 265963]
+
+
+def test_replayed_batch_replaces_its_earlier_output(spark, mini):
+    # a batch that ran before a failure left partial output in its folder; the replay must replace it
+    index = build_index(mini, 3).cache()
+    incoming = tempfile.mkdtemp(prefix="arbor-requests-")
+    out = tempfile.mkdtemp(prefix="arbor-answers-")
+    sink = os.path.join(out, "docs")
+    stale = documents.children_doc(index, mini.vertices, spark.createDataFrame([(10239,)], "vid bigint"))
+    stale.write.parquet(os.path.join(sink, "batch=0"))
+    with open(os.path.join(incoming, "batch-1.csv"), "w") as f:
+        f.write("vid\n12884\n")
+    questions = spark.readStream.schema("vid bigint").option("header", "true").csv(incoming)
+    q = answer_stream(questions, lambda b: documents.children_doc(index, mini.vertices, b), sink,
+                      name=f"replay-{os.path.basename(out)}", available_now=True)
+    q.awaitTermination(120)
+    rows = spark.read.parquet(sink).collect()
+    assert [(r.vid, r.batch) for r in rows] == [(12884, 0)]

@@ -36,7 +36,8 @@ def path_to_root(h: Hierarchy, ids: DataFrame, id_col: str = "vid", method: str
         raise ValueError(f"method must be 'walk' or 'doubling', got {method!r}")
     first = h.first_parent().select(F.col("src"), F.col("parent").alias("dst"))
     chains = build_index(Hierarchy(first, root=h.root, skew=h.skew), -1, method="doubling")
-    return _indexed_path(chains, ids, id_col)
+    # one parent per node: one chain per node, nothing to choose between
+    return _indexed_path(chains, ids, id_col, unique=True)
 
 
 def is_subtree(h: Hierarchy, pairs: DataFrame, target_col: str = "target", source_col: str = "source") -> DataFrame:

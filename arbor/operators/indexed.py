@@ -20,14 +20,19 @@ from ..plans.skew import SALT, salt_many, salt_one
 from .common import question_ids as _ids
 
 
-def path_to_root(index: DataFrame, ids: DataFrame, id_col: str = "vid") -> DataFrame:
+def path_to_root(index: DataFrame, ids: DataFrame, id_col: str = "vid", unique: bool = False) -> DataFrame:
     """``(vid, path)``: ancestors root-first then ``vid``; ``[]`` for the root, ids not indexed.
 
-    A node indexed under several paths answers with its smallest path.
+    A node indexed under several paths answers with its smallest path. ``unique=True`` states that
+    the index has one row per id (e.g. first-parent chains), which skips picking among paths.
     """
     q = _ids(ids, id_col)
     idx = index.select(F.col("id").alias("vid"), "path", "ancestors")
-    best = idx.join(q, "vid", "left_semi").groupBy("vid").agg(F.min(F.struct("path", "ancestors")).alias("_b"))
+    mine = idx.join(q, "vid", "left_semi")
+    if unique:
+        best = mine.select("vid", F.struct("path", "ancestors").alias("_b"))
+    else:
+        best = mine.groupBy("vid").agg(F.min(F.struct("path", "ancestors")).alias("_b"))
     out = q.join(best, "vid", "left")
     anc = F.col("_b.ancestors")
     path = F.when(F.col("_b").isNull() | (F.size(anc) == 0), empty_ids()).otherwise(

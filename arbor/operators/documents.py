@@ -67,12 +67,13 @@ def children_doc(index: DataFrame, vertices: DataFrame, ids: DataFrame, id_col:
 def path_doc(index: DataFrame, vertices: DataFrame, ids: DataFrame, id_col: str = "vid") -> DataFrame:
     """``[{"ID", "Name"}, ...]`` root-first down to ``vid``; ``[]`` for the root and unindexed ids."""
     paths = indexed.path_to_root(index, ids, id_col)
-    steps = paths.select("vid", F.posexplode("path").alias("pos", "step"))
+    # one pass over the paths: an empty path keeps its id as one row with no step
+    steps = paths.select("vid", F.posexplode_outer("path").alias("pos", "step"))
     named = _named(steps, "step", vertices)
-    lists = named.groupBy("vid").agg(F.array_sort(F.collect_list(F.struct("pos", "_node"))).alias("_l"))
-    lists = lists.select("vid", F.transform("_l", lambda x: x["_node"]).alias("_list"))
-    out = paths.select("vid").join(lists, "vid", "left")
-    return out.select("vid", F.to_json(F.coalesce(F.col("_list"), _empty_nodes())).alias("json"))
+    entry = F.when(F.col("pos").isNotNull(), F.struct("pos", "_node"))
+    lists = named.groupBy("vid").agg(F.array_sort(F.collect_list(entry)).alias("_l"))
+    nodes = F.transform("_l", lambda x: x["_node"])
+    return lists.select("vid", F.to_json(F.coalesce(nodes, _empty_nodes())).alias("json"))
 
 
 def sibling_doc(index: DataFrame, vertices: DataFrame, ids: DataFrame, id_col: str = "vid",

@@ -11,12 +11,14 @@ The walking side can be skewed: many start ids share an ancestor, so from the
 second round on one current node can hold a large share of the walkers. The
 parent table is laid out once (partitioned and sorted by node, persisted), so
 the sort-merge join reads it without a shuffle -- which also means AQE cannot
-split a skewed partition of that join. So when a round still has at least
-``arbor.skew.minRows`` walkers, one aggregate (partial, map-side) finds the
-current nodes holding that many walkers, at most ``arbor.skew.maxKeys`` of
-them; walkers at those nodes join a broadcast of just those nodes' parent rows
+split a skewed partition of that join. So the same write that stores a round
+also reports, through its ``Observation``, a frequent-items sketch of the
+walkers' next nodes (``approx_top_k``, at most ``arbor.skew.maxKeys`` items):
+no extra job. In the next round, walkers at nodes the sketch counts at least
+``arbor.skew.minRows`` times join a broadcast of just those nodes' parent rows
 (at most ``maxKeys`` rows) where they are, and only the other walkers are
-shuffled to the sort-merge join.
+shuffled to the sort-merge join. The sketch only routes rows: any choice of
+hot nodes gives exactly the same answer, so its approximation is safe.
 """
 
 from __future__ import annotations
@@ -27,19 +29,16 @@ from pyspark.sql import functions as F
 from ..functions.columns import empty_ids
 from ..plans.layout import keyed
 from ..plans.materialize import RoundWriter
-from ..plans.skew import SkewConf, hot_keys
+from ..plans.skew import SkewConf
 
 _GO = "go"
 
 
-def _lookup(active: DataFrame, p: DataFrame, walking: int | None, conf: SkewConf) -> DataFrame:
-    """``active`` left-joined with the keyed parent table on ``cur``, hot current nodes broadcast."""
-    plain = active.join(p, F.col("cur") == F.col("_ps"), "left")
-    if walking is None or walking < conf.min_rows:
-        return plain
-    hot = [r["key"] for r in hot_keys(active, "cur", conf).collect()]
+def _lookup(active: DataFrame, p: DataFrame, hot: list[int]) -> DataFrame:
+    """``active`` left-joined with the keyed parent table on ``cur``; walkers at ``hot`` nodes use a
+    broadcast of those nodes' parent rows (``hot`` holds at most ``max_keys`` ids)."""
     if not hot:
-        return plain
+        return active.join(p, F.col("cur") == F.col("_ps"), "left")
     hk = F.broadcast(active.sparkSession.createDataFrame([(int(k),) for k in hot], "_hk bigint"))
     at_hot = F.col("cur") == F.col("_hk")
     hot_rows = p.join(hk, F.col("_ps") == F.col("_hk"), "left_semi")  # at most max_keys rows
@@ -48,6 +47,23 @@ def _lookup(active: DataFrame, p: DataFrame, walking: int | None, conf: SkewConf
     return j_cold.unionByName(j_hot)
 
 
+# Heaviest next nodes a round reports (the sketch tracks 4x as many): the nodes that hurt are the few
+# holding a large share of all walkers, not every node past min_rows.
+SKETCH_ITEMS = 1024
+
+
+def _next_nodes_sketch(conf: SkewConf):
+    """Frequent next nodes of the rows still walking, as ``array<struct<item, count>>``."""
+    k = min(conf.max_keys, SKETCH_ITEMS)
+    return F.expr(f"approx_top_k(CASE WHEN _status = '{_GO}' THEN cur END, {k}, {4 * k})")
+
+
+def _hot_nodes(top, walking: int, conf: SkewConf) -> list[int]:
+    if walking < conf.min_rows or not top:
+        return []
+    return [r["item"] for r in top if r["item"] is not None and r["count"] >= conf.min_rows][: conf.max_keys]
+
+
 def _rounds(name: str, active: DataFrame, parents: DataFrame, step, conf: SkewConf | None = None) -> DataFrame:
     """Run rounds until no row walks; ``step(joined)`` adds ``_status`` and the next round's columns.
 
@@ -59,21 +75,22 @@ def _rounds(name: str, active: DataFrame, parents: DataFrame, step, conf: SkewCo
     p = keyed(parents.select(F.col("src").alias("_ps"), F.col("parent").alias("_pp")), "_ps") if owned else parents
     tags: list[str] = []
     schema = None
-    walking = None  # the asked ids are distinct: no current node is shared in the first round
+    hot: list[int] = []  # the asked ids are distinct: no current node is shared in the first round
     try:
         n = 0
         while True:
             n += 1
-            j = _lookup(active, p, walking, conf)
+            j = _lookup(active, p, hot)
             staged = step(j)
             obs = Observation(f"{name}{n}")
             go = F.sum(F.when(F.col("_status") == _GO, 1).otherwise(0)).alias("go")
-            wrote = writer.write(staged.observe(obs, go), f"round-{n}")
+            wrote = writer.write(staged.observe(obs, go, _next_nodes_sketch(conf).alias("top")), f"round-{n}")
             tags.append(f"round-{n}")
             schema = wrote.schema
             walking = obs.get["go"]
             if not walking:
                 break
+            hot = _hot_nodes(obs.get["top"], walking, conf)
             active = wrote.where(F.col("_status") == _GO).drop("_status")
     finally:
         if owned:

@@ -37,6 +37,8 @@ INDEX_SCHEMA = StructType([
 ])
 
 DEFAULT_MAX_LEVEL = 3
+# Range key of a stored index: path first (subtrees contiguous), then id (a shared path is split).
+INDEX_CLUSTERING = ["path", "id"]
 
 
 def root_row(spark: SparkSession, root: int) -> DataFrame:
@@ -157,8 +159,11 @@ def _build_by_doubling(h: Hierarchy) -> DataFrame:
 
 
 def write_index(index: DataFrame, path: str) -> None:
-    """Store the index as Parquet clustered by ``path``: a subtree is one contiguous, prunable range."""
-    write_snapshot(index, path, sort_by="path")
+    """Store the index as Parquet clustered by ``path``: a subtree is one contiguous, prunable range.
+
+    All children of a node share one ``path``, so the range key is ``(path, id)``: a node with a
+    third of all rows as children is still cut into many ranges, written by many tasks."""
+    write_snapshot(index, path, sort_by=INDEX_CLUSTERING)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:

@@ -27,12 +27,20 @@ def empty_edges(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], EDGE_SCHEMA)
 
 
-def write_snapshot(df: DataFrame, path: str, sort_by: str | None = None) -> None:
-    """Store a table as Parquet; ``sort_by`` clusters row groups so min/max pruning works on it."""
+def write_snapshot(df: DataFrame, path: str, sort_by: str | list[str] | None = None) -> None:
+    """Store a table as Parquet; ``sort_by`` (one column or several) clusters row groups so min/max
+    pruning works on the first column. Give enough columns to make the key nearly unique: range
+    partitioning cannot split rows with equal keys, so a key shared by a third of all rows would be
+    one partition, written by one task."""
     if sort_by:
-        df = df.repartitionByRange(sort_by).sortWithinPartitions(sort_by)
+        df = clustered(df, [sort_by] if isinstance(sort_by, str) else list(sort_by))
     df.write.mode("overwrite").parquet(path)
 
 
+def clustered(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` range-partitioned and sorted on ``keys``, as :func:`write_snapshot` stores it."""
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+
+
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)

@@ -46,3 +46,14 @@ def test_read_of_a_minimal_index_derives_columns(spark, workdir):
     back = read_index(spark, out)
     got = {r.id: (r.depth, r.parent, list(r.ancestors)) for r in back.collect()}
     assert got == {1: (0, None, []), 2: (1, 1, [1]), 7: (2, 2, [1, 2])}
+
+
+def test_edge_and_vertex_snapshots_round_trip(spark, mini, workdir):
+    from arbor import read_snapshot, write_snapshot
+
+    for name, df, key in (("edges", mini.edges, "src"), ("vertices", mini.vertices, "id")):
+        out = os.path.join(workdir, f"snapshot-{name}")
+        write_snapshot(df, out, sort_by=key)
+        back = read_snapshot(spark, out)
+        assert back.schema.simpleString() == df.schema.simpleString()
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))

@@ -18,7 +18,9 @@ no extra job. In the next round, walkers at nodes the sketch counts at least
 ``arbor.skew.minRows`` times join a broadcast of just those nodes' parent rows
 (at most ``maxKeys`` rows) where they are, and only the other walkers are
 shuffled to the sort-merge join. The sketch only routes rows: any choice of
-hot nodes gives exactly the same answer, so its approximation is safe.
+hot nodes gives exactly the same answer, so its approximation is safe. (On a
+Spark without ``approx_top_k``, a round with at least ``minRows`` walkers counts
+them per node exactly instead: one extra, partially aggregated job.)
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import empty_ids
 from ..plans.layout import keyed
 from ..plans.materialize import RoundWriter
-from ..plans.skew import SkewConf
+from ..plans.skew import SkewConf, hot_keys
 
 _GO = "go"
 
@@ -64,6 +66,22 @@ def _hot_nodes(top, walking: int, conf: SkewConf) -> list[int]:
     return [r["item"] for r in top if r["item"] is not None and r["count"] >= conf.min_rows][: conf.max_keys]
 
 
+def _has_sketch(spark) -> bool:
+    """``approx_top_k`` is a Spark 4.1 function; without it the hot nodes are counted exactly."""
+    try:
+        return bool(spark.catalog.functionExists("approx_top_k"))
+    except Exception:  # noqa: BLE001 - any catalog failure means: use the exact count
+        return False
+
+
+def _counted_hot_nodes(walkers: DataFrame, walking: int, conf: SkewConf) -> list[int]:
+    """Exact form: one partially aggregated count of the walkers per node, at most ``max_keys`` kept."""
+    if walking < conf.min_rows:
+        return []
+    k = min(conf.max_keys, SKETCH_ITEMS)
+    return [r["key"] for r in hot_keys(walkers, "cur", conf).limit(k).collect()]
+
+
 def _rounds(name: str, active: DataFrame, parents: DataFrame, step, conf: SkewConf | None = None) -> DataFrame:
     """Run rounds until no row walks; ``step(joined)`` adds ``_status`` and the next round's columns.
 
@@ -76,6 +94,7 @@ def _rounds(name: str, active: DataFrame, parents: DataFrame, step, conf: SkewCo
     tags: list[str] = []
     schema = None
     hot: list[int] = []  # the asked ids are distinct: no current node is shared in the first round
+    sketch = _has_sketch(active.sparkSession)
     try:
         n = 0
         while True:
@@ -83,15 +102,18 @@ def _rounds(name: str, active: DataFrame, parents: DataFrame, step, conf: SkewCo
             j = _lookup(active, p, hot)
             staged = step(j)
             obs = Observation(f"{name}{n}")
-            go = F.sum(F.when(F.col("_status") == _GO, 1).otherwise(0)).alias("go")
-            wrote = writer.write(staged.observe(obs, go, _next_nodes_sketch(conf).alias("top")), f"round-{n}")
+            metrics = [F.sum(F.when(F.col("_status") == _GO, 1).otherwise(0)).alias("go")]
+            if sketch:
+                metrics.append(_next_nodes_sketch(conf).alias("top"))
+            wrote = writer.write(staged.observe(obs, *metrics), f"round-{n}")
             tags.append(f"round-{n}")
             schema = wrote.schema
             walking = obs.get["go"]
             if not walking:
                 break
-            hot = _hot_nodes(obs.get["top"], walking, conf)
             active = wrote.where(F.col("_status") == _GO).drop("_status")
+            hot = (_hot_nodes(obs.get["top"], walking, conf) if sketch
+                   else _counted_hot_nodes(active, walking, conf))
     finally:
         if owned:
             p.unpersist()

@@ -32,7 +32,9 @@ SALT = "_salt"
 @dataclass(frozen=True)
 class SkewConf:
     min_rows: int = 200_000       # a key is hot when it has at least this many rows
-    max_keys: int = 4_096         # bound on the broadcast hot-key table
+    # bound on the broadcast hot-key table (about 12 bytes a row, so under 1 MB). The table holds the
+    # heaviest keys, so a key past the cap has at most 1/max_keys of all rows.
+    max_keys: int = 65_536
     max_buckets: int = 512        # bound on how far one key is split
 
     @classmethod

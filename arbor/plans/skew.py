@@ -35,7 +35,10 @@ class SkewConf:
     # bound on the broadcast hot-key table (about 12 bytes a row, so under 1 MB). The table holds the
     # heaviest keys, so a key past the cap has at most 1/max_keys of all rows.
     max_keys: int = 65_536
-    max_buckets: int = 512        # bound on how far one key is split
+    # bound on how far one key is split. A hot key gets ceil(rows / min_rows) buckets, so a bucket
+    # holds about min_rows rows; the one-row side is copied once per bucket, at most
+    # rows / min_rows + max_keys copies over all keys.
+    max_buckets: int = 1 << 20
 
     @classmethod
     def from_session(cls, spark) -> "SkewConf":

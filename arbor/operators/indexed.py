@@ -48,10 +48,14 @@ def is_subtree(index: DataFrame, pairs: DataFrame, target_col: str = "target", s
     q = pairs.select(F.col(target_col).cast("bigint").alias("target"),
                      F.col(source_col).cast("bigint").alias("source")).dropna().distinct()
     idx = index.select(F.col("id").alias("target"), "ancestors")
-    j = q.join(idx, "target", "left")
-    hit = F.coalesce(F.array_contains(F.col("ancestors"), F.col("source")), F.lit(False))
-    agg = j.groupBy("target", "source").agg(F.max(hit).alias("_any"))
-    return agg.select("target", "source", ((F.col("target") == F.col("source")) | F.col("_any")).alias("is_subtree"))
+    # inner join first: with a few pairs the pairs are broadcast into the index scan (a left join could
+    # not broadcast its left side and would shuffle the whole index); pairs without an indexed target
+    # come back through the left join with this result, which is no larger than the pairs
+    hits = q.join(idx, "target").groupBy("target", "source").agg(
+        F.max(F.array_contains(F.col("ancestors"), F.col("source"))).alias("_any"))
+    out = q.join(hits, ["target", "source"], "left")
+    same = F.col("target") == F.col("source")
+    return out.select("target", "source", (same | F.coalesce(F.col("_any"), F.lit(False))).alias("is_subtree"))
 
 
 def subtree_members(index: DataFrame, sources: DataFrame, id_col: str = "vid") -> DataFrame:

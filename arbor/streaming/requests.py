@@ -7,7 +7,9 @@ stream-static join against the stored index and vertex table — and the answers
 are written to a Parquet sink. The streaming checkpoint lives under the
 session's checkpoint folder, so a restarted query resumes where it stopped.
 
-Each micro-batch overwrites its own folder ``<sink>/batch=<id>``: a batch that
+Each micro-batch's questions are first stored under the stream's checkpoint
+folder (so the answer is planned with their real size), and its answers
+overwrite their own folder ``<sink>/batch=<id>``: a batch that
 is run again after a failure replaces its earlier, possibly partial, output
 instead of adding a second copy, so the sink holds every answer exactly once.
 Reading ``<sink>`` gives the answers plus a ``batch`` column.
@@ -33,7 +35,13 @@ def answer_stream(questions: DataFrame, answer: Callable[[DataFrame], DataFrame]
     ckpt = f"{checkpoint_root(questions.sparkSession)}/arbor-stream/{name}"
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        answer(batch).write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/batch={batch_id}")
+        # The batch's questions are written once and read back: the answer's plan then sees their real
+        # (usually small) size and broadcasts them into index scans instead of shuffling the index, and
+        # a lost executor does not re-read the stream source.
+        asked = f"{ckpt}/questions/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(asked)
+        read = batch.sparkSession.read.schema(batch.schema).parquet(asked)
+        answer(read).write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/batch={batch_id}")
 
     writer = questions.writeStream.queryName(name).option("checkpointLocation", ckpt).foreachBatch(run)
     if available_now:

@@ -207,3 +207,20 @@ def test_variants_agree_on_a_random_tree(spark):
     assert kids(direct.children(h, ids)) == kids(indexed.children(idx, ids)) == kids(motif.children(h, ids))
     assert kids(direct.siblings(h, ids)) == kids(indexed.siblings(idx, ids)) == kids(motif.siblings(h, ids))
     idx.unpersist()
+
+
+def test_prepared_walk_tables_are_shared_and_released(spark):
+    e = edges_of(spark, [(2, 1), (3, 2), (4, 3)])
+    v = build_vertices(spark.createDataFrame([(i, 0, f"n{i}") for i in range(1, 5)], "id bigint, ord int, name string"))
+    h = Hierarchy(e, v, root=1)
+    ids = ids_df(spark, [4, 3])
+    first = direct.path_to_root(h, ids)
+    t = h.walk_table()
+    assert t.is_cached and h.walk_table() is t
+    assert paths(first) == paths(motif.path_to_root(h, ids)) == {4: [1, 2, 3, 4], 3: [1, 2, 3]}
+    m = motif.motif_hierarchy(h)
+    assert motif.motif_hierarchy(h) is m and m.walk_table().is_cached
+    mt = m.walk_table()
+    h.release()
+    assert not t.is_cached and not mt.is_cached
+    assert paths(direct.path_to_root(h, ids)) == {4: [1, 2, 3, 4], 3: [1, 2, 3]}

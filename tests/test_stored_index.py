@@ -57,3 +57,24 @@ def test_edge_and_vertex_snapshots_round_trip(spark, mini, workdir):
         back = read_snapshot(spark, out)
         assert back.schema.simpleString() == df.schema.simpleString()
         assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_few_pairs_are_broadcast_into_the_index_join(spark, workdir):
+    import re
+
+    pairs = [(2, 1), (3, 1)] + [(i, 2) for i in range(10, 3010)]
+    e = edges_from(spark.createDataFrame(pairs, "src bigint, dst bigint"))
+    out = os.path.join(workdir, "stored-few-pairs")
+    write_index(build_index(Hierarchy(e, root=1), -1), out)
+    asked = os.path.join(workdir, "asked-few-pairs")
+    spark.createDataFrame([(2999, 2), (2999, 3)], "target bigint, source bigint").write.parquet(asked)
+    back, q = read_index(spark, out), spark.read.parquet(asked)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8000")  # above the pairs file, below the index
+    try:
+        df = indexed.is_subtree(back, q)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"BroadcastHashJoin \[target#\d+L?\], \[target#\d+L?\], Inner, BuildLeft", plan), plan
+        assert {(r.target, r.source): r.is_subtree for r in df.collect()} == {(2999, 2): True, (2999, 3): False}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

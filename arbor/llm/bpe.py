@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, map_text, texts_of
+from .common import id_text, map_text, ship, texts_of
 
 #: Widths of the word matrices; longer words use a heap.
 WIDTHS = (4, 8, 16, 32, 64)
@@ -329,6 +329,7 @@ def encode_decode(docs: DataFrame, vocabulary_path: str) -> DataFrame:
 
 def decode(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
     """``doc_id, decoded`` from ``doc_id, ids``; null ids decode to the empty text."""
+    ship(encoded.sparkSession)
     shared = encoded.sparkSession.sparkContext.broadcast(Vocabulary.load(vocabulary_path))
 
     def run(batches):

@@ -6,7 +6,10 @@ columns of the input (also ones named like an operator's outputs) never clash.
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -42,6 +45,28 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python workers once per application (as ``--py-files`` would)."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if os.path.isdir(package):  # else it already comes from an archive
+        name = os.path.basename(package)
+        path = os.path.join(tempfile.mkdtemp(prefix=f"{name}-"), f"{name}.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, files in os.walk(package):
+                for f in sorted(files):
+                    if f.endswith(".py"):
+                        full = os.path.join(folder, f)
+                        z.write(full, os.path.join(name, os.path.relpath(full, package)))
+        spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches where ``column`` (a string column) passes ``limit`` bytes; every row stays in one slice."""
     for batch in batches:
@@ -65,6 +90,7 @@ def map_text(df: DataFrame, column: str, fn: Callable[[pa.RecordBatch], dict], s
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
+    ship(df.sparkSession)
     out = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, secret_scan
+from . import bpe, jaccard, secret_scan
 from .common import table
 
 
@@ -23,9 +23,14 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 QUERIES = {
     "op4_bpe": op4_bpe,
     "op6_secrets": op6_secrets,
+    "op9_jaccard": op9_jaccard,
 }
 
 ORACLE: dict[str, str] = {}

@@ -16,6 +16,8 @@ _WEIGHT = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 _WEIGHT[65:91] = _WEIGHT[97:123]  # A-Z as a-z
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_IS_MARK = np.ones(256, bool)  # ASCII other than letters and digits separates terms
+_IS_MARK[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _BASE = U(0x9E3779B97F4A7C15)
 _POWERS: dict[str, np.ndarray] = {"p": np.ones(1, np.uint64), "q": np.ones(1, np.uint64)}
 
@@ -52,14 +54,23 @@ def string_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
-def words(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of a slice of texts: word hashes, row ends in words (starting with 0), and each word's byte start and end."""
+def words(col: pa.Array, terms: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a slice of texts: word hashes, row ends in words (starting with 0), and each word's byte start and end.
+
+    With ``terms``, every ASCII character but letters and digits separates, and
+    Latin-1 capitals are lower-cased too, so case and punctuation don't count.
+    """
     raw, offsets = string_buffer(col)
     n = len(raw)
     if not n:
         none = np.zeros(0, np.int64)
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), none, none
-    word = ~_IS_SPACE[raw]
+    if terms:
+        capital = (raw >= 0x80) & (raw <= 0x9E) & (raw != 0x97)
+        capital[1:] &= raw[:-1] == 0xC3
+        capital[0] = False
+        raw = raw + (capital * np.uint8(0x20))
+    word = ~(_IS_MARK if terms else _IS_SPACE)[raw]
     cut = np.zeros(n + 1, bool)
     cut[offsets] = True
     begins = word.copy()

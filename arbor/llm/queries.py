@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, jaccard, secret_scan
+from . import bpe, decontam, html_text, jaccard, secret_scan
 from .common import table
 
 
@@ -15,10 +15,18 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary()))
 
 
+def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(table(spark, sf_dir, "documents")))
 
@@ -28,7 +36,9 @@ def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_main_text": op2_main_text,
     "op4_bpe": op4_bpe,
+    "op5_decontam": op5_decontam,
     "op6_secrets": op6_secrets,
     "op9_jaccard": op9_jaccard,
 }

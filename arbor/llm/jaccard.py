@@ -42,7 +42,7 @@ from .components import components
 from .hashing import U, mix, shingle_sets
 
 #: Shingles in the broadcast order (16 bytes each), at most.
-ORDER_SIZE = 1 << 20
+ORDER_SIZE = 1 << 19
 #: Bits of a parity bitmap, members of a block of a shingle's list, and pairs compared at once in a task.
 BITS, BLOCK, AT_ONCE = 1024, 1024, 1 << 18
 #: log2 of the bits of the filter that picks the documents whose sets are needed (a fixed 1 MB).
@@ -92,27 +92,32 @@ def _frequent(docs: DataFrame, k: int, percent: int, size: int) -> tuple[np.ndar
 
     def count(key: tuple[np.int32, ...], rows: pd.DataFrame) -> pd.DataFrame:
         rest, n = np.unique(np.concatenate([np.frombuffer(r, np.uint32) for r in rows["rests"]]), return_counts=True)
-        own = n > 2
-        level = np.floor(np.log2(n[own])).astype(np.int32) + 1
-        return pd.DataFrame({"bucket": np.full(own.sum(), key[0], np.int32), "rest": rest[own].astype(np.int64), "level": level})
+        level = np.floor(np.log2(n)).astype(np.int32) + 1
+        own = [int(x) for x in np.unique(level[n > 2])]
+        return pd.DataFrame({"bucket": np.full(len(own), key[0], np.int32), "level": np.array(own, np.int32),
+                             "rests": [rest[(level == x) & (n > 2)].tobytes() for x in own]})
 
     spread = map_text(docs, "text", emit, "bucket int, rests binary")
     scratch = Scratch(docs.sparkSession, "jaccard-order")
     counted = scratch.write(
-        spread.groupBy("bucket").applyInPandas(count, "bucket int, rest long, level int"), "frequent")
+        spread.groupBy("bucket").applyInPandas(count, "bucket int, level int, rests binary"), "frequent")
     # the lowest level from which all levels above fit the bound (at most 64 rows come back)
-    levels = sorted(((r["level"], r["count"]) for r in counted.groupBy("level").count().collect()), reverse=True)
+    levels = sorted(((r["level"], r["n"] // 4) for r in counted.groupBy("level").agg(
+        F.sum(F.length("rests")).alias("n")).collect()), reverse=True)
     total, lowest = 0, 99
     for level, n in levels:
         if total + n > size:
             break
         total, lowest = total + n, level
-    rows = counted.where(F.col("level") >= lowest).toPandas()
-    key = rows["rest"].to_numpy(np.uint64) << U(32) | rows["bucket"].to_numpy(np.uint64)
-    by = np.argsort(key)
+    key, rank = [np.array([2**64 - 1], np.uint64)], [np.zeros(1, np.uint64)]
+    for r in counted.where(F.col("level") >= lowest).collect():  # packed: 4 bytes a shingle
+        rest = np.frombuffer(r["rests"], np.uint32).astype(np.uint64)
+        key.append(rest << U(32) | U(r["bucket"]))
+        rank.append(np.full(len(rest), r["level"], np.uint64))
+    keys, ranks = np.concatenate(key), np.concatenate(rank)
+    by = np.argsort(keys, kind="stable")
     mask = U(0xFFFFFFFF << 32 | (buckets - 1))
-    return (np.concatenate([key[by], [U(2**64 - 1)]]),
-            np.concatenate([rows["level"].to_numpy(np.uint64)[by], [U(0)]]), mask)
+    return keys[by], ranks[by], mask
 
 
 def _signatures(docs: DataFrame, k: int, percent: int, order) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, html_text, jaccard, secret_scan, toxicity, url_filter
+from . import bpe, chat, decontam, html_text, jaccard, quality, secret_scan, topk, toxicity, url_filter
 from .common import table
 
 
@@ -15,6 +15,10 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), host="source", path="lang")
+
+
 def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -44,6 +48,14 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=90)
 
@@ -53,13 +65,68 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_main_text": op2_main_text,
     "op3_urls": op3_urls,
     "op4_bpe": op4_bpe,
     "op5_decontam": op5_decontam,
     "op6_secrets": op6_secrets,
+    "op7_chat": op7_chat,
+    "op8_topk": op8_topk,
     "op9_jaccard": op9_jaccard,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+# Where SQL can express a query: DuckDB over the same tables. The others are held against brute force in the tests.
+ORACLE: dict[str, str] = {
+    "op7_chat": """
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text FROM conversations
+        ), speakers AS (
+            SELECT DISTINCT conv_id, speaker AS perspective FROM turns WHERE speaker <> 'system'
+        ), rotated AS (
+            SELECT t.conv_id, s.perspective, t.turn, t.speaker, t.text,
+                   CASE WHEN t.speaker = 'system' THEN 'system' WHEN t.speaker = s.perspective THEN 'assistant' ELSE 'user' END AS as_role
+            FROM turns t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
+        ), headed AS (
+            SELECT *, '<|im_start|>' || CASE WHEN as_role = 'user' THEN 'user name=' || speaker ELSE as_role END || chr(10) AS head
+            FROM rotated
+        )
+        SELECT conv_id, perspective, turn, speaker, as_role,
+               head || text || '<|im_end|>' || chr(10) AS segment,
+               CAST(CASE WHEN as_role = 'assistant' THEN length(head) ELSE 0 END AS BIGINT) AS mask_start,
+               CAST(CASE WHEN as_role = 'assistant' THEN length(head) + length(text) + 10 ELSE 0 END AS BIGINT) AS mask_stop
+        FROM headed""",
+    "op8_topk": """
+        WITH usable AS (
+            SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) for x in embedding] AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM (SELECT DISTINCT vec_id, v FROM usable WHERE vec_id % 100 = 0) q JOIN usable c
+              ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored
+        )
+        SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 10""",
+    "op9_jaccard": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [list_aggregate(w, 'string_agg', ' ')]
+                ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)]) END AS s FROM words
+        ), elements AS (
+            SELECT doc_id, len(s) AS n, unnest(s) AS e FROM sets
+        ), links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM elements a JOIN elements b ON a.e = b.e AND a.doc_id <> b.doc_id
+              AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+        ), reach AS (
+            SELECT doc_id AS id, doc_id AS other FROM sets
+            UNION SELECT r.id, l.b FROM reach r JOIN links l ON r.other = l.a
+        )
+        SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, r.component_id
+        FROM sets s JOIN (SELECT id, min(other) AS component_id FROM reach GROUP BY id) r ON s.doc_id = r.id""",
+}

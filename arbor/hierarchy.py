@@ -85,9 +85,6 @@ class Hierarchy:
                 v.unpersist()
         self._derived.clear()
 
-    def with_vertices(self, vertices: DataFrame) -> "Hierarchy":
-        return Hierarchy(self.edges, vertices, self.root, self.skew, self._hot_rows)
-
     def require_vertices(self) -> DataFrame:
         if self.vertices is None:
             raise ValueError("this operator needs the vertex table: Hierarchy(edges, vertices=...)")

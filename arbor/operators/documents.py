@@ -1,18 +1,17 @@
-"""JSON documents of search answers, ``(vid, json)`` rows per asked id.
+"""JSON documents of search answers.
 
 Nodes are ``{"ID": id, "Name": name}`` where the name is the packed name
 string with commas shown as spaces (``",all,root,"`` -> ``" all root "``) and
-``""`` when the id has no name. Lists are sorted by ``ID`` (path documents
-keep root-first order). Names come from one left join with the vertex table
-per document, never from per-id lookups; the JSON text is made by ``to_json``.
-
-Documents whose list can grow with the data (children, siblings, nested
-children) come in pages, ``(vid, page, json)``: a node with at most
-``page_size`` entries has one document, page 0; a larger one has
-``ceil(n / page_size)`` documents of the same shape, entry ``x`` on page
-``pmod(x.ID, pages)``, each sorted by ``ID`` (see :mod:`arbor.plans.pages`).
-So no list larger than about a page is gathered in one task. Path documents
-are bounded by the depth and are one row ``(vid, json)``.
+``""`` when the id has no name. Names come from one left join with the vertex
+table per document, never from per-id lookups; the JSON text is made by
+``to_json``.
+
+Children, sibling and nested documents are lists that can grow with the data,
+so they are rows, in one shape at every size: ``(vid, level, parent, id, json)``.
+Each asked id has a head row (level 0, no parent, its own node) and one row per
+list entry (level 1, or deeper in a nested document) with the entry's parent and
+its node. No list is gathered anywhere. Path documents are bounded by the depth
+and are one row ``(vid, json)``, root first.
 """
 
 from __future__ import annotations
@@ -21,9 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import node
-from ..plans.pages import page_counts, page_of, page_size as _conf_page_size, spread, with_pages
+from ..plans.materialize import RoundWriter
 from . import indexed
-from .common import question_ids as _ids
+from .common import question_ids as _ids, union_all
+from .index import StoredIndex
 
 
 def _named(df: DataFrame, id_col: str, vertices: DataFrame, out: str = "_node") -> DataFrame:
@@ -32,39 +32,30 @@ def _named(df: DataFrame, id_col: str, vertices: DataFrame, out: str = "_node")
     return j.withColumn(out, node(F.col(id_col), F.col("_vname"))).drop("_vid", "_vname")
 
 
-def _sorted_pages(df: DataFrame, key: str, node_col: str = "_node", out: str = "_list") -> DataFrame:
-    """Per ``(key, page)``, the nodes sorted by ID."""
-    return spread(df, key, "page").groupBy(key, "page").agg(F.array_sort(F.collect_list(F.col(node_col))).alias(out))
+def _empty_nodes():
+    return F.array().cast("array<struct<ID:bigint,Name:string>>")
 
 
-def _size(df: DataFrame, size: int | None) -> int:
-    return _conf_page_size(df.sparkSession) if size is None else size
+def _rows(df: DataFrame, level: int, parent: str | None, entry: str) -> DataFrame:
+    up = F.col(parent) if parent else F.lit(None)
+    return df.select("vid", F.lit(level).alias("level"), up.cast("bigint").alias("parent"), F.col(entry).alias("id"))
 
 
-def _empty_nodes():
-    return F.array().cast("array<struct<ID:bigint,Name:string>>")
+def _document(parts: list[DataFrame], vertices: DataFrame) -> DataFrame:
+    """Head and entry rows with their nodes: one join with the vertex table for all of them."""
+    named = _named(union_all(parts), "id", vertices)
+    return named.select("vid", "level", "parent", "id", F.to_json("_node").alias("json"))
 
 
-def children_doc(index: DataFrame, vertices: DataFrame, ids: DataFrame, id_col: str = "vid",
-                 hot: DataFrame | None = None, page_size: int | None = None) -> DataFrame:
-    """``(vid, page, json)``: ``{"ID", "Name", "children": [{"ID", "Name"}, ...]}`` from the index's
-    children of ``vid``; one page (0) up to ``page_size`` children, with ``children: []`` for none."""
+def children_doc(index: DataFrame | StoredIndex, vertices: DataFrame, ids: DataFrame, id_col: str = "vid",
+                 hot: DataFrame | None = None) -> DataFrame:
+    """``(vid, level, parent, id, json)``: the node of ``vid`` and one row per child in the index."""
     q = _ids(ids, id_col)
-    kids = with_pages(indexed.children(index, q, hot=hot), "vid", "child", _size(q, page_size))
-    lists = _sorted_pages(_named(kids, "child", vertices), "vid")
-    me = _named(q, "vid", vertices, "_me")
-    doc = me.join(lists, "vid", "left").select(
-        "vid",
-        F.coalesce(F.col("page"), F.lit(0).cast("bigint")).alias("page"),
-        F.to_json(F.struct(
-            F.col("_me.ID").alias("ID"), F.col("_me.Name").alias("Name"),
-            F.coalesce(F.col("_list"), _empty_nodes()).alias("children"),
-        )).alias("json"),
-    )
-    return doc
-
-
-def path_doc(index: DataFrame, vertices: DataFrame, ids: DataFrame, id_col: str = "vid") -> DataFrame:
+    kids = indexed.children(index, q, hot=hot)
+    return _document([_rows(q, 0, None, "vid"), _rows(kids, 1, "vid", "child")], vertices)
+
+
+def path_doc(index: DataFrame | StoredIndex, vertices: DataFrame, ids: DataFrame, id_col: str = "vid") -> DataFrame:
     """``[{"ID", "Name"}, ...]`` root-first down to ``vid``; ``[]`` for the root and unindexed ids."""
     paths = indexed.path_to_root(index, ids, id_col)
     # one pass over the paths: an empty path keeps its id as one row with no step
@@ -76,70 +67,31 @@ def path_doc(index: DataFrame, vertices: DataFrame, ids: DataFrame, id_col: str
     return lists.select("vid", F.to_json(F.coalesce(nodes, _empty_nodes())).alias("json"))
 
 
-def sibling_doc(index: DataFrame, vertices: DataFrame, ids: DataFrame, id_col: str = "vid",
-                hot: DataFrame | None = None, page_size: int | None = None) -> DataFrame:
-    """``(vid, page, json)``: ``[{"ID", "Name"}, ...]`` of the index siblings of ``vid``; one page (0)
-    up to ``page_size`` siblings, ``[]`` when none."""
+def sibling_doc(index: DataFrame | StoredIndex, vertices: DataFrame, ids: DataFrame, id_col: str = "vid",
+                hot: DataFrame | None = None) -> DataFrame:
+    """``(vid, level, parent, id, json)``: the node of ``vid`` and one row per sibling in the index."""
     q = _ids(ids, id_col)
-    sib = with_pages(indexed.siblings(index, q, hot=hot), "vid", "sibling", _size(q, page_size))
-    lists = _sorted_pages(_named(sib, "sibling", vertices), "vid")
-    out = q.join(lists, "vid", "left")
-    return out.select("vid", F.coalesce(F.col("page"), F.lit(0).cast("bigint")).alias("page"),
-                      F.to_json(F.coalesce(F.col("_list"), _empty_nodes())).alias("json"))
-
-
-def nested_doc(index: DataFrame, vertices: DataFrame, ids: DataFrame, id_col: str = "vid",
-               depth: int = 2, hot: DataFrame | None = None, page_size: int | None = None) -> DataFrame:
-    """``(vid, page, json)``: children document nested ``depth`` levels, each child carrying its own
-    ``children`` list.
-
-    Built bottom-up: the deepest level's lists first, each level one join and
-    one grouped ``collect_list`` keyed by the parent, so no level is gathered in
-    one place. The deepest level's nodes are plain ``{"ID", "Name"}``; every
-    node above carries ``children`` (``[]`` when it has none).
-
-    Pages split the nodes below ``vid`` (all levels counted): a deepest-level
-    node is on page ``pmod(ID, pages)``, a node above is on every page holding
-    one of its children (with that page's part of its list), or on
-    ``pmod(ID, pages)`` when it has none. Merging the pages of a ``vid`` by
-    ``ID`` gives the whole document.
+    sib = indexed.siblings_with_parent(index, q, hot=hot)
+    return _document([_rows(q, 0, None, "vid"), _rows(sib, 1, "parent", "sibling")], vertices)
+
+
+def nested_doc(index: DataFrame | StoredIndex, vertices: DataFrame, ids: DataFrame, id_col: str = "vid",
+               depth: int = 2, hot: DataFrame | None = None) -> DataFrame:
+    """``(vid, level, parent, id, json)``: the nodes within ``depth`` levels below ``vid``, one row each.
+
+    A level asks the index once for the children of the distinct nodes of the
+    level above and is stored, so the plan grows by one lookup per level.
     """
     if depth < 1:
         raise ValueError("depth must be at least 1")
     q = _ids(ids, id_col)
-    # level k holds (top, node at level k-1, child)
-    levels = []
-    parents = q.select(F.col("vid").alias("_top"), F.col("vid"))
-    for _ in range(depth):
-        kids = indexed.children(index, parents.select("vid").distinct(), hot=hot)
-        lv = parents.join(kids, "vid").select("_top", F.col("vid").alias("_up"), "child")
-        levels.append(lv)
-        parents = lv.select("_top", F.col("child").alias("vid"))
-    below = levels[0].select("_top")
-    for lv in levels[1:]:
-        below = below.unionByName(lv.select("_top"))
-    pages = page_counts(below, "_top", _size(q, page_size))
-    levels = [lv.join(pages, "_top") for lv in levels]
-    # innermost: plain nodes grouped by their parent and page
-    inner = _named(levels[-1].withColumn("page", page_of(F.col("child"), F.col("_pages"))), "child", vertices)
-    lists = spread(inner, "_top", "page", "_up").groupBy("_top", "page", "_up").agg(
-        F.array_sort(F.collect_list("_node")).alias("_list"))
-    for lv in reversed(levels[:-1]):
-        named = _named(lv, "child", vertices)
-        j = named.join(lists.withColumnRenamed("_up", "child"), ["_top", "child"], "left")
-        elem_type = lists.schema["_list"].dataType.simpleString()
-        kid = F.struct(
-            F.col("_node.ID").alias("ID"), F.col("_node.Name").alias("Name"),
-            F.coalesce(F.col("_list"), F.array().cast(elem_type)).alias("children"),
-        )
-        j = j.withColumn("page", F.coalesce(F.col("page"), page_of(F.col("child"), F.col("_pages"))))
-        lists = spread(j, "_top", "page", "_up").groupBy("_top", "page", "_up").agg(
-            F.array_sort(F.collect_list(kid)).alias("_list"))
-    me = _named(q, "vid", vertices, "_me")
-    top = lists.where(F.col("_top") == F.col("_up")).select(F.col("_top").alias("vid"), "page", "_list")
-    elem_type = top.schema["_list"].dataType.simpleString()
-    out = me.join(top, "vid", "left")
-    return out.select("vid", F.coalesce(F.col("page"), F.lit(0).cast("bigint")).alias("page"), F.to_json(F.struct(
-        F.col("_me.ID").alias("ID"), F.col("_me.Name").alias("Name"),
-        F.coalesce(F.col("_list"), F.array().cast(elem_type)).alias("children"),
-    )).alias("json"))
+    writer = RoundWriter(q, "nested")
+    parts = [_rows(q, 0, None, "vid")]
+    above = q.select("vid", F.col("vid").alias("id"))
+    for level in range(1, depth + 1):
+        kids = indexed.children(index, above.select("id").distinct(), id_col="id", hot=hot)
+        rows = above.join(kids.withColumnRenamed("vid", "id"), "id").select("vid", F.col("id").alias("parent"), "child").distinct()
+        rows = writer.write(rows, f"level-{level}")
+        parts.append(_rows(rows, level, "parent", "child"))
+        above = rows.select("vid", F.col("child").alias("id")).distinct()
+    return _document(parts, vertices)

@@ -17,7 +17,7 @@ followed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -39,6 +39,10 @@ INDEX_SCHEMA = StructType([
 DEFAULT_MAX_LEVEL = 3
 # Range key of a stored index: path first (subtrees contiguous), then id (a shared path is split).
 INDEX_CLUSTERING = ["path", "id"]
+# Fixed value: hash buckets of the lookup copies of a stored index. A question set names this many
+# buckets at most, at any size, so their list is bounded.
+ID_BUCKETS = 256
+BUCKET = "_bucket"
 
 
 def root_row(spark: SparkSession, root: int) -> DataFrame:
@@ -113,7 +117,8 @@ def _build_by_doubling(h: Hierarchy) -> DataFrame:
     (a component cut off from the root) finds no partner and is dropped. For each
     node, every simple path to the root extends exactly one row, so the result
     has one row per root path, as the level walk gives. Complete rows are written
-    once, to their round's folder, and never moved again.
+    once, to their round's ``done=true`` partition, and never moved again; the
+    partial chains are in ``done=false`` and are deleted at the end.
     """
     spark = h.spark
     root = F.lit(h.root)
@@ -123,7 +128,7 @@ def _build_by_doubling(h: Hierarchy) -> DataFrame:
     # the root's own row rides along as complete (never joined: no open row has the root as top)
     seed = spark.range(1).select(root.cast("bigint").alias("id"), root.cast("bigint").alias("top"),
                                  F.array().cast("array<bigint>").alias("anc"))
-    cur = writer.write(start.unionByName(seed).withColumn("done", F.col("top") == root), "round-0")
+    cur = writer.write(start.unionByName(seed).withColumn("done", F.col("top") == root), "round-0", split="done")
     schema = cur.schema
     tags = ["round-0"]
     k = 0
@@ -143,10 +148,12 @@ def _build_by_doubling(h: Hierarchy) -> DataFrame:
         obs = Observation(f"doubling{k}")
         counted = ext.observe(obs, F.sum(F.when(F.col("done"), 0).otherwise(1)).alias("open"),
                               F.count(F.lit(1)).alias("rows"))
-        cur = writer.write(counted, f"round-{k}")
+        cur = writer.write(counted, f"round-{k}", split="done")
         tags.append(f"round-{k}")
         if not obs.get["open"]:
             break
+    # the partial chains have been extended; only finished rows are the index
+    writer.release("done", keep=("true",))
     done = writer.read(tags, schema).where(F.col("done"))
     return done.select(
         F.col("id"),
@@ -176,3 +183,46 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     if "parent" not in df.columns:
         df = df.withColumn("parent", F.try_element_at(F.col("ancestors"), F.lit(-1)).cast("bigint"))
     return df
+
+
+def bucket_of(column: Column) -> Column:
+    """Lookup bucket of an id."""
+    return F.pmod(F.xxhash64(column.cast("bigint")), F.lit(ID_BUCKETS)).cast("int")
+
+
+class StoredIndex:
+    """An index stored three ways, so that every search prunes its scan.
+
+    * ``by_path``: clustered by ``(path, id)``; a subtree is one range of paths.
+    * ``by_id``: partitioned by the bucket of ``id``; lookups of nodes.
+    * ``by_parent``: partitioned by the bucket of ``parent``; lookups of children and siblings.
+      A parent with very many children is cut into many files of its bucket.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    @property
+    def by_path(self) -> DataFrame:
+        return self.spark.read.schema(INDEX_SCHEMA).parquet(f"{self.path}/path")
+
+    def _lookup(self, copy: str) -> DataFrame:
+        schema = StructType([*INDEX_SCHEMA.fields, StructField(BUCKET, IntegerType())])
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{copy}")
+
+    def rows_of(self, questions: DataFrame, column: str, copy: str) -> DataFrame:
+        """Rows of a lookup copy in the buckets of the questions' ``column`` (a list of ``ID_BUCKETS`` at most)."""
+        asked = [r[0] for r in questions.select(bucket_of(F.col(column))).distinct().collect() if r[0] is not None]
+        rows = self._lookup(copy)
+        return (rows if len(asked) == ID_BUCKETS else rows.where(F.col(BUCKET).isin(asked))).drop(BUCKET)
+
+
+def store_index(index: DataFrame, path: str) -> StoredIndex:
+    """Write the three copies of an index and open them."""
+    path = path.rstrip("/")
+    write_index(index, f"{path}/path")
+    for copy, key in (("id", "id"), ("parent", "parent")):
+        rows = index.withColumn(BUCKET, bucket_of(F.col(key)))
+        keys = [BUCKET, key] if key == "id" else [BUCKET, key, "id"]
+        rows.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/{copy}")
+    return StoredIndex(index.sparkSession, path)

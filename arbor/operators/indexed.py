@@ -1,10 +1,12 @@
 """Searches answered from the path-to-root index.
 
-``index`` is what :func:`arbor.operators.index.build_index` returns or
-:func:`read_index` reads: ``(id, path, depth, parent, ancestors)``. Every search
-joins the question ids with the index on an equality key (id, or parent id):
-a broadcast hash join when the questions are few, a salted shuffle join when
-both sides are large.
+``index`` is a table as :func:`arbor.operators.index.build_index` returns or
+:func:`read_index` reads, ``(id, path, depth, parent, ancestors)``, or a
+:class:`~arbor.operators.index.StoredIndex`. Every search joins the question ids
+with the index on an equality key (id, or parent id): a broadcast hash join when
+the questions are few, a salted shuffle join when both sides are large. Over a
+stored index the scan itself is pruned: to the buckets of the asked ids or
+parents, or to the path ranges of a few subtrees.
 
 Depth-limited indexes answer only what they hold: a node below the limit has
 no path, and a node at the limit has no children in it.
@@ -15,19 +17,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import child_path, empty_ids
+from ..functions.columns import PATH_SEP, child_path, empty_ids
 from ..plans.skew import SALT, salt_many, salt_one
 from .common import question_ids as _ids
+from .index import StoredIndex
 
+#: Subtrees whose path ranges are pushed to the scan; more of them read the whole index, with the same answer.
+MAX_RANGES = 64
 
-def path_to_root(index: DataFrame, ids: DataFrame, id_col: str = "vid", unique: bool = False) -> DataFrame:
+
+def table_of(index: DataFrame | StoredIndex) -> DataFrame:
+    """The whole index as one table."""
+    return index.by_path if isinstance(index, StoredIndex) else index
+
+
+def _by_id(index: DataFrame | StoredIndex, questions: DataFrame, column: str = "vid") -> DataFrame:
+    return index.rows_of(questions, column, "id") if isinstance(index, StoredIndex) else index
+
+
+def _by_parent(index: DataFrame | StoredIndex, questions: DataFrame, column: str) -> DataFrame:
+    return index.rows_of(questions, column, "parent") if isinstance(index, StoredIndex) else index
+
+
+def _below(index: DataFrame | StoredIndex, sources: DataFrame) -> DataFrame:
+    """Index rows that hold all descendants of the sources: for a few sources, their path ranges only."""
+    if not isinstance(index, StoredIndex):
+        return index
+    mine = _by_id(index, sources).join(sources, F.col("id") == F.col("vid"), "left_semi")
+    found = mine.select(child_path(F.col("path"), F.col("id")).alias("low")).distinct().take(MAX_RANGES + 1)
+    if len(found) > MAX_RANGES:
+        return index.by_path
+    inside = F.lit(False)
+    for r in found:  # every path below starts with ``low``, which ends in the separator
+        inside = inside | ((F.col("path") >= r["low"]) & (F.col("path") < r["low"][:-1] + chr(ord(PATH_SEP) + 1)))
+    return index.by_path.where(inside)
+
+
+def path_to_root(index: DataFrame | StoredIndex, ids: DataFrame, id_col: str = "vid", unique: bool = False) -> DataFrame:
     """``(vid, path)``: ancestors root-first then ``vid``; ``[]`` for the root, ids not indexed.
 
     A node indexed under several paths answers with its smallest path. ``unique=True`` states that
     the index has one row per id (e.g. first-parent chains), which skips picking among paths.
     """
     q = _ids(ids, id_col)
-    idx = index.select(F.col("id").alias("vid"), "path", "ancestors")
+    idx = _by_id(index, q).select(F.col("id").alias("vid"), "path", "ancestors")
     mine = idx.join(q, "vid", "left_semi")
     if unique:
         best = mine.select("vid", F.struct("path", "ancestors").alias("_b"))
@@ -40,14 +73,14 @@ def path_to_root(index: DataFrame, ids: DataFrame, id_col: str = "vid", unique:
     return out.select("vid", path.alias("path"))
 
 
-def is_subtree(index: DataFrame, pairs: DataFrame, target_col: str = "target", source_col: str = "source") -> DataFrame:
+def is_subtree(index: DataFrame | StoredIndex, pairs: DataFrame, target_col: str = "target", source_col: str = "source") -> DataFrame:
     """``(target, source, is_subtree)``: equal ids, or ``source`` on any indexed path of ``target``.
 
     A target missing from the index gives false.
     """
     q = pairs.select(F.col(target_col).cast("bigint").alias("target"),
                      F.col(source_col).cast("bigint").alias("source")).dropna().distinct()
-    idx = index.select(F.col("id").alias("target"), "ancestors")
+    idx = _by_id(index, q, "target").select(F.col("id").alias("target"), "ancestors")
     # inner join first: with a few pairs the pairs are broadcast into the index scan (a left join could
     # not broadcast its left side and would shuffle the whole index); pairs without an indexed target
     # come back through the left join with this result, which is no larger than the pairs
@@ -58,42 +91,46 @@ def is_subtree(index: DataFrame, pairs: DataFrame, target_col: str = "target", s
     return out.select("target", "source", (same | F.coalesce(F.col("_any"), F.lit(False))).alias("is_subtree"))
 
 
-def subtree_members(index: DataFrame, sources: DataFrame, id_col: str = "vid") -> DataFrame:
+def subtree_members(index: DataFrame | StoredIndex, sources: DataFrame, id_col: str = "vid") -> DataFrame:
     """``(vid, member)``: every indexed node below ``vid``, and ``vid`` itself when indexed.
 
     Each index row is expanded to its ancestors and equi-joined with the
     sources (a generator feeding the join inside one codegen stage, so the
-    ancestor pairs are never stored). A source near the root is a hot key; the
-    join's probe side is the expanded index, which AQE's skew-join split cuts
-    into pieces.
+    ancestor pairs are never stored). Over a stored index, the rows of a few
+    sources are path ranges that Parquet statistics skip to. A source near the
+    root is a hot key; the join's probe side is the expanded index, which AQE's
+    skew-join split cuts into pieces.
     """
     q = _ids(sources, id_col)
-    below = index.select(F.col("id").alias("member"), F.explode("ancestors").alias("vid"))
+    below = _below(index, q).select(F.col("id").alias("member"), F.explode("ancestors").alias("vid"))
     below = below.join(q, "vid", "left_semi")
-    itself = index.select(F.col("id").alias("vid"), F.col("id").alias("member")).join(q, "vid", "left_semi")
+    itself = _by_id(index, q).select(F.col("id").alias("vid"), F.col("id").alias("member")).join(q, "vid", "left_semi")
     return below.unionByName(itself).distinct()
 
 
-def children(index: DataFrame, ids: DataFrame, id_col: str = "vid", hot: DataFrame | None = None) -> DataFrame:
-    """``(vid, child)``: index rows one level below any indexed path of ``vid``.
-
-    Keyed by the child's ``parent`` plus the exact child path, so with several
-    paths to ``vid`` each child row is found once per path of ``vid``.
-    """
+def children(index: DataFrame | StoredIndex, ids: DataFrame, id_col: str = "vid", hot: DataFrame | None = None) -> DataFrame:
+    """``(vid, child)``: index rows one level below the smallest indexed path of ``vid``, each child once."""
     q = _ids(ids, id_col)
-    mine = index.select(F.col("id").alias("vid"), "path").join(q, "vid", "left_semi")
+    mine = _by_id(index, q).select(F.col("id").alias("vid"), "path").join(q, "vid", "left_semi")
+    mine = mine.groupBy("vid").agg(F.min("path").alias("path"))
     want = mine.select("vid", child_path(F.col("path"), F.col("vid")).alias("_cpath"))
-    return _join_children(index, want, hot).select("vid", "child")
+    return _join_children(_by_parent(index, q, "vid"), want, hot).select("vid", "child")
+
+
+def siblings(index: DataFrame | StoredIndex, ids: DataFrame, id_col: str = "vid", hot: DataFrame | None = None) -> DataFrame:
+    """``(vid, sibling)``: other ids stored under a path of ``vid``, each once (the root has none)."""
+    return siblings_with_parent(index, ids, id_col, hot).select("vid", "sibling")
 
 
-def siblings(index: DataFrame, ids: DataFrame, id_col: str = "vid", hot: DataFrame | None = None) -> DataFrame:
-    """``(vid, sibling)``: other ids stored under the same path as ``vid`` (the root has none)."""
+def siblings_with_parent(index: DataFrame | StoredIndex, ids: DataFrame, id_col: str = "vid",
+                         hot: DataFrame | None = None) -> DataFrame:
+    """``(vid, parent, sibling)``: as :func:`siblings`, with the smallest parent that the two share."""
     q = _ids(ids, id_col)
-    mine = index.select(F.col("id").alias("vid"), "path", "parent").join(q, "vid", "left_semi")
+    mine = _by_id(index, q).select(F.col("id").alias("vid"), "path", "parent").join(q, "vid", "left_semi")
     want = mine.where(F.col("parent").isNotNull()).select(
         "vid", F.col("parent").alias("_owner"), F.col("path").alias("_cpath"))
-    out = _join_children(index, want, hot, owner="_owner").where(F.col("child") != F.col("vid"))
-    return out.select("vid", F.col("child").alias("sibling"))
+    out = _join_children(_by_parent(index, want, "_owner"), want, hot, owner="_owner").where(F.col("child") != F.col("vid"))
+    return out.groupBy("vid", F.col("child").alias("sibling")).agg(F.min("_owner").alias("parent")).select("vid", "parent", "sibling")
 
 
 def _join_children(index: DataFrame, want: DataFrame, hot: DataFrame | None, owner: str = "vid") -> DataFrame:
@@ -107,10 +144,10 @@ def _join_children(index: DataFrame, want: DataFrame, hot: DataFrame | None, own
     return w.join(r, cond)
 
 
-def path_names(index: DataFrame, vertices: DataFrame) -> DataFrame:
+def path_names(index: DataFrame | StoredIndex, vertices: DataFrame) -> DataFrame:
     """``(vid, pos, ancestor, name)``: every ancestor on every indexed path, root first (pos 0), with its
     packed name (``""`` when it has none). One left join with the vertex table for all rows."""
-    steps = index.select(F.col("id").alias("vid"), F.posexplode("ancestors").alias("pos", "ancestor"))
+    steps = table_of(index).select(F.col("id").alias("vid"), F.posexplode("ancestors").alias("pos", "ancestor"))
     v = vertices.select(F.col("id").alias("ancestor"), F.col("name").alias("_n"))
     out = steps.join(v, "ancestor", "left")
     return out.select("vid", F.col("pos").cast("int").alias("pos"), "ancestor",

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..hierarchy import Hierarchy
+from ..plans.materialize import RoundWriter
 from . import direct
 from .common import question_ids as _ids
 from .direct import children_of
@@ -31,10 +32,14 @@ def motif_edges(h: Hierarchy) -> DataFrame:
 
 
 def motif_hierarchy(h: Hierarchy) -> Hierarchy:
-    """The hierarchy of motif edges, kept on ``h`` so its prepared walk table is built once.
+    """The hierarchy of motif edges, kept on ``h``: the edges are written once and read by every search.
 
     The hot-parent table of all edges bounds the motif edges' counts too; it is shared."""
-    return h.derived("motif", lambda: Hierarchy(motif_edges(h), h.vertices, h.root, h.skew, h.hot_parent_rows()))
+    def make() -> Hierarchy:
+        stored = RoundWriter(h.spark, "motif-edges").write(motif_edges(h), "edges")
+        return Hierarchy(stored, h.vertices, h.root, h.skew, h.hot_parent_rows())
+
+    return h.derived("motif", make)
 
 
 def edge_motif(h: Hierarchy) -> DataFrame:
@@ -43,7 +48,7 @@ def edge_motif(h: Hierarchy) -> DataFrame:
     cols = [F.col(c) for c in v.columns]
     vs = v.select(F.col("id").alias("_sid"), F.struct(*cols).alias("src"))
     vd = v.select(F.col("id").alias("_did"), F.struct(*cols).alias("dst_v"))
-    e = h.edges.select(F.col("src").alias("_es"), F.col("dst").alias("_ed"), "relationship")
+    e = motif_hierarchy(h).edges.select(F.col("src").alias("_es"), F.col("dst").alias("_ed"), "relationship")
     j = e.join(vs, F.col("_es") == F.col("_sid")).join(vd, F.col("_ed") == F.col("_did"))
     return j.select(F.col("src"), F.col("dst_v").alias("dst"), "relationship")
 

@@ -31,13 +31,16 @@ def build_vertices(names: DataFrame) -> DataFrame:
 def find_ids(vertices: DataFrame, queries: DataFrame, name_col: str = "name") -> DataFrame:
     """For each distinct query name, the smallest id that has that exact name; -1 if none or empty.
 
-    ``(name, vid)``. The vertex names are exploded to ``(name, id)`` pairs; a
+    ``(name, vid)``. ``vertices`` is a vertex table or the name records
+    ``(id, ord, name)`` themselves, which need no list of an id's names. The
+    names are ``(name, id)`` pairs; a
     left-semi join keeps only asked-for names (a broadcast hash join when the
     questions are few), then ``min(id)`` aggregates partially per task, so a
     name shared by millions of ids collapses before any shuffle.
     """
     q = queries.select(F.col(name_col).cast("string").alias("name")).where(F.col("name").isNotNull()).distinct()
-    pairs = vertices.select(F.col("id"), F.explode("names").alias("name"))
+    pairs = vertices.select(F.col("id"), F.explode("names").alias("name")) if "names" in vertices.columns else (
+        vertices.select(F.col("id").cast("bigint").alias("id"), "name"))
     hits = pairs.join(q, "name", "left_semi").groupBy("name").agg(F.min("id").alias("vid"))
     out = q.join(hits, "name", "left")
     vid = F.when(F.col("name") == F.lit(""), F.lit(-1)).otherwise(F.coalesce(F.col("vid"), F.lit(-1)))

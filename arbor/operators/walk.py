@@ -13,8 +13,8 @@ parent table is laid out once (partitioned and sorted by node, persisted), so
 the sort-merge join reads it without a shuffle -- which also means AQE cannot
 split a skewed partition of that join. So the same write that stores a round
 also reports, through its ``Observation``, a frequent-items sketch of the
-walkers' next nodes (``approx_top_k``, at most ``arbor.skew.maxKeys`` items):
-no extra job. In the next round, walkers at nodes the sketch counts at least
+walkers' next nodes (``approx_top_k``, at most ``arbor.skew.maxKeys`` items, so a
+node past it holds less than one part in ``maxKeys`` of the walkers): no extra job. In the next round, walkers at nodes the sketch counts at least
 ``arbor.skew.minRows`` times join a broadcast of just those nodes' parent rows
 (at most ``maxKeys`` rows) where they are, and only the other walkers are
 shuffled to the sort-merge join. The sketch only routes rows: any choice of
@@ -49,15 +49,14 @@ def _lookup(active: DataFrame, p: DataFrame, hot: list[int]) -> DataFrame:
     return j_cold.unionByName(j_hot)
 
 
-# Heaviest next nodes a round reports (the sketch tracks 4x as many): the nodes that hurt are the few
-# holding a large share of all walkers, not every node past min_rows.
-SKETCH_ITEMS = 1024
+# Limits of the sketch function, items reported and items tracked.
+SKETCH_ITEMS, SKETCH_TRACKED = 100_000, 1_000_000
 
 
 def _next_nodes_sketch(conf: SkewConf):
-    """Frequent next nodes of the rows still walking, as ``array<struct<item, count>>``."""
+    """Frequent next nodes of the rows still walking, as ``array<struct<item, count>>``, ``max_keys`` at most."""
     k = min(conf.max_keys, SKETCH_ITEMS)
-    return F.expr(f"approx_top_k(CASE WHEN _status = '{_GO}' THEN cur END, {k}, {4 * k})")
+    return F.expr(f"approx_top_k(CASE WHEN _status = '{_GO}' THEN cur END, {k}, {min(4 * k, SKETCH_TRACKED)})")
 
 
 def _hot_nodes(top, walking: int, conf: SkewConf) -> list[int]:
@@ -68,18 +67,14 @@ def _hot_nodes(top, walking: int, conf: SkewConf) -> list[int]:
 
 def _has_sketch(spark) -> bool:
     """``approx_top_k`` is a Spark 4.1 function; without it the hot nodes are counted exactly."""
-    try:
-        return bool(spark.catalog.functionExists("approx_top_k"))
-    except Exception:  # noqa: BLE001 - any catalog failure means: use the exact count
-        return False
+    return bool(spark.catalog.functionExists("approx_top_k"))
 
 
 def _counted_hot_nodes(walkers: DataFrame, walking: int, conf: SkewConf) -> list[int]:
     """Exact form: one partially aggregated count of the walkers per node, at most ``max_keys`` kept."""
     if walking < conf.min_rows:
         return []
-    k = min(conf.max_keys, SKETCH_ITEMS)
-    return [r["key"] for r in hot_keys(walkers, "cur", conf).limit(k).collect()]
+    return [r["key"] for r in hot_keys(walkers, "cur", conf).collect()]
 
 
 def _rounds(name: str, active: DataFrame, parents: DataFrame, step, conf: SkewConf | None = None) -> DataFrame:
@@ -105,7 +100,7 @@ def _rounds(name: str, active: DataFrame, parents: DataFrame, step, conf: SkewCo
             metrics = [F.sum(F.when(F.col("_status") == _GO, 1).otherwise(0)).alias("go")]
             if sketch:
                 metrics.append(_next_nodes_sketch(conf).alias("top"))
-            wrote = writer.write(staged.observe(obs, *metrics), f"round-{n}")
+            wrote = writer.write(staged.observe(obs, *metrics), f"round-{n}", split="_status")
             tags.append(f"round-{n}")
             schema = wrote.schema
             walking = obs.get["go"]
@@ -117,6 +112,7 @@ def _rounds(name: str, active: DataFrame, parents: DataFrame, step, conf: SkewCo
     finally:
         if owned:
             p.unpersist()
+    writer.release("_status", keep=("none", "root", "loop"))  # walking rows went on in the next round
     return writer.read(tags, schema).where(F.col("_status") != _GO)
 
 

@@ -5,16 +5,15 @@ Column names match the Spark queries."""
 
 from __future__ import annotations
 
-from .plans.pages import DEFAULT_PAGE_SIZE
-
 GEO = """
 WITH RECURSIVE raw(src, dst) AS (
   SELECT CAST(1 AS BIGINT), CAST(1 AS BIGINT)
-  UNION ALL SELECT CAST(10 + r_regionkey AS BIGINT), CAST(1 AS BIGINT) FROM region
-  UNION ALL SELECT CAST(100 + n_nationkey AS BIGINT), CAST(10 + n_regionkey AS BIGINT) FROM nation
-  UNION ALL SELECT CAST(1000000 + c_custkey AS BIGINT), CAST(100 + c_nationkey AS BIGINT) FROM customer
-  UNION ALL SELECT CAST(2000000 + s_suppkey AS BIGINT), CAST(100 + s_nationkey AS BIGINT) FROM supplier
-  UNION ALL SELECT CAST(10000000 + o_orderkey AS BIGINT), CAST(1000000 + o_custkey AS BIGINT) FROM orders),
+  UNION ALL SELECT CAST(r_regionkey AS BIGINT) * 8 + 2, CAST(1 AS BIGINT) FROM region
+  UNION ALL SELECT CAST(n_nationkey AS BIGINT) * 8 + 3, CAST(n_regionkey AS BIGINT) * 8 + 2 FROM nation
+  UNION ALL SELECT CAST(c_custkey AS BIGINT) * 8 + 4, CAST(c_nationkey AS BIGINT) * 8 + 3 FROM customer
+  UNION ALL SELECT CAST(s_suppkey AS BIGINT) * 8 + 5, CAST(s_nationkey AS BIGINT) * 8 + 3 FROM supplier
+  UNION ALL SELECT CAST(o_orderkey AS BIGINT) * 8 + 6, CAST(o_custkey AS BIGINT) * 8 + 4 FROM orders
+  {more_edges}),
 e AS (SELECT src, dst, 'parent' AS relationship FROM raw WHERE src <> dst),
 p(id, path, depth, parent, ancestors) AS (
   SELECT CAST(1 AS BIGINT), '/', 0, CAST(NULL AS BIGINT), CAST([] AS BIGINT[])
@@ -24,19 +23,18 @@ p(id, path, depth, parent, ancestors) AS (
   WHERE e.src <> 1 AND NOT list_contains(list_append(p.ancestors, p.id), e.src) {depth_limit}),
 nm(id, ord, name) AS (
   SELECT CAST(1 AS BIGINT), 0, 'all' UNION ALL SELECT CAST(1 AS BIGINT), 1, 'root'
-  UNION ALL SELECT CAST(10 + r_regionkey AS BIGINT), 0, r_name FROM region
-  UNION ALL SELECT CAST(100 + n_nationkey AS BIGINT), 0, n_name FROM nation
-  UNION ALL SELECT CAST(1000000 + c_custkey AS BIGINT), 0, c_name FROM customer
-  UNION ALL SELECT CAST(1000000 + c_custkey AS BIGINT), 1, c_mktsegment FROM customer
-  UNION ALL SELECT CAST(2000000 + s_suppkey AS BIGINT), 0, s_name FROM supplier),
+  UNION ALL SELECT CAST(r_regionkey AS BIGINT) * 8 + 2, 0, r_name FROM region
+  UNION ALL SELECT CAST(n_nationkey AS BIGINT) * 8 + 3, 0, n_name FROM nation
+  UNION ALL SELECT CAST(c_custkey AS BIGINT) * 8 + 4, 0, c_name FROM customer
+  UNION ALL SELECT CAST(c_custkey AS BIGINT) * 8 + 4, 1, c_mktsegment FROM customer
+  UNION ALL SELECT CAST(s_suppkey AS BIGINT) * 8 + 5, 0, s_name FROM supplier),
 v AS (SELECT id, ',' || string_agg(name, ',' ORDER BY ord) || ',' AS name, list(name ORDER BY ord) AS names
       FROM nm GROUP BY id),
 nodes AS (SELECT src AS vid FROM e UNION ALL SELECT CAST(1 AS BIGINT)),
 me AS (SELECT e.* FROM e WHERE src IN (SELECT id FROM v) AND dst IN (SELECT id FROM v)),
-upper_ids AS (SELECT CAST(1 AS BIGINT) AS vid
-  UNION ALL SELECT CAST(10 + r_regionkey AS BIGINT) FROM region
-  UNION ALL SELECT CAST(100 + n_nationkey AS BIGINT) FROM nation),
-pairs AS (SELECT DISTINCT CAST(1000000 + o.o_custkey AS BIGINT) AS target, CAST(100 + s.s_nationkey AS BIGINT) AS source
+first_child AS (SELECT min(src) AS vid FROM e GROUP BY dst),
+order_ids AS (SELECT CAST(o_orderkey AS BIGINT) * 8 + 6 AS vid FROM orders),
+pairs AS (SELECT DISTINCT CAST(o.o_custkey AS BIGINT) * 8 + 4 AS target, CAST(s.s_nationkey AS BIGINT) * 8 + 3 AS source
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN supplier s ON l.l_suppkey = s.s_suppkey)
 """
 
@@ -55,19 +53,20 @@ nodes AS (SELECT src AS vid FROM e UNION ALL SELECT CAST(1 AS BIGINT))
 
 NODE = "{{'ID': {i}, 'Name': replace(coalesce({n}, ''), ',', ' ')}}"
 EMPTY_NODES = "CAST([] AS STRUCT(\"ID\" BIGINT, \"Name\" VARCHAR)[])"
+# the dag tree's further edges: order below its line items' suppliers, line item below its order
+DAG_EDGES = """UNION SELECT CAST(l_orderkey AS BIGINT) * 8 + 6, CAST(l_suppkey AS BIGINT) * 8 + 5 FROM lineitem
+  UNION SELECT (CAST(l_orderkey AS BIGINT) * 64 + l_linenumber) * 8 + 7, CAST(l_orderkey AS BIGINT) * 8 + 6 FROM lineitem"""
 
 
-def _pages(n: str) -> str:
-    # pages of a document list with n entries (see arbor.plans.pages)
-    return f"(({n}) + {DEFAULT_PAGE_SIZE} - 1) // {DEFAULT_PAGE_SIZE}"
-
-
-def _page(x: str, n: str) -> str:
-    return f"((({x}) % ({n})) + ({n})) % ({n})"
+def _geo(body: str, depth_limit: str = "", more_edges: str = "") -> str:
+    return GEO.format(depth_limit=depth_limit, more_edges=more_edges) + body
 
 
-def _geo(body: str, depth_limit: str = "") -> str:
-    return GEO.format(depth_limit=depth_limit) + body
+def _doc_rows(rows: str) -> str:
+    # ``rows``: SELECTs of (vid, level, parent, id); the node's JSON comes from one join with the vertices
+    return (f"SELECT d.vid, CAST(d.level AS INTEGER) AS level, d.parent, d.id, "
+            f"CAST(to_json({NODE.format(i='d.id', n='v.name')}) AS VARCHAR) AS json "
+            f"FROM ({rows}) d LEFT JOIN v ON v.id = d.id")
 
 
 def _path_expr() -> str:
@@ -85,18 +84,24 @@ ORACLE = {
     "children_direct": _geo("SELECT v.id AS vid, e.src AS child FROM v JOIN e ON e.dst = v.id"),
     "children_index": _geo("SELECT v.id AS vid, c.id AS child FROM v JOIN p pv ON pv.id = v.id "
                            "JOIN p c ON c.parent = v.id AND c.path = pv.path || v.id || '/'"),
+    "children_salted": _geo("SELECT v.id AS vid, e.src AS child FROM v JOIN e ON e.dst = v.id"),
+    "children_index_salted": _geo("SELECT v.id AS vid, e.src AS child FROM v JOIN e ON e.dst = v.id"),
+    "children_dag": _geo("SELECT q.vid, e.src AS child FROM order_ids q JOIN e ON e.dst = q.vid", "", DAG_EDGES),
+    "children_dag_direct": _geo("SELECT q.vid, e.src AS child FROM order_ids q JOIN e ON e.dst = q.vid", "", DAG_EDGES),
     "children_motif": _geo("SELECT v.id AS vid, me.src AS child FROM v JOIN me ON me.dst = v.id"),
-    "siblings_direct": _geo("SELECT DISTINCT q.vid, b.src AS sibling FROM (SELECT DISTINCT vid FROM upper_ids) q "
+    "siblings_direct": _geo("SELECT DISTINCT q.vid, b.src AS sibling FROM first_child q "
                             "JOIN (SELECT src, min(dst) AS dst FROM e WHERE src <> 1 GROUP BY src) a ON a.src = q.vid "
                             "JOIN e b ON b.dst = a.dst AND b.src <> q.vid"),
-    "siblings_index": _geo("SELECT q.vid, s.id AS sibling FROM (SELECT DISTINCT vid FROM upper_ids) q "
+    "siblings_index": _geo("SELECT DISTINCT q.vid, s.id AS sibling FROM first_child q "
                            "JOIN p m ON m.id = q.vid JOIN p s ON s.parent = m.parent AND s.path = m.path "
-                           "AND s.id <> q.vid", "AND p.depth < 3"),
-    "siblings_motif": _geo("SELECT q.vid, b.src AS sibling FROM (SELECT DISTINCT vid FROM upper_ids) q "
+                           "AND s.id <> q.vid"),
+    "siblings_motif": _geo("SELECT q.vid, b.src AS sibling FROM first_child q "
                            "JOIN me a ON a.src = q.vid JOIN me b ON b.dst = a.dst AND b.src <> q.vid"),
-    "subtree_members": _geo("SELECT DISTINCT q.vid, p.id AS member FROM "
-                            "(SELECT CAST(10 + r_regionkey AS BIGINT) AS vid FROM region) q "
-                            "JOIN p ON list_contains(p.ancestors, q.vid) OR p.id = q.vid"),
+    "subtree_members": _geo("SELECT DISTINCT v.id AS vid, x.member FROM v JOIN "
+                            "(SELECT p.id AS member, unnest(list_append(p.ancestors, p.id)) AS above FROM p) x ON x.above = v.id"),
+    "subtree_members_few": _geo("SELECT DISTINCT q.vid, p.id AS member FROM "
+                                "(SELECT CAST(r_regionkey AS BIGINT) * 8 + 2 AS vid FROM region) q "
+                                "JOIN p ON list_contains(p.ancestors, q.vid) OR p.id = q.vid"),
     "find_id": _geo("SELECT q.name, CASE WHEN q.name = '' THEN CAST(-1 AS BIGINT) "
                     "ELSE coalesce(min(vn.id), CAST(-1 AS BIGINT)) END AS vid FROM "
                     "(SELECT c_mktsegment AS name FROM customer UNION SELECT n_name FROM nation "
@@ -113,6 +118,8 @@ ORACLE = {
                                 "LEFT JOIN p ON p.id = q.vid"),
     "path_to_root_index": _geo(f"SELECT q.vid, {_path_expr()} AS path FROM (SELECT DISTINCT vid FROM nodes) q "
                                "LEFT JOIN p ON p.id = q.vid"),
+    "path_to_root_hot": _geo(f"SELECT q.vid, {_path_expr()} AS path FROM (SELECT DISTINCT vid FROM nodes) q "
+                             "LEFT JOIN p ON p.id = q.vid"),
     # orders are not vertices, so a motif walk from an order finds no first hop
     "path_to_root_motif": _geo(f"SELECT q.vid, CASE WHEN q.vid NOT IN (SELECT id FROM v) THEN CAST([] AS BIGINT[]) "
                                f"ELSE {_path_expr()} END AS path FROM (SELECT DISTINCT vid FROM nodes) q "
@@ -130,15 +137,9 @@ ORACLE = {
                              "FROM pairs q LEFT JOIN p ON p.id = q.target"),
     "names_of": _geo("SELECT q.vid, CASE WHEN q.vid < 1 THEN '' ELSE coalesce(v.name, '') END AS name "
                      "FROM (SELECT DISTINCT vid FROM nodes) q LEFT JOIN v ON v.id = q.vid"),
-    "children_doc": _geo(
-        ", kc AS (SELECT c.parent AS id, c.id AS child FROM p c WHERE c.parent IS NOT NULL), "
-        f"kn AS (SELECT id, {_pages('count(*)')} AS np FROM kc GROUP BY id), "
-        f"kp AS (SELECT kc.id, {_page('kc.child', 'kn.np')} AS page, "
-        f"list({NODE.format(i='kc.child', n='cv.name')} ORDER BY kc.child) AS children "
-        f"FROM kc JOIN kn ON kn.id = kc.id LEFT JOIN v cv ON cv.id = kc.child GROUP BY kc.id, {_page('kc.child', 'kn.np')}) "
-        "SELECT r.id AS vid, CAST(coalesce(kp.page, 0) AS BIGINT) AS page, "
-        "CAST(to_json({'ID': r.id, 'Name': replace(coalesce(r.name, ''), ',', ' '), "
-        f"'children': coalesce(kp.children, {EMPTY_NODES})}}) AS VARCHAR) AS json FROM v r LEFT JOIN kp ON kp.id = r.id"),
+    "children_doc": _geo(_doc_rows(
+        "SELECT vid, 0 AS level, CAST(NULL AS BIGINT) AS parent, vid AS id FROM (SELECT DISTINCT vid FROM nodes) "
+        "UNION ALL SELECT c.parent, 1, c.parent, c.id FROM p c WHERE c.parent IS NOT NULL")),
     "path_doc": _geo(
         f"SELECT q.vid, CAST(to_json(coalesce(d.nodes, {EMPTY_NODES})) AS VARCHAR) AS json "
         "FROM (SELECT DISTINCT vid FROM nodes) q LEFT JOIN "
@@ -146,34 +147,16 @@ ORACLE = {
         "(SELECT p.id AS vid, unnest(list_append(p.ancestors, p.id)) AS step, "
         "generate_subscripts(list_append(p.ancestors, p.id), 1) AS pos FROM p WHERE len(p.ancestors) > 0) h "
         "LEFT JOIN v ON v.id = h.step GROUP BY h.vid) d ON d.vid = q.vid"),
-    "sibling_doc": _geo(
-        ", sb AS (SELECT m.id AS vid, s.id AS sib FROM p m JOIN p s ON s.parent = m.parent AND s.path = m.path "
-        "AND s.id <> m.id), "
-        f"sn AS (SELECT vid, {_pages('count(*)')} AS np FROM sb GROUP BY vid), "
-        f"sp AS (SELECT sb.vid, {_page('sb.sib', 'sn.np')} AS page, "
-        f"list({NODE.format(i='sb.sib', n='v.name')} ORDER BY sb.sib) AS nodes "
-        f"FROM sb JOIN sn ON sn.vid = sb.vid LEFT JOIN v ON v.id = sb.sib GROUP BY sb.vid, {_page('sb.sib', 'sn.np')}) "
-        "SELECT q.vid, CAST(coalesce(sp.page, 0) AS BIGINT) AS page, "
-        f"CAST(to_json(coalesce(sp.nodes, {EMPTY_NODES})) AS VARCHAR) AS json "
-        "FROM (SELECT DISTINCT vid FROM upper_ids) q LEFT JOIN sp ON sp.vid = q.vid", "AND p.depth < 3"),
-    "nested_doc": _geo(
-        ", uq AS (SELECT DISTINCT vid FROM upper_ids), "
-        "l1 AS (SELECT uq.vid AS top, c.id AS c1 FROM uq JOIN p c ON c.parent = uq.vid), "
-        "l2 AS (SELECT l1.top, l1.c1, g.id AS c2 FROM l1 JOIN p g ON g.parent = l1.c1), "
-        f"tn AS (SELECT top, {_pages('count(*)')} AS np FROM "
-        "(SELECT top FROM l1 UNION ALL SELECT top FROM l2) GROUP BY top), "
-        f"k2 AS (SELECT l2.top, l2.c1, {_page('l2.c2', 'tn.np')} AS page, "
-        f"list({NODE.format(i='l2.c2', n='gv.name')} ORDER BY l2.c2) AS children "
-        "FROM l2 JOIN tn ON tn.top = l2.top LEFT JOIN v gv ON gv.id = l2.c2 "
-        f"GROUP BY l2.top, l2.c1, {_page('l2.c2', 'tn.np')}), "
-        f"e1 AS (SELECT l1.top, l1.c1, coalesce(k2.page, {_page('l1.c1', 'tn.np')}) AS page, k2.children "
-        "FROM l1 JOIN tn ON tn.top = l1.top LEFT JOIN k2 ON k2.top = l1.top AND k2.c1 = l1.c1), "
-        "k1 AS (SELECT e1.top, e1.page, list({'ID': e1.c1, 'Name': replace(coalesce(cv.name, ''), ',', ' '), "
-        f"'children': coalesce(e1.children, {EMPTY_NODES})}} ORDER BY e1.c1) AS children "
-        "FROM e1 LEFT JOIN v cv ON cv.id = e1.c1 GROUP BY e1.top, e1.page) "
-        "SELECT uq.vid, CAST(coalesce(k1.page, 0) AS BIGINT) AS page, "
-        "CAST(to_json({'ID': uq.vid, 'Name': replace(coalesce(r.name, ''), ',', ' '), "
-        "'children': coalesce(k1.children, CAST([] AS STRUCT(\"ID\" BIGINT, \"Name\" VARCHAR, "
-        "\"children\" STRUCT(\"ID\" BIGINT, \"Name\" VARCHAR)[])[]))}) AS VARCHAR) AS json "
-        "FROM uq LEFT JOIN v r ON r.id = uq.vid LEFT JOIN k1 ON k1.top = uq.vid"),
+    "sibling_doc": _geo(_doc_rows(
+        "SELECT vid, 0 AS level, CAST(NULL AS BIGINT) AS parent, vid AS id FROM first_child "
+        "UNION ALL SELECT q.vid, 1, m.parent, s.id FROM first_child q JOIN p m ON m.id = q.vid "
+        "JOIN p s ON s.parent = m.parent AND s.path = m.path AND s.id <> q.vid")),
+    "nested_doc": _geo(_doc_rows(
+        "SELECT id AS vid, 0 AS level, CAST(NULL AS BIGINT) AS parent, id FROM v "
+        "UNION ALL SELECT v.id, 1, v.id, c.id FROM v JOIN p c ON c.parent = v.id "
+        "UNION ALL SELECT v.id, 2, c.id, g.id FROM v JOIN p c ON c.parent = v.id JOIN p g ON g.parent = c.id")),
+    "edges_text": _geo("SELECT src, dst, relationship FROM e"),
+    "vertices_text": _geo("SELECT id, name, names FROM v"),
+    "edges_snapshot": _geo("SELECT src, dst, relationship FROM e"),
+    "index_minimal": _geo("SELECT id, path, depth, parent, ancestors FROM p"),
 }

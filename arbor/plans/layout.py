@@ -18,7 +18,19 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def partitions_for(df: DataFrame, target_bytes: int = 256 << 20) -> int:
+    """Partitions of about ``target_bytes`` by the plan's size estimate, at least the session's shuffle partitions.
+
+    The count of a laid-out table is fixed (AQE cannot change it later), so it is
+    taken from the data and not from the setting alone: 100 TB at 200 partitions
+    would be 500 GB each. A plan without an estimate keeps the setting.
+    """
+    least = shuffle_partitions(df)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return least if size >= 1 << 60 else max(least, min(-(-size // target_bytes), 200_000))
+
+
 def keyed(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
     """``df`` hash-partitioned and sorted on ``keys``, persisted (memory, spilling to disk)."""
-    n = partitions or shuffle_partitions(df)
+    n = partitions or partitions_for(df)
     return df.repartition(n, *keys).sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)

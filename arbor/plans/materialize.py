@@ -18,7 +18,13 @@ from .session import checkpoint_root
 
 
 class RoundWriter:
-    """Names the Parquet folders of one iterative run: ``<ckpt>/arbor/<run>/<tag>``."""
+    """Names the Parquet folders of one iterative run: ``<ckpt>/arbor/<run>/round=<tag>``.
+
+    A round may be split by a column of finished and open rows (``split``), which
+    becomes a partition column: reading only finished rows then lists and scans
+    only their files, and :meth:`release` drops the open rows' folders, which
+    later rounds no longer need.
+    """
 
     def __init__(self, df_or_spark, name: str):
         spark = getattr(df_or_spark, "sparkSession", df_or_spark)
@@ -26,18 +32,32 @@ class RoundWriter:
         self.base = f"{checkpoint_root(spark)}/arbor/{name}-{uuid.uuid4().hex[:12]}"
         self.paths: dict[str, str] = {}
 
-    def write(self, df: DataFrame, tag: str) -> DataFrame:
-        path = f"{self.base}/{tag}"
-        df.write.mode("overwrite").parquet(path)
+    def write(self, df: DataFrame, tag: str, split: str | None = None) -> DataFrame:
+        path = f"{self.base}/round={tag}"
+        out = df.write.mode("overwrite")
+        (out.partitionBy(split) if split else out).parquet(path)
         self.paths[tag] = path
         # An empty round may leave no data file to infer from: pass the schema.
         return self.spark.read.schema(df.schema).parquet(path)
 
     def read(self, tags: list[str], schema) -> DataFrame:
         """Several written rounds as one Parquet scan (one file listing, filters pushed to every file)."""
-        return self.spark.read.schema(schema).parquet(*[self.paths[t] for t in tags])
-
-
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
-    """One-off form of :class:`RoundWriter`."""
-    return RoundWriter(df, name).write(df, "data")
+        rows = self.spark.read.schema(schema).option("basePath", self.base).parquet(*[self.paths[t] for t in tags])
+        return rows.select(*schema.names)  # without the round's name
+
+    def release(self, split: str | None = None, *, keep: tuple[str, ...] = ()) -> None:
+        """Delete this run's folders, or only the partitions of ``split`` whose value is not in ``keep``."""
+        jvm = self.spark._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in self.paths.values():
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            fs = folder.getFileSystem(conf)
+            if not fs.exists(folder):
+                continue
+            if split is None:
+                fs.delete(folder, True)
+                continue
+            for status in fs.listStatus(folder):
+                name = status.getPath().getName()
+                if name.startswith(f"{split}=") and name.split("=", 1)[1] not in keep:
+                    fs.delete(status.getPath(), True)

@@ -2,9 +2,8 @@
 
 The library never picks a machine-local folder on a cluster: the folder for
 materialised iteration rounds comes from the session's ``spark.checkpoint.dir``
-(or ``SparkContext.getCheckpointDir()``). Only a ``local[...]`` session with no
-such setting gets a private temporary folder, which is what tests and the bench
-do.
+as it is given there. Only a ``local[...]`` session with no such setting gets a
+private temporary folder, which is what tests and the bench do.
 """
 
 from __future__ import annotations
@@ -50,19 +49,27 @@ def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+_PRIVATE: dict[str, str] = {}
+
+
+def configured_checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared folder exactly as ``spark.checkpoint.dir`` names it, the same after a restart; None if unset.
+
+    ``SparkContext.getCheckpointDir()`` ends in a fresh id per application, so it is
+    only used where a program set it itself and left the setting empty.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    return found.rstrip("/") if found else None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for materialised rounds, read from the session."""
-    found = spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
     return ensure_checkpoint_dir(spark)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; set a private one only on an unset local session."""
-    found = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    """Return the session's checkpoint folder; make a private one only for an unset local session."""
+    found = configured_checkpoint_dir(spark) or spark.sparkContext.getCheckpointDir()
     if found:
         return found.rstrip("/")
     if not _is_local(spark):
@@ -70,6 +77,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             "spark.checkpoint.dir is not set: iterative hierarchy operators write each round to a "
             "shared folder; set spark.checkpoint.dir to a location every executor can read"
         )
-    folder = tempfile.mkdtemp(prefix="arbor-ckpt-")
-    spark.sparkContext.setCheckpointDir(folder)
+    app = spark.sparkContext.applicationId
+    if app not in _PRIVATE:
+        _PRIVATE[app] = tempfile.mkdtemp(prefix="arbor-ckpt-")
+        spark.sparkContext.setCheckpointDir(_PRIVATE[app])
     return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def prepare_session(spark: SparkSession) -> SparkSession:
+    """Check what the operators rely on, for a session that the caller made.
+
+    Hot keys are split by adaptive execution, so it must be on: a session that
+    turned it off is refused. The skew-join settings are switched on where they
+    are not, and the checkpoint folder must be set on a cluster.
+    """
+    if spark.conf.get("spark.sql.adaptive.enabled", "true") != "true":
+        raise RuntimeError("spark.sql.adaptive.enabled is off; the joins on hot keys need it")
+    for key in ("spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.forceOptimizeSkewedJoin"):
+        if spark.conf.get(key, "false") != "true":
+            spark.conf.set(key, "true")
+    ensure_checkpoint_dir(spark)
+    return spark

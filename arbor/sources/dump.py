@@ -38,9 +38,7 @@ def read_edges(spark: SparkSession, path: str | list[str], mode: str = "strict")
         to_id(strip_pad(F.get(F.col("f"), 0)), strict).alias("src"),
         to_id(strip_pad(F.col("f")[1] if strict else F.get(F.col("f"), 1)), strict).alias("dst"),
     )
-    if not strict:
-        raw = raw.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
-    return edges_from(raw, "src", "dst")
+    return edges_from(raw, "src", "dst", mode)
 
 
 def read_names(spark: SparkSession, path: str | list[str], mode: str = "strict") -> DataFrame:

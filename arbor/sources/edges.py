@@ -16,11 +16,22 @@ EDGE_SCHEMA = StructType([
 ])
 
 
-def edges_from(df: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """``(src, dst, relationship)`` child-to-parent edges from two id columns; self-loops removed."""
-    out = df.select(F.col(src).cast("bigint").alias("src"), F.col(dst).cast("bigint").alias("dst"))
-    out = out.where(F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
-    return out.select("src", "dst", F.lit(EDGE_RELATIONSHIP).alias("relationship"))
+def edges_from(df: DataFrame, src: str = "src", dst: str = "dst", mode: str = "strict") -> DataFrame:
+    """``(src, dst, relationship)`` child-to-parent edges from two id columns; self-loops removed.
+
+    A null id fails the job in ``strict`` mode and drops its row in ``permissive`` mode.
+    """
+    if mode not in ("strict", "permissive"):
+        raise ValueError(f"mode must be 'strict' or 'permissive', got {mode!r}")
+
+    def checked(name: str):
+        c = F.col(name).cast("bigint")
+        return c if mode == "permissive" else F.coalesce(c, F.raise_error(F.lit(f"edge without {name} id")).cast("bigint"))
+
+    out = df.select(checked(src).alias("src"), checked(dst).alias("dst"))
+    if mode == "permissive":
+        out = out.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    return out.where(F.col("src") != F.col("dst")).select("src", "dst", F.lit(EDGE_RELATIONSHIP).alias("relationship"))
 
 
 def empty_edges(spark: SparkSession) -> DataFrame:

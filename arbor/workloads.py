@@ -1,55 +1,89 @@
-"""Registered queries over the driver's tables (the geo and heap trees of
+"""Registered queries over the driver's tables (the geo, dag and heap trees of
 :mod:`arbor.sources.tables`). Each takes ``(spark, sf_dir)`` and returns a lazy
 DataFrame; iterative ones (index build, walks) run their rounds when called.
 
-Question sets are derived from the tables themselves, so the work grows with
-the data: every tree node, every vertex, every (customer, supplier nation)
-pair bought from, every region / nation. Sibling questions are asked for the
-region and nation levels only: asking every node for its siblings emits all
-pairs inside each parent group.
+Question sets come from the tables themselves, so the work grows with the data:
+every tree node, every vertex, every (customer, supplier nation) pair bought
+from. Siblings are asked for one child of every parent (the smallest), so that
+the answers are at most as many as the edges: asking every node for its siblings
+emits all pairs inside each parent's children.
 """
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .hierarchy import Hierarchy
 from .operators import direct, documents, indexed, motif
-from .operators.index import build_index, read_index, write_index
-from .plans.session import checkpoint_root
+from .operators.index import StoredIndex, build_index, read_index, store_index
 from .operators.vertices import build_vertices, find_id_like, find_ids, names_of
+from .plans.materialize import RoundWriter
+from .plans.skew import SkewConf
+from .sources.dump import read_edges, read_names
+from .sources.edges import read_snapshot, write_snapshot
 from .sources.tables import (
-    CUSTOMER_OFFSET, NATION_OFFSET, REGION_OFFSET, ROOT, geo_edges, geo_names, heap_edges, read_table,
+    CUSTOMER, NATION, ORDER, REGION, ROOT, dag_edges, geo_edges, geo_names, geo_raw_edges, heap_edges, node_id, read_table,
 )
 
+# Thresholds low enough that the driver's small tables run the salted and the hot-node plans.
+FORCED_SKEW = SkewConf(min_rows=200, max_keys=8, max_buckets=64)
 
-_GEO: dict[tuple, Hierarchy] = {}
+_PREPARED: dict[tuple, object] = {}
+
+
+def _prepared(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object]):
+    """What several queries of a table folder share, made once per session; another folder's is released first."""
+    app = spark.sparkContext.applicationId
+    for key in [k for k in _PREPARED if k[:2] != (app, sf_dir)]:
+        old = _PREPARED.pop(key)
+        if isinstance(old, Hierarchy) and key[0] == app:
+            old.release()
+    key = (app, sf_dir, name)
+    if key not in _PREPARED:
+        _PREPARED[key] = make()
+    return _PREPARED[key]
+
+
+def release_all() -> None:
+    """Unpersist everything the queries of this module prepared."""
+    for key in list(_PREPARED):
+        old = _PREPARED.pop(key)
+        if isinstance(old, Hierarchy):
+            old.release()
+
+
+def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The geo vertex table, written once as a snapshot: searches read it and never group names again."""
+    def make() -> DataFrame:
+        path = f"{RoundWriter(spark, 'vertices').base}/vertices"
+        write_snapshot(build_vertices(geo_names(spark, sf_dir)), path, sort_by="id")
+        return read_snapshot(spark, path)
+
+    return _prepared(spark, sf_dir, "vertices", make)
 
 
 def geo(spark: SparkSession, sf_dir: str) -> Hierarchy:
-    """The geo hierarchy of a table folder; one per session, so its hot-parent table is computed once."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _GEO:
-        _GEO[key] = Hierarchy(geo_edges(spark, sf_dir), build_vertices(geo_names(spark, sf_dir)), root=ROOT)
-    return _GEO[key]
+    """The geo hierarchy of a table folder, with its stored vertex table."""
+    return _prepared(spark, sf_dir, "geo", lambda: Hierarchy(geo_edges(spark, sf_dir), vertices(spark, sf_dir), root=ROOT))
+
+
+def geo_skewed(spark: SparkSession, sf_dir: str) -> Hierarchy:
+    """The geo hierarchy under thresholds that make its larger parents hot."""
+    return _prepared(spark, sf_dir, "geo-skewed", lambda: Hierarchy(
+        geo_edges(spark, sf_dir), vertices(spark, sf_dir), root=ROOT, skew=FORCED_SKEW))
 
 
-_STORED: dict[tuple, str] = {}
+def dag(spark: SparkSession, sf_dir: str) -> Hierarchy:
+    return _prepared(spark, sf_dir, "dag", lambda: Hierarchy(dag_edges(spark, sf_dir), vertices(spark, sf_dir), root=ROOT))
 
 
-def stored_index(h: Hierarchy, sf_dir: str, max_level: int) -> DataFrame:
-    """The geo index as searches use it: built once per session and table folder, written to the
-    shared checkpoint folder (clustered by path), then read back by every search."""
-    spark = h.spark
-    key = (spark.sparkContext.applicationId, sf_dir, max_level)
-    if key not in _STORED:
-        path = f"{checkpoint_root(spark)}/arbor/stored-index/{uuid.uuid4().hex}"
-        write_index(build_index(h, max_level), path)
-        _STORED[key] = path
-    return read_index(spark, _STORED[key])
+def stored_index(h: Hierarchy, sf_dir: str, max_level: int, name: str = "geo") -> StoredIndex:
+    """An index as searches use it: built once per session and table folder, stored with its lookup copies."""
+    return _prepared(h.spark, sf_dir, f"index-{name}-{max_level}", lambda: store_index(
+        build_index(h, max_level), f"{RoundWriter(h.spark, 'stored-index').base}"))
 
 
 def tree_nodes(h: Hierarchy) -> DataFrame:
@@ -62,12 +96,9 @@ def vertex_ids(h: Hierarchy) -> DataFrame:
     return h.require_vertices().select(F.col("id").alias("vid"))
 
 
-def upper_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Root, every region and every nation node."""
-    r = read_table(spark, sf_dir, "region").select((F.col("r_regionkey").cast("bigint") + REGION_OFFSET).alias("vid"))
-    n = read_table(spark, sf_dir, "nation").select((F.col("n_nationkey").cast("bigint") + NATION_OFFSET).alias("vid"))
-    root = spark.range(1).select(F.lit(ROOT).cast("bigint").alias("vid"))
-    return root.unionByName(r).unionByName(n)
+def first_children(h: Hierarchy) -> DataFrame:
+    """The smallest child of every parent."""
+    return h.edges.groupBy("dst").agg(F.min("src").alias("vid")).select("vid")
 
 
 def purchase_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,8 +107,7 @@ def purchase_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(s, li.l_suppkey == s.s_suppkey)
-    return j.select((F.col("o_custkey").cast("bigint") + CUSTOMER_OFFSET).alias("target"),
-                    (F.col("s_nationkey").cast("bigint") + NATION_OFFSET).alias("source"))
+    return j.select(node_id("o_custkey", CUSTOMER).alias("target"), node_id("s_nationkey", NATION).alias("source"))
 
 
 def asked_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,32 +150,63 @@ def q_children_index(spark, sf):
     return indexed.children(stored_index(h, sf, -1), vertex_ids(h), hot=h.hot_parents())
 
 
+def q_children_salted(spark, sf):
+    """Direct children with every larger parent spread over buckets."""
+    h = geo_skewed(spark, sf)
+    return direct.children(h, vertex_ids(h))
+
+
+def q_children_index_salted(spark, sf):
+    h = geo_skewed(spark, sf)
+    return indexed.children(stored_index(geo(spark, sf), sf, -1), vertex_ids(h), hot=h.hot_parents())
+
+
+def q_children_dag(spark, sf):
+    """Children of every order in a tree with several parents, over the index."""
+    h = dag(spark, sf)
+    orders = read_table(spark, sf, "orders").select(node_id("o_orderkey", ORDER).alias("vid"))
+    return indexed.children(stored_index(h, sf, -1, "dag"), orders)
+
+
+def q_children_dag_direct(spark, sf):
+    h = dag(spark, sf)
+    return direct.children(h, read_table(spark, sf, "orders").select(node_id("o_orderkey", ORDER).alias("vid")))
+
+
 def q_children_motif(spark, sf):
     h = geo(spark, sf)
     return motif.children(h, vertex_ids(h))
 
 
 def q_siblings_direct(spark, sf):
-    return direct.siblings(geo(spark, sf), upper_levels(spark, sf))
+    h = geo(spark, sf)
+    return direct.siblings(h, first_children(h))
 
 
 def q_siblings_index(spark, sf):
     h = geo(spark, sf)
-    return indexed.siblings(stored_index(h, sf, 3), upper_levels(spark, sf), hot=h.hot_parents())
+    return indexed.siblings(stored_index(h, sf, -1), first_children(h), hot=h.hot_parents())
 
 
 def q_siblings_motif(spark, sf):
-    return motif.siblings(geo(spark, sf), upper_levels(spark, sf))
+    h = geo(spark, sf)
+    return motif.siblings(h, first_children(h))
 
 
 def q_subtree_members(spark, sf):
     h = geo(spark, sf)
-    regions = upper_levels(spark, sf).where(F.col("vid").between(REGION_OFFSET, NATION_OFFSET - 1))
+    return indexed.subtree_members(stored_index(h, sf, -1), vertex_ids(h))
+
+
+def q_subtree_members_few(spark, sf):
+    """The five regions' subtrees: few enough that the scan reads their path ranges only."""
+    h = geo(spark, sf)
+    regions = read_table(spark, sf, "region").select(node_id("r_regionkey", REGION).alias("vid"))
     return indexed.subtree_members(stored_index(h, sf, -1), regions)
 
 
 def q_find_id(spark, sf):
-    return find_ids(geo(spark, sf).vertices, asked_names(spark, sf))
+    return find_ids(geo_names(spark, sf), asked_names(spark, sf))
 
 
 def q_find_id_like(spark, sf):
@@ -168,6 +229,12 @@ def q_path_to_root_direct(spark, sf):
     return direct.path_to_root(h, tree_nodes(h))
 
 
+def q_path_to_root_hot(spark, sf):
+    """The walk with its larger nodes routed through a broadcast."""
+    h = geo_skewed(spark, sf)
+    return direct.path_to_root(h, tree_nodes(h))
+
+
 def q_path_to_root_index(spark, sf):
     h = geo(spark, sf)
     return indexed.path_to_root(stored_index(h, sf, -1), tree_nodes(h))
@@ -203,7 +270,7 @@ def q_names_of(spark, sf):
 
 def q_children_doc(spark, sf):
     h = geo(spark, sf)
-    return documents.children_doc(stored_index(h, sf, -1), h.vertices, vertex_ids(h), hot=h.hot_parents())
+    return documents.children_doc(stored_index(h, sf, -1), h.vertices, tree_nodes(h), hot=h.hot_parents())
 
 
 def q_path_doc(spark, sf):
@@ -213,13 +280,47 @@ def q_path_doc(spark, sf):
 
 def q_sibling_doc(spark, sf):
     h = geo(spark, sf)
-    return documents.sibling_doc(stored_index(h, sf, 3), h.vertices, upper_levels(spark, sf), hot=h.hot_parents())
+    return documents.sibling_doc(stored_index(h, sf, -1), h.vertices, first_children(h), hot=h.hot_parents())
 
 
 def q_nested_doc(spark, sf):
     h = geo(spark, sf)
-    return documents.nested_doc(stored_index(h, sf, -1), h.vertices, upper_levels(spark, sf), depth=2,
-                                hot=h.hot_parents())
+    return documents.nested_doc(stored_index(h, sf, -1), h.vertices, vertex_ids(h), depth=2, hot=h.hot_parents())
+
+
+def _dump_lines(spark, name: str, fields: list, rows: DataFrame) -> str:
+    """``rows`` as lines of a dump file (padded fields between bars) in the shared folder."""
+    path = f"{RoundWriter(spark, name).base}/dump"
+    parts = [p for f in fields for p in (f, F.lit("\t|\t"))]
+    rows.select(F.concat(*parts).alias("value")).write.text(path)
+    return path
+
+
+def q_edges_text(spark, sf):
+    """The tables as a nodes dump, read back by the text reader."""
+    raw = geo_raw_edges(spark, sf)
+    return read_edges(spark, _dump_lines(
+        spark, "nodes-dump", [F.col("src").cast("string"), F.col("dst").cast("string"), F.lit("no rank")], raw))
+
+
+def q_vertices_text(spark, sf):
+    """The name records as a names dump, read back and grouped; one line per name, an id's names in their order."""
+    names = geo_names(spark, sf).repartitionByRange("id").sortWithinPartitions("id", "ord")
+    return build_vertices(read_names(spark, _dump_lines(
+        spark, "names-dump", [F.col("id").cast("string"), F.col("name"), F.lit(""), F.lit("scientific name")], names)))
+
+
+def q_edges_snapshot(spark, sf):
+    path = f"{RoundWriter(spark, 'edges-snapshot').base}/edges"
+    write_snapshot(geo(spark, sf).edges, path, sort_by=["dst", "src"])
+    return read_snapshot(spark, path)
+
+
+def q_index_minimal(spark, sf):
+    """An index stored as ``(id, path)`` alone: the reader derives the other columns from the path."""
+    path = f"{RoundWriter(spark, 'index-minimal').base}/index"
+    stored_index(geo(spark, sf), sf, -1).by_path.select("id", "path").write.parquet(path)
+    return read_index(spark, path).select("id", "path", "depth", "parent", "ancestors")
 
 
 QUERIES = {
@@ -231,16 +332,22 @@ QUERIES = {
     "children_direct": q_children_direct,
     "children_index": q_children_index,
     "children_motif": q_children_motif,
+    "children_salted": q_children_salted,
+    "children_index_salted": q_children_index_salted,
+    "children_dag": q_children_dag,
+    "children_dag_direct": q_children_dag_direct,
     "siblings_direct": q_siblings_direct,
     "siblings_index": q_siblings_index,
     "siblings_motif": q_siblings_motif,
     "subtree_members": q_subtree_members,
+    "subtree_members_few": q_subtree_members_few,
     "find_id": q_find_id,
     "find_id_like": q_find_id_like,
     "motif_edge": q_motif_edge,
     "path_names": q_path_names,
     "path_to_root_direct": q_path_to_root_direct,
     "path_to_root_index": q_path_to_root_index,
+    "path_to_root_hot": q_path_to_root_hot,
     "path_to_root_motif": q_path_to_root_motif,
     "path_to_root_heap": q_path_to_root_heap,
     "is_subtree_direct": q_is_subtree_direct,
@@ -251,4 +358,8 @@ QUERIES = {
     "path_doc": q_path_doc,
     "sibling_doc": q_sibling_doc,
     "nested_doc": q_nested_doc,
+    "edges_text": q_edges_text,
+    "vertices_text": q_vertices_text,
+    "edges_snapshot": q_edges_snapshot,
+    "index_minimal": q_index_minimal,
 }

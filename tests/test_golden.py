@@ -147,16 +147,29 @@ def test_names_keep_duplicates_and_file_order(mini):
     assert row.name == ",unclassified,unclassified,unclassified sequences,unclassified.,"
 
 
+def doc_rows(df):
+    """``{vid: (head node, [(level, parent, node), ...] by level and id)}``."""
+    out = {}
+    for r in sorted(df.collect(), key=lambda r: (r.vid, r.level, r.id)):
+        node = json.loads(r.json)
+        assert node["ID"] == r.id
+        if r.level == 0:
+            assert r.vid not in out and r.parent is None and r.id == r.vid
+            out[r.vid] = (node, [])
+        else:
+            out[r.vid][1].append((r.level, r.parent, node))
+    return out
+
+
 def test_children_document(spark, mini, index_l3):
-    out = documents.children_doc(index_l3, mini.vertices, ids_df(spark, [1, 12884, 424242]))
-    docs = {r.vid: json.loads(r.json) for r in out.collect()}
-    root = docs[1]
-    assert root["ID"] == 1 and root["Name"] == " all root "
-    assert [c["ID"] for c in root["children"]] == sorted(CHILDREN_OF_1)
-    viroid = [c for c in root["children"] if c["ID"] == 12884][0]
-    assert viroid["Name"] == " Viroid Viroids viroids "
-    assert [c["ID"] for c in docs[12884]["children"]] == [185751, 185752, 265963]
-    assert docs[424242] == {"ID": 424242, "Name": "", "children": []}
+    docs = doc_rows(documents.children_doc(index_l3, mini.vertices, ids_df(spark, [1, 12884, 424242])))
+    head, entries = docs[1]
+    assert head == {"ID": 1, "Name": " all root "}
+    assert [n["ID"] for _, _, n in entries] == sorted(CHILDREN_OF_1)
+    assert all(level == 1 and parent == 1 for level, parent, _ in entries)
+    assert [n["Name"] for _, _, n in entries if n["ID"] == 12884] == [" Viroid Viroids viroids "]
+    assert [n["ID"] for _, _, n in docs[12884][1]] == [185751, 185752, 265963]
+    assert docs[424242] == ({"ID": 424242, "Name": ""}, [])
 
 
 def test_path_and_sibling_documents(spark, mini, index_l3):
@@ -165,21 +178,17 @@ def test_path_and_sibling_documents(spark, mini, index_l3):
     assert [n["ID"] for n in p[63221]] == [1, 131567, 9606, 63221]
     assert p[63221][0]["Name"] == " all root " and p[63221][1]["Name"] == ""
     assert p[1] == [] and p[-1] == []
-    s = {r.vid: json.loads(r.json) for r in documents.sibling_doc(index_l3, mini.vertices,
-                                                                   ids_df(spark, [12884, 1])).collect()}
-    assert [n["ID"] for n in s[12884]] == [10239, 12908, 28384, 131567]
-    assert s[1] == []
+    s = doc_rows(documents.sibling_doc(index_l3, mini.vertices, ids_df(spark, [12884, 1])))
+    assert [(parent, n["ID"]) for _, parent, n in s[12884][1]] == [(1, 10239), (1, 12908), (1, 28384), (1, 131567)]
+    assert s[1][1] == []
 
 
 def test_nested_document(spark, mini, index_full):
-    out = documents.nested_doc(index_full, mini.vertices, ids_df(spark, [1]), depth=2)
-    doc = json.loads(out.collect()[0].json)
-    assert doc["Name"] == " all root "
-    viroid = [c for c in doc["children"] if c["ID"] == 12884][0]
-    assert [g["ID"] for g in viroid["children"]] == [185751, 185752, 265963]
-    assert all("children" not in g for g in viroid["children"])
-    leaf = [c for c in doc["children"] if c["ID"] == 28384][0]
-    assert leaf["children"] == []
+    head, entries = doc_rows(documents.nested_doc(index_full, mini.vertices, ids_df(spark, [1]), depth=2))[1]
+    assert head["Name"] == " all root "
+    assert [n["ID"] for level, _, n in entries if level == 1] == sorted(CHILDREN_OF_1)
+    assert [n["ID"] for level, parent, n in entries if parent == 12884] == [185751, 185752, 265963]
+    assert not [n for level, parent, n in entries if parent == 28384]
 
 
 def test_subtree_members(spark, index_full):

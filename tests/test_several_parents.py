@@ -1,0 +1,124 @@
+"""Trees whose nodes have several parents, ids that stay apart, null ids, and pruned scans of a stored index."""
+
+from __future__ import annotations
+
+import json
+import os
+import re
+import tempfile
+
+import pytest
+
+from arbor import Hierarchy, build_index, build_vertices, edges_from
+from arbor.operators import direct, documents, indexed
+from arbor.operators.index import ID_BUCKETS, store_index
+from arbor.plans.materialize import RoundWriter
+from arbor.sources.tables import CUSTOMER, LINE, ORDER, SUPPLIER, node_id
+
+from .conftest import ids_df
+
+# node 4 has two parents and so two paths; 5 is its one child, 6 has both 4 and 3 as parents
+EDGES = [(2, 1), (3, 1), (4, 2), (4, 3), (5, 4), (6, 4), (6, 3)]
+
+
+@pytest.fixture(scope="module")
+def dag(spark):
+    names = spark.createDataFrame([(i, 0, f"n{i}") for i in range(1, 7)], "id bigint, ord int, name string")
+    e = edges_from(spark.createDataFrame(EDGES, "src bigint, dst bigint"))
+    return Hierarchy(e, build_vertices(names).cache(), root=1)
+
+
+@pytest.fixture(scope="module", params=["table", "stored"])
+def index(request, dag):
+    idx = build_index(dag, -1)
+    return idx.cache() if request.param == "table" else store_index(idx, tempfile.mkdtemp(prefix="arbor-dag-") + "/index")
+
+
+def pairs(df, a, b):
+    return sorted((r[a], r[b]) for r in df.collect())
+
+
+def test_children_come_once_each(spark, dag, index):
+    asked = ids_df(spark, [1, 2, 3, 4, 5])
+    want = [(1, 2), (1, 3), (2, 4), (3, 4), (3, 6), (4, 5), (4, 6)]
+    assert pairs(indexed.children(index, asked), "vid", "child") == want
+    assert pairs(direct.children(dag, asked), "vid", "child") == want
+
+
+def test_siblings_come_once_each(spark, index):
+    assert pairs(indexed.siblings(index, ids_df(spark, [6])), "vid", "sibling") == [(6, 4), (6, 5)]
+    rows = indexed.siblings_with_parent(index, ids_df(spark, [6])).collect()
+    assert sorted((r.parent, r.sibling) for r in rows) == [(3, 4), (4, 5)]
+
+
+def test_documents_list_a_node_once(spark, dag, index):
+    rows = documents.children_doc(index, dag.vertices, ids_df(spark, [4])).collect()
+    assert sorted((r.level, r.parent, r.id) for r in rows if r.level) == [(1, 4, 5), (1, 4, 6)]
+    assert [json.loads(r.json) for r in rows if not r.level] == [{"ID": 4, "Name": " n4 "}]
+    rows = documents.nested_doc(index, dag.vertices, ids_df(spark, [1]), depth=3).collect()
+    assert sorted((r.level, r.parent, r.id) for r in rows if r.level) == [
+        (1, 1, 2), (1, 1, 3), (2, 2, 4), (2, 3, 4), (2, 3, 6), (3, 4, 5), (3, 4, 6)]
+
+
+def test_paths_members_and_is_subtree(spark, index):
+    got = {r.vid: r.path for r in indexed.path_to_root(index, ids_df(spark, [6, 5, 1, 99])).collect()}
+    assert got == {6: [1, 2, 4, 6], 5: [1, 2, 4, 5], 1: [], 99: []}
+    assert pairs(indexed.subtree_members(index, ids_df(spark, [3, 99])), "vid", "member") == [(3, 3), (3, 4), (3, 5), (3, 6)]
+    q = spark.createDataFrame([(6, 2), (6, 5), (5, 5)], "target bigint, source bigint")
+    assert {(r.target, r.source): r.is_subtree for r in indexed.is_subtree(index, q).collect()} == {
+        (6, 2): True, (6, 5): False, (5, 5): True}
+
+
+def test_documents_are_the_same_rows_for_ids_with_a_stride(spark):
+    # ids in steps of ten: no arithmetic on ids decides where an entry goes
+    e = edges_from(spark.createDataFrame([(10 * i, 1) for i in range(1, 101)], "src bigint, dst bigint"))
+    idx = build_index(Hierarchy(e, root=1), -1)
+    empty = spark.createDataFrame([], "id bigint, name string, names array<string>")
+    rows = documents.children_doc(idx, empty, ids_df(spark, [1])).collect()
+    assert sorted(r.id for r in rows if r.level == 1) == [10 * i for i in range(1, 101)]
+
+
+def scans(df) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
+
+
+def test_nested_plan_grows_by_no_index_scan_per_level(spark, dag):
+    idx = store_index(build_index(dag, -1), tempfile.mkdtemp(prefix="arbor-nested-") + "/index")
+    n = [scans(documents.nested_doc(idx, dag.vertices, ids_df(spark, [1]), depth=d)) for d in (1, 2, 3)]
+    assert n[1] - n[0] == n[2] - n[1] <= 1
+
+
+def test_few_questions_read_few_buckets(spark, dag):
+    idx = store_index(build_index(dag, -1), tempfile.mkdtemp(prefix="arbor-pruned-") + "/index")
+    asked = os.path.join(tempfile.mkdtemp(prefix="arbor-asked-"), "ids")
+    ids_df(spark, [5]).write.parquet(asked)
+    q = spark.read.parquet(asked)
+    for df in (indexed.path_to_root(idx, q), indexed.children(idx, q), indexed.siblings(idx, q)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[[^\]]*_bucket#\d+ = \d+", plan), plan
+    plan = indexed.subtree_members(idx, q)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(path,/1/2/4/5/)" in plan, plan
+    assert len(idx.rows_of(q, "vid", "id").inputFiles()) >= 1 and ID_BUCKETS == 256
+
+
+def test_levels_never_share_an_id(spark):
+    keys = spark.createDataFrame([(1_000_000,), (1_500_000,), (10**12,), (0,)], "k bigint")
+    ids = [r[0] for level in (CUSTOMER, SUPPLIER, ORDER, LINE) for r in keys.select(node_id("k", level)).collect()]
+    assert len(set(ids)) == len(ids)
+
+
+def test_null_ids_fail_in_strict_mode_and_are_dropped_in_permissive(spark):
+    df = spark.createDataFrame([(2, 1), (None, 1), (3, None)], "src bigint, dst bigint")
+    with pytest.raises(Exception, match="edge without"):
+        edges_from(df).collect()
+    assert pairs(edges_from(df, mode="permissive"), "src", "dst") == [(2, 1)]
+
+
+def test_release_drops_open_rows_only(spark):
+    writer = RoundWriter(spark, "release-test")
+    df = spark.createDataFrame([(1, True), (2, False)], "id bigint, done boolean")
+    writer.write(df, "a", split="done")
+    writer.release("done", keep=("true",))
+    assert [r.id for r in writer.read(["a"], df.schema).collect()] == [1]
+    writer.release()
+    writer.release()

@@ -38,7 +38,9 @@ from .common import id_text, map_text, ship, texts_of
 WIDTHS = (4, 8, 16, 32, 64)
 SHORT = WIDTHS[-1]
 #: Chunks and words kept per Python process (memory, not results).
-MEMO = 500_000
+MEMO = 200_000
+#: Text bytes coded at once: new words of a slice are merged together.
+SLICE = 4 << 20
 NO_RANK = np.int32(2**31 - 1)
 
 @lru_cache(maxsize=None)
@@ -310,7 +312,7 @@ def encode(docs: DataFrame, vocabulary_path: str) -> DataFrame:
         flat, ends = _coder(vocabulary_path, shared).encode(texts_of(batch))
         return {"doc_id": batch.column("doc_id"), "ids": _lists(flat, ends)}
 
-    return map_text(id_text(docs), "text", run, "doc_id long, ids array<int>")
+    return map_text(id_text(docs), "text", run, "doc_id long, ids array<int>", SLICE)
 
 
 def encode_decode(docs: DataFrame, vocabulary_path: str) -> DataFrame:
@@ -324,7 +326,7 @@ def encode_decode(docs: DataFrame, vocabulary_path: str) -> DataFrame:
         return {"doc_id": batch.column("doc_id"), "ids": _lists(flat, ends),
                 "decoded": [coder.decode(ids[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]}
 
-    return map_text(id_text(docs), "text", run, "doc_id long, ids array<int>, decoded string")
+    return map_text(id_text(docs), "text", run, "doc_id long, ids array<int>, decoded string", SLICE)
 
 
 def decode(encoded: DataFrame, vocabulary_path: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..plans.session import ensure_checkpoint_dir
 
 #: Text bytes that one step of a Python task works on; bounds its memory, not its input.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,11 +45,21 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows that Spark hands to a Python task at once: documents are long rows, and its default of 10,000 is not made for them.
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Hand this package to the executors' Python workers once per application (as ``--py-files`` would)."""
+    """Prepare a session for Python tasks over texts.
+
+    The package is handed to the executors' Python workers once per application
+    (as ``--py-files`` would), and batches of more than ``BATCH_ROWS`` rows are
+    turned down to that; a smaller setting is left alone.
+    """
+    if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
@@ -85,7 +95,21 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             start = end
 
 
-def map_text(df: DataFrame, column: str, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
+def gathered(batches: Iterator[pa.RecordBatch], rows: int = 8192) -> Iterator[pa.RecordBatch]:
+    """Batches of short rows put together to ``rows`` rows or a little more."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = []
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def map_text(df: DataFrame, column: str, fn: Callable[[pa.RecordBatch], dict | None], schema: str,
+             limit: int = SLICE_BYTES) -> DataFrame:
     """``mapInArrow`` over slices of bounded text size; ``fn`` returns the output columns as a dict of arrays."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
@@ -94,7 +118,7 @@ def map_text(df: DataFrame, column: str, fn: Callable[[pa.RecordBatch], dict], s
     out = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, column):
+        for part in slices(batches, column, limit):
             cols = fn(part)
             if cols is not None:
                 yield pa.RecordBatch.from_arrays(
@@ -111,3 +135,17 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or a name like it that ``df`` has not."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def by_ids(docs: DataFrame, ids: DataFrame, how: str, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` whose id is (``left_semi``) or is not (``left_anti``) in the one column of ``ids``."""
+    name = fresh(docs, "_id")
+    return docs.join(ids.toDF(name), F.col(id_col) == F.col(name), how)

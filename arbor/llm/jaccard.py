@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, id_text, map_text, ship
+from .common import Scratch, gathered, id_text, map_text, ship
 from .components import components
 from .hashing import U, mix, shingle_sets
 
@@ -215,7 +215,7 @@ def _pairs(lists: DataFrame, percent: int, forest: bool) -> DataFrame:
     fields = ("token", "x", "y", "block", "rep", "comp", "n", "pos")
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def columns(batch: pa.Table) -> dict[str, np.ndarray]:
+    def columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
         t = {f: batch.column(f).to_numpy().astype(np.int64, copy=False) for f in fields}
         bits = b"".join(batch.column("bits").to_pylist())
         t["bits"] = np.frombuffer(bits, np.uint64).reshape(-1, BITS // 64)
@@ -230,11 +230,8 @@ def _pairs(lists: DataFrame, percent: int, forest: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry = None  # the last list of a batch may go on in the next; its length is bounded by the block size
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = pa.Table.from_batches([batch])
-            t = columns(rows)
+        for batch in gathered(batches):
+            t = columns(batch)
             if carry is not None:
                 t = {f: np.concatenate([carry[f], t[f]]) for f in t}
             last = np.flatnonzero((t["token"] != t["token"][-1]) | (t["x"] != t["x"][-1]) | (t["y"] != t["y"][-1]))

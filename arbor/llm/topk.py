@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, ship
+from .common import Scratch, gathered, ship
 
 #: Queries in a broadcast block (expected), rows of the sample, children of a node, vectors in a leaf, rows scored at once.
 QUERY_BLOCK, SAMPLE, FAN_OUT, LEAF, AT_ONCE = 2048, 2048, 16, 32, 1024
@@ -230,10 +230,9 @@ def _block(data: DataFrame, q_id: np.ndarray, q_int: np.ndarray, s_id: np.ndarra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, q_id, q_int, floor = shared.value
         best = Best(floor, k)
-        for batch in batches:
-            if batch.num_rows:
-                ids, v = _arrays(batch, dims)
-                dual_search(tree, q_int, q_id, CoverTree(v.astype(np.float64)), v, ids, best)
+        for batch in gathered(batches):
+            ids, v = _arrays(batch, dims)
+            dual_search(tree, q_int, q_id, CoverTree(v.astype(np.float64)), v, ids, best)
         n = [len(i) for i in best.id]
         if sum(n):
             yield pa.RecordBatch.from_arrays(

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, map_text, ship
+from .common import Scratch, by_ids, map_text, ship
 from .hashing import U, _step, mix, words
 
 #: The masks: 1 counts, 0 does not.
@@ -190,4 +190,4 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """All columns of the documents without overlap (and of those without an id)."""
     found = Scratch(docs.sparkSession, "decontam").write(overlaps(docs, benchmark).select("doc_id").distinct(), "overlapping")
-    return docs.join(found.select(F.col("doc_id").alias("_found")), F.col("doc_id") == F.col("_found"), "left_anti")
+    return by_ids(docs, found, "left_anti")

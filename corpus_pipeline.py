@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arbor.llm import bpe, decontam, jaccard, quality, secret_scan
-from arbor.llm.common import Scratch, table
+from arbor.llm.common import Scratch, by_ids, fresh, table
 from arbor.llm.queries import vocabulary
 
 
@@ -36,15 +36,14 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     scratch = Scratch(spark, "pipeline")
     groups = jaccard.near_duplicates(docs, k=5, percent=80).where("doc_id IS NOT NULL")
     # narrow tables, written: Spark knows their size and broadcasts them only where they are small
-    removed = scratch.write(groups.where("component_id <> doc_id").select(F.col("doc_id").alias("_id")).distinct(), "removed")
-    kept = docs.join(removed, F.col("doc_id") == F.col("_id"), "left_anti")
-    repeated = scratch.write(
-        docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).count().where("count > 1").select("_id"), "repeated")
+    removed = scratch.write(groups.where("component_id <> doc_id").select("doc_id").distinct(), "removed")
+    kept = by_ids(docs, removed, "left_anti")
+    repeated = scratch.write(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
     if repeated.isEmpty():
         return kept
-    several = kept.join(repeated, F.col("doc_id") == F.col("_id"), "left_semi")
-    first = several.withColumn("_row", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("_row = 1").drop("_row")
-    return kept.join(repeated, F.col("doc_id") == F.col("_id"), "left_anti").unionByName(first)
+    row = fresh(docs, "_row")
+    first = by_ids(kept, repeated, "left_semi").withColumn(row, F.row_number().over(Window.partitionBy("doc_id").orderBy("text")))
+    return by_ids(kept, repeated, "left_anti").unionByName(first.where(F.col(row) == 1).drop(row))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -90,8 +90,11 @@ def _rows(docs: DataFrame, host: str, path: str) -> DataFrame:
                        F.col(path).cast("string").alias("path"), F.col("text").cast("string").alias("text"))
 
 
-def _fit(measured: DataFrame, labels: DataFrame) -> np.ndarray:
-    """Weights over raw features, intercept last."""
+def _fit(measured: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weights over raw features (intercept last), and the least and most of each feature among the labelled rows.
+
+    Features are cut to that range, so a document longer than any labelled one is judged like the longest of them.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where(
         "doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     got = measured.where("words > 0").join(known, "doc_id").orderBy(F.xxhash64("doc_id")).limit(FIT_ROWS).select(
@@ -100,10 +103,10 @@ def _fit(measured: DataFrame, labels: DataFrame) -> np.ndarray:
     x = np.array(got.column("f").to_pylist(), np.float64).reshape(len(y), N_FEATURES)
     if not 0 < y.sum() < len(y):
         share = (y.sum() + 1) / (len(y) + 2) if len(y) else 0.5
-        return np.append(np.zeros(N_FEATURES), np.log(share / (1 - share)))
+        return np.append(np.zeros(N_FEATURES), np.log(share / (1 - share))), np.zeros(N_FEATURES), np.zeros(N_FEATURES)
     mean, spread = x.mean(axis=0), x.std(axis=0) + 1e-6
     w = logistic((x - mean) / spread, y)
-    return np.append(w[:-1] / spread, w[-1] - (w[:-1] * mean / spread).sum())
+    return np.append(w[:-1] / spread, w[-1] - (w[:-1] * mean / spread).sum()), x.min(axis=0), x.max(axis=0)
 
 
 def _logit(p: Column) -> Column:
@@ -153,11 +156,12 @@ class Sites:
                 .withColumn("keep", F.col("score") >= THRESHOLD).drop("_host", "_path", "_s", "_n"))
 
 
-def _evidence(measured: DataFrame, weights: np.ndarray) -> DataFrame:
+def _evidence(measured: DataFrame, model: tuple[np.ndarray, np.ndarray, np.ndarray]) -> DataFrame:
     """``z`` (log-odds) and ``p`` of each row's features, as one native expression."""
+    weights, low, high = model
     z = F.lit(float(weights[-1]))
     for i, w in enumerate(weights[:-1]):
-        z = z + F.col("f")[i] * float(w)
+        z = z + F.least(F.greatest(F.col("f")[i], F.lit(float(low[i]))), F.lit(float(high[i]))) * float(w)
     z = F.least(F.lit(30.0), F.greatest(F.lit(-30.0), z))
     return measured.withColumn("z", z).withColumn("p", 1 / (1 + F.exp(-F.col("z")))).drop("f")
 
@@ -174,12 +178,12 @@ def _measured(rows: DataFrame, scratch: Scratch) -> DataFrame:
         map_text(rows, "text", run, "doc_id long, host string, path string, words long, f array<double>"), "features")
 
 
-def _model(docs: DataFrame, labels: DataFrame, host: str, path: str) -> tuple[DataFrame, np.ndarray, Sites]:
+def _model(docs: DataFrame, labels: DataFrame, host: str, path: str) -> tuple[DataFrame, tuple, Sites]:
     scratch = Scratch(docs.sparkSession, "quality")
     measured = _measured(_rows(docs, host, path), scratch)
-    weights = _fit(measured, labels)
-    evidence = _evidence(measured, weights)
-    return evidence, weights, Sites(evidence, scratch)
+    model = _fit(measured, labels)
+    evidence = _evidence(measured, model)
+    return evidence, model, Sites(evidence, scratch)
 
 
 def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
@@ -193,7 +197,7 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
 def keep_good(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
     """All columns of the documents that are kept. Each row is judged by its own text in a second pass."""
     ship(docs.sparkSession)
-    _, weights, sites = _model(docs, labels, host, path)
+    _, (weights, low, high), sites = _model(docs, labels, host, path)
     cols = docs.columns
     named = [f"_in_{i}" for i in range(len(cols))]
     rows = docs.select(*[F.col(c).alias(x) for c, x in zip(cols, named)], F.col(host).cast("string").alias("host"),
@@ -204,7 +208,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, host: str = "source", path: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             f = features(part.column("text"))
-            z = np.clip(f @ weights[:-1] + weights[-1], -30, 30)
+            z = np.clip(np.clip(f, low, high) @ weights[:-1] + weights[-1], -30, 30)
             kept = [part.column(i) if part.column(i).type == t.type else part.column(i).cast(t.type) for i, t in enumerate(list(out)[:-2])]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(z), pa.array(np.rint(np.expm1(f[:, -1])))], schema=out)
 

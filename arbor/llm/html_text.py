@@ -3,8 +3,9 @@
 A page is parsed into a tree of elements (a small tolerant parser: implied end
 tags of paragraphs, list items and table parts, raw script and style text).
 Parts that are never main text are cut out. Every paragraph then passes points
-to its parent and half to its grandparent: one, one for each comma, and up to
-three for length, discounted by the paragraph's link density. Containers start
+to its ancestors, whole ones to its parent and a smaller share to each one
+further up: one, one for each comma, and up to three for length, discounted by
+the paragraph's link density. Containers start
 with points for their tag and lose their own link density. The best container is
 kept, with those of its siblings that score a fifth of it or are prose
 paragraphs. Its blocks are joined in page order.
@@ -51,6 +52,9 @@ AROUND = re.compile(
     r"contentinfo|complementary|navigation|dialog|form)(?=$|[\s_-])", re.I)
 INSIDE = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|post|story|text|blog)(?=$|[\s_-])", re.I)
 
+#: Ancestors that a paragraph's points reach.
+ANCESTORS = 5
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<end2>/?)(?P<tag2>[A-Za-z][^\s/>]*)(?P<attrs2>[^>]*)>|<[!?/][^>]*>", re.S)
@@ -182,21 +186,20 @@ def best_containers(root: Node) -> list[Node]:
     _measure(nodes)
 
     def give(node: Node | None, points: float) -> None:
-        if node is not None:
+        for step in range(1, ANCESTORS + 1):
+            if node is None:
+                break
             if not node.scored:
                 node.scored = True
                 node.score = START.get(node.tag, 0.0) + (5.0 if node.names and INSIDE.search(node.names) else 0.0)
-            node.score += points
+            node.score += points / step
+            node = node.parent
 
     for node in nodes:
         loose = node.tag in ("div", "section", "article", "main", "body") and any(type(c) is str and not c.isspace() for c in node.children)
         if (node.tag in PARAGRAPHS or loose) and node.text:
             points = (1.0 + node.commas + min(node.text / 100.0, 3.0)) * (1.0 - density(node))
-            if loose and node.tag not in PARAGRAPHS:
-                give(node, points)
-            give(node.parent, points)
-            if node.parent is not None:
-                give(node.parent.parent, points / 2)
+            give(node if loose and node.tag not in PARAGRAPHS else node.parent, points)
     scored = [x for x in nodes if x.scored]
     if not scored:
         return [root]

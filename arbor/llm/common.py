@@ -44,6 +44,13 @@ class Scratch:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, *tags: str) -> None:
+        """Delete tables that nothing reads any more (without tags: all of them)."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        for path in [f"{self.base}/{t}" for t in tags] or [self.base]:
+            folder = hadoop.Path(path)
+            folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
 
 #: Rows that Spark hands to a Python task at once: documents are long rows, and its default of 10,000 is not made for them.
 BATCH_ROWS = 1000

@@ -15,7 +15,8 @@ def components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
     stars the smaller ones; the rounds end when nothing moves, after about the
     logarithm of the longest chain. A node's neighbours are never gathered: the
     smallest is a partial aggregate, and the join that follows is one that Spark
-    splits where a node has very many.
+    splits where a node has very many. The result is the written table ``tag``;
+    the rounds are deleted.
     """
     pairs = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     current = scratch.write(pairs, f"{tag}-0")
@@ -29,10 +30,13 @@ def components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
         current = scratch.write(small, f"{tag}-{step}")
+        scratch.drop(f"{tag}-{step - 1}")
         now = tuple(current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before or not now[0]:
             break
         before = now
     label = current.groupBy("a").agg(F.min("b").alias("component_id")).withColumnRenamed("a", "id")
     roots = current.select(F.col("b").alias("id"), F.col("b").alias("component_id")).distinct()
-    return label.unionByName(roots)
+    found = scratch.write(label.unionByName(roots), tag)
+    scratch.drop(f"{tag}-{step}")
+    return found

@@ -115,6 +115,7 @@ def _frequent(docs: DataFrame, k: int, percent: int, size: int) -> tuple[np.ndar
         key.append(rest << U(32) | U(r["bucket"]))
         rank.append(np.full(len(rest), r["level"], np.uint64))
     keys, ranks = np.concatenate(key), np.concatenate(rank)
+    scratch.drop()
     by = np.argsort(keys, kind="stable")
     mask = U(0xFFFFFFFF << 32 | (buckets - 1))
     return keys[by], ranks[by], mask
@@ -328,7 +329,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90, order_size:
     members = reps.select("gid", "rep", "n", "bits", F.col("rep").alias("comp"))
     first = scratch.write(_pairs(_lists(entries, members), percent, forest=True), "pairs-1")
     links = scratch.write(_verified(first, texts, k, percent), "links-1")
-    comps = scratch.write(components(links, scratch, "components-1"), "components-1")
+    comps = components(links, scratch, "components-1")
 
     # second round: only lists that still hold two components
     label = reps.select("gid", "rep").join(comps.select(F.col("id").alias("rep"), "component_id"), "rep", "left").select(
@@ -337,9 +338,12 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90, order_size:
     left = entries.join(open_.select("token"), "token", "left_semi")
     members = reps.select("rep", "n", "bits").join(label, "rep").select("gid", "rep", "n", "bits", "comp")
     second = scratch.write(_pairs(_lists(left, members), percent, forest=False).join(first, ["a", "b"], "left_anti"), "pairs-2")
+    scratch.drop("representatives", "entries")
     more = scratch.write(_verified(second, texts, k, percent), "links-2")
     if not more.isEmpty():
-        comps = scratch.write(components(links.unionByName(more), scratch, "components-2"), "components-2")
+        comps = components(links.unionByName(more), scratch, "components-2")
+    # the result reads the signatures and the components only
+    scratch.drop("pairs-1", "pairs-2", "links-1", "links-2")
 
     # every document by its representative; equal sets share it
     known = equal.select("n", "fp1", "fp2", "rep").join(comps.select(F.col("id").alias("rep"), "component_id"), "rep", "left").select(

@@ -44,13 +44,22 @@ SCOPE = {"li": ("ul", "ol", "menu", "dir"), "dt": ("dl",), "dd": ("dl",), "tr":
          "thead": ("table",), "tbody": ("table",), "tfoot": ("table",), "option": ("select",)}
 START = {"article": 25.0, "main": 20.0, "section": 5.0, "div": 5.0, "pre": 3.0, "td": 3.0, "blockquote": 3.0,
          "ul": -3.0, "ol": -3.0, "dl": -3.0, "li": -3.0, "dd": -3.0, "dt": -3.0, "table": 0.0, "body": 0.0}
-# Words of class, id and role that mark parts around the article, and words that mark the article.
+# Words of class, id and role. Parts around the article; words that may also be part of an article's name;
+# words that mark the article; and prefixes of names that only say what the page has ("with-sidebar").
 AROUND = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|sidebar|side|rail|nav\w*|menu|breadcrumbs?|header|masthead|"
-    r"footer|foot|cookie\w*|consent|notice|alert|popup|modal|overlay|comments?|disqus|replies|respond|share|sharing|social|related|"
-    r"recommend\w*|newsletter|subscribe|signup|login|search|pagination|pager|toolbar|widget|copyright|legal|skip|hidden|"
-    r"contentinfo|complementary|navigation|dialog|form)(?=$|[\s_-])", re.I)
+    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|sidebar|nav|navbar|navigation|menu|breadcrumbs?|masthead|footer|"
+    r"cookies?|consent|notice|popup|modal|comments?|disqus|replies|respond|share|sharing|social|related|recommend\w*|newsletter|"
+    r"subscribe|signup|login|pagination|pager|widget|copyright|contentinfo|complementary)(?=$|[\s_-])", re.I)
+PERHAPS = re.compile(r"(?:^|[\s_-])(?:header|head|alert|side|rail|foot|form|search|hidden|legal|skip|overlay|toolbar|dialog)(?=$|[\s_-])", re.I)
 INSIDE = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|post|story|text|blog)(?=$|[\s_-])", re.I)
+STATES = re.compile(r"(?:^|(?<=\s))(?:has|with|without|no|is|js)[-_]\S*", re.I)
+
+
+def around(names: str) -> bool:
+    """Whether class, id and role name a part around the article."""
+    names = STATES.sub("", names)
+    return bool(AROUND.search(names) or PERHAPS.search(names) and not INSIDE.search(names))
+
 
 #: Ancestors that a paragraph's points reach.
 ANCESTORS = 5
@@ -72,8 +81,8 @@ class Node:
         self.score, self.scored = 0.0, False
 
 
-def parse(page: str) -> Node:
-    """The tree of a page; parts to cut are marked and get no children."""
+def parse(page: str, by_name: bool = True) -> Node:
+    """The tree of a page; parts to cut (by tag, and by name) are marked and get no children."""
     root = Node("html", None)
     stack, at = [root], 0
     opened: Counter = Counter()  # open elements by tag, so that tags without a partner cost nothing
@@ -133,7 +142,7 @@ def parse(page: str) -> Node:
         own = Node(tag, stack[-1])
         own.names = names
         own.cut = stack[-1].cut or hidden or tag in CUT or (
-            tag not in ("html", "body", "article", "main") and bool(names) and bool(AROUND.search(names)) and not INSIDE.search(names))
+            by_name and bool(names) and tag not in ("html", "body", "article", "main") and around(names))
         if not stack[-1].cut:
             stack[-1].children.append(own)
         if tag in RAW and not attrs.endswith("/"):
@@ -252,9 +261,14 @@ def blocks(node: Node) -> list[str]:
 
 
 def main_text(page: str | None) -> str:
+    """The article's blocks; a page that is empty without the parts cut by name is read with them."""
     if not page:
         return ""
-    return "\n\n".join(t for c in best_containers(parse(page)) for t in blocks(c))
+    for by_name in (True, False):
+        text = "\n\n".join(t for c in best_containers(parse(page, by_name)) for t in blocks(c))
+        if text:
+            break
+    return text
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ Words are terms (case and punctuation don't count), hashed to cells of tables
 whose size is fixed (``WORD_BITS``, ``PAIR_BITS``), so the broadcast model has
 the same size at any input. Counts come from every training row: tasks send
 packed word runs, the number of different neighbours is counted on whole 63-bit
-word pairs, and partial tables are added by range of cells; no table of all
+word pairs, and partial tables are added in rounds; no table of all
 words or pairs is made anywhere.
 
 Defined cases: null or empty texts score the training share of toxic rows;
@@ -50,8 +50,8 @@ DISCOUNT, PAIR_DISCOUNT = (0.95, 1.5, 2.0), 0.75
 LEVELS = (1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.0, 4.5, 5.0)
 #: Bound of the rows that the logistic regression is fitted on, and of its filter of labelled ids (log2 of bits).
 FIT_ROWS, FILTER_BITS = 50_000, 23
-#: Ranges of cells that partial tables are added by.
-RANGES = 64
+#: Buckets of word pairs at least, and partial tables that one task adds.
+LEAST_BUCKETS, ADDED = 64, 16
 
 
 def held_out(doc_id: Column) -> Column:
@@ -98,20 +98,24 @@ def word_cell(word: np.ndarray) -> np.ndarray:
     return (word >> np.uint32(32 - WORD_BITS)).astype(np.int64)
 
 
-def _pack(kind: str, cell: np.ndarray, n: np.ndarray, bits: int) -> list[tuple]:
-    """Rows ``kind, range, cells, counts`` of a sparse table, cut by ranges of cells."""
-    if not len(cell):
-        return []
+def _sparse(kind: str, step: int, cell: np.ndarray, n: np.ndarray) -> tuple:
+    """A row ``kind, step, cells, counts``: the cells of a table that are not zero, packed."""
     cell, at = np.unique(cell, return_inverse=True)
-    n = np.bincount(at, weights=n).astype(np.int64)
-    part = cell >> (bits - 6)
-    cuts = np.flatnonzero(np.diff(part, prepend=-1))
-    return [(kind, int(part[a]), c.astype(np.int32).tobytes(), m.tobytes())
-            for a, c, m in zip(cuts, np.split(cell, cuts[1:]), np.split(n, cuts[1:]))]
+    return kind, step, cell.astype(np.int32).tobytes(), np.bincount(at, weights=n).astype(np.int64).tobytes()
 
 
 def _tables(training: DataFrame, scratch: Scratch) -> dict[str, np.ndarray]:
-    """Dense count tables: pairs, histories, followers of a history and words followed, by class; words followed over both."""
+    """Dense count tables: pairs, histories, followers of a history and words followed, by class; words followed over both.
+
+    Pairs are counted in buckets whose number follows the session's shuffle
+    partitions, so a bucket stays small as the input grows. A bucket is a range
+    of pair cells; its tables are added in rounds of ``ADDED``, so that a task
+    holds a bounded number of partial tables of fixed size.
+    """
+    parts = int(training.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(1 << (max(parts * 4, LEAST_BUCKETS) - 1).bit_length(), 1 << PAIR_BITS)
+    shift = U(PAIR_BITS - (buckets.bit_length() - 1))
+
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -125,7 +129,8 @@ def _tables(training: DataFrame, scratch: Scratch) -> dict[str, np.ndarray]:
                 key = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
                 if len(key):
                     pair = key & U(2**63 - 1)
-                    bucket = (mix(pair) & U(RANGES - 1)).astype(np.int32)
+                    before, word = (pair >> U(32)).astype(np.uint32) << np.uint32(1), (pair & U(2**32 - 1)).astype(np.uint32)
+                    bucket = (pair_cell(before, word).astype(np.uint64) >> shift).astype(np.int32)
                     by = np.argsort(bucket, kind="stable")
                     bucket, key = bucket[by], key[by]
                     cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
@@ -133,39 +138,50 @@ def _tables(training: DataFrame, scratch: Scratch) -> dict[str, np.ndarray]:
                         [pa.array(bucket[cuts]), pa.array([k.tobytes() for k in np.split(key, cuts[1:])], pa.binary())],
                         names=["bucket", "pairs"])
 
-    def count(rows: pd.DataFrame) -> pd.DataFrame:
+    def count(key: tuple[np.int32, ...], rows: pd.DataFrame) -> pd.DataFrame:
         every, n = np.unique(np.concatenate([np.frombuffer(r, np.uint64) for r in rows["pairs"]]), return_counts=True)
         toxic = every >> U(63)
         pair = every & U(2**63 - 1)
         before, word = (pair >> U(32)).astype(np.uint32) << np.uint32(1), (pair & U(2**32 - 1)).astype(np.uint32)
         both = np.unique(pair)
-        out = _pack("shared", word_cell((both & U(2**32 - 1)).astype(np.uint32)), np.ones(len(both)), WORD_BITS)
+        step = int(key[0]) // ADDED
+        out = [_sparse("shared", step, word_cell((both & U(2**32 - 1)).astype(np.uint32)), np.ones(len(both)))]
         for c in (0, 1):
             own = toxic == c
             b, w, k = before[own], word[own], n[own]
-            out += _pack(f"pair{c}", pair_cell(b, w), k, PAIR_BITS)
-            out += _pack(f"history{c}", word_cell(b), k, WORD_BITS)
-            out += _pack(f"follows{c}", word_cell(b), np.ones(len(b)), WORD_BITS)
-            out += _pack(f"followed{c}", word_cell(w), np.ones(len(w)), WORD_BITS)
-        return pd.DataFrame(out, columns=["kind", "part", "cells", "counts"])
-
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        kind, part = rows["kind"].iloc[0], int(rows["part"].iloc[0])
-        size = 1 << ((PAIR_BITS if kind.startswith("pair") else WORD_BITS) - 6)
-        total = np.zeros(size, np.int64)
+            if len(b):
+                one = np.ones(len(b))
+                out += [_sparse(f"pair{c}", step, pair_cell(b, w), k), _sparse(f"history{c}", step, word_cell(b), k),
+                        _sparse(f"follows{c}", step, word_cell(b), one), _sparse(f"followed{c}", step, word_cell(w), one)]
+        return pd.DataFrame(out, columns=["kind", "step", "cells", "counts"])
+
+    def summed(rows: pd.DataFrame) -> tuple[str, np.ndarray]:
+        kind = rows["kind"].iloc[0]
+        total = np.zeros(1 << (PAIR_BITS if kind.startswith("pair") else WORD_BITS), np.int64)
         for cells, counts in zip(rows["cells"], rows["counts"]):
-            total[np.frombuffer(cells, np.int32) - part * size] += np.frombuffer(counts, np.int64)
-        return pd.DataFrame([(kind, part, np.minimum(total, 2**31 - 1).astype(np.int32).tobytes())], columns=["kind", "part", "counts"])
+            total[np.frombuffer(cells, np.int32)] += np.frombuffer(counts, np.int64)
+        return kind, total
 
-    partial = training.select("toxic", "run").mapInArrow(spread, "bucket int, pairs binary").groupBy("bucket").applyInPandas(
-        count, "kind string, part int, cells binary, counts binary")
-    whole = scratch.write(partial.groupBy("kind", "part").applyInPandas(add, "kind string, part int, counts binary"), "tables")
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        kind, total = summed(rows)
+        own = np.flatnonzero(total)
+        return pd.DataFrame([_sparse(kind, int(rows["step"].iloc[0]) // ADDED, own, total[own])], columns=["kind", "step", "cells", "counts"])
+
+    def dense(rows: pd.DataFrame) -> pd.DataFrame:
+        kind, total = summed(rows)
+        return pd.DataFrame([(kind, np.minimum(total, 2**31 - 1).astype(np.int32).tobytes())], columns=["kind", "counts"])
+
+    sparse = "kind string, step int, cells binary, counts binary"
+    partial = training.select("toxic", "run").mapInArrow(spread, "bucket int, pairs binary").groupBy("bucket").applyInPandas(count, sparse)
+    while buckets > ADDED:
+        partial = partial.groupBy("kind", "step").applyInPandas(add, sparse)
+        buckets = -(-buckets // ADDED)
+    whole = scratch.write(partial.groupBy("kind").applyInPandas(dense, "kind string, counts binary"), "tables")
     tables = {f"{k}{c}": np.zeros(1 << (PAIR_BITS if k == "pair" else WORD_BITS), np.int32)
               for k in ("pair", "history", "follows", "followed") for c in (0, 1)}
     tables["shared"] = np.zeros(1 << WORD_BITS, np.int32)
-    for r in whole.toLocalIterator():  # packed: 4 bytes a cell, a range at a time
-        own = np.frombuffer(r["counts"], np.int32)
-        tables[r["kind"]][r["part"] * len(own):(r["part"] + 1) * len(own)] = own
+    for r in whole.toLocalIterator():  # nine tables of fixed size, packed: 4 bytes a cell
+        tables[r["kind"]] = np.frombuffer(r["counts"], np.int32)
     return tables
 
 

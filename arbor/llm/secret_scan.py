@@ -171,7 +171,7 @@ def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
                 s.stop AS at,
                 if(s.start < acc.at, acc.out,
                    concat(acc.out, array(substring(text, CAST(acc.at + 1 AS int), CAST(s.start - acc.at AS int)), '{mask}'))) AS out)),
-            acc -> concat(array_join(acc.out, ''), substring(text, CAST(acc.at + 1 AS int))))""".replace("{mask}", mask)
+            acc -> concat(array_join(acc.out, ''), substring(text, CAST(acc.at + 1 AS int))))""".replace("{mask}", mask.replace("\\", "\\\\").replace("'", "\\'"))
     at = cols.index("text")
     none = F.expr("size(_secrets._base) + size(_secrets._added) = 0")
     clean = F.when(none, F.col(f"_in_{at}")).otherwise(F.expr(merged))

@@ -43,7 +43,7 @@ from .common import Scratch, id_text, map_text, ship
 from .hashing import U, mix, words
 
 #: log2 of the cells of the word tables and of the word-pair tables.
-WORD_BITS, PAIR_BITS = 20, 22
+WORD_BITS, PAIR_BITS = 20, 20
 #: Discounts for counts of one, two, and three or more; the one for pairs.
 DISCOUNT, PAIR_DISCOUNT = (0.95, 1.5, 2.0), 0.75
 #: Levels of the log-ratio whose shares of words are features (the square root spreads small shares).
@@ -177,11 +177,11 @@ def _tables(training: DataFrame, scratch: Scratch) -> dict[str, np.ndarray]:
         partial = partial.groupBy("kind", "step").applyInPandas(add, sparse)
         buckets = -(-buckets // ADDED)
     whole = scratch.write(partial.groupBy("kind").applyInPandas(dense, "kind string, counts binary"), "tables")
-    tables = {f"{k}{c}": np.zeros(1 << (PAIR_BITS if k == "pair" else WORD_BITS), np.int32)
-              for k in ("pair", "history", "follows", "followed") for c in (0, 1)}
-    tables["shared"] = np.zeros(1 << WORD_BITS, np.int32)
-    for r in whole.toLocalIterator():  # nine tables of fixed size, packed: 4 bytes a cell
-        tables[r["kind"]] = np.frombuffer(r["counts"], np.int32)
+    # nine tables of fixed size, packed: 4 bytes a cell
+    tables = {r["kind"]: np.frombuffer(r["counts"], np.int32) for r in whole.toLocalIterator()}
+    for kind in ["shared", *(f"{k}{c}" for k in ("pair", "history", "follows", "followed") for c in (0, 1))]:
+        if kind not in tables:  # a class without training rows
+            tables[kind] = np.zeros(1 << (PAIR_BITS if kind.startswith("pair") else WORD_BITS), np.int32)
     return tables
 
 
@@ -189,6 +189,17 @@ def _discount(n: np.ndarray) -> np.ndarray:
     return np.where(n >= 3, DISCOUNT[2], np.where(n == 2, DISCOUNT[1], np.where(n == 1, DISCOUNT[0], 0.0))).astype(np.float32)
 
 
+_MODELS: dict[str, "Models"] = {}
+
+
+def models_of(key: str, shared) -> "Models":
+    """The models of broadcast count tables, built once per Python process."""
+    if key not in _MODELS:
+        _MODELS.clear()
+        _MODELS[key] = Models(shared.value)
+    return _MODELS[key]
+
+
 class Models:
     """The two models as dense tables, and those of both classes together."""
 
@@ -262,18 +273,21 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -
         ~held_out(F.col("doc_id")))
     training = _training_words(texts, known, scratch)
     fit = F.expr("pmod(xxhash64(doc_id, 'fit'), 5) = 0")
-    shared = spark.sparkContext.broadcast(Models(_tables(training.where(~fit), scratch)))
-    rows = training.where(fit).orderBy(F.xxhash64("doc_id")).limit(FIT_ROWS).select("toxic", "run")
+    shared, key = spark.sparkContext.broadcast(_tables(training.where(~fit), scratch)), scratch.base
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             runs = [np.frombuffer(r.as_buffer(), np.uint32) for r in batch.column("run")]
             if runs:
-                f = features(shared.value, np.concatenate(runs), np.cumsum([0, *map(len, runs)]))
+                f = features(models_of(key, shared), np.concatenate(runs), np.cumsum([0, *map(len, runs)]))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("toxic"), pa.array(f.tolist(), pa.list_(pa.float64()))], names=["toxic", "f"])
+                    [batch.column("doc_id"), batch.column("toxic"), pa.array(f.tolist(), pa.list_(pa.float64()))],
+                    names=["doc_id", "toxic", "f"])
 
-    got = rows.mapInArrow(measured, "toxic int, f array<double>").toArrow()
+    # features are taken in the tasks, so that only they go through the bounded sample
+    rows = training.where(fit).select("doc_id", "toxic", "run").mapInArrow(measured, "doc_id long, toxic int, f array<double>")
+    got = rows.orderBy(F.xxhash64("doc_id")).limit(FIT_ROWS).select("toxic", "f").toArrow()
+    scratch.drop()  # the counts and the sample are taken; nothing reads the training runs any more
     y = got.column("toxic").to_numpy().astype(np.float64)
     x = np.array(got.column("f").to_pylist()).reshape(len(y), 2 + len(LEVELS))
     prior = float((y.sum() + 0.5) / (len(y) + 1))
@@ -287,7 +301,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -
 
     def run(batch: pa.RecordBatch) -> dict:
         value, ends, _, _ = words(batch.column("text"), terms=True)
-        f = features(shared.value, (value >> U(32)).astype(np.uint32), ends)
+        f = features(models_of(key, shared), (value >> U(32)).astype(np.uint32), ends)
         mean, spread, weights = model.value
         z = ((f - mean) / spread) @ weights[:-1] + weights[-1]
         score = np.where(np.diff(ends) > 0, 1 / (1 + np.exp(-np.clip(z, -30, 30))), prior)

@@ -122,3 +122,12 @@ def test_release_drops_open_rows_only(spark):
     assert [r.id for r in writer.read(["a"], df.schema).collect()] == [1]
     writer.release()
     writer.release()
+
+
+def test_a_laid_out_table_is_cut_by_its_size(spark):
+    from arbor.plans.layout import partitions_for, shuffle_partitions
+
+    df = spark.range(10**6)
+    assert partitions_for(df, target_bytes=1 << 16) >= 100
+    assert partitions_for(df) == shuffle_partitions(df)
+    assert partitions_for(spark.createDataFrame([(1,)], "id bigint"), target_bytes=1) >= shuffle_partitions(df)

@@ -15,12 +15,15 @@ ratio passes fixed levels. A logistic regression turns them into a score. It is
 fitted on training rows that the models did not see (a fifth, by hash), at most
 ``FIT_ROWS`` of them.
 
-Words are terms (case and punctuation don't count), hashed to cells of tables
-whose size is fixed (``WORD_BITS``, ``PAIR_BITS``), so the broadcast model has
-the same size at any input. Counts come from every training row: tasks send
-packed word runs, the number of different neighbours is counted on whole 63-bit
-word pairs, and partial tables are added in rounds; no table of all
-words or pairs is made anywhere.
+Words are terms (case and punctuation don't count) under their 64-bit hash, and
+so are pairs, so what is counted grows with the input and nothing shares a count.
+Tasks count the pairs of a block of documents and send them to buckets by the
+pair's hash; buckets sum them and count different neighbours; both are written.
+The word table (every different training word) is broadcast to the tasks. Pairs
+stay in their buckets: a block sends its different pairs there, and the bucket
+returns, per document, the sum of what the pairs that training had add to the
+second order. That sum is kept in whole ``1 / UNIT``, so it does not depend on
+the order of addition.
 
 Defined cases: null or empty texts score the training share of toxic rows;
 labels that are null are no labels, and a document labelled twice is toxic if
@@ -32,26 +35,36 @@ without an id are not held out and never train; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, id_text, map_text, ship
+from .common import Scratch, id_text, map_text, ship, slices
 from .hashing import U, mix, words
 
-#: log2 of the cells of the word tables and of the word-pair tables.
-WORD_BITS, PAIR_BITS = 20, 20
+#: log2 of the words that a task counts or scores at once, and of the input words that make up a bucket of pairs.
+WORD_BITS, PAIR_BITS = 18, 21
+#: Documents of a block at most (their places fit 16 bits), and characters taken for a word when buckets are planned.
+BLOCK_ROWS, WORD_CHARS = 1 << 13, 6
 #: Discounts for counts of one, two, and three or more; the one for pairs.
 DISCOUNT, PAIR_DISCOUNT = (0.95, 1.5, 2.0), 0.75
 #: Levels of the log-ratio whose shares of words are features (the square root spreads small shares).
 LEVELS = (1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.0, 4.5, 5.0)
 #: Bound of the rows that the logistic regression is fitted on, and of its filter of labelled ids (log2 of bits).
 FIT_ROWS, FILTER_BITS = 50_000, 23
-#: Buckets of word pairs at least, and partial tables that one task adds.
-LEAST_BUCKETS, ADDED = 64, 16
+#: Buckets of word pairs at least, and buckets for each part of the word table.
+LEAST_BUCKETS, PART = 64, 8
+#: Steps to one of the second order's sums, and rounds that documents are scored in (one round's shuffle is on disk at a time).
+UNIT, ROUNDS = 1 << 20, 4
+#: While tables are written: shuffle files go at the query's end, and Arrow batches stay small, as packed rows are long.
+_SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+             "spark.sql.execution.arrow.maxRecordsPerBatch": "64", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+#: Columns of the word table: words followed over both classes; by class words followed, pairs after it, different ones.
+WORD_COUNTS = ("shared", "followed0", "followed1", "history0", "history1", "follows0", "follows1")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -70,8 +83,8 @@ def _kept(spark, ids: DataFrame):
     return spark.sparkContext.broadcast(table), cell
 
 
-def _training_words(texts: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
-    """``doc_id, toxic, run`` of the training rows: the text's word hashes (32 bits each, packed)."""
+def _training(texts: DataFrame, labels: DataFrame) -> DataFrame:
+    """``text, toxic`` of the labelled rows."""
     shared, cell = _kept(texts.sparkSession, labels)
 
     def run(batch: pa.RecordBatch) -> dict | None:
@@ -80,172 +93,292 @@ def _training_words(texts: DataFrame, labels: DataFrame, scratch: Scratch) -> Da
         if not len(own):
             return None
         part = batch.take(pa.array(own))
-        value, ends, _, _ = words(part.column("text"), terms=True)
-        value = (value >> U(32)).astype(np.uint32)
-        return {"doc_id": part.column("doc_id"),
-                "run": [value[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]}
+        return {"doc_id": part.column("doc_id"), "text": part.column("text")}
 
     rows = texts.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()).withColumn("cell", F.expr(cell))
-    found = map_text(rows, "text", run, "doc_id long, run binary")
-    return scratch.write(found.join(labels, "doc_id"), "training")
+    return map_text(rows, "text", run, "doc_id long, text string").join(labels, "doc_id").select("text", "toxic")
 
 
-def pair_cell(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return (mix(before.astype(np.uint64) << U(32) | word.astype(np.uint64)) >> U(64 - PAIR_BITS)).astype(np.int64)
+def _blocks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks of documents: the rows without texts, word hashes, the word before each (0: the start), row ends in words."""
+    held: list[tuple[pa.RecordBatch, np.ndarray, np.ndarray]] = []
 
+    def block():
+        w = np.concatenate([v for _, v, _ in held])
+        n = np.concatenate([np.diff(e) for _, _, e in held])
+        ends = np.cumsum([0, *n])
+        before = np.concatenate([np.zeros(1, np.uint64), w[:-1]])[:len(w)]
+        before[ends[:-1][n > 0]] = 0
+        return pa.Table.from_batches([r for r, _, _ in held]), w, before, ends
 
-def word_cell(word: np.ndarray) -> np.ndarray:
-    return (word >> np.uint32(32 - WORD_BITS)).astype(np.int64)
+    for part in slices(batches, "text"):
+        for at in range(0, part.num_rows, BLOCK_ROWS):
+            rows = part.slice(at, BLOCK_ROWS)
+            value, ends, _, _ = words(rows.column("text"), terms=True)
+            if held and (sum(len(v) for _, v, _ in held) + len(value) > 1 << WORD_BITS
+                         or sum(r.num_rows for r, _, _ in held) + rows.num_rows > BLOCK_ROWS):
+                yield block()
+                held = []
+            held.append((rows.select([column]), value, ends))
+    if held:
+        yield block()
 
 
-def _sparse(kind: str, step: int, cell: np.ndarray, n: np.ndarray) -> tuple:
-    """A row ``kind, step, cells, counts``: the cells of a table that are not zero, packed."""
-    cell, at = np.unique(cell, return_inverse=True)
-    return kind, step, cell.astype(np.int32).tobytes(), np.bincount(at, weights=n).astype(np.int64).tobytes()
+def pair_key(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mix(before * U(0x9E3779B97F4A7C15) + word)
 
 
-def _tables(training: DataFrame, scratch: Scratch) -> dict[str, np.ndarray]:
-    """Dense count tables: pairs, histories, followers of a history and words followed, by class; words followed over both.
+def share_of(key: np.ndarray, n: int) -> np.ndarray:
+    """Which of ``n`` equal ranges of hashes a hash is in."""
+    return ((key >> U(32)) * U(n) >> U(32)).astype(np.int32)
 
-    Pairs are counted in buckets whose number follows the session's shuffle
-    partitions, so a bucket stays small as the input grows. A bucket is a range
-    of pair cells; its tables are added in rounds of ``ADDED``, so that a task
-    holds a bounded number of partial tables of fixed size.
-    """
-    parts = int(training.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = min(1 << (max(parts * 4, LEAST_BUCKETS) - 1).bit_length(), 1 << PAIR_BITS)
-    shift = U(PAIR_BITS - (buckets.bit_length() - 1))
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                keys = []
-                for toxic, run in zip(part.column("toxic").to_pylist(), part.column("run")):
-                    w = np.frombuffer(run.as_buffer(), np.uint32)
-                    before = np.concatenate([[np.uint32(0)], w[:-1]])
-                    # class, 31 bits of the word before (0: the start), the word
-                    keys.append(U(toxic) << U(63) | (before >> np.uint32(1)).astype(np.uint64) << U(32) | w.astype(np.uint64))
-                key = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-                if len(key):
-                    pair = key & U(2**63 - 1)
-                    before, word = (pair >> U(32)).astype(np.uint32) << np.uint32(1), (pair & U(2**32 - 1)).astype(np.uint32)
-                    bucket = (pair_cell(before, word).astype(np.uint64) >> shift).astype(np.int32)
-                    by = np.argsort(bucket, kind="stable")
-                    bucket, key = bucket[by], key[by]
-                    cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(bucket[cuts]), pa.array([k.tobytes() for k in np.split(key, cuts[1:])], pa.binary())],
-                        names=["bucket", "pairs"])
-
-    def count(key: tuple[np.int32, ...], rows: pd.DataFrame) -> pd.DataFrame:
-        every, n = np.unique(np.concatenate([np.frombuffer(r, np.uint64) for r in rows["pairs"]]), return_counts=True)
-        toxic = every >> U(63)
-        pair = every & U(2**63 - 1)
-        before, word = (pair >> U(32)).astype(np.uint32) << np.uint32(1), (pair & U(2**32 - 1)).astype(np.uint32)
-        both = np.unique(pair)
-        step = int(key[0]) // ADDED
-        out = [_sparse("shared", step, word_cell((both & U(2**32 - 1)).astype(np.uint32)), np.ones(len(both)))]
-        for c in (0, 1):
-            own = toxic == c
-            b, w, k = before[own], word[own], n[own]
-            if len(b):
-                one = np.ones(len(b))
-                out += [_sparse(f"pair{c}", step, pair_cell(b, w), k), _sparse(f"history{c}", step, word_cell(b), k),
-                        _sparse(f"follows{c}", step, word_cell(b), one), _sparse(f"followed{c}", step, word_cell(w), one)]
-        return pd.DataFrame(out, columns=["kind", "step", "cells", "counts"])
-
-    def summed(rows: pd.DataFrame) -> tuple[str, np.ndarray]:
-        kind = rows["kind"].iloc[0]
-        total = np.zeros(1 << (PAIR_BITS if kind.startswith("pair") else WORD_BITS), np.int64)
-        for cells, counts in zip(rows["cells"], rows["counts"]):
-            total[np.frombuffer(cells, np.int32)] += np.frombuffer(counts, np.int64)
-        return kind, total
-
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        kind, total = summed(rows)
-        own = np.flatnonzero(total)
-        return pd.DataFrame([_sparse(kind, int(rows["step"].iloc[0]) // ADDED, own, total[own])], columns=["kind", "step", "cells", "counts"])
-
-    def dense(rows: pd.DataFrame) -> pd.DataFrame:
-        kind, total = summed(rows)
-        return pd.DataFrame([(kind, np.minimum(total, 2**31 - 1).astype(np.int32).tobytes())], columns=["kind", "counts"])
-
-    sparse = "kind string, step int, cells binary, counts binary"
-    partial = training.select("toxic", "run").mapInArrow(spread, "bucket int, pairs binary").groupBy("bucket").applyInPandas(count, sparse)
-    while buckets > ADDED:
-        partial = partial.groupBy("kind", "step").applyInPandas(add, sparse)
-        buckets = -(-buckets // ADDED)
-    whole = scratch.write(partial.groupBy("kind").applyInPandas(dense, "kind string, counts binary"), "tables")
-    # nine tables of fixed size, packed: 4 bytes a cell
-    tables = {r["kind"]: np.frombuffer(r["counts"], np.int32) for r in whole.toLocalIterator()}
-    for kind in ["shared", *(f"{k}{c}" for k in ("pair", "history", "follows", "followed") for c in (0, 1))]:
-        if kind not in tables:  # a class without training rows
-            tables[kind] = np.zeros(1 << (PAIR_BITS if kind.startswith("pair") else WORD_BITS), np.int32)
-    return tables
+def _packed(x: np.ndarray) -> bytes:
+    """Ascending hashes as differences, byte by byte, so that the leading zeros are compressed."""
+    return np.diff(x, prepend=U(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-def _discount(n: np.ndarray) -> np.ndarray:
-    return np.where(n >= 3, DISCOUNT[2], np.where(n == 2, DISCOUNT[1], np.where(n == 1, DISCOUNT[0], 0.0))).astype(np.float32)
+def _unpacked(b: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _cuts(x: np.ndarray) -> np.ndarray:
+    """Where runs of equal values start."""
+    return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
 
 
-_MODELS: dict[str, "Models"] = {}
+def _summed(key: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Different keys in order, and the sums of the columns."""
+    by = np.argsort(key, kind="stable")
+    key = key[by]
+    cuts = _cuts(key)
+    return key[cuts], *(np.add.reduceat(c[by], cuts) if len(cuts) else c for c in columns)
 
 
-def models_of(key: str, shared) -> "Models":
-    """The models of broadcast count tables, built once per Python process."""
-    if key not in _MODELS:
-        _MODELS.clear()
-        _MODELS[key] = Models(shared.value)
-    return _MODELS[key]
+def _bytes(table: pa.Table, name: str) -> list[bytes]:
+    return [b for b in table.column(name).to_pylist() if b is not None]
+
+
+#: Rows of a bucket: its counted pairs (kind 0), a block's pairs (kind 1), and a block's documents, which only pass (kind 2).
+_ROW = "bucket int, kind int, block long, ids array<long>, a binary, b binary, c binary"
+
+
+def _written(scratch: Scratch, df: DataFrame, tag: str) -> DataFrame:
+    """``scratch.write`` under ``_SETTINGS``."""
+    conf = df.sparkSession.conf
+    before = {k: conf.get(k, None) for k in _SETTINGS}
+    try:
+        for k, v in _SETTINGS.items():
+            conf.set(k, v)
+        return scratch.write(df, tag)
+    finally:
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
+
+
+def _counts(training: DataFrame, buckets: int, scratch: Scratch) -> DataFrame:
+    """Written counts: per bucket its pairs (``part`` -1) and, by parts of the word table, what they add to its counts."""
+    parts = -(-buckets // PART)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, w, before, ends in _blocks(batches, "toxic"):
+            toxic = np.repeat(rows.column("toxic").to_numpy().astype(np.int64), np.diff(ends))
+            key = pair_key(before, w)
+            by = np.argsort(key, kind="stable")
+            cuts = _cuts(key[by])
+            if not len(cuts):
+                continue
+            n, t = np.diff(np.append(cuts, len(key))), np.add.reduceat(toxic[by], cuts)
+            b, w, bucket = before[by][cuts], w[by][cuts], share_of(key[by][cuts], buckets)
+            order = np.lexsort((b, bucket))
+            b, w, n, t, bucket = b[order], w[order], n[order], t[order], bucket[order]
+            starts = _cuts(bucket)
+            for x, y in zip(starts, np.append(starts[1:], len(bucket))):
+                yield pa.RecordBatch.from_pydict({
+                    "bucket": pa.array([bucket[x]], pa.int32()), "a": [_packed(b[x:y])], "b": [w[x:y].tobytes()],
+                    "c": [np.stack([n[x:y] - t[x:y], t[x:y]]).astype(np.int32).tobytes()]})
+
+    def count(rows: pa.Table) -> pa.Table:
+        bucket = rows.column("bucket")[0].as_py()
+        b = np.concatenate([_unpacked(x) for x in _bytes(rows, "a")])
+        w = np.concatenate([np.frombuffer(x, np.uint64) for x in _bytes(rows, "b")])
+        n = np.concatenate([np.frombuffer(x, np.int32).reshape(2, -1) for x in _bytes(rows, "c")], axis=1).astype(np.int64)
+        by = np.lexsort((w, b))
+        b, w, n = b[by], w[by], n[:, by]
+        cuts = np.flatnonzero(np.concatenate([[True], (b[1:] != b[:-1]) | (w[1:] != w[:-1])]))
+        b, w, n = b[cuts], w[cuts], np.add.reduceat(n, cuts, axis=1)
+        has, none = (n > 0).astype(np.int64), np.zeros(len(b), np.int64)
+        every = np.concatenate([np.stack([none + 1, has[0], has[1], none, none, none, none]),
+                                np.stack([none, none, none, n[0], n[1], has[0], has[1]])], axis=1)
+        word, *sums = _summed(np.concatenate([w, b]), *every)
+        part = share_of(word, parts)
+        starts = _cuts(part)
+        out = [(bucket, -1, _packed(b), w.tobytes(), np.minimum(n, 2**31 - 1).astype(np.int32).tobytes())]
+        out += [(bucket, int(part[x]), _packed(word[x:y]), np.stack([c[x:y] for c in sums]).astype(np.int64).tobytes(), None)
+                for x, y in zip(starts, np.append(starts[1:], len(part)))]
+        return pa.table(dict(zip(("bucket", "part", "a", "b", "c"), map(list, zip(*out)))), schema=pa.schema(
+            [("bucket", pa.int32()), ("part", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())]))
+
+    sent = training.mapInArrow(spread, "bucket int, a binary, b binary, c binary")
+    whole = sent.groupBy("bucket").applyInArrow(count, "bucket int, part int, a binary, b binary, c binary")
+    return _written(scratch, whole, "counts")
+
+
+def _word_table(counts: DataFrame) -> dict[str, np.ndarray]:
+    """The different training words in order, and their counts; the last row stands for every other word."""
+    width = len(WORD_COUNTS)
+
+    def add(rows: pa.Table) -> pa.Table:
+        word, *sums = _summed(np.concatenate([_unpacked(x) for x in _bytes(rows, "a")]),
+                              *np.concatenate([np.frombuffer(x, np.int64).reshape(width, -1) for x in _bytes(rows, "b")], axis=1))
+        return pa.table({"part": pa.array([rows.column("part")[0].as_py()], pa.int32()), "a": pa.array([_packed(word)], pa.binary()),
+                         "b": pa.array([np.minimum(np.stack(sums), 2**31 - 1).astype(np.int32).tobytes()], pa.binary())})
+
+    whole = counts.where("part >= 0").select("part", "a", "b").groupBy("part").applyInArrow(add, "part int, a binary, b binary")
+    got = sorted(((r["part"], bytes(r["a"]), bytes(r["b"])) for r in whole.toLocalIterator()), key=lambda r: r[0])
+    word = np.concatenate([np.zeros(0, np.uint64), *(_unpacked(a) for _, a, _ in got)])
+    sums = np.concatenate([*(np.frombuffer(b, np.int32).reshape(width, -1) for _, _, b in got), np.zeros((width, 1), np.int32)], axis=1)
+    return {"words": word, **dict(zip(WORD_COUNTS, sums))}
+
+
+def _discount(n: np.ndarray) -> np.ndarray:
+    return np.where(n >= 3, DISCOUNT[2], np.where(n == 2, DISCOUNT[1], np.where(n == 1, DISCOUNT[0], 0.0))).astype(np.float32)
 
 
 class Models:
-    """The two models as dense tables, and those of both classes together."""
+    """The two models, and that of both classes together: what they hold by word. Pairs are given with their counts."""
 
     def __init__(self, t: dict[str, np.ndarray]):
         common = t["shared"].astype(np.float64) + 0.5
         common /= common.sum()
+        self.words = t.get("words", np.zeros(0, np.uint64))
         self.common = common.astype(np.float32)
         word = []
         for c in (0, 1):
             kinds = t[f"followed{c}"]
-            total, taken = max(float(kinds.sum()), 1.0), _discount(kinds)
+            total, taken = max(float(kinds.sum(dtype=np.float64)), 1.0), _discount(kinds)
             word.append((kinds - taken) / total + taken.sum(dtype=np.float64) / total * common if kinds.any() else common)
         self.first = (np.log(word[1]) - np.log(word[0])).astype(np.float32)
-        # pairs, histories and the share that a history leaves to the backoff: ordinary, toxic, both
-        self.pair = [t["pair0"], t["pair1"], t["pair0"] + t["pair1"]]
-        self.history = [t["history0"], t["history1"], t["history0"] + t["history1"]]
-        follows = [t["follows0"], t["follows1"], t["follows0"] + t["follows1"]]
+        # pairs of a history and the share that it leaves to the backoff: ordinary, toxic, both
+        self.history = [t["history0"], t["history1"], t["history0"].astype(np.int64) + t["history1"]]
+        follows = [t["follows0"], t["follows1"], t["follows0"].astype(np.int64) + t["follows1"]]
         self.rest = [np.where(n > 0, np.minimum(f * np.float32(PAIR_DISCOUNT) / np.maximum(n, 1), 1.0), 1.0).astype(np.float32)
                      for f, n in zip(follows, self.history)]
 
-    def ratios(self, w: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Log-ratio toxic to ordinary of every word, at the first and second order; ``first`` marks first words of texts."""
-        before = np.concatenate([[np.uint32(0)], w[:-1]]) if len(w) else w
-        before = np.where(first, np.uint32(0), before) >> np.uint32(1) << np.uint32(1)
-        at, own, pair = word_cell(before), word_cell(w), pair_cell(before, w)
-
-        def backed(c: int, lower: np.ndarray) -> np.ndarray:
-            total = self.history[c][at]
-            direct = np.maximum(np.minimum(self.pair[c][pair], total) - np.float32(PAIR_DISCOUNT), 0) / np.maximum(total, 1)
-            return direct + self.rest[c][at] * lower
-
-        both = backed(2, self.common[own])
-        return self.first[own], np.log(np.maximum(backed(1, both), 1e-12)) - np.log(np.maximum(backed(0, both), 1e-12))
-
-
-def features(models: Models, w: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Per text: mean log-ratios, and the root of the share of words past each level."""
-    n = np.diff(ends)
-    row = np.repeat(np.arange(len(n)), n)
-    first = np.zeros(len(w), bool)
-    first[ends[:-1][n > 0]] = True
-    one, two = models.ratios(w, first)
-    size = np.maximum(n, 1)
-    out = [np.bincount(row, weights=r, minlength=len(n)) / size for r in (one, two)]
-    out += [np.sqrt(np.bincount(row[one > x], minlength=len(n)) / size) for x in LEVELS]
-    return np.stack(out, axis=1)
+    def at(self, w: np.ndarray) -> np.ndarray:
+        """The words' rows; the last row for words that training has not."""
+        if not len(self.words):
+            return np.zeros(len(w), np.int64)
+        some, back = np.unique(w, return_inverse=True)
+        row = np.searchsorted(self.words, some)
+        return np.where(self.words[np.minimum(row, len(self.words) - 1)] == some, row, len(self.words))[back]
+
+    def alone(self, before: np.ndarray) -> np.ndarray:
+        """Second-order log-ratio of a word after this one (by row) if training has no such pair: the common part cancels out."""
+        return np.log(self.rest[1][before].astype(np.float64)) - np.log(self.rest[0][before].astype(np.float64))
+
+    def added(self, before: np.ndarray, word: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        """What pairs (rows of their words, counts by class) that training has add to that, in whole ``1 / UNIT``."""
+        def backed(c: int, n: np.ndarray, lower: np.ndarray) -> np.ndarray:
+            return np.maximum(n - PAIR_DISCOUNT, 0) / np.maximum(self.history[c][before], 1) + self.rest[c][before] * lower
+
+        both = backed(2, pairs.sum(axis=0), self.common[word].astype(np.float64))
+        ratio = np.log(backed(1, pairs[1], both)) - np.log(backed(0, pairs[0], both))
+        return np.rint((ratio - self.alone(before)) * UNIT).astype(np.int64)
+
+
+def _features(texts: DataFrame, counts: DataFrame, buckets: int, shared, scratch: Scratch) -> DataFrame:
+    """Written ``doc_id, n, f`` of every document: mean log-ratios, and the root of the share of words past each level."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models, started = shared.value, 0
+        for rows, w, before, ends in _blocks(batches, "doc_id"):
+            block = TaskContext.get().partitionId() << 32 | started
+            started += 1
+            n = np.diff(ends)
+            row = np.repeat(np.arange(len(n)), n)
+            own = models.at(w)
+            unknown = len(models.first) - 1
+            last = np.concatenate([[0], own[:-1]])[:len(w)]
+            last[ends[:-1][n > 0]] = models.at(np.zeros(1, np.uint64))[0]
+            one = models.first[own]
+            f = [np.bincount(row, weights=x, minlength=len(n)) for x in (one, models.alone(last))]
+            f += [np.bincount(row[one > x], minlength=len(n)).astype(np.float64) for x in LEVELS]
+            ids = rows.column("doc_id").to_pylist()
+            yield _row(bucket=block % buckets, kind=2, block=block, ids=ids, a=np.stack([n.astype(np.float64), *f]).tobytes())
+            # a pair with a word that training has not is no pair of its
+            maybe = np.flatnonzero((own < unknown) & (last < unknown))
+            key, place = np.unique(pair_key(before[maybe], w[maybe]), return_inverse=True)
+            bucket = share_of(key, buckets)
+            starts = _cuts(bucket)
+            of = bucket[place]
+            by = np.argsort(of, kind="stable")  # documents stay in order within a bucket
+            place, doc, of = place[by], row[maybe][by], of[by]
+            cuts = _cuts(of)
+            for x, y, i, j in zip(starts, np.append(starts[1:], len(key)), cuts, np.append(cuts[1:], len(of))):
+                yield _row(bucket=int(bucket[x]), kind=1, block=block, a=_packed(key[x:y]),
+                           b=(place[i:j] - x).astype(np.uint16 if y - x <= 1 << 16 else np.uint32).tobytes(),
+                           c=np.diff(doc[i:j], prepend=0).astype(np.uint16).tobytes())
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models, bucket = shared.value, -1
+        key = value = np.zeros(0, np.int64)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                r = {c: batch.column(c)[i] for c in ("bucket", "kind", "block", "ids", "a", "b", "c")}
+                kind, a, b, c = r["kind"].as_py(), r["a"].as_py(), r["b"].as_py(), r["c"].as_py()
+                if r["bucket"].as_py() != bucket:
+                    bucket, key, value = r["bucket"].as_py(), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+                if kind == 0:
+                    before, word = _unpacked(a), np.frombuffer(b, np.uint64)
+                    key = pair_key(before, word)
+                    value = models.added(models.at(before), models.at(word), np.frombuffer(c, np.int32).reshape(2, -1).astype(np.int64))
+                    by = np.argsort(key)
+                    key, value = key[by], value[by]
+                elif kind == 1:
+                    if not len(key):
+                        continue
+                    asked = _unpacked(a)
+                    at = np.minimum(np.searchsorted(key, asked), len(key) - 1)
+                    found = np.where(key[at] == asked, value[at], 0)
+                    found = found[np.frombuffer(b, np.uint16 if len(asked) <= 1 << 16 else np.uint32)]
+                    doc = np.cumsum(np.frombuffer(c, np.uint16), dtype=np.int64)
+                    doc, total = _summed(doc, found)
+                    own = np.flatnonzero(total)
+                    yield _row(bucket=bucket, kind=1, block=r["block"].as_py(), a=doc[own].astype(np.uint16).tobytes(), b=total[own].tobytes())
+                else:
+                    yield _row(bucket=bucket, kind=2, block=r["block"].as_py(), ids=r["ids"].as_py(), a=a)
+
+    def finish(rows: pa.Table) -> pa.Table:
+        kinds = rows.column("kind").to_pylist()
+        own = kinds.index(2)
+        ids = rows.column("ids")[own].as_py()
+        f = np.frombuffer(rows.column("a")[own].as_py(), np.float64).reshape(-1, len(ids)).copy()
+        more = np.zeros(len(ids), np.int64)
+        for kind, a, b in zip(kinds, rows.column("a").to_pylist(), rows.column("b").to_pylist()):
+            if kind == 1:
+                more[np.frombuffer(a, np.uint16)] += np.frombuffer(b, np.int64)
+        size = np.maximum(f[0], 1)
+        f[2] += more / UNIT
+        x = np.concatenate([f[1:3] / size, np.sqrt(f[3:] / size)])
+        return pa.table({"doc_id": pa.array(ids, pa.int64()), "n": pa.array(f[0].astype(np.int64)),
+                         "f": pa.array(list(x.T), pa.list_(pa.float64()))})
+
+    model = counts.where("part < 0").select("bucket", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("block"),
+                                            F.lit(None).cast("array<long>").alias("ids"), "a", "b", "c")
+    parts = []
+    for i in range(ROUNDS):
+        own = texts.where(f"pmod(xxhash64(doc_id, text), {ROUNDS}) = {i}")
+        asked = own.mapInArrow(ask, _ROW).unionByName(model).repartition("bucket").sortWithinPartitions("bucket", "kind")
+        answered = asked.mapInArrow(answer, _ROW).groupBy("block").applyInArrow(finish, "doc_id long, n long, f array<double>")
+        parts.append(_written(scratch, answered, f"features{i}"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _row(**values) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist([values], schema=pa.schema(
+        [("bucket", pa.int32()), ("kind", pa.int32()), ("block", pa.int64()), ("ids", pa.list_(pa.int64())),
+         ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())]))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, strength: float = 1e-3, rounds: int = 60) -> np.ndarray:
@@ -271,23 +404,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(
         "doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(
         ~held_out(F.col("doc_id")))
-    training = _training_words(texts, known, scratch)
     fit = F.expr("pmod(xxhash64(doc_id, 'fit'), 5) = 0")
-    shared, key = spark.sparkContext.broadcast(_tables(training.where(~fit), scratch)), scratch.base
-
-    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            runs = [np.frombuffer(r.as_buffer(), np.uint32) for r in batch.column("run")]
-            if runs:
-                f = features(models_of(key, shared), np.concatenate(runs), np.cumsum([0, *map(len, runs)]))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("toxic"), pa.array(f.tolist(), pa.list_(pa.float64()))],
-                    names=["doc_id", "toxic", "f"])
-
-    # features are taken in the tasks, so that only they go through the bounded sample
-    rows = training.where(fit).select("doc_id", "toxic", "run").mapInArrow(measured, "doc_id long, toxic int, f array<double>")
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, -(-chars // (WORD_CHARS << PAIR_BITS)))
+    counts = _counts(_training(texts, known.where(~fit)), buckets, scratch)
+    shared = spark.sparkContext.broadcast(Models(_word_table(counts)))
+    measured = _features(texts, counts, buckets, shared, scratch)
+    scratch.drop("counts")
+    rows = measured.join(known.where(fit), "doc_id")
     got = rows.orderBy(F.xxhash64("doc_id")).limit(FIT_ROWS).select("toxic", "f").toArrow()
-    scratch.drop()  # the counts and the sample are taken; nothing reads the training runs any more
     y = got.column("toxic").to_numpy().astype(np.float64)
     x = np.array(got.column("f").to_pylist()).reshape(len(y), 2 + len(LEVELS))
     prior = float((y.sum() + 0.5) / (len(y) + 1))
@@ -297,16 +422,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -
     else:
         mean, spread, weights = np.zeros(x.shape[1]), np.ones(x.shape[1]), np.zeros(x.shape[1] + 1)
         weights[-1] = np.log(prior / (1 - prior))
-    model = spark.sparkContext.broadcast((mean, spread, weights))
 
-    def run(batch: pa.RecordBatch) -> dict:
-        value, ends, _, _ = words(batch.column("text"), terms=True)
-        f = features(models_of(key, shared), (value >> U(32)).astype(np.uint32), ends)
-        mean, spread, weights = model.value
-        z = ((f - mean) / spread) @ weights[:-1] + weights[-1]
-        score = np.where(np.diff(ends) > 0, 1 / (1 + np.exp(-np.clip(z, -30, 30))), prior)
-        return {"doc_id": batch.column("doc_id"), "score": score}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            f = np.array(batch.column("f").to_pylist()).reshape(batch.num_rows, 2 + len(LEVELS))
+            z = (((f - mean) / spread) * weights[:-1]).sum(axis=1) + weights[-1]
+            score = np.where(batch.column("n").to_numpy() > 0, 1 / (1 + np.exp(-np.clip(z, -30, 30))), prior)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], names=["doc_id", "score"])
 
-    scored = map_text(texts, "text", run, "doc_id long, score double")
+    scored = measured.mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import random
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from arbor.llm import toxicity
+from arbor.llm.common import Scratch
+from arbor.llm.hashing import words
 
 from .helpers import clashing
 
@@ -85,3 +89,44 @@ def test_models_back_off_to_common_counts():
     first = toxicity.Models(t).first
     assert first[2] > 1 > -1 > first[1] and abs(first[0]) < 0.5 and abs(first[3]) < 0.5
     assert abs(first[1000]) < 1  # a word that neither class has is left to the common part
+
+
+def test_no_two_words_share_counts(spark):
+    """Two words whose hashes begin with the same 20 bits, one only in toxic rows and one only in others, in ever new contexts."""
+    names = [f"word{i}" for i in range(6000)]
+    cell = words(pa.array([" ".join(names)]), terms=True)[0] >> np.uint64(44)
+    order = np.argsort(cell, kind="stable")
+    at = np.flatnonzero(cell[order][1:] == cell[order][:-1])[0]
+    bad, good = names[order[at]], names[order[at + 1]]
+    rows = [(i, " ".join(f"f{i}x{k} {w}" for k, w in enumerate([bad if i % 2 else good] * 12))) for i in range(300)]
+    got = toxicity.score_toxicity(
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame([(i, 1, i % 2) for i, _ in rows], "doc_id long, quality int, toxic int")).collect()
+    score = {c: [r.score for r in got if r.held_out and r.doc_id % 2 == c] for c in (0, 1)}
+    assert min(score[1]) > 0.9 and max(score[0]) < 0.1
+
+
+def test_counts_are_those_of_brute_force(spark):
+    toxicity.ship(spark)
+    rows, labels = corpus(200)
+    toxic = {i: t for i, _, t in labels}
+    training = spark.createDataFrame([(text, toxic[i]) for i, text in rows], "text string, toxic int").repartition(5)
+    counts = toxicity._counts(training, 64, Scratch(spark, "test"))
+    table = toxicity._word_table(counts)
+    pairs = Counter()
+    for i, text in rows:
+        w = words(pa.array([text]), terms=True)[0].tolist()
+        pairs.update((b, x, toxic[i]) for b, x in zip([0, *w], w))
+    want = defaultdict(lambda: [0] * 7)
+    for b, x in {(b, x) for b, x, _ in pairs}:
+        want[x][0] += 1
+    for (b, x, c), n in pairs.items():
+        want[x][1 + c] += 1
+        want[b][3 + c] += n
+        want[b][5 + c] += 1
+    assert {w: list(n) for w, *n in zip(table["words"].tolist(), *(table[k][:-1].tolist() for k in toxicity.WORD_COUNTS))} == dict(want)
+    got = {}
+    for r in counts.where("part < 0").collect():
+        n = np.frombuffer(r["c"], np.int32).reshape(2, -1)
+        got.update(zip(zip(toxicity._unpacked(bytes(r["a"])).tolist(), np.frombuffer(r["b"], np.uint64).tolist()), n.T.tolist()))
+    assert got == {(b, x): [pairs[b, x, 0], pairs[b, x, 1]] for b, x, _ in pairs}

@@ -12,8 +12,8 @@ have weighs little.
 A document's log-likelihoods are normalised by its length: the features are the
 mean log-ratio per word at each order, and the shares of words whose first-order
 ratio passes fixed levels. A logistic regression turns them into a score. It is
-fitted on training rows that the models did not see (a fifth, by hash), at most
-``FIT_ROWS`` of them.
+fitted on training rows that the models did not see: a fifth, by hash, or about
+``FIT_ROWS`` where a fifth is more. Counts come from every other training row.
 
 Words are terms (case and punctuation don't count) under their 64-bit hash, and
 so are pairs, so what is counted grows with the input and nothing shares a count.
@@ -395,6 +395,11 @@ def logistic(x: np.ndarray, y: np.ndarray, strength: float = 1e-3, rounds: int =
     return w
 
 
+def _fit_rows(labelled: int) -> Column:
+    """Which labelled ids are kept from the models for the logistic fit: a fifth, or about ``FIT_ROWS`` of many."""
+    return F.expr(f"pmod(xxhash64(doc_id, 'fit'), {1 << 30})") < int((1 << 30) * min(0.2, FIT_ROWS / max(labelled, 1)))
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document."""
     spark = docs.sparkSession
@@ -404,7 +409,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(
         "doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(
         ~held_out(F.col("doc_id")))
-    fit = F.expr("pmod(xxhash64(doc_id, 'fit'), 5) = 0")
+    fit = _fit_rows(known.count())
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, -(-chars // (WORD_CHARS << PAIR_BITS)))
     counts = _counts(_training(texts, known.where(~fit)), buckets, scratch)
@@ -412,7 +417,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -
     measured = _features(texts, counts, buckets, shared, scratch)
     scratch.drop("counts")
     rows = measured.join(known.where(fit), "doc_id")
-    got = rows.orderBy(F.xxhash64("doc_id")).limit(FIT_ROWS).select("toxic", "f").toArrow()
+    got = rows.orderBy(F.xxhash64("doc_id")).select("toxic", "f").toArrow()
     y = got.column("toxic").to_numpy().astype(np.float64)
     x = np.array(got.column("f").to_pylist()).reshape(len(y), 2 + len(LEVELS))
     prior = float((y.sum() + 0.5) / (len(y) + 1))

@@ -130,3 +130,18 @@ def test_counts_are_those_of_brute_force(spark):
         n = np.frombuffer(r["c"], np.int32).reshape(2, -1)
         got.update(zip(zip(toxicity._unpacked(bytes(r["a"])).tolist(), np.frombuffer(r["b"], np.uint64).tolist()), n.T.tolist()))
     assert got == {(b, x): [pairs[b, x, 0], pairs[b, x, 1]] for b, x, _ in pairs}
+
+
+def test_only_rows_of_the_fit_are_kept_from_the_counts(spark, monkeypatch):
+    ids = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    assert 0.18 < ids.where(toxicity._fit_rows(20_000)).count() / 20_000 < 0.22
+    monkeypatch.setattr(toxicity, "FIT_ROWS", 500)
+    assert 400 < ids.where(toxicity._fit_rows(20_000)).count() < 600
+    seen = []
+    monkeypatch.setattr(toxicity, "_training", lambda texts, labels, f=toxicity._training: seen.append(labels.count()) or f(texts, labels))
+    monkeypatch.setattr(toxicity, "FIT_ROWS", 20)
+    rows, labels = corpus(400)
+    toxicity.score_toxicity(spark.createDataFrame(rows, "doc_id long, text string"),
+                            spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    known = sum(zlib.crc32(str(i).encode()) % 3 != 1 for i, _ in rows)
+    assert known - 45 < seen[0] < known

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontam, html_text, jaccard, quality, secret_scan, topk, toxicity, url_filter
+from . import (
+    bpe, chat, decontam, exact_dedup, html_text, importance, jaccard, prefix_trie, quality, secret_scan, topk, toxicity, url_filter,
+)
 from .common import table
 
 
@@ -64,6 +66,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.report(exact_dedup.groups(table(spark, sf_dir, "documents")))
+
+
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"), block=100, most=6)
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=25, least_words=20, seed=7)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_main_text": op2_main_text,
@@ -75,6 +89,9 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_jaccard": op9_jaccard,
     "op10_toxicity": op10_toxicity,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_trie": op12_trie,
+    "op13_importance": op13_importance,
 }
 
 # Where SQL can express a query: DuckDB over the same tables. The others are held against brute force in the tests.
@@ -129,4 +146,48 @@ ORACLE: dict[str, str] = {
         )
         SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, r.component_id
         FROM sets s JOIN (SELECT id, min(other) AS component_id FROM reach GROUP BY id) r ON s.doc_id = r.id""",
+    "op11_exact_dedup": """
+        WITH texts AS (
+            SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents
+        )
+        SELECT doc_id, max(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+               row_number() OVER (PARTITION BY norm ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(norm) AS text_sha256
+        FROM texts""",
+    # crc32 of the id's digits, bit by bit; nodes are grouped by the list of their turns' hashes
+    "op12_trie": """
+        WITH turns AS (
+            SELECT conv_id AS c, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+                   CAST(length(coalesce(text, '')) AS BIGINT) AS chars, turn FROM conversations WHERE conv_id IS NOT NULL
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, digest) AS q FROM turns
+        ), crc AS (
+            SELECT c, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(c AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+                lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384))),
+                CAST(4294967295 AS BIGINT)) % 6 AS h, count(*) AS own FROM turns GROUP BY c
+        ), convs AS (
+            SELECT a.c, a.h, a.c - a.c % 100 AS base, least(a.h, coalesce(b.own, 0)) AS p, greatest(a.own - a.h, 0) AS kept
+            FROM crc a LEFT JOIN crc b ON b.c = a.c - a.c % 100
+        ), rebuilt AS (
+            SELECT v.c, t.q AS d, t.digest, t.chars FROM convs v JOIN placed t ON t.c = v.base AND t.q <= v.p
+            UNION ALL SELECT v.c, t.q - v.h + v.p, t.digest, t.chars FROM convs v JOIN placed t ON t.c = v.c AND t.q > v.h
+        ), sums AS (
+            SELECT c, d, chars, sha256(string_agg(digest, ',') OVER (PARTITION BY c ORDER BY d)) AS k FROM rebuilt
+        ), paths AS (
+            SELECT c, d, chars, k, coalesce(lag(k) OVER (PARTITION BY c ORDER BY d), 'root') AS above FROM sums
+            UNION ALL SELECT c, 0, 0, 'root', NULL FROM convs
+        ), nodes AS (
+            SELECT d, k, min(c) AS m, count(*) AS n, max(chars) AS chars, any_value(above) AS above FROM paths GROUP BY d, k
+        ), measured AS (
+            SELECT x.*, (SELECT count(*) FROM nodes y WHERE y.above = x.k AND y.d = x.d + 1) AS kids FROM nodes x
+        ), totals AS (
+            SELECT p.d, p.k, sum(CASE WHEN u.kids = 0 THEN 1 ELSE 0 END) AS leaves, sum((u.n - 1) * u.chars) AS tokens
+            FROM measured u JOIN paths p ON p.c = u.m AND p.d <= u.d GROUP BY p.d, p.k
+        ), ends AS (
+            SELECT p.d, p.k, sha256(string_agg(CAST(p.c AS VARCHAR), ',' ORDER BY p.c)) AS sha
+            FROM paths p JOIN convs v ON v.c = p.c AND p.d = v.p + v.kept GROUP BY p.d, p.k
+        )
+        SELECT x.m AS conv_id, CAST(x.d AS BIGINT) AS depth, u.m AS parent_conv_id, x.n AS n_convs, x.kids AS n_children,
+               CAST(t.leaves AS BIGINT) AS n_leaves, CAST(t.tokens AS BIGINT) AS saved_tokens, coalesce(e.sha, sha256('')) AS ends_sha256
+        FROM measured x JOIN totals t ON t.d = x.d AND t.k = x.k LEFT JOIN ends e ON e.d = x.d AND e.k = x.k
+        LEFT JOIN nodes u ON u.k = x.above AND u.d = x.d - 1""",
 }

@@ -40,9 +40,12 @@ def path_to_root(h: Hierarchy, ids: DataFrame, id_col: str = "vid", method: str
     return _indexed_path(chains, ids, id_col, unique=True)
 
 
-def is_subtree(h: Hierarchy, pairs: DataFrame, target_col: str = "target", source_col: str = "source") -> DataFrame:
-    """``(target, source, is_subtree)``: is ``target`` in the subtree of ``source``."""
-    return walk_is_subtree(h.walk_table(), pairs, h.root, target_col, source_col, conf=h.conf())
+def is_subtree(h: Hierarchy, pairs: DataFrame, target_col: str = "target", source_col: str = "source",
+               depths: DataFrame | None = None) -> DataFrame:
+    """``(target, source, is_subtree)``: is ``target`` in the subtree of ``source``.
+
+    With ``depths`` (``node, depth``, see :func:`arbor.operators.jump.depths`) a walk ends at the depth of its highest source."""
+    return walk_is_subtree(h.walk_table(), pairs, h.root, target_col, source_col, conf=h.conf(), depths=depths)
 
 
 def children_of(h: Hierarchy, parents: DataFrame, key: str = "vid") -> DataFrame:

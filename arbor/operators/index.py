@@ -26,7 +26,7 @@ from ..hierarchy import Hierarchy
 from ..plans.layout import keyed
 from ..plans.materialize import RoundWriter
 from ..plans.skew import SALT, salt_one
-from ..sources.edges import write_snapshot
+from ..sources.edges import clustered, write_snapshot
 
 INDEX_SCHEMA = StructType([
     StructField("id", LongType(), False),
@@ -39,10 +39,13 @@ INDEX_SCHEMA = StructType([
 DEFAULT_MAX_LEVEL = 3
 # Range key of a stored index: path first (subtrees contiguous), then id (a shared path is split).
 INDEX_CLUSTERING = ["path", "id"]
-# Fixed value: hash buckets of the lookup copies of a stored index. A question set names this many
-# buckets at most, at any size, so their list is bounded.
-ID_BUCKETS = 256
-BUCKET = "_bucket"
+#: A question set whose plan is estimated at no more bytes is stored and looked at before the search,
+#: and if it has no more different ids, these are pushed to the scan.
+FEW_BYTES, FEW_IDS = 1 << 16, 256
+#: Ids of one pushed list: longer ones Spark turns into a range from the smallest to the largest.
+LIST_IDS = 10
+#: Different ids that a row group's Bloom filter is made for.
+BLOOM_IDS = 1 << 17
 
 
 def root_row(spark: SparkSession, root: int) -> DataFrame:
@@ -185,44 +188,82 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
-def bucket_of(column: Column) -> Column:
-    """Lookup bucket of an id."""
-    return F.pmod(F.xxhash64(column.cast("bigint")), F.lit(ID_BUCKETS)).cast("int")
+def is_small(questions: DataFrame) -> bool:
+    """Spark estimates a question set at ``FEW_BYTES`` at most: sets read from a few small files, or made from such."""
+    return int(str(questions._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= FEW_BYTES
+
+
+def few_ids(questions: DataFrame, column: str) -> list[int] | None:
+    """The different ids of a stored question set, or ``None`` if they are more than ``FEW_IDS``."""
+    found = [r[0] for r in questions.select(F.col(column).cast("bigint")).distinct().take(FEW_IDS + 1)]
+    return None if len(found) > FEW_IDS else sorted(x for x in found if x is not None)
+
+
+def among(column: str, ids: list[int]) -> Column:
+    """``column`` is one of ``ids``, as lists that Spark pushes to a Parquet scan value by value."""
+    out = F.lit(False)
+    for i in range(0, len(ids), LIST_IDS):
+        out = out | F.col(column).isin(ids[i:i + LIST_IDS]) if i else F.col(column).isin(ids[:LIST_IDS])
+    return out
 
 
 class StoredIndex:
     """An index stored three ways, so that every search prunes its scan.
 
-    * ``by_path``: clustered by ``(path, id)``; a subtree is one range of paths.
-    * ``by_id``: partitioned by the bucket of ``id``; lookups of nodes.
-    * ``by_parent``: partitioned by the bucket of ``parent``; lookups of children and siblings.
-      A parent with very many children is cut into many files of its bucket.
+    * ``path``: clustered by ``(path, id)``; a subtree is one range of paths.
+    * ``id``: sorted by ``id``; lookups of nodes.
+    * ``parent``: ``(id, path, parent)`` sorted by ``(parent, id)``; lookups of children and siblings.
+      A parent with very many children is cut into many files.
+
+    Files follow the data's size. Row groups of the lookup copies are found by their smallest and
+    largest key and by Bloom filters.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    LOOKUPS = {"id": INDEX_SCHEMA, "parent": StructType([INDEX_SCHEMA[c] for c in ("id", "path", "parent")])}
+
+    def __init__(self, spark: SparkSession, path: str, files: dict[str, list[str]] | None = None):
+        """``files`` lists the files of each copy, where an update left some of them in place."""
+        self.spark, self.path, self.files = spark, path.rstrip("/"), files or {}
+
+    def copy(self, name: str) -> DataFrame:
+        reader = self.spark.read.schema(self.LOOKUPS.get(name, INDEX_SCHEMA))
+        return reader.parquet(*self.files[name]) if name in self.files else reader.parquet(f"{self.path}/{name}")
 
     @property
     def by_path(self) -> DataFrame:
-        return self.spark.read.schema(INDEX_SCHEMA).parquet(f"{self.path}/path")
+        return self.copy("path")
+
+    def lookup(self, copy: str) -> DataFrame:
+        return self.copy(copy)
+
+    def write_copy(self, rows: DataFrame, name: str, keys: list[str], folder: str, row_group: int | None = None) -> None:
+        out = clustered(rows, keys).write.mode("overwrite")
+        if name in self.LOOKUPS:
+            out = out.option(f"parquet.bloom.filter.enabled#{name}", "true").option(
+                f"parquet.bloom.filter.expected.ndv#{name}", str(BLOOM_IDS))
+        (out.option("parquet.block.size", str(row_group)) if row_group else out).parquet(folder)
+
+    def looked(self, questions: DataFrame, column: str) -> tuple[DataFrame, list[int] | None]:
+        """The questions, and their different ids where these are few.
 
-    def _lookup(self, copy: str) -> DataFrame:
-        schema = StructType([*INDEX_SCHEMA.fields, StructField(BUCKET, IntegerType())])
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{copy}")
+        Only a set that is estimated to be small is looked at, and it is stored before that, so that the
+        search reads what was looked at: no question set is run twice, and a large one is not run early."""
+        if not is_small(questions):
+            return questions, None
+        stored = RoundWriter(questions, "asked").write(questions, "questions")
+        return stored, few_ids(stored, column)
 
-    def rows_of(self, questions: DataFrame, column: str, copy: str) -> DataFrame:
-        """Rows of a lookup copy in the buckets of the questions' ``column`` (a list of ``ID_BUCKETS`` at most)."""
-        asked = [r[0] for r in questions.select(bucket_of(F.col(column))).distinct().collect() if r[0] is not None]
-        rows = self._lookup(copy)
-        return (rows if len(asked) == ID_BUCKETS else rows.where(F.col(BUCKET).isin(asked))).drop(BUCKET)
+    def rows_of(self, copy: str, few: list[int] | None) -> DataFrame:
+        """Rows of a lookup copy: those whose key is in ``few``, pushed to the scan, or all, left to the join."""
+        rows = self.lookup(copy)
+        return rows if few is None else rows.where(among(copy, few))
 
 
-def store_index(index: DataFrame, path: str) -> StoredIndex:
-    """Write the three copies of an index and open them."""
+def store_index(index: DataFrame, path: str, row_group: int | None = None) -> StoredIndex:
+    """Write the three copies of an index and open them; ``row_group`` sets the lookup copies' row group size in bytes."""
     path = path.rstrip("/")
     write_index(index, f"{path}/path")
-    for copy, key in (("id", "id"), ("parent", "parent")):
-        rows = index.withColumn(BUCKET, bucket_of(F.col(key)))
-        keys = [BUCKET, key] if key == "id" else [BUCKET, key, "id"]
-        rows.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/{copy}")
-    return StoredIndex(index.sparkSession, path)
+    stored = StoredIndex(index.sparkSession, path)
+    for name, keys in (("id", ["id", "path"]), ("parent", ["parent", "id"])):
+        stored.write_copy(index.select(*StoredIndex.LOOKUPS[name].names), name, keys, f"{path}/{name}", row_group)
+    return stored

@@ -11,16 +11,13 @@ The walking side can be skewed: many start ids share an ancestor, so from the
 second round on one current node can hold a large share of the walkers. The
 parent table is laid out once (partitioned and sorted by node, persisted), so
 the sort-merge join reads it without a shuffle -- which also means AQE cannot
-split a skewed partition of that join. So the same write that stores a round
-also reports, through its ``Observation``, a frequent-items sketch of the
-walkers' next nodes (``approx_top_k``, at most ``arbor.skew.maxKeys`` items, so a
-node past it holds less than one part in ``maxKeys`` of the walkers): no extra job. In the next round, walkers at nodes the sketch counts at least
-``arbor.skew.minRows`` times join a broadcast of just those nodes' parent rows
-(at most ``maxKeys`` rows) where they are, and only the other walkers are
-shuffled to the sort-merge join. The sketch only routes rows: any choice of
-hot nodes gives exactly the same answer, so its approximation is safe. (On a
-Spark without ``approx_top_k``, a round with at least ``minRows`` walkers counts
-them per node exactly instead: one extra, partially aggregated job.)
+split a skewed partition of that join. So a round that left at least
+``arbor.skew.minRows`` walkers counts them per node from its written rows (partial
+counts in tasks, sums in reducers; only nodes past a threshold that at most
+``arbor.skew.maxKeys`` nodes can pass leave a reducer). In the next round, walkers at
+those nodes join a broadcast of just those nodes' parent rows where they are, and
+only the other walkers are shuffled to the sort-merge join. Which nodes are hot only
+routes rows: any choice gives exactly the same answer.
 """
 
 from __future__ import annotations
@@ -31,9 +28,11 @@ from pyspark.sql import functions as F
 from ..functions.columns import empty_ids
 from ..plans.layout import keyed
 from ..plans.materialize import RoundWriter
-from ..plans.skew import SkewConf, hot_keys
+from ..plans.skew import SkewConf, heavy_keys
 
 _GO = "go"
+#: Sources that a walking row asks for, about.
+CHUNK = 64
 
 
 def _lookup(active: DataFrame, p: DataFrame, hot: list[int]) -> DataFrame:
@@ -49,37 +48,18 @@ def _lookup(active: DataFrame, p: DataFrame, hot: list[int]) -> DataFrame:
     return j_cold.unionByName(j_hot)
 
 
-# Limits of the sketch function, items reported and items tracked.
-SKETCH_ITEMS, SKETCH_TRACKED = 100_000, 1_000_000
-
-
-def _next_nodes_sketch(conf: SkewConf):
-    """Frequent next nodes of the rows still walking, as ``array<struct<item, count>>``, ``max_keys`` at most."""
-    k = min(conf.max_keys, SKETCH_ITEMS)
-    return F.expr(f"approx_top_k(CASE WHEN _status = '{_GO}' THEN cur END, {k}, {min(4 * k, SKETCH_TRACKED)})")
-
-
-def _hot_nodes(top, walking: int, conf: SkewConf) -> list[int]:
-    if walking < conf.min_rows or not top:
-        return []
-    return [r["item"] for r in top if r["item"] is not None and r["count"] >= conf.min_rows][: conf.max_keys]
-
-
-def _has_sketch(spark) -> bool:
-    """``approx_top_k`` is a Spark 4.1 function; without it the hot nodes are counted exactly."""
-    return bool(spark.catalog.functionExists("approx_top_k"))
-
-
-def _counted_hot_nodes(walkers: DataFrame, walking: int, conf: SkewConf) -> list[int]:
-    """Exact form: one partially aggregated count of the walkers per node, at most ``max_keys`` kept."""
+def _hot_nodes(walkers: DataFrame, walking: int, conf: SkewConf) -> list[int]:
+    """Nodes with very many of the ``walking`` walkers: ``max_keys`` at most."""
     if walking < conf.min_rows:
         return []
-    return [r["key"] for r in hot_keys(walkers, "cur", conf).collect()]
+    return [r["key"] for r in heavy_keys(walkers, "cur", conf, walking).collect()]
 
 
-def _rounds(name: str, active: DataFrame, parents: DataFrame, step, conf: SkewConf | None = None) -> DataFrame:
-    """Run rounds until no row walks; ``step(joined)`` adds ``_status`` and the next round's columns.
+def _rounds(name: str, active: DataFrame, parents: DataFrame, step, conf: SkewConf | None = None,
+            walking: int = 0) -> DataFrame:
+    """Run rounds until no row walks; ``step(joined, n)`` adds ``_status`` and the next round's columns.
 
+    ``walking`` is given where rows may share their node from the start (then ``active`` is a stored table).
     Returns the finished rows of every round as one Parquet scan."""
     writer = RoundWriter(active, name)
     conf = conf or SkewConf.from_session(active.sparkSession)
@@ -88,31 +68,26 @@ def _rounds(name: str, active: DataFrame, parents: DataFrame, step, conf: SkewCo
     p = keyed(parents.select(F.col("src").alias("_ps"), F.col("parent").alias("_pp")), "_ps") if owned else parents
     tags: list[str] = []
     schema = None
-    hot: list[int] = []  # the asked ids are distinct: no current node is shared in the first round
-    sketch = _has_sketch(active.sparkSession)
+    hot = _hot_nodes(active, walking, conf)
     try:
         n = 0
         while True:
             n += 1
-            j = _lookup(active, p, hot)
-            staged = step(j)
+            staged = step(_lookup(active, p, hot), n)
             obs = Observation(f"{name}{n}")
-            metrics = [F.sum(F.when(F.col("_status") == _GO, 1).otherwise(0)).alias("go")]
-            if sketch:
-                metrics.append(_next_nodes_sketch(conf).alias("top"))
-            wrote = writer.write(staged.observe(obs, *metrics), f"round-{n}", split="_status")
+            left = F.sum(F.when(F.col("_status") == _GO, 1).otherwise(0)).alias("go")
+            wrote = writer.write(staged.observe(obs, left), f"round-{n}", split="_status")
             tags.append(f"round-{n}")
             schema = wrote.schema
             walking = obs.get["go"]
             if not walking:
                 break
             active = wrote.where(F.col("_status") == _GO).drop("_status")
-            hot = (_hot_nodes(obs.get["top"], walking, conf) if sketch
-                   else _counted_hot_nodes(active, walking, conf))
+            hot = _hot_nodes(active, walking, conf)
     finally:
         if owned:
             p.unpersist()
-    writer.release("_status", keep=("none", "root", "loop"))  # walking rows went on in the next round
+    writer.release("_status", keep=("none", "root", "loop", "met", "far"))  # walking rows went on in the next round
     return writer.read(tags, schema).where(F.col("_status") != _GO)
 
 
@@ -127,7 +102,7 @@ def walk_paths(parents: DataFrame, ids: DataFrame, root: int, id_col: str = "vid
     active = q.where(F.col("vid") != F.lit(root)).select(
         "vid", F.col("vid").alias("cur"), F.array(F.col("vid")).alias("acc"))
 
-    def step(j: DataFrame) -> DataFrame:
+    def step(j: DataFrame, n: int) -> DataFrame:
         par = F.col("_pp")
         status = (F.when(par.isNull(), F.lit("none"))
                   .when(par == F.lit(root), F.lit("root"))
@@ -141,47 +116,62 @@ def walk_paths(parents: DataFrame, ids: DataFrame, root: int, id_col: str = "vid
     return at_root.unionByName(finished)
 
 
-def walk_chains(parents: DataFrame, ids: DataFrame, root: int, id_col: str = "vid",
-                conf: SkewConf | None = None) -> DataFrame:
-    """``(vid, chain)``: the ancestors met walking up from ``vid``, nearest first.
-
-    The walk ends after the root (included), at a node without parent, or when
-    a node repeats (a loop); the root and unknown ids have ``[]``.
-    """
-    q = ids.select(F.col(id_col).cast("bigint").alias("vid")).where(F.col("vid").isNotNull()).distinct()
-    at_root = q.where(F.col("vid") == F.lit(root)).select("vid", empty_ids().alias("chain"))
-    active = q.where(F.col("vid") != F.lit(root)).select(
-        "vid", F.col("vid").alias("cur"), F.array(F.col("vid")).alias("seen"))
-
-    def step(j: DataFrame) -> DataFrame:
-        par = F.col("_pp")
-        status = (F.when(par.isNull(), F.lit("none"))
-                  .when(par == F.lit(root), F.lit("root"))
-                  .when(F.array_contains(F.col("seen"), par), F.lit("loop"))
-                  .otherwise(F.lit(_GO)))
-        seen = F.when(par.isNull(), F.col("seen")).otherwise(F.concat(F.col("seen"), F.array(par)))
-        return j.select("vid", par.alias("cur"), seen.alias("seen"), status.alias("_status"))
-
-    finished = _rounds("walk-chain", active, parents, step, conf).select(
-        "vid", F.slice(F.col("seen"), 2, F.greatest(F.size("seen") - 1, F.lit(0))).alias("chain"))
-    return at_root.unionByName(finished)
-
-
-def walk_is_subtree(parents: DataFrame, pairs: DataFrame, root: int,
-                    target_col: str = "target", source_col: str = "source", conf: SkewConf | None = None) -> DataFrame:
+def _chunks(pairs: DataFrame, depths: DataFrame | None, writer: RoundWriter) -> tuple[DataFrame, int]:
+    """``vid, chunk, cur, open, met, mark, far``: the sources asked for each target, about ``CHUNK`` to a row."""
+    sizes = pairs.groupBy("target").agg(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK)).alias("_of"))
+    dealt = pairs.join(sizes, "target").withColumn("chunk", F.pmod(F.xxhash64("source"), F.col("_of")))
+    far = F.lit(None).cast("bigint")
+    if depths is not None:  # hops up to the highest source; one that is not above the target's depth is never met
+        up, down = (depths.select(F.col("node").alias(n), F.col("depth").alias(f"_{n}")) for n in ("target", "source"))
+        dealt = dealt.join(up, "target", "left").join(down, "source", "left")
+        far = F.max(F.coalesce(F.col("_target") - F.col("_source"), F.lit(0))).alias("far")
+    rows = dealt.groupBy(F.col("target").alias("vid"), "chunk").agg(F.collect_list("source").alias("open"), *([far] if depths is not None else []))
+    rows = rows.select("vid", "chunk", F.col("vid").alias("cur"), "open", empty_ids().alias("met"), F.col("vid").alias("mark"),
+                       F.col("far") if depths is not None else far.alias("far"))
+    seen = Observation("chunks")
+    stored = writer.write(rows.observe(seen, F.count(F.lit(1)).alias("n")), "chunks")
+    return stored, seen.get["n"]
+
+
+def walk_is_subtree(parents: DataFrame, pairs: DataFrame, root: int, target_col: str = "target", source_col: str = "source",
+                    conf: SkewConf | None = None, depths: DataFrame | None = None) -> DataFrame:
     """``(target, source, is_subtree)`` per distinct pair.
 
     True when the ids are equal (known or not) or ``source`` is met walking up
-    from ``target`` (the root included); false otherwise. Each distinct target
-    walks once, however many sources it is asked with; the pairs then join the
-    walked chains on ``target`` (one chain row per target, so a target asked
-    with very many sources is a skewed key AQE splits).
+    from ``target`` (the root included); false otherwise. A target walks with the
+    sources that it is asked with, about ``CHUNK`` of them to a walking row (a target asked
+    with very many has several), and stops as soon as all of them are met, at the
+    root, or where the chain ends or loops. With ``depths`` (``node, depth``) it also stops
+    at the depth of its highest source. A row holds its open and met sources and one
+    marked node, which is moved on at every power of two: a walk that comes back to the
+    mark is in a loop, so no chain is kept.
     """
     q = pairs.select(F.col(target_col).cast("bigint").alias("target"),
                      F.col(source_col).cast("bigint").alias("source")).dropna().distinct()
-    same = q.where(F.col("target") == F.col("source")).withColumn("is_subtree", F.lit(True))
-    others = q.where(F.col("target") != F.col("source"))
-    chains = walk_chains(parents, others.select(F.col("target").alias("vid")), root, conf=conf)
-    j = others.join(chains, F.col("target") == F.col("vid"), "left")
-    hit = F.coalesce(F.array_contains(F.col("chain"), F.col("source")), F.lit(False))
-    return same.unionByName(j.select("target", "source", hit.alias("is_subtree")))
+    same = F.col("target") == F.col("source")
+    writer = RoundWriter(pairs, "walk-subtree")
+    q = writer.write(q, "pairs")
+    active, walking = _chunks(q.where(~same), depths, writer)
+
+    def step(j: DataFrame, n: int) -> DataFrame:
+        par = F.col("_pp")
+        hit = F.array_contains(F.col("open"), par)
+        left = F.when(hit, F.array_remove(F.col("open"), par)).otherwise(F.col("open"))
+        met = F.when(hit, F.concat(F.col("met"), F.array(par))).otherwise(F.col("met"))
+        staged = j.select("vid", "chunk", par.alias("cur"), left.alias("open"), met.alias("met"), "mark", "far")
+        status = (F.when(F.col("cur").isNull(), F.lit("none"))
+                  .when(F.size("open") == 0, F.lit("met"))
+                  .when(F.col("cur") == F.lit(root), F.lit("root"))
+                  .when(F.col("cur") == F.col("mark"), F.lit("loop"))
+                  .when(F.col("far") <= n, F.lit("far"))
+                  .otherwise(F.lit(_GO)))
+        mark = F.col("cur") if n & (n - 1) == 0 else F.col("mark")
+        return staged.withColumn("_status", status).withColumn("mark", mark)
+
+    # the root has no parent here, and no source is above it
+    at_root = active.where(F.col("vid") == F.lit(root)).select("vid", "met", "open")
+    active = active.where(F.col("vid") != F.lit(root))
+    done = _rounds("walk-subtree", active, parents, step, conf, walking).select("vid", "met", "open").unionByName(at_root)
+    answers = done.select("vid", F.explode("met").alias("source"), F.lit(True).alias("is_subtree")).unionByName(
+        done.select("vid", F.explode("open").alias("source"), F.lit(False).alias("is_subtree")))
+    return q.where(same).withColumn("is_subtree", F.lit(True)).unionByName(answers.withColumnRenamed("vid", "target"))

@@ -62,6 +62,16 @@ def _geo(body: str, depth_limit: str = "", more_edges: str = "") -> str:
     return GEO.format(depth_limit=depth_limit, more_edges=more_edges) + body
 
 
+# parts in pairs (2, 3), (4, 5), .. that are each other's parent, and their line items below them
+BROKEN_EDGES = """UNION ALL SELECT CAST(p_partkey AS BIGINT) * 8, xor(CAST(p_partkey AS BIGINT), CAST(1 AS BIGINT)) * 8 FROM part
+  UNION SELECT (CAST(l_orderkey AS BIGINT) * 64 + l_linenumber) * 8 + 7, CAST(l_partkey AS BIGINT) * 8 FROM lineitem"""
+
+
+def _moved(sql: str) -> str:
+    """The geo tree with the customers of nation 1 in nation 2."""
+    return sql.replace("CAST(c_nationkey AS BIGINT) * 8 + 3", "CAST(CASE WHEN c_nationkey = 1 THEN 2 ELSE c_nationkey END AS BIGINT) * 8 + 3")
+
+
 def _doc_rows(rows: str) -> str:
     # ``rows``: SELECTs of (vid, level, parent, id); the node's JSON comes from one join with the vertices
     return (f"SELECT d.vid, CAST(d.level AS INTEGER) AS level, d.parent, d.id, "
@@ -159,4 +169,37 @@ ORACLE = {
     "vertices_text": _geo("SELECT id, name, names FROM v"),
     "edges_snapshot": _geo("SELECT src, dst, relationship FROM e"),
     "index_minimal": _geo("SELECT id, path, depth, parent, ancestors FROM p"),
+    "subtree_members_interval": _geo("SELECT DISTINCT v.id AS vid, x.member FROM v JOIN "
+                                     "(SELECT p.id AS member, unnest(list_append(p.ancestors, p.id)) AS above FROM p) x ON x.above = v.id"),
+    "subtree_members_dag": _geo("SELECT DISTINCT v.id AS vid, x.member FROM v JOIN "
+                                "(SELECT p.id AS member, unnest(list_append(p.ancestors, p.id)) AS above FROM p) x ON x.above = v.id", "", DAG_EDGES),
+    "is_subtree_interval": _geo("SELECT q.target, q.source, (q.target = q.source OR "
+                                "coalesce(list_contains(p.ancestors, q.source), false)) AS is_subtree "
+                                "FROM pairs q LEFT JOIN p ON p.id = q.target"),
+    # siblings are visited by id: a node's number is the count of nodes before it in the order of the ids on its path
+    "interval_labels": _geo("SELECT a.id, path, depth, parent, first, first + z.size - 1 AS last FROM "
+                            "(SELECT *, row_number() OVER (ORDER BY list_append(ancestors, id)) AS first FROM p) a JOIN "
+                            "(SELECT above AS id, count(*) AS size FROM (SELECT unnest(list_append(ancestors, id)) AS above FROM p) "
+                            "GROUP BY above) z ON z.id = a.id"),
+    "path_to_root_jump": _geo(f"SELECT q.vid, {_path_expr()} AS path FROM (SELECT DISTINCT vid FROM nodes) q "
+                              "LEFT JOIN p ON p.id = q.vid"),
+    "path_to_root_jump_heap": HEAP + f"SELECT q.vid, {_path_expr()} AS path FROM (SELECT DISTINCT vid FROM nodes) q "
+                                     "LEFT JOIN p ON p.id = q.vid",
+    "is_subtree_near": _geo("SELECT q.target, q.source, (q.target = q.source OR "
+                            "coalesce(list_contains(p.ancestors, q.source), false)) AS is_subtree "
+                            "FROM pairs q LEFT JOIN p ON p.id = q.target"),
+    "sibling_classes": _geo("SELECT parent, path, id AS member, count(*) OVER (PARTITION BY parent, path) AS class_size "
+                            "FROM p WHERE parent IS NOT NULL"),
+    "find_ids_like": _geo("SELECT q.name, coalesce(min(v.id), CAST(-1 AS BIGINT)) AS vid FROM "
+                          "(SELECT c_mktsegment AS name FROM customer UNION SELECT substring(n_name, 1, 4) || '%' FROM nation "
+                          "UNION SELECT '%' || right(n_name, 3) FROM nation) q "
+                          "LEFT JOIN v ON v.name LIKE '%,' || q.name || ',%' GROUP BY q.name"),
+    "index_rejects": _geo(
+        ", ids AS (SELECT src AS id FROM e UNION SELECT dst FROM e), orphan(id) AS ("
+        "SELECT id FROM ids WHERE id <> 1 AND id NOT IN (SELECT src FROM e WHERE src <> 1) UNION SELECT e.src FROM orphan o JOIN e ON e.dst = o.id) "
+        "SELECT i.id, CASE WHEN m.depth > 3 THEN 'past level' WHEN i.id IN (SELECT id FROM orphan) THEN 'orphan' ELSE 'cycle' END AS reason "
+        "FROM ids i LEFT JOIN (SELECT id, min(depth) AS depth FROM p GROUP BY id) m ON m.id = i.id WHERE m.depth IS NULL OR m.depth > 3",
+        "", BROKEN_EDGES),
+    "index_updated": _moved(_geo("SELECT id, path, depth, parent, ancestors FROM p")),
+    "edges_text_permissive": _geo("SELECT src, dst, relationship FROM e"),
 }

@@ -58,6 +58,15 @@ def hot_keys(df: DataFrame, key: str, conf: SkewConf) -> DataFrame:
     return top.select("key", F.greatest(buckets, F.lit(2)).alias("buckets"))
 
 
+def heavy_keys(df: DataFrame, key: str, conf: SkewConf, total: int) -> DataFrame:
+    """``(key, rows)`` of the keys with at least ``min_rows`` and one in ``max_keys`` of all ``total`` rows.
+
+    At most ``max_keys`` keys can pass that, so neither a sort nor a limit is needed: partial counts in the
+    tasks, sums in the reducers, and only what passes leaves them."""
+    counts = df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
+    return counts.where(F.col("rows") >= max(conf.min_rows, -(-total // conf.max_keys)))
+
+
 def hot_table(spark, rows: list[tuple[int, int]], key_type: str = "bigint") -> DataFrame | None:
     """The collected hot keys as a small local table, or ``None`` when no key is hot."""
     if not rows:

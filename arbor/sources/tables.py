@@ -28,6 +28,7 @@ from .edges import edges_from
 LEVELS = 8
 ROOT = 1
 REGION, NATION, CUSTOMER, SUPPLIER, ORDER, LINE = 2, 3, 4, 5, 6, 7
+PART = 0  # parts are not in the geo tree
 # Fixed names of the root, in order.
 ROOT_NAMES = ("all", "root")
 

@@ -17,15 +17,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .hierarchy import Hierarchy
-from .operators import direct, documents, indexed, motif
+from .operators import direct, documents, indexed, interval, jump, motif, trigrams
 from .operators.index import StoredIndex, build_index, read_index, store_index
+from .operators.rejects import index_rejects
+from .operators.update import update_stored
 from .operators.vertices import build_vertices, find_id_like, find_ids, names_of
 from .plans.materialize import RoundWriter
 from .plans.skew import SkewConf
 from .sources.dump import read_edges, read_names
-from .sources.edges import read_snapshot, write_snapshot
+from .sources.edges import edges_from, read_snapshot, write_snapshot
 from .sources.tables import (
-    CUSTOMER, NATION, ORDER, REGION, ROOT, dag_edges, geo_edges, geo_names, geo_raw_edges, heap_edges, node_id, read_table,
+    CUSTOMER, LINE, NATION, ORDER, PART, REGION, ROOT, dag_edges, geo_edges, geo_names, geo_raw_edges, heap_edges, line_key, node_id, read_table,
 )
 
 # Thresholds low enough that the driver's small tables run the salted and the hot-node plans.
@@ -86,6 +88,29 @@ def stored_index(h: Hierarchy, sf_dir: str, max_level: int, name: str = "geo") -
         build_index(h, max_level), f"{RoundWriter(h.spark, 'stored-index').base}"))
 
 
+def labels(h: Hierarchy, sf_dir: str, name: str = "geo") -> interval.Labels:
+    """The interval labels of an index, made once per session and table folder."""
+    return _prepared(h.spark, sf_dir, f"labels-{name}", lambda: interval.label_index(stored_index(h, sf_dir, -1, name).by_path))
+
+
+def postings(spark: SparkSession, sf_dir: str) -> trigrams.Postings:
+    return _prepared(spark, sf_dir, "postings", lambda: trigrams.build_postings(vertices(spark, sf_dir)))
+
+
+def heap(spark: SparkSession, sf_dir: str) -> Hierarchy:
+    return _prepared(spark, sf_dir, "heap", lambda: Hierarchy(heap_edges(spark, sf_dir)))
+
+
+def broken_geo(spark: SparkSession, sf_dir: str) -> Hierarchy:
+    """The geo tree and, apart from it, parts in pairs that are each other's parent, with their line items below:
+    a part whose partner is missing has a parent that nothing is above."""
+    part = read_table(spark, sf_dir, "part").select("p_partkey")
+    partner = F.col("p_partkey").cast("bigint").bitwiseXOR(F.lit(1))
+    loops = part.select(node_id("p_partkey", PART).alias("src"), node_id(partner, PART).alias("dst"))
+    lines = read_table(spark, sf_dir, "lineitem").select(node_id(line_key(), LINE).alias("src"), node_id("l_partkey", PART).alias("dst")).distinct()
+    return Hierarchy(edges_from(geo_raw_edges(spark, sf_dir).unionByName(loops).unionByName(lines)))
+
+
 def tree_nodes(h: Hierarchy) -> DataFrame:
     """Every node of the tree: each child of an edge, and the root."""
     return h.edges.select(F.col("src").alias("vid")).unionByName(
@@ -323,6 +348,75 @@ def q_index_minimal(spark, sf):
     return read_index(spark, path).select("id", "path", "depth", "parent", "ancestors")
 
 
+def q_subtree_members_interval(spark, sf):
+    h = geo(spark, sf)
+    return interval.subtree_members(labels(h, sf), vertex_ids(h))
+
+
+def q_subtree_members_dag(spark, sf):
+    """Members below every vertex of a tree with several parents: each once, over the intervals of all their paths."""
+    h = dag(spark, sf)
+    return interval.subtree_members(labels(h, sf, "dag"), vertex_ids(h))
+
+
+def q_is_subtree_interval(spark, sf):
+    return interval.is_subtree(labels(geo(spark, sf), sf), purchase_pairs(spark, sf))
+
+
+def q_interval_labels(spark, sf):
+    return labels(geo(spark, sf), sf).rows
+
+
+def q_path_to_root_jump(spark, sf):
+    h = geo(spark, sf)
+    return jump.path_to_root(jump.tree_jumps(h), tree_nodes(h), h.root)
+
+
+def q_path_to_root_jump_heap(spark, sf):
+    h = heap(spark, sf)
+    return jump.path_to_root(jump.tree_jumps(h), tree_nodes(h), h.root)
+
+
+def q_is_subtree_near(spark, sf):
+    """The walk with known depths: a customer's walk ends at the nations' depth."""
+    h = geo(spark, sf)
+    depths = _prepared(spark, sf, "depths", lambda: jump.depths(jump.tree_jumps(h), h))
+    return direct.is_subtree(h, purchase_pairs(spark, sf), depths=depths)
+
+
+def q_sibling_classes(spark, sf):
+    h = geo(spark, sf)
+    return indexed.sibling_classes(stored_index(h, sf, -1), hot=h.hot_parents())
+
+
+def q_find_ids_like(spark, sf):
+    """Every market segment, and the beginning and the end of every nation's name, as patterns."""
+    seg = read_table(spark, sf, "customer").select(F.col("c_mktsegment").alias("name"))
+    nat = read_table(spark, sf, "nation").select("n_name")
+    head = nat.select(F.concat(F.substring("n_name", 1, 4), F.lit("%")).alias("name"))
+    tail = nat.select(F.concat(F.lit("%"), F.expr("right(n_name, 3)")).alias("name"))
+    return trigrams.find_ids_like(postings(spark, sf), seg.unionByName(head).unionByName(tail))
+
+
+def q_index_rejects(spark, sf):
+    return index_rejects(broken_geo(spark, sf), 3)
+
+
+def q_index_updated(spark, sf):
+    """The stored index after all customers of nation 1, and so their orders, have moved to nation 2."""
+    h = geo(spark, sf)
+    moved = read_table(spark, sf, "customer").where("c_nationkey = 1")
+    edge = lambda nation: moved.select(node_id("c_custkey", CUSTOMER).alias("src"), node_id(F.lit(nation), NATION).alias("dst"))
+    return update_stored(stored_index(h, sf, -1), h, edge(2), edge(1)).by_path
+
+
+def q_edges_text_permissive(spark, sf):
+    """A nodes dump in which every nation adds a line without numbers, read in permissive mode."""
+    raw = geo_raw_edges(spark, sf).select(F.col("src").cast("string").alias("src"), F.col("dst").cast("string").alias("dst"))
+    bad = read_table(spark, sf, "nation").select(F.col("n_name").alias("src"), F.col("n_nationkey").cast("string").alias("dst"))
+    return read_edges(spark, _dump_lines(spark, "bad-dump", [F.col("src"), F.col("dst"), F.lit("no rank")], raw.unionByName(bad)), mode="permissive")
+
+
 QUERIES = {
     "edges": q_edges,
     "vertices": q_vertices,
@@ -362,4 +456,16 @@ QUERIES = {
     "vertices_text": q_vertices_text,
     "edges_snapshot": q_edges_snapshot,
     "index_minimal": q_index_minimal,
+    "subtree_members_interval": q_subtree_members_interval,
+    "subtree_members_dag": q_subtree_members_dag,
+    "is_subtree_interval": q_is_subtree_interval,
+    "interval_labels": q_interval_labels,
+    "path_to_root_jump": q_path_to_root_jump,
+    "path_to_root_jump_heap": q_path_to_root_jump_heap,
+    "is_subtree_near": q_is_subtree_near,
+    "sibling_classes": q_sibling_classes,
+    "find_ids_like": q_find_ids_like,
+    "index_rejects": q_index_rejects,
+    "index_updated": q_index_updated,
+    "edges_text_permissive": q_edges_text_permissive,
 }

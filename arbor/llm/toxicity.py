@@ -47,7 +47,7 @@ from .common import Scratch, id_text, map_text, ship, slices
 from .hashing import U, mix, words
 
 #: log2 of the words that a task counts or scores at once, and of the input words that make up a bucket of pairs.
-WORD_BITS, PAIR_BITS = 18, 21
+WORD_BITS, PAIR_BITS = 18, 20
 #: Documents of a block at most (their places fit 16 bits), and characters taken for a word when buckets are planned.
 BLOCK_ROWS, WORD_CHARS = 1 << 13, 6
 #: Discounts for counts of one, two, and three or more; the one for pairs.
@@ -202,15 +202,22 @@ def _counts(training: DataFrame, buckets: int, scratch: Scratch) -> DataFrame:
         bucket = rows.column("bucket")[0].as_py()
         b = np.concatenate([_unpacked(x) for x in _bytes(rows, "a")])
         w = np.concatenate([np.frombuffer(x, np.uint64) for x in _bytes(rows, "b")])
-        n = np.concatenate([np.frombuffer(x, np.int32).reshape(2, -1) for x in _bytes(rows, "c")], axis=1).astype(np.int64)
+        n = np.concatenate([np.frombuffer(x, np.int32).reshape(2, -1) for x in _bytes(rows, "c")], axis=1)
         by = np.lexsort((w, b))
         b, w, n = b[by], w[by], n[:, by]
+        del by
         cuts = np.flatnonzero(np.concatenate([[True], (b[1:] != b[:-1]) | (w[1:] != w[:-1])]))
-        b, w, n = b[cuts], w[cuts], np.add.reduceat(n, cuts, axis=1)
-        has, none = (n > 0).astype(np.int64), np.zeros(len(b), np.int64)
-        every = np.concatenate([np.stack([none + 1, has[0], has[1], none, none, none, none]),
-                                np.stack([none, none, none, n[0], n[1], has[0], has[1]])], axis=1)
-        word, *sums = _summed(np.concatenate([w, b]), *every)
+        b, w, n = b[cuts], w[cuts], np.add.reduceat(n, cuts, axis=1, dtype=np.int64)
+        del cuts
+        # as the word before: pairs are in its order; as the word after: one more order, and a column at a time
+        after, before = np.argsort(w, kind="stable"), _cuts(b)
+        starts = _cuts(w[after])
+        found = w[after][starts]
+        followed = [np.diff(np.append(starts, len(w))), *(np.add.reduceat(c[after] > 0, starts, dtype=np.int64) for c in n)]
+        led = [*(np.add.reduceat(c, before) for c in n), *(np.add.reduceat(c > 0, before, dtype=np.int64) for c in n)]
+        none = [np.zeros(k, np.int64) for k in (len(found), len(before))]
+        word, *sums = _summed(np.concatenate([found, b[before]]),
+                              *(np.concatenate([c, none[1]]) for c in followed), *(np.concatenate([none[0], c]) for c in led))
         part = share_of(word, parts)
         starts = _cuts(part)
         out = [(bucket, -1, _packed(b), w.tobytes(), np.minimum(n, 2**31 - 1).astype(np.int32).tobytes())]

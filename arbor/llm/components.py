@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from .common import Scratch
 
 
+#: Rounds are about the logarithm of the longest chain: more mean that something else is wrong.
+ROUNDS = 200
+
+
 def components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
     """``id, component_id`` (the smallest id reachable) of every id in ``edges(a, b)``; ids without edges are absent.
 
@@ -21,7 +25,7 @@ def components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
     pairs = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     current = scratch.write(pairs, f"{tag}-0")
     before = None
-    for step in range(1, 200):
+    for step in range(1, ROUNDS + 1):
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -35,6 +39,8 @@ def components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
         if now == before or not now[0]:
             break
         before = now
+    else:
+        raise RuntimeError(f"components still move after {ROUNDS} rounds")
     label = current.groupBy("a").agg(F.min("b").alias("component_id")).withColumnRenamed("a", "id")
     roots = current.select(F.col("b").alias("id"), F.col("b").alias("component_id")).distinct()
     found = scratch.write(label.unionByName(roots), tag)

@@ -23,8 +23,9 @@
 
 Defined cases: null or empty texts have no shingles, no links and their own id as
 component; texts shorter than ``k`` words are one shingle; rows with the same id
-are one node; rows without an id are returned with null component; equal texts
-are linked; other columns are ignored.
+are one node, linked by any of their texts, so all have one component; rows without
+an id are returned with null component; equal texts are linked; very long texts are
+taken whole; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -319,11 +320,9 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90, order_size:
 
     # the prefix index of groups; what one group alone holds is needed once, for the pairs within a group
     index = reps.where("rep = gid").select("gid", "m", F.posexplode("prefix").alias("pos", "token"))
-    shared = F.expr("count(*) OVER (PARTITION BY token)")
-    many = F.expr("sum(m) OVER (PARTITION BY token)")
+    held = index.groupBy("token").agg(F.count(F.lit(1)).alias("groups"), F.sum("m").alias("members")).where("members > 1")
     entries = scratch.write(
-        index.withColumn("groups", shared).withColumn("members", many)
-        .where("groups > 1 OR (m > 1 AND pos = 0)")
+        index.join(held, "token").where("groups > 1 OR (m > 1 AND pos = 0)")
         .select("token", "gid", "pos", F.expr(f"CAST(ceil(members / {BLOCK}) AS int)").alias("blocks")), "entries")
 
     members = reps.select("gid", "rep", "n", "bits", F.col("rep").alias("comp"))
@@ -340,6 +339,16 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90, order_size:
     second = scratch.write(_pairs(_lists(left, members), percent, forest=False).join(first, ["a", "b"], "left_anti"), "pairs-2")
     scratch.drop("representatives", "entries")
     more = scratch.write(_verified(second, texts, k, percent), "links-2")
+    # rows with the same id and different texts are one node
+    valued = sig.where("doc_id IS NOT NULL")
+    value = F.struct("n", "fp1", "fp2")
+    repeated = scratch.write(valued.groupBy("doc_id").agg(F.min(value).alias("lo"), F.max(value).alias("hi")).where("lo < hi").select("doc_id"), "repeated")
+    several = not repeated.isEmpty()
+    if several:
+        nodes = scratch.write(own.join(repeated, "doc_id", "left_semi").join(equal.select("n", "fp1", "fp2", "rep"), ["n", "fp1", "fp2"])
+                              .select("doc_id", "rep").distinct(), "nodes")
+        more = more.unionByName(nodes.join(nodes.groupBy("doc_id").agg(F.min("rep").alias("b")), "doc_id").where("rep <> b").select(
+            F.col("rep").alias("a"), "b"))
     if not more.isEmpty():
         comps = components(links.unionByName(more), scratch, "components-2")
     # the result reads the signatures and the components only
@@ -348,7 +357,9 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90, order_size:
     # every document by its representative; equal sets share it
     known = equal.select("n", "fp1", "fp2", "rep").join(comps.select(F.col("id").alias("rep"), "component_id"), "rep", "left").select(
         F.col("n").alias("n_shingles"), "fp1", "fp2", F.coalesce("component_id", "rep").alias("component_id"))
-    return sig.select("doc_id", F.col("n").alias("n_shingles"), "fp1", "fp2").join(
-        known, ["n_shingles", "fp1", "fp2"], "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+    found = sig.select("doc_id", F.col("n").alias("n_shingles"), "fp1", "fp2").join(known, ["n_shingles", "fp1", "fp2"], "left")
+    if several:
+        of = nodes.join(comps.select(F.col("id").alias("rep"), "component_id"), "rep", "left").groupBy("doc_id").agg(
+            F.min(F.coalesce("component_id", "rep")).alias("node"))
+        found = found.join(of, "doc_id", "left").withColumn("component_id", F.coalesce("node", "component_id"))
+    return found.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))

@@ -71,6 +71,16 @@ def test_long_repeated_and_null_rows(spark):
     assert got == sorted([(1, n, 1), (2, n + 2, 1), (3, 2, 3), (3, 2, 3), (None, 2, None), (4, 1, 4)], key=repr)
 
 
+def test_rows_with_the_same_id_are_one_node(spark):
+    rng = random.Random(12)
+    a, b, c = (prose(rng, 40, 10**6) for _ in range(3))
+    rows = [(3, a), (7, a), (7, b), (7, ""), (9, b), (11, c), (12, ""), (12, c), (5, None)]
+    for near in ("", " one more"):  # equal texts, then texts that are verified
+        data = [(i, t and t + near * (i in (7, 12))) for i, t in rows]
+        got = sorted((r.doc_id, r.component_id) for r in jaccard.near_duplicates(spark.createDataFrame(data, "doc_id long, text string"), 3, 90).collect())
+        assert got == [(3, 3), (5, 5), (7, 3), (7, 3), (7, 3), (9, 3), (11, 11), (12, 11), (12, 11)]
+
+
 def test_empty_table(spark):
     assert jaccard.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

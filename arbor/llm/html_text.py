@@ -7,13 +7,14 @@ to its ancestors, whole ones to its parent and a smaller share to each one
 further up: one, one for each comma, and up to three for length, discounted by
 the paragraph's link density. Containers start
 with points for their tag and lose their own link density. The best container is
-kept, with those of its siblings that score a fifth of it or are prose
-paragraphs. Its blocks are joined in page order.
+kept, with those of its siblings that score a fifth of it and with headings and
+paragraphs beside it that are no links. Its blocks are joined in page order.
 
 Defined cases: null or empty html and pages without text give the empty text;
 a page without any paragraph gives the text of its body; repeated rows give
 repeated results; very deep or unclosed markup is handled without recursion;
-other columns are ignored.
+very long pages are read whole; an empty table gives no rows; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -44,12 +45,13 @@ SCOPE = {"li": ("ul", "ol", "menu", "dir"), "dt": ("dl",), "dd": ("dl",), "tr":
          "thead": ("table",), "tbody": ("table",), "tfoot": ("table",), "option": ("select",)}
 START = {"article": 25.0, "main": 20.0, "section": 5.0, "div": 5.0, "pre": 3.0, "td": 3.0, "blockquote": 3.0,
          "ul": -3.0, "ol": -3.0, "dl": -3.0, "li": -3.0, "dd": -3.0, "dt": -3.0, "table": 0.0, "body": 0.0}
-# Words of class, id and role. Parts around the article; words that may also be part of an article's name;
-# words that mark the article; and prefixes of names that only say what the page has ("with-sidebar").
+# Words of class, id and role. Parts around the article; words that may also be a topic, so that a part with
+# prose is kept; words that may also be part of an article's name; words that mark the article; and prefixes of names that only say what the page has ("with-sidebar").
 AROUND = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|sidebar|nav|navbar|navigation|menu|breadcrumbs?|masthead|footer|"
-    r"cookies?|consent|notice|popup|modal|comments?|disqus|replies|respond|share|sharing|social|related|recommend\w*|newsletter|"
-    r"subscribe|signup|login|pagination|pager|widget|copyright|contentinfo|complementary)(?=$|[\s_-])", re.I)
+    r"cookies?|consent|notice|popup|modal|comments?|disqus|replies|respond|related|recommend\w*|newsletter|"
+    r"subscribe|pagination|pager|contentinfo|complementary)(?=$|[\s_-])", re.I)
+TOPICS = re.compile(r"(?:^|[\s_-])(?:share|sharing|social|signup|login|widget|copyright)(?=$|[\s_-])", re.I)
 PERHAPS = re.compile(r"(?:^|[\s_-])(?:header|head|alert|side|rail|foot|form|search|hidden|legal|skip|overlay|toolbar|dialog)(?=$|[\s_-])", re.I)
 INSIDE = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|post|story|text|blog)(?=$|[\s_-])", re.I)
 STATES = re.compile(r"(?:^|(?<=\s))(?:has|with|without|no|is|js)[-_]\S*", re.I)
@@ -61,6 +63,10 @@ def around(names: str) -> bool:
     return bool(AROUND.search(names) or PERHAPS.search(names) and not INSIDE.search(names))
 
 
+# Fixed value: elements that are kept beside the best container, if they are no links.
+BESIDE = frozenset("h1 h2 h3 h4 h5 h6 hgroup p pre blockquote".split())
+#: Characters of a part whose name is doubtful, if it is kept.
+PROSE = 200
 #: Ancestors that a paragraph's points reach.
 ANCESTORS = 5
 
@@ -72,10 +78,10 @@ SPACES = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "cut", "names", "text", "linked", "commas", "score", "scored")
+    __slots__ = ("tag", "parent", "children", "cut", "names", "doubt", "text", "linked", "commas", "score", "scored")
 
     def __init__(self, tag: str, parent: "Node | None", cut: bool = False, names: str = ""):
-        self.tag, self.parent, self.cut, self.names = tag, parent, cut, names
+        self.tag, self.parent, self.cut, self.names, self.doubt = tag, parent, cut, names, False
         self.children: list = []  # nodes and text pieces in page order
         self.text = self.linked = self.commas = 0
         self.score, self.scored = 0.0, False
@@ -143,6 +149,7 @@ def parse(page: str, by_name: bool = True) -> Node:
         own.names = names
         own.cut = stack[-1].cut or hidden or tag in CUT or (
             by_name and bool(names) and tag not in ("html", "body", "article", "main") and around(names))
+        own.doubt = by_name and bool(names) and tag not in ("html", "body", "article", "main") and bool(TOPICS.search(STATES.sub("", names)))
         if not stack[-1].cut:
             stack[-1].children.append(own)
         if tag in RAW and not attrs.endswith("/"):
@@ -193,6 +200,14 @@ def best_containers(root: Node) -> list[Node]:
     """The best container and the siblings kept with it, in page order."""
     nodes = _ordered(root)
     _measure(nodes)
+    poor = [x for x in nodes if x.doubt and not (x.text >= PROSE and x.commas > 1 and density(x) < 0.2)]
+    if poor:  # a part named after the page's furniture that holds no prose
+        for x in poor:
+            x.cut = True
+        for x in nodes:
+            x.text = x.linked = x.commas = 0
+        nodes = _ordered(root)
+        _measure(nodes)
 
     def give(node: Node | None, points: float) -> None:
         for step in range(1, ANCESTORS + 1):
@@ -217,14 +232,11 @@ def best_containers(root: Node) -> list[Node]:
     best = max(scored, key=lambda x: x.score)
     if best.parent is None:
         return [best]
-    kept = []
-    for c in best.parent.children:
-        if type(c) is str or c.cut:
-            continue
-        prose = c.tag == "p" and density(c) < 0.25 and (c.text > 80 or c.commas > 0)
-        if c is best or (c.scored and c.score >= max(10.0, best.score * 0.2)) or prose:
-            kept.append(c)
-    return kept
+    around_best = [c for c in best.parent.children if type(c) is not str and not c.cut]
+    kept = {c for c in around_best if c is best or (c.scored and c.score >= max(10.0, best.score * 0.2))}
+    # an article's headings and short paragraphs may stand beside its container, but lists of links do not
+    beside = [c in kept or (c.text > 0 and c.tag in BESIDE and density(c) < 0.25) for c in around_best]
+    return [c for c, b in zip(around_best, beside) if b]
 
 
 def blocks(node: Node) -> list[str]:

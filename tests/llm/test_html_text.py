@@ -33,6 +33,10 @@ PAGES = {
     "names": (f"<body class='no-sidebar'><div class='main with-sidebar'><div class='post-header'>By, someone, today</div><p>{P1}</p>"
               f"<div class='post-comments'><p>{P2}</p></div><div class='ad-content'>Buy, now, buy</div><p>{P2}</p></div>",
               f"By, someone, today\n\n{P1}\n\n{P2}"),
+    "title beside": (f"<div class=page><h1>Title</h1><div class=c><p>{P1}</p><p>{P2}</p></div></div>", f"Title\n\n{P1}\n\n{P2}"),
+    "short end": (f"<body><div class=x><p>{P1}</p><p>{P2}</p></div><p>Short end.</p><p><a href=/>More, of, this</a></p></body>", f"{P1}\n\n{P2}\n\nShort end."),
+    "topic names": (f"<article><p>{P1}</p><div class='social-history'><p>{P1}</p><p>{P2}</p><p>{P2}</p></div><div class='social'><p>Tell, your, friends</p></div>"
+                    f"</article>", f"{P1}\n\n{P1}\n\n{P2}\n\n{P2}"),
     "only names": (f"<div class='widget'><p>{P1}</p></div>", P1),
     "empty": ("", ""),
 }

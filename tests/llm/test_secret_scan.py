@@ -27,7 +27,7 @@ def entropy(t):
         w = m[0]
         if any(re.search(p, w) for p in S.ALLOWED) or all(re.search(S.PART, x) for x in re.split(S.JOINTS, w)):
             continue
-        least = S.THRESHOLD["hex" if re.fullmatch("[0-9a-fA-F]+", w) else "base64"]
+        least = S.THRESHOLD["hex" if re.fullmatch("[0-9a-fA-F]+", w) else "one_case" if re.fullmatch("([a-z0-9]+|[A-Z0-9]+)=*", w) else "base64"]
         spans = []
         for i in range(len(w) - S.WINDOW + 1):
             part = w[i:i + S.WINDOW]
@@ -91,3 +91,16 @@ def test_no_python_in_the_plan_and_empty_table(spark):
     assert df.collect() == []
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_most_random_keys_of_every_class_are_found(spark):
+    rng = random.Random(21)
+    digits, low, up = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    alphabets = {"lower": low + digits, "upper": up + digits, "base32": up + "234567", "upper hex": digits + "ABCDEF",
+                 "base62": low + up + digits, "base64": low + up + digits + "+/"}
+    data = [(i, f"{k} {n}", "it is " + "".join(rng.choices(a, k=n)) + " here") for k, a in alphabets.items() for n in (24, 32) for i in range(200)]
+    df = spark.createDataFrame([(j, t) for j, (_, _, t) in enumerate(data)], "doc_id long, text string")
+    hit = {r.doc_id for r in S.scan(df).collect() if r.added}
+    for k in {k for _, k, _ in data}:
+        own = [j for j, (_, x, _) in enumerate(data) if x == k]
+        assert sum(j in hit for j in own) >= 0.9 * len(own), k

@@ -12,11 +12,24 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from .session import checkpoint_root
 
 
+_RUNS: dict[str, list[str]] = {}
+
+
+def drop_runs(spark: SparkSession) -> int:
+    """Delete the folders of all runs of this application; returns how many there were."""
+    folders = _RUNS.pop(spark.sparkContext.applicationId, [])
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for base in folders:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(base)
+        folder.getFileSystem(conf).delete(folder, True)
+    return len(folders)
+
+
 class RoundWriter:
     """Names the Parquet folders of one iterative run: ``<ckpt>/arbor/<run>/round=<tag>``.
 
@@ -31,6 +44,7 @@ class RoundWriter:
         self.spark = spark
         self.base = f"{checkpoint_root(spark)}/arbor/{name}-{uuid.uuid4().hex[:12]}"
         self.paths: dict[str, str] = {}
+        _RUNS.setdefault(spark.sparkContext.applicationId, []).append(self.base)
 
     def write(self, df: DataFrame, tag: str, split: str | None = None) -> DataFrame:
         path = f"{self.base}/round={tag}"

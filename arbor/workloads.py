@@ -22,7 +22,7 @@ from .operators.index import StoredIndex, build_index, read_index, store_index
 from .operators.rejects import index_rejects
 from .operators.update import update_stored
 from .operators.vertices import build_vertices, find_id_like, find_ids, names_of
-from .plans.materialize import RoundWriter
+from .plans.materialize import RoundWriter, drop_runs
 from .plans.skew import SkewConf
 from .sources.dump import read_edges, read_names
 from .sources.edges import edges_from, read_snapshot, write_snapshot
@@ -49,12 +49,16 @@ def _prepared(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], ob
     return _PREPARED[key]
 
 
-def release_all() -> None:
-    """Unpersist everything the queries of this module prepared."""
+def release_all(spark: SparkSession | None = None) -> None:
+    """Drop everything the queries of this module prepared; with a session, also every folder that its runs wrote.
+
+    Answers that were returned before are read from those folders, so they end with them."""
     for key in list(_PREPARED):
         old = _PREPARED.pop(key)
         if isinstance(old, Hierarchy):
             old.release()
+    if spark is not None:
+        drop_runs(spark)
 
 
 def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -134,3 +134,15 @@ def test_a_laid_out_table_is_cut_by_its_size(spark):
     assert partitions_for(df, target_bytes=1 << 16) >= 100
     assert partitions_for(df) == shuffle_partitions(df)
     assert partitions_for(spark.createDataFrame([(1,)], "id bigint"), target_bytes=1) >= shuffle_partitions(df)
+
+
+def test_all_runs_of_an_application_can_be_dropped(spark, monkeypatch):
+    from arbor.plans import materialize
+
+    monkeypatch.setattr(materialize, "_RUNS", {})
+    df = spark.range(3)
+    back = [RoundWriter(spark, "drop-test").write(df, "a") for _ in range(2)]
+    assert [b.count() for b in back] == [3, 3]
+    folders = [b.inputFiles()[0].removeprefix("file://") for b in back]
+    assert materialize.drop_runs(spark) == 2 and not any(os.path.exists(f) for f in folders)
+    assert materialize.drop_runs(spark) == 0

@@ -7,20 +7,25 @@ before the next one, so a lost executor costs work of one stage at most.
 1. ``quality``: documents that the quality classifier rejects go.
 2. ``near_duplicates``: of each group of near duplicates (five-word shingles,
    Jaccard 0.8 or more, linked ones together) the one with the smallest id stays.
-   Rows that share an id are one document, so one of them stays; rows without an
-   id have no group and stay.
+   Every row is judged by its own text: of rows that share an id and a text one
+   stays, rows that share an id and differ are apart, and a row without an id
+   stays unless a row like it has one. Rows without words have no copies.
 3. ``decontamination``: documents that overlap a benchmark item go.
 4. ``secrets``: secrets in the text are replaced by a mark (``n_chars`` follows).
 5. ``bpe``: the text as token ids.
 
 All stages but the last return the columns of the documents, extra ones too.
+
+Defined cases: a null text stays null up to the last stage, where it is encoded as
+empty, like an empty one; very long texts go through whole; a row without an id is
+judged like any other; an empty table gives an empty result in every stage.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arbor.llm import bpe, decontam, jaccard, quality, secret_scan
@@ -34,16 +39,18 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
-    groups = jaccard.near_duplicates(docs, k=5, percent=80).where("doc_id IS NOT NULL")
-    # narrow tables, written: Spark knows their size and broadcasts them only where they are small
-    removed = scratch.write(groups.where("component_id <> doc_id").select("doc_id").distinct(), "removed")
-    kept = by_ids(docs, removed, "left_anti")
-    repeated = scratch.write(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    if repeated.isEmpty():
-        return kept
     row = fresh(docs, "_row")
-    first = by_ids(kept, repeated, "left_semi").withColumn(row, F.row_number().over(Window.partitionBy("doc_id").orderBy("text")))
-    return by_ids(kept, repeated, "left_anti").unionByName(first.where(F.col(row) == 1).drop(row))
+    # rows under numbers of their own, written once so that these stay: a row is judged by its own text
+    rows = scratch.write(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    groups = jaccard.near_duplicates(rows.select(F.col(row).alias("doc_id"), F.col("text").alias("text")), k=5, percent=80)
+    ids = rows.select(F.col(row).alias("r"), F.col("doc_id").cast("long").alias("id"))
+    found = scratch.write(groups.select(F.col("doc_id").alias("r"), "component_id").join(ids, "r"), "groups")
+    # the smallest id of a group stays, and a row without one only where none has
+    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("r"))).alias("first"),
+                                              F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    removed = found.join(first, "component_id").where(F.col("r") != F.col("first.r")).select("r")
+    # a narrow table, written: Spark knows its size and broadcasts it only where it is small
+    return by_ids(rows, scratch.write(removed, "removed"), "left_anti", row).drop(row)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -84,6 +84,15 @@ def test_run_gives_the_last_stage(spark, stages):
     assert got == {r.doc_id: r.n_tokens for r in stages["bpe"][1].collect()}
 
 
+def test_no_text_is_lost_with_its_id(spark):
+    rng = random.Random(6)
+    a, b, c = (prose(rng, 50, 10**6) for _ in range(3))
+    rows = [(3, a), (7, a + " end"), (7, b), (8, c), (None, c), (None, "x " + b), (9, "unlike " + prose(rng, 50, 10**6)), (9, prose(rng, 50, 10**6))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    kept = {(r.doc_id, r.text) for r in corpus_pipeline.near_duplicate_stage(spark, docs, SF).collect()}
+    assert kept == {rows[i] for i in (0, 2, 3, 6, 7)}
+
+
 def test_odd_rows_pass_every_stage(spark):
     rng = random.Random(2)
     text = prose(rng, 60, 10**5)

@@ -142,6 +142,15 @@ def _unpacked(b: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
+def _split(x: np.ndarray) -> bytes:
+    """32-bit numbers byte by byte, so that bytes that are alike stand together."""
+    return x.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _joined(b: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(4, -1).T).view(np.int32).ravel()
+
+
 def _cuts(x: np.ndarray) -> np.ndarray:
     """Where runs of equal values start."""
     return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
@@ -159,7 +168,7 @@ def _bytes(table: pa.Table, name: str) -> list[bytes]:
     return [b for b in table.column(name).to_pylist() if b is not None]
 
 
-#: Rows of a bucket: its counted pairs (kind 0), a block's pairs (kind 1), and a block's documents, which only pass (kind 2).
+#: Rows of a bucket: its pairs and what they add (kind 0), a block's pairs (kind 1), and a block's documents, which only pass (kind 2).
 _ROW = "bucket int, kind int, block long, ids array<long>, a binary, b binary, c binary"
 
 
@@ -294,7 +303,23 @@ class Models:
         return np.rint((ratio - self.alone(before)) * UNIT).astype(np.int64)
 
 
-def _features(texts: DataFrame, counts: DataFrame, buckets: int, shared, scratch: Scratch) -> DataFrame:
+def _model(counts: DataFrame, shared, scratch: Scratch) -> DataFrame:
+    """Written by bucket: the keys of the pairs that training has, in order, and what each adds to the second order."""
+
+    def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models = shared.value
+        for batch in batches:
+            for bucket, a, b, c in zip(*(batch.column(x).to_pylist() for x in ("bucket", "a", "b", "c"))):
+                before, word = _unpacked(a), np.frombuffer(b, np.uint64)
+                key = pair_key(before, word)
+                value = models.added(models.at(before), models.at(word), np.frombuffer(c, np.int32).reshape(2, -1).astype(np.int64))
+                by = np.argsort(key)
+                yield _row(bucket=bucket, kind=0, a=_packed(key[by]), b=_split(value[by].astype(np.int32)))
+
+    return _written(scratch, counts.where("part < 0").select("bucket", "a", "b", "c").mapInArrow(final, _ROW), "model")
+
+
+def _features(texts: DataFrame, model: DataFrame, buckets: int, shared, scratch: Scratch) -> DataFrame:
     """Written ``doc_id, n, f`` of every document: mean log-ratios, and the root of the share of words past each level."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,8 +353,7 @@ def _features(texts: DataFrame, counts: DataFrame, buckets: int, shared, scratch
                            c=np.diff(doc[i:j], prepend=0).astype(np.uint16).tobytes())
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models, bucket = shared.value, -1
-        key = value = np.zeros(0, np.int64)
+        bucket, key, value = -1, np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
             for i in range(batch.num_rows):
                 r = {c: batch.column(c)[i] for c in ("bucket", "kind", "block", "ids", "a", "b", "c")}
@@ -337,11 +361,7 @@ def _features(texts: DataFrame, counts: DataFrame, buckets: int, shared, scratch
                 if r["bucket"].as_py() != bucket:
                     bucket, key, value = r["bucket"].as_py(), np.zeros(0, np.uint64), np.zeros(0, np.int64)
                 if kind == 0:
-                    before, word = _unpacked(a), np.frombuffer(b, np.uint64)
-                    key = pair_key(before, word)
-                    value = models.added(models.at(before), models.at(word), np.frombuffer(c, np.int32).reshape(2, -1).astype(np.int64))
-                    by = np.argsort(key)
-                    key, value = key[by], value[by]
+                    key, value = _unpacked(a), _joined(b).astype(np.int64)
                 elif kind == 1:
                     if not len(key):
                         continue
@@ -371,8 +391,6 @@ def _features(texts: DataFrame, counts: DataFrame, buckets: int, shared, scratch
         return pa.table({"doc_id": pa.array(ids, pa.int64()), "n": pa.array(f[0].astype(np.int64)),
                          "f": pa.array(list(x.T), pa.list_(pa.float64()))})
 
-    model = counts.where("part < 0").select("bucket", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("block"),
-                                            F.lit(None).cast("array<long>").alias("ids"), "a", "b", "c")
     parts = []
     for i in range(ROUNDS):
         own = texts.where(f"pmod(xxhash64(doc_id, text), {ROUNDS}) = {i}")
@@ -421,8 +439,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -
     buckets = max(LEAST_BUCKETS, -(-chars // (WORD_CHARS << PAIR_BITS)))
     counts = _counts(_training(texts, known.where(~fit)), buckets, scratch)
     shared = spark.sparkContext.broadcast(Models(_word_table(counts)))
-    measured = _features(texts, counts, buckets, shared, scratch)
+    model = _model(counts, shared, scratch)
     scratch.drop("counts")
+    measured = _features(texts, model, buckets, shared, scratch)
+    scratch.drop("model")
     rows = measured.join(known.where(fit), "doc_id")
     got = rows.orderBy(F.xxhash64("doc_id")).select("toxic", "f").toArrow()
     y = got.column("toxic").to_numpy().astype(np.float64)

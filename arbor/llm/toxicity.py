@@ -47,7 +47,7 @@ from .common import Scratch, id_text, map_text, ship, slices
 from .hashing import U, mix, words
 
 #: log2 of the words that a task counts or scores at once, and of the input words that make up a bucket of pairs.
-WORD_BITS, PAIR_BITS = 18, 20
+WORD_BITS, PAIR_BITS = 18, 21
 #: Documents of a block at most (their places fit 16 bits), and characters taken for a word when buckets are planned.
 BLOCK_ROWS, WORD_CHARS = 1 << 13, 6
 #: Discounts for counts of one, two, and three or more; the one for pairs.
@@ -56,8 +56,8 @@ DISCOUNT, PAIR_DISCOUNT = (0.95, 1.5, 2.0), 0.75
 LEVELS = (1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.0, 4.5, 5.0)
 #: Bound of the rows that the logistic regression is fitted on, and of its filter of labelled ids (log2 of bits).
 FIT_ROWS, FILTER_BITS = 50_000, 23
-#: Buckets of word pairs at least, and buckets for each part of the word table.
-LEAST_BUCKETS, PART = 64, 8
+#: Buckets of word pairs at least, and parts of the word table at most.
+LEAST_BUCKETS, MOST_PARTS = 64, 256
 #: Steps to one of the second order's sums, and rounds that documents are scored in (one round's shuffle is on disk at a time).
 UNIT, ROUNDS = 1 << 20, 4
 #: While tables are written: shuffle files go at the query's end, and Arrow batches stay small, as packed rows are long.
@@ -187,7 +187,7 @@ def _written(scratch: Scratch, df: DataFrame, tag: str) -> DataFrame:
 
 def _counts(training: DataFrame, buckets: int, scratch: Scratch) -> DataFrame:
     """Written counts: per bucket its pairs (``part`` -1) and, by parts of the word table, what they add to its counts."""
-    parts = -(-buckets // PART)
+    parts = min(buckets, MOST_PARTS)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, w, before, ends in _blocks(batches, "toxic"):
@@ -230,7 +230,7 @@ def _counts(training: DataFrame, buckets: int, scratch: Scratch) -> DataFrame:
         part = share_of(word, parts)
         starts = _cuts(part)
         out = [(bucket, -1, _packed(b), w.tobytes(), np.minimum(n, 2**31 - 1).astype(np.int32).tobytes())]
-        out += [(bucket, int(part[x]), _packed(word[x:y]), np.stack([c[x:y] for c in sums]).astype(np.int64).tobytes(), None)
+        out += [(bucket, int(part[x]), _packed(word[x:y]), np.minimum(np.stack([c[x:y] for c in sums]), 2**31 - 1).astype(np.int32).tobytes(), None)
                 for x, y in zip(starts, np.append(starts[1:], len(part)))]
         return pa.table(dict(zip(("bucket", "part", "a", "b", "c"), map(list, zip(*out)))), schema=pa.schema(
             [("bucket", pa.int32()), ("part", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())]))
@@ -245,8 +245,14 @@ def _word_table(counts: DataFrame) -> dict[str, np.ndarray]:
     width = len(WORD_COUNTS)
 
     def add(rows: pa.Table) -> pa.Table:
-        word, *sums = _summed(np.concatenate([_unpacked(x) for x in _bytes(rows, "a")]),
-                              *np.concatenate([np.frombuffer(x, np.int64).reshape(width, -1) for x in _bytes(rows, "b")], axis=1))
+        word = np.concatenate([_unpacked(x) for x in _bytes(rows, "a")])
+        by = np.argsort(word, kind="stable")
+        word = word[by]
+        cuts = _cuts(word)
+        word = word[cuts]
+        each = [np.frombuffer(x, np.int32).reshape(width, -1) for x in _bytes(rows, "b")]
+        # a column at a time: buckets repeat most words
+        sums = [np.add.reduceat(np.concatenate([x[i] for x in each])[by], cuts, dtype=np.int64) for i in range(width)]
         return pa.table({"part": pa.array([rows.column("part")[0].as_py()], pa.int32()), "a": pa.array([_packed(word)], pa.binary()),
                          "b": pa.array([np.minimum(np.stack(sums), 2**31 - 1).astype(np.int32).tobytes()], pa.binary())})
 

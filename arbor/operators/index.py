@@ -138,7 +138,13 @@ def _build_by_doubling(h: Hierarchy) -> DataFrame:
     while True:
         undone = cur.where(~F.col("done"))
         earlier = tags[:-1]
-        look = cur if not earlier else writer.read(earlier, schema).where(F.col("done")).unionByName(cur)
+        look = cur
+        if earlier:
+            # of the rows finished before, only those at which an open chain has arrived: after the first rounds these
+            # are few (nodes that have others 2^k below), so the join sees a small side and leaves the rest where it is
+            tops = writer.write(undone.select(F.col("top").alias("_t")).distinct(), f"tops-{k}")
+            done = writer.read(earlier, schema).where(F.col("done"))
+            look = done.join(tops, F.col("id") == F.col("_t"), "left_semi").unionByName(cur)
         look = look.select(
             F.col("id").alias("_lid"), F.col("top").alias("_ltop"), F.col("anc").alias("_lanc"),
             F.col("done").alias("_ldone"))
@@ -157,6 +163,8 @@ def _build_by_doubling(h: Hierarchy) -> DataFrame:
             break
     # the partial chains have been extended; only finished rows are the index
     writer.release("done", keep=("true",))
+    for tag in [t for t in writer.paths if t.startswith("tops-")]:
+        writer.drop(tag)
     done = writer.read(tags, schema).where(F.col("done"))
     return done.select(
         F.col("id"),

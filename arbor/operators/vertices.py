@@ -68,3 +68,12 @@ def names_of(vertices: DataFrame, ids: DataFrame, id_col: str = "vid") -> DataFr
     out = q.join(v, "vid", "left")
     name = F.when(F.col("vid") < 1, F.lit("")).otherwise(F.coalesce(F.col("_n"), F.lit("")))
     return out.select("vid", name.alias("name"))
+
+
+def name_rows_of(names: DataFrame, ids: DataFrame, id_col: str = "vid") -> DataFrame:
+    """``(vid, ord, name)``: every name of each distinct id, one row each, out of the name records ``(id, ord, name)``.
+
+    The form of :func:`names_of` for ids with any number of names: nothing is packed into one value. Unknown ids and
+    ids below 1 have no rows. The records keep their place; the ids are the side that Spark may broadcast."""
+    q = ids.select(F.col(id_col).cast("bigint").alias("vid")).where(F.col("vid") >= 1).distinct()
+    return names.select(F.col("id").cast("bigint").alias("vid"), "ord", "name").join(q, "vid", "left_semi")

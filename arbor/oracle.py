@@ -169,6 +169,7 @@ ORACLE = {
     "vertices_text": _geo("SELECT id, name, names FROM v"),
     "edges_snapshot": _geo("SELECT src, dst, relationship FROM e"),
     "index_minimal": _geo("SELECT id, path, depth, parent, ancestors FROM p"),
+    "name_rows": _geo("SELECT DISTINCT q.vid, CAST(nm.ord AS INTEGER) AS ord, nm.name FROM nodes q JOIN nm ON nm.id = q.vid"),
     "subtree_members_interval": _geo("SELECT DISTINCT v.id AS vid, x.member FROM v JOIN "
                                      "(SELECT p.id AS member, unnest(list_append(p.ancestors, p.id)) AS above FROM p) x ON x.above = v.id"),
     "subtree_members_dag": _geo("SELECT DISTINCT v.id AS vid, x.member FROM v JOIN "

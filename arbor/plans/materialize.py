@@ -59,6 +59,11 @@ class RoundWriter:
         rows = self.spark.read.schema(schema).option("basePath", self.base).parquet(*[self.paths[t] for t in tags])
         return rows.select(*schema.names)  # without the round's name
 
+    def drop(self, tag: str) -> None:
+        """Delete one round that nothing reads any more."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(tag))
+        folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
     def release(self, split: str | None = None, *, keep: tuple[str, ...] = ()) -> None:
         """Delete this run's folders, or only the partitions of ``split`` whose value is not in ``keep``."""
         jvm = self.spark._jvm

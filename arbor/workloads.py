@@ -21,7 +21,7 @@ from .operators import direct, documents, indexed, interval, jump, motif, trigra
 from .operators.index import StoredIndex, build_index, read_index, store_index
 from .operators.rejects import index_rejects
 from .operators.update import update_stored
-from .operators.vertices import build_vertices, find_id_like, find_ids, names_of
+from .operators.vertices import build_vertices, find_id_like, find_ids, name_rows_of, names_of
 from .plans.materialize import RoundWriter, drop_runs
 from .plans.skew import SkewConf
 from .sources.dump import read_edges, read_names
@@ -352,6 +352,11 @@ def q_index_minimal(spark, sf):
     return read_index(spark, path).select("id", "path", "depth", "parent", "ancestors")
 
 
+def q_name_rows(spark, sf):
+    """Every name of every node as a row of its own, from the name records."""
+    return name_rows_of(geo_names(spark, sf), tree_nodes(geo(spark, sf)))
+
+
 def q_subtree_members_interval(spark, sf):
     h = geo(spark, sf)
     return interval.subtree_members(labels(h, sf), vertex_ids(h))
@@ -460,6 +465,7 @@ QUERIES = {
     "vertices_text": q_vertices_text,
     "edges_snapshot": q_edges_snapshot,
     "index_minimal": q_index_minimal,
+    "name_rows": q_name_rows,
     "subtree_members_interval": q_subtree_members_interval,
     "subtree_members_dag": q_subtree_members_dag,
     "is_subtree_interval": q_is_subtree_interval,

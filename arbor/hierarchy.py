@@ -79,10 +79,10 @@ class Hierarchy:
     def release(self) -> None:
         """Unpersist the tables prepared for this hierarchy and its derived hierarchies."""
         for v in self._derived.values():
-            if isinstance(v, Hierarchy):
-                v.release()
-            elif isinstance(v, DataFrame):
+            if isinstance(v, DataFrame):
                 v.unpersist()
+            elif hasattr(v, "release"):  # a derived hierarchy or jump table
+                v.release()
         self._derived.clear()
 
     def require_vertices(self) -> DataFrame:

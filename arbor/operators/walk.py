@@ -1,11 +1,12 @@
 """Upward walks over a one-parent-per-child table, for many start ids at once.
 
 Each round joins the still-walking rows with ``(src, parent)`` on the current
-node and classifies every row as finished (with its answer) or still walking.
-The round is written once to the checkpoint folder; the finished rows are kept
-as a piece of the answer, the walking rows are the next round's input, and the
-driver learns only how many rows still walk (an ``Observation`` on the write).
-Rounds = depth of the deepest start node, so the plan never grows.
+node and classifies every row as finished or still walking. The round is written
+once to the checkpoint folder as a piece of the answer, the walking rows are the
+next round's input, and the driver learns only how many rows still walk (an
+``Observation`` on the write). Rounds = depth of the deepest start node; neither
+the plan nor a row grows with them. A walk notices a loop when it comes back to
+a marked node, which is moved on at hops that are powers of two.
 
 The walking side can be skewed: many start ids share an ancestor, so from the
 second round on one current node can hold a large share of the walkers. The
@@ -56,11 +57,11 @@ def _hot_nodes(walkers: DataFrame, walking: int, conf: SkewConf) -> list[int]:
 
 
 def _rounds(name: str, active: DataFrame, parents: DataFrame, step, conf: SkewConf | None = None,
-            walking: int = 0) -> DataFrame:
+            walking: int = 0, keep_open: bool = False) -> DataFrame:
     """Run rounds until no row walks; ``step(joined, n)`` adds ``_status`` and the next round's columns.
 
     ``walking`` is given where rows may share their node from the start (then ``active`` is a stored table).
-    Returns the finished rows of every round as one Parquet scan."""
+    Returns the finished rows of every round as one Parquet scan (with ``keep_open`` all rows of every round)."""
     writer = RoundWriter(active, name)
     conf = conf or SkewConf.from_session(active.sparkSession)
     # a prepared table (``Hierarchy.walk_table()``) is used as it is and left persisted
@@ -87,33 +88,41 @@ def _rounds(name: str, active: DataFrame, parents: DataFrame, step, conf: SkewCo
     finally:
         if owned:
             p.unpersist()
+    if keep_open:
+        return writer.read(tags, schema)
     writer.release("_status", keep=("none", "root", "loop", "met", "far"))  # walking rows went on in the next round
     return writer.read(tags, schema).where(F.col("_status") != _GO)
 
 
+def _moved_mark(n: int):
+    """The marked node after hop ``n``: at powers of two the node just reached. A walk that comes back to its mark loops."""
+    return F.col("cur") if n & (n - 1) == 0 else F.col("mark")
+
+
 def walk_paths(parents: DataFrame, ids: DataFrame, root: int, id_col: str = "vid",
                conf: SkewConf | None = None) -> DataFrame:
     """``parents`` is ``(src, parent)``, or a prepared ``Hierarchy.walk_table()``.
 
     ``(vid, path)``: root-first path ending in ``vid``; ``[]`` for the root, unknown ids, and chains
-    that stop before the root or loop."""
+    that stop before the root or loop. A round writes one node per walker, whatever its depth; the
+    nodes of a walk, as many as the tree is deep, come together once, at the end."""
     q = ids.select(F.col(id_col).cast("bigint").alias("vid")).where(F.col("vid").isNotNull()).distinct()
     at_root = q.where(F.col("vid") == F.lit(root)).select("vid", empty_ids().alias("path"))
-    active = q.where(F.col("vid") != F.lit(root)).select(
-        "vid", F.col("vid").alias("cur"), F.array(F.col("vid")).alias("acc"))
+    active = q.where(F.col("vid") != F.lit(root)).select("vid", F.col("vid").alias("cur"), F.col("vid").alias("mark"))
 
     def step(j: DataFrame, n: int) -> DataFrame:
-        par = F.col("_pp")
-        status = (F.when(par.isNull(), F.lit("none"))
-                  .when(par == F.lit(root), F.lit("root"))
-                  .when(F.array_contains(F.col("acc"), par), F.lit("loop"))
+        staged = j.select("vid", F.col("_pp").alias("cur"), "mark", F.lit(n).alias("hop"))
+        status = (F.when(F.col("cur").isNull(), F.lit("none"))
+                  .when(F.col("cur") == F.lit(root), F.lit("root"))
+                  .when(F.col("cur") == F.col("mark"), F.lit("loop"))
                   .otherwise(F.lit(_GO)))
-        acc = F.when(par.isNull(), F.col("acc")).otherwise(F.concat(F.array(par), F.col("acc")))
-        return j.select("vid", par.alias("cur"), acc.alias("acc"), status.alias("_status"))
+        return staged.withColumn("_status", status).withColumn("mark", _moved_mark(n))
 
-    finished = _rounds("walk-path", active, parents, step, conf).select(
-        "vid", F.when(F.col("_status") == F.lit("root"), F.col("acc")).otherwise(empty_ids()).alias("path"))
-    return at_root.unionByName(finished)
+    rows = _rounds("walk-path", active, parents, step, conf, keep_open=True)
+    node = F.when(F.col("cur").isNotNull(), F.struct((-F.col("hop")).alias("h"), F.col("cur").alias("n")))
+    walks = rows.groupBy("vid").agg(F.array_sort(F.collect_list(node)).alias("_l"), F.max(F.col("_status") == F.lit("root")).alias("_there"))
+    path = F.when(F.col("_there"), F.concat(F.transform("_l", lambda x: x["n"]), F.array("vid"))).otherwise(empty_ids())
+    return at_root.unionByName(walks.select("vid", path.alias("path")))
 
 
 def _chunks(pairs: DataFrame, depths: DataFrame | None, writer: RoundWriter) -> tuple[DataFrame, int]:
@@ -165,8 +174,7 @@ def walk_is_subtree(parents: DataFrame, pairs: DataFrame, root: int, target_col:
                   .when(F.col("cur") == F.col("mark"), F.lit("loop"))
                   .when(F.col("far") <= n, F.lit("far"))
                   .otherwise(F.lit(_GO)))
-        mark = F.col("cur") if n & (n - 1) == 0 else F.col("mark")
-        return staged.withColumn("_status", status).withColumn("mark", mark)
+        return staged.withColumn("_status", status).withColumn("mark", _moved_mark(n))
 
     # the root has no parent here, and no source is above it
     at_root = active.where(F.col("vid") == F.lit(root)).select("vid", "met", "open")

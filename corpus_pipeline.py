@@ -48,7 +48,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     # the smallest id of a group stays, and a row without one only where none has
     first = found.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("r"))).alias("first"),
                                               F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    removed = found.join(first, "component_id").where(F.col("r") != F.col("first.r")).select("r")
+    # written, so that the join with a very large group's rows is one that Spark splits
+    first = scratch.write(first.select("component_id", F.col("first.r").alias("stays")), "first")
+    removed = found.join(first, "component_id").where(F.col("r") != F.col("stays")).select("r")
     # a narrow table, written: Spark knows its size and broadcasts it only where it is small
     return by_ids(rows, scratch.write(removed, "removed"), "left_anti", row).drop(row)
 

@@ -321,6 +321,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90, order_size:
     # the prefix index of groups; what one group alone holds is needed once, for the pairs within a group
     index = reps.where("rep = gid").select("gid", "m", F.posexplode("prefix").alias("pos", "token"))
     held = index.groupBy("token").agg(F.count(F.lit(1)).alias("groups"), F.sum("m").alias("members")).where("members > 1")
+    held = scratch.write(held, "held")  # so that the join with a very common shingle's entries is one that Spark splits
     entries = scratch.write(
         index.join(held, "token").where("groups > 1 OR (m > 1 AND pos = 0)")
         .select("token", "gid", "pos", F.expr(f"CAST(ceil(members / {BLOCK}) AS int)").alias("blocks")), "entries")
@@ -337,7 +338,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90, order_size:
     left = entries.join(open_.select("token"), "token", "left_semi")
     members = reps.select("rep", "n", "bits").join(label, "rep").select("gid", "rep", "n", "bits", "comp")
     second = scratch.write(_pairs(_lists(left, members), percent, forest=False).join(first, ["a", "b"], "left_anti"), "pairs-2")
-    scratch.drop("representatives", "entries")
+    scratch.drop("representatives", "entries", "held")
     more = scratch.write(_verified(second, texts, k, percent), "links-2")
     # rows with the same id and different texts are one node
     valued = sig.where("doc_id IS NOT NULL")

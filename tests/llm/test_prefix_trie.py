@@ -67,7 +67,7 @@ def some(seed, convs=260, deep=120):
     return data
 
 
-@pytest.mark.parametrize("local", [1, 9, 1 << 16])
+@pytest.mark.parametrize("local", [1, 1 << 16])
 def test_against_plain_python(spark, local):
     data = some(local)
     df = clashing(spark.createDataFrame(data, SCHEMA)).repartition(5)
@@ -84,9 +84,9 @@ def test_components_joined_by_shuffle(spark, monkeypatch):
 
 
 def test_a_chain_takes_logarithmically_many_rounds(spark):
-    data = [(0, i, "user", f"{i}") for i in range(1000)]
+    data = [(0, i, "user", f"{i}") for i in range(300)]
     scratch = Scratch(spark, "chain")
-    n = 1001
+    n = 301
     nodes = spark.range(n).select("id", F.when(F.col("id") > 0, F.col("id") - 1).alias("parent"), F.lit(0).cast("long").alias("m"), F.col("id").alias("d"),
                                   (F.lit(n) - F.col("id")).alias("r"), (F.col("id") == n - 1).cast("long").alias("leaf"), F.col("id").alias("saved"))
     lookup = nodes.where("d > 0").select("m", "d", "id", "parent")
@@ -95,7 +95,7 @@ def test_a_chain_takes_logarithmically_many_rounds(spark):
     scratch.write = lambda df, tag: (written.append(tag), scratch_write(df, tag))[1]
     got = {r["id"]: (r["leaves"], r["tokens"]) for r in prefix_trie.rollup(nodes, lookup, scratch, local=1).collect()}
     assert got == {i: (1, sum(range(i, n))) for i in range(n)}
-    assert sum(t.startswith("round-") for t in written) <= 11
+    assert sum(t.startswith("round-") for t in written) <= 9
     assert len(data) == n - 1
 
 

@@ -60,8 +60,9 @@ FIT_ROWS, FILTER_BITS = 50_000, 23
 LEAST_BUCKETS, MOST_PARTS = 64, 256
 #: Steps to one of the second order's sums, and rounds that documents are scored in (one round's shuffle is on disk at a time).
 UNIT, ROUNDS = 1 << 20, 4
-#: While tables are written: shuffle files go at the query's end, and Arrow batches stay small, as packed rows are long.
-_SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+#: While tables are written: shuffle files go at the query's end, the tables are packed tighter than by default (what is counted
+#: stands beside its shuffle), and Arrow batches stay small, as packed rows are long.
+_SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.parquet.compression.codec": "zstd",
              "spark.sql.execution.arrow.maxRecordsPerBatch": "64", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 #: Columns of the word table: words followed over both classes; by class words followed, pairs after it, different ones.
 WORD_COUNTS = ("shared", "followed0", "followed1", "history0", "history1", "follows0", "follows1")

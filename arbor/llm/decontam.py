@@ -12,10 +12,14 @@ Documents send only hashes that a fixed-size bit table of the test hashes lets
 through; what it lets through by chance falls out in the join. Documents with
 hits are read a second time to verify, so no text is shuffled for the rest.
 
-Defined cases: null or empty texts have no terms and no overlap; an item
-shorter than the masks is looked for as a whole (its exact run of terms), and
-one under ``LEAST_ITEM`` terms not at all; repeated documents and items each
-get their rows; ids that are null take no part; other columns are ignored.
+Items under ``SHORT_ITEM`` terms have masks of four counting positions, which
+any single substitution that :func:`enough` accepts leaves a hit. An item under
+``LEAST_ITEM`` terms says too little inside a text: it overlaps the documents
+that consist of it.
+
+Defined cases: null or empty texts have no terms and no overlap; very long texts
+are read whole; repeated documents and items each get their rows; ids that are
+null take no part; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,24 +39,30 @@ MASKS = ("111010011", "110101011", "1011001101", "1100110010011")
 #: Matching terms of an overlap (of a shorter item: this share of its terms), and the least share that must match.
 LEAST_TERMS, LEAST_SHARE, MATCH_RATE = 12, 0.8, 0.7
 LEAST_ITEM = 5
+#: Items under so many terms, and their masks.
+SHORT_ITEM, SHORT_MASKS = 13, ("1111", "11011")
+#: Before a mask: it is the whole text.
+WHOLE = "="
 #: log2 of the bits of the table of test hashes (a fixed 4 MB).
 TABLE_BITS = 25
 
 
 def seeds(value: np.ndarray, mask: str) -> np.ndarray:
     """Hash at every place of a term array under a mask."""
-    n = max(len(value) - len(mask) + 1, 0)
+    places = mask.lstrip(WHOLE)
+    n = max(len(value) - len(places) + 1, 0)
     out = np.zeros(n, np.uint64)
-    for i, c in enumerate(mask):
+    for i, c in enumerate(places):
         if c == "1":
             out += value[i:i + n] * _step(i)
-    return mix(out + U(int(mask, 2)))
+    return mix(out + U(int(places, 2) + (mask[0] == WHOLE) * 2**32))
 
 
 def masks_for(n: int) -> tuple[str, ...]:
-    """The masks of an item of ``n`` terms: those that fit, or its own length without a gap."""
-    fit = tuple(m for m in MASKS if len(m) <= n)
-    return fit if fit else ("1" * n,) if n >= LEAST_ITEM else ()
+    """The masks of an item of ``n`` terms."""
+    if n < LEAST_ITEM:
+        return (WHOLE + "1" * n,) if n else ()
+    return SHORT_MASKS if n < SHORT_ITEM else MASKS
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
@@ -113,7 +123,10 @@ def _training_seeds(docs: DataFrame, table: np.ndarray, masks: list[str]) -> Dat
             at = np.flatnonzero(table[cell >> U(3)] >> (cell & U(7)).astype(np.uint8) & np.uint8(1))
             if len(at):
                 row = np.searchsorted(ends, at, side="right") - 1
-                inside = at + len(mask) <= ends[row + 1]  # a seed does not run into the next document
+                stop = at + len(mask.lstrip(WHOLE))
+                inside = stop <= ends[row + 1]  # a seed does not run into the next document
+                if mask[0] == WHOLE:
+                    inside = (at == ends[row]) & (stop == ends[row + 1])
                 at, row = at[inside], row[inside]
                 found.append((h[at].astype(np.int64), ids[row], (at - ends[row]).astype(np.int32)))
         if not found:

@@ -35,10 +35,8 @@ def brute(docs, items):
                 hits[i, p - j] += 1
         for (i, shift), n in hits.items():
             item = own[i]
-            if len(item) < decontam.LEAST_ITEM:
-                continue
-            if len(item) < min(map(len, decontam.MASKS)) and n < len(item):
-                continue  # short items are looked for as a whole
+            if len(item) < decontam.LEAST_ITEM and text != item:
+                continue  # a whole text, or nothing
             a, b = max(0, -shift), min(len(item), len(text) - shift)
             start, stop, same = decontam.best_stretch(np.array([text[k + shift] == item[k] for k in range(a, b)]))
             if decontam.enough(same, stop - start, len(item)):
@@ -49,7 +47,7 @@ def brute(docs, items):
 def case(seed=2):
     rng = random.Random(seed)
     items = [(i, prose(rng, rng.choice([6, 15, 30, 60]), 10**5)) for i in range(12)] + [
-        (50, None), (51, ""), (52, "a b c"), (None, prose(rng, 20)), (0, None)]
+        (50, None), (51, ""), (52, "a b c"), (53, "Yes"), (None, prose(rng, 20)), (0, None)]
     items = [x for x in items if x != (0, None)]
     docs = []
     for d in range(60):
@@ -62,6 +60,7 @@ def case(seed=2):
             text[at:at] = [w.upper() + "," if rng.random() < 0.3 else w for w in item]
         docs.append((d, " ".join(text)))
     copied = "so, " + max((t for _, t in items[:12]), key=len)
+    docs += [(110, "A, b c!"), (111, "so a b c"), (112, "yes"), (113, "yes yes"), (114, "a b")]
     docs += [(100, None), (101, ""), (102, copied), (102, copied), (None, copied)]
     return docs, items
 
@@ -76,6 +75,24 @@ def test_overlaps_match_a_search_along_all_diagonals(spark):
     assert {w for w in want if w[4] >= w[3] - 2 and w[3] >= 15} <= got
     assert {w for w in want if w[4] == w[3]} <= got
     assert any(w[4] < w[3] for w in got) and any(w[0] == 102 for w in got)
+    assert {(w[0], w[1]) for w in got if w[1] in (52, 53)} == {(110, 52), (112, 53)}
+
+
+def test_every_single_substitution_that_is_enough_is_found(spark):
+    rng = random.Random(5)
+    items, docs, want = [], [], set()
+    for n in range(5, 15):
+        items.append((n, " ".join(f"item{n}word{i}" for i in range(n))))
+        for at in range(n):
+            changed = items[-1][1].split()
+            changed[at] = "changed"
+            docs.append((100 * n + at, prose(rng, 9, 10**5) + " " + " ".join(changed) + " " + prose(rng, 7, 10**5)))
+            start, stop, same = decontam.best_stretch(np.arange(n) != at)
+            if decontam.enough(same, stop - start, n):
+                want.add((100 * n + at, n, 9 + start, stop - start, same))
+    got = decontam.overlaps(spark.createDataFrame(docs, "doc_id long, text string"),
+                            spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {tuple(r) for r in got} == want and {w[1] for w in want} == set(range(5, 15))
 
 
 def test_clean_documents_stay_and_columns_too(spark):

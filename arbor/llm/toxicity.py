@@ -134,22 +134,25 @@ def share_of(key: np.ndarray, n: int) -> np.ndarray:
     return ((key >> U(32)) * U(n) >> U(32)).astype(np.int32)
 
 
-def _packed(x: np.ndarray) -> bytes:
-    """Ascending hashes as differences, byte by byte, so that the leading zeros are compressed."""
-    return np.diff(x, prepend=U(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+def _squeezed(x: np.ndarray) -> bytes:
+    """Numbers byte by byte, so that bytes that are alike stand together, in zstd; their size in bytes comes first."""
+    planes = np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+    return len(planes).to_bytes(8, "little") + (pa.compress(planes, codec="zstd", asbytes=True) if planes else b"")
 
 
-def _unpacked(b: bytes) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+def _loose(b: bytes, kind: type) -> np.ndarray:
+    size = int.from_bytes(b[:8], "little")
+    planes = pa.decompress(b[8:], decompressed_size=size, codec="zstd") if size else b""
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
-def _split(x: np.ndarray) -> bytes:
-    """32-bit numbers byte by byte, so that bytes that are alike stand together."""
-    return x.view(np.uint8).reshape(-1, 4).T.tobytes()
+def _packed(x: np.ndarray) -> bytes:
+    """Ascending hashes as differences."""
+    return _squeezed(np.diff(x, prepend=U(0)))
 
 
-def _joined(b: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(4, -1).T).view(np.int32).ravel()
+def _unpacked(b: bytes) -> np.ndarray:
+    return np.cumsum(_loose(b, np.uint64), dtype=np.uint64)
 
 
 def _cuts(x: np.ndarray) -> np.ndarray:
@@ -206,13 +209,13 @@ def _counts(training: DataFrame, buckets: int, scratch: Scratch) -> DataFrame:
             for x, y in zip(starts, np.append(starts[1:], len(bucket))):
                 yield pa.RecordBatch.from_pydict({
                     "bucket": pa.array([bucket[x]], pa.int32()), "a": [_packed(b[x:y])], "b": [w[x:y].tobytes()],
-                    "c": [np.stack([n[x:y] - t[x:y], t[x:y]]).astype(np.int32).tobytes()]})
+                    "c": [_squeezed(np.concatenate([n[x:y] - t[x:y], t[x:y]]).astype(np.int32))]})
 
     def count(rows: pa.Table) -> pa.Table:
         bucket = rows.column("bucket")[0].as_py()
         b = np.concatenate([_unpacked(x) for x in _bytes(rows, "a")])
         w = np.concatenate([np.frombuffer(x, np.uint64) for x in _bytes(rows, "b")])
-        n = np.concatenate([np.frombuffer(x, np.int32).reshape(2, -1) for x in _bytes(rows, "c")], axis=1)
+        n = np.concatenate([_loose(x, np.int32).reshape(2, -1) for x in _bytes(rows, "c")], axis=1)
         by = np.lexsort((w, b))
         b, w, n = b[by], w[by], n[:, by]
         del by
@@ -230,8 +233,8 @@ def _counts(training: DataFrame, buckets: int, scratch: Scratch) -> DataFrame:
                               *(np.concatenate([c, none[1]]) for c in followed), *(np.concatenate([none[0], c]) for c in led))
         part = share_of(word, parts)
         starts = _cuts(part)
-        out = [(bucket, -1, _packed(b), w.tobytes(), np.minimum(n, 2**31 - 1).astype(np.int32).tobytes())]
-        out += [(bucket, int(part[x]), _packed(word[x:y]), np.minimum(np.stack([c[x:y] for c in sums]), 2**31 - 1).astype(np.int32).tobytes(), None)
+        out = [(bucket, -1, _packed(b), w.tobytes(), _squeezed(np.minimum(n, 2**31 - 1).astype(np.int32).ravel()))]
+        out += [(bucket, int(part[x]), _packed(word[x:y]), _squeezed(np.minimum(np.concatenate([c[x:y] for c in sums]), 2**31 - 1).astype(np.int32)), None)
                 for x, y in zip(starts, np.append(starts[1:], len(part)))]
         return pa.table(dict(zip(("bucket", "part", "a", "b", "c"), map(list, zip(*out)))), schema=pa.schema(
             [("bucket", pa.int32()), ("part", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())]))
@@ -251,7 +254,7 @@ def _word_table(counts: DataFrame) -> dict[str, np.ndarray]:
         word = word[by]
         cuts = _cuts(word)
         word = word[cuts]
-        each = [np.frombuffer(x, np.int32).reshape(width, -1) for x in _bytes(rows, "b")]
+        each = [_loose(x, np.int32).reshape(width, -1) for x in _bytes(rows, "b")]
         # a column at a time: buckets repeat most words
         sums = [np.add.reduceat(np.concatenate([x[i] for x in each])[by], cuts, dtype=np.int64) for i in range(width)]
         return pa.table({"part": pa.array([rows.column("part")[0].as_py()], pa.int32()), "a": pa.array([_packed(word)], pa.binary()),
@@ -319,9 +322,9 @@ def _model(counts: DataFrame, shared, scratch: Scratch) -> DataFrame:
             for bucket, a, b, c in zip(*(batch.column(x).to_pylist() for x in ("bucket", "a", "b", "c"))):
                 before, word = _unpacked(a), np.frombuffer(b, np.uint64)
                 key = pair_key(before, word)
-                value = models.added(models.at(before), models.at(word), np.frombuffer(c, np.int32).reshape(2, -1).astype(np.int64))
+                value = models.added(models.at(before), models.at(word), _loose(c, np.int32).reshape(2, -1).astype(np.int64))
                 by = np.argsort(key)
-                yield _row(bucket=bucket, kind=0, a=_packed(key[by]), b=_split(value[by].astype(np.int32)))
+                yield _row(bucket=bucket, kind=0, a=_packed(key[by]), b=_squeezed(value[by].astype(np.int32)))
 
     return _written(scratch, counts.where("part < 0").select("bucket", "a", "b", "c").mapInArrow(final, _ROW), "model")
 
@@ -356,8 +359,8 @@ def _features(texts: DataFrame, model: DataFrame, buckets: int, shared, scratch:
             cuts = _cuts(of)
             for x, y, i, j in zip(starts, np.append(starts[1:], len(key)), cuts, np.append(cuts[1:], len(of))):
                 yield _row(bucket=int(bucket[x]), kind=1, block=block, a=_packed(key[x:y]),
-                           b=(place[i:j] - x).astype(np.uint16 if y - x <= 1 << 16 else np.uint32).tobytes(),
-                           c=np.diff(doc[i:j], prepend=0).astype(np.uint16).tobytes())
+                           b=_squeezed((place[i:j] - x).astype(np.uint16 if y - x <= 1 << 16 else np.uint32)),
+                           c=_squeezed(np.diff(doc[i:j], prepend=0).astype(np.uint16)))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, key, value = -1, np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -368,15 +371,15 @@ def _features(texts: DataFrame, model: DataFrame, buckets: int, shared, scratch:
                 if r["bucket"].as_py() != bucket:
                     bucket, key, value = r["bucket"].as_py(), np.zeros(0, np.uint64), np.zeros(0, np.int64)
                 if kind == 0:
-                    key, value = _unpacked(a), _joined(b).astype(np.int64)
+                    key, value = _unpacked(a), _loose(b, np.int32).astype(np.int64)
                 elif kind == 1:
                     if not len(key):
                         continue
                     asked = _unpacked(a)
                     at = np.minimum(np.searchsorted(key, asked), len(key) - 1)
                     found = np.where(key[at] == asked, value[at], 0)
-                    found = found[np.frombuffer(b, np.uint16 if len(asked) <= 1 << 16 else np.uint32)]
-                    doc = np.cumsum(np.frombuffer(c, np.uint16), dtype=np.int64)
+                    found = found[_loose(b, np.uint16 if len(asked) <= 1 << 16 else np.uint32)]
+                    doc = np.cumsum(_loose(c, np.uint16), dtype=np.int64)
                     doc, total = _summed(doc, found)
                     own = np.flatnonzero(total)
                     yield _row(bucket=bucket, kind=1, block=r["block"].as_py(), a=doc[own].astype(np.uint16).tobytes(), b=total[own].tobytes())

@@ -3,49 +3,53 @@
 Rules come first: the longest rule whose host is the url's or a parent domain of
 it, and whose path the url's path starts with, decides. Other urls are judged by
 two variable-order Markov models over characters, of accepted and of rejected
-urls. Each model interpolates orders 0 to 3 (Witten-Bell: a context gives way to
+urls. Each model interpolates orders 0 to 5 (Witten-Bell: a context gives way to
 its shorter one by how many different characters followed it), so a long context
 counts where it was seen and a short one elsewhere. The score is the difference
 of the two log-likelihoods per character; the threshold is calibrated on the
 scores of the labelled urls (highest balanced accuracy).
 
-Labels are weak: urls whose words hold a rejected term are rejected examples,
-the others accepted ones. The models see every distinct url string of the table
-(digits as one symbol), counted in tasks, so a host with a third of all rows
-costs no more than another. A model is a dense table of 32**4 counts at any
-input size.
-
-Defined cases: a null url or one without ``://`` has empty host and path, scores
-0 and is allowed; rules need a path that starts with theirs, so ``net/`` does not
-fit a url without a path; without rejected (or accepted) examples all are
-allowed; repeated rows give repeated results; other columns are ignored.
+The models read the whole url: scheme, host, path, query and fragment (A-Z
+lower-cased, digits in a row as one). Labels are weak: urls whose words hold a
+rejected term are rejected examples, the others accepted ones. Hosts are dealt
+into ``FOLDS`` folds by hash, and every url is scored by models of the other
+folds' urls, so neither its score nor the threshold knows its own label or host.
+
+Runs of six characters are counted in Spark, by class and fold, over the
+distinct urls; shorter runs are sums of longer ones. The table grows with the
+urls and stays in Spark: urls are joined with it run by run. The most frequent
+runs (at most ``HOT``) are broadcast, so no run is a hot key. Sums are in whole
+``1 / UNIT``, so they do not depend on the order of addition.
+
+Defined cases: a null or empty url scores 0 and is allowed; one without ``://``
+has empty host and path and is scored like others; very long urls are read
+whole; rules need a path that starts with theirs, so ``net/`` does not fit a url
+without a path; of fitting rules of one length the later in the list wins;
+without rejected (or accepted) examples all are allowed; repeated rows give
+repeated results; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, map_text
-from .hashing import string_buffer
+from .common import Scratch
 
-# Words of hosts and paths that make a url a rejected example.
+# Words of urls that make them a rejected example.
 REJECTED_TERMS = ("ad", "ads", "adult", "bet", "bets", "betting", "casino", "cheap", "click", "escort", "free", "gambling",
                   "loan", "loans", "lottery", "pills", "poker", "porn", "seo", "sex", "spam", "track", "tracker", "tracking",
                   "viagra", "win", "xxx")
-#: Symbols of the models: a-z, digit, ``.``, ``-``, ``/``, any other, and the start.
-SYMBOLS, START, ORDER = 32, 31, 4
+#: Characters of a run (the last one and its context), and what stands before a url's first character.
+RUN, START = 6, "\x01"
+#: Folds of hosts, runs that are broadcast at most, steps to one of a log-ratio.
+FOLDS, HOT, UNIT = 4, 1 << 16, 1 << 20
 BINS = 4096
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MAX_RULES = 1000
-
-_CODE = np.full(256, 30, np.int64)
-_CODE[97:123] = np.arange(26)
-_CODE[65:91] = np.arange(26)
-_CODE[48:58] = 26
-_CODE[[46, 45, 47]] = [27, 28, 29]
+#: Models: rejected (0) and accepted (1), each without one fold.
+_MODELS = [(c, f) for c in (0, 1) for f in range(FOLDS)]
 
 
 def host_path(url: Column) -> tuple[Column, Column]:
@@ -68,58 +72,51 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tu
     return name, verdict
 
 
-def codes(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Place in the table of every character's context and symbol, each character's row, and the rows' lengths in bytes."""
-    raw, offsets = string_buffer(col)
-    size = np.diff(offsets)
-    row = np.repeat(np.arange(len(size)), size)
-    symbol = _CODE[raw]
-    place = np.arange(len(raw)) - offsets[:-1][row]
-    cell = symbol.copy()
-    for back in range(1, ORDER):
-        before = np.full(len(raw), START, np.int64)
-        inside = place >= back
-        before[inside] = symbol[np.flatnonzero(inside) - back]
-        cell += before * SYMBOLS**back
-    return cell, row, size
-
-
-def witten_bell(counts: np.ndarray) -> np.ndarray:
-    """Log probability of a symbol after each context of three, from counts of shape (32,) * 4."""
-    p = np.full(SYMBOLS, 1 / SYMBOLS)
-    for order in range(1, ORDER + 1):
-        n = counts.sum(axis=tuple(range(ORDER - order)), dtype=np.float64)
-        total, kinds = n.sum(axis=-1, keepdims=True), (n > 0).sum(axis=-1, keepdims=True)
-        shorter = np.broadcast_to(p, n.shape)
-        p = np.where(total > 0, (n + kinds * shorter) / np.maximum(total + kinds, 1), shorter)
-    return np.log(p)
-
-
-def _counts(strings: DataFrame) -> np.ndarray:
-    """Counts of shape (2, 32**4) of ``label, text``; tasks send the cells they saw, Spark adds them up."""
-    def run(batch: pa.RecordBatch) -> dict | None:
-        cell, row, _ = codes(batch.column("text"))
-        label = batch.column("label").to_numpy()[row]
-        key, n = np.unique(label * SYMBOLS**ORDER + cell, return_counts=True)
-        return {"cell": key, "n": n} if len(key) else None
-
-    cells = map_text(strings, "text", run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    got = cells.toArrow()  # 2 * 32**4 rows at most
-    out = np.zeros(2 * SYMBOLS**ORDER, np.int64)
-    out[got.column("cell").to_numpy()] = got.column("n").to_numpy()
-    return out.reshape(2, -1)
-
-
-def _scored(df: DataFrame, table: np.ndarray, keep: list[tuple[str, str]]) -> DataFrame:
-    """``df``'s columns ``keep`` (name, type) and ``score`` of ``text``: mean difference of log-likelihoods per character."""
-    shared = df.sparkSession.sparkContext.broadcast(table)
-
-    def run(batch: pa.RecordBatch) -> dict:
-        cell, row, size = codes(batch.column("text"))
-        total = np.bincount(row, weights=shared.value[cell], minlength=len(size))
-        return {**{c: batch.column(c) for c, _ in keep}, "score": total / np.maximum(size, 1)}
-
-    return map_text(df, "text", run, ", ".join([*(f"{c} {t}" for c, t in keep), "score double"]))
+def _runs(strings: DataFrame) -> DataFrame:
+    """``string_id, label, fold, run``: every character of every string with its context."""
+    chars = F.split(F.concat(F.lit(START * (RUN - 1)), F.col("text")), "")
+    padded = strings.select("string_id", "label", "fold", F.length("text").alias("n"), chars.alias("p"))
+    each = F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: F.concat(*[F.element_at("p", (i + k).cast("int")) for k in range(RUN)]))
+    return padded.select("string_id", "label", "fold", F.explode(each).alias("run"))
+
+
+def _ratios(strings: DataFrame, scratch: Scratch) -> DataFrame:
+    """Written ``run, n, ratio``: how often a run is there, and by fold its log-ratio (accepted to rejected) in whole ``1 / UNIT``."""
+    counts = scratch.write(_runs(strings).groupBy("run").agg(
+        F.count("*").alias("n"),
+        *[F.count(F.when((F.col("label") == c) & (F.col("fold") != f), 1)).alias(f"n{c}{f}") for c, f in _MODELS]), "counts")
+    symbols = counts.select(F.substring("run", RUN, 1).alias("s")).distinct().count()
+    lower = None
+    for k in range(1, RUN + 1):
+        own = counts.groupBy(F.substring("run", RUN + 1 - k, k).alias("run")).agg(
+            F.sum("n").alias("n"), *[F.sum(f"n{c}{f}").alias(f"n{c}{f}") for c, f in _MODELS])
+        context = own.groupBy(F.substring("run", 1, k - 1).alias("context")).agg(
+            *[F.sum(f"n{c}{f}").alias(f"t{c}{f}") for c, f in _MODELS],
+            *[F.count(F.when(F.col(f"n{c}{f}") > 0, 1)).alias(f"k{c}{f}") for c, f in _MODELS])
+        own = own.withColumn("context", F.substring("run", 1, k - 1)).join(context, "context")
+        if lower is None:
+            own = own.select("*", *[F.lit(1 / max(symbols, 1)).alias(f"b{c}{f}") for c, f in _MODELS])
+        else:
+            own = own.withColumn("shorter", F.substring("run", 2, k - 1)).join(lower, "shorter")
+        p = {m: F.when(F.col("t%d%d" % m) > 0, (F.col("n%d%d" % m) + F.col("k%d%d" % m) * F.col("b%d%d" % m))
+                       / (F.col("t%d%d" % m) + F.col("k%d%d" % m))).otherwise(F.col("b%d%d" % m)) for m in _MODELS}
+        if k < RUN:
+            lower = scratch.write(own.select(F.col("run").alias("shorter"), *[p[m].alias("b%d%d" % m) for m in _MODELS]), f"order{k}")
+    ratio = F.array(*[F.rint((F.log(p[1, f]) - F.log(p[0, f])) * UNIT).cast("long") for f in range(FOLDS)])
+    return scratch.write(own.select("run", "n", ratio.alias("ratio")), "ratios")
+
+
+def _scored(strings: DataFrame, ratios: DataFrame, scratch: Scratch) -> DataFrame:
+    """Written ``text, label, score``: mean log-ratio per character by the models without the string's fold."""
+    hot = scratch.write(ratios.orderBy(F.desc("n"), "run").limit(HOT), "hot")
+    runs = _runs(strings)
+    near = runs.join(F.broadcast(hot), "run")
+    far = runs.join(F.broadcast(hot.select("run")), "run", "left_anti").join(ratios, "run")
+    value = F.element_at("ratio", F.col("fold") + 1).alias("value")
+    total = near.select("string_id", value).unionByName(far.select("string_id", value)).groupBy("string_id").agg(
+        F.sum("value").alias("total"))
+    return scratch.write(strings.join(total, "string_id").select(
+        "text", "label", (F.col("total") / UNIT / F.length("text")).alias("score")), "scored")
 
 
 def threshold(bins: list[tuple[int, int, int]]) -> float:
@@ -138,22 +135,18 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], rejected_te
     """``page_id, host, path, rule, verdict, score`` of every page."""
     host, path = host_path(F.col("url"))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url")).select(
-        "page_id", host.alias("host"), path.alias("path"))
-    # what the models read: host and path, runs of digits as one
-    text = F.regexp_replace(F.concat("host", F.translate("path", UPPER, LOWER)), "[0-9]+", "0")
-    rows = rows.withColumn("text", text)
-    words = F.split("text", "[^a-z]+")
-    label = F.when(F.arrays_overlap(words, F.array(*map(F.lit, rejected_terms))), 0).otherwise(1)
+        "page_id", host.alias("host"), path.alias("path"),
+        F.regexp_replace(F.translate(F.coalesce("url", F.lit("")), UPPER, LOWER), "[0-9]+", "0").alias("text"))
+    label = F.when(F.arrays_overlap(F.split("text", "[^a-z]+"), F.array(*map(F.lit, rejected_terms))), 0).otherwise(1)
     scratch = Scratch(pages.sparkSession, "urls")
-    strings = scratch.write(rows.where("text <> ''").groupBy("text").agg(F.count("*").alias("n")).select(
-        "text", label.cast("long").alias("label")), "strings")
-    counts = _counts(strings)
-    shape = (SYMBOLS,) * ORDER
-    table = (witten_bell(counts[1].reshape(shape)) - witten_bell(counts[0].reshape(shape))).ravel()
+    strings = rows.where("text <> ''").groupBy("text").agg(F.min("host").alias("host")).select(
+        F.monotonically_increasing_id().alias("string_id"), "text", label.alias("label"),
+        F.pmod(F.xxhash64("host"), F.lit(FOLDS)).cast("int").alias("fold"))
+    strings = scratch.write(strings, "strings")
+    scored = _scored(strings, _ratios(strings, scratch), scratch)
     place = F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor((F.col("score") + 8) / 16 * BINS))).cast("int")
-    bins = _scored(strings, table, [("label", "long")]).groupBy(place.alias("bin"), "label").count().collect()
-    cut = threshold([(r["bin"], r["label"], r["count"]) for r in bins])
-    scored = _scored(rows, table, [("page_id", "long"), ("host", "string"), ("path", "string")])
+    cut = threshold([(r["bin"], r["label"], r["count"]) for r in scored.groupBy(place.alias("bin"), "label").count().collect()])
+    judged = rows.join(scored.select("text", "score"), "text", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    own = F.when((F.col("host") == "") & (F.col("path") == "") | (F.col("score") >= cut), "allow").otherwise("block")
-    return scored.select("page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, own).alias("verdict"), "score")
+    own = F.when((F.col("text") == "") | (F.col("score") >= cut), "allow").otherwise("block")
+    return judged.select("page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, own).alias("verdict"), "score")

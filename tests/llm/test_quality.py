@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import random
+from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,6 +44,39 @@ def corpus(spark):
             spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
 
 
+def test_posteriors_and_scores_are_those_of_plain_counts(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    got = [r for r in quality.classify(docs, labels).join(docs.select("doc_id", "text"), "doc_id").collect() if (r.text or "").strip()]
+    paths, hosts = defaultdict(lambda: [0, 0.0]), defaultdict(lambda: [0, 0.0])
+    for r in got:
+        for site in (paths[r.host, r.path], hosts[r.host]):
+            site[0] += 1
+            site[1] += r.p_doc
+    total = sum(n for n, _ in hosts.values())
+    share = (sum(s for _, s in hosts.values()) + 0.5) / (total + 1)
+
+    def weight(groups):
+        n, n2 = sum(n for n, _, _ in groups), sum(n * n for n, _, _ in groups)
+        if n - n2 / n <= 0:
+            return 1e6
+        q = sum(n * (s / n - p) ** 2 / (p * (1 - p)) for n, s, p in groups)
+        return min(max(1 / max((q - (len(groups) - 1)) / (n - n2 / n), 1e-6) - 1, 1.0), 1e6)
+
+    of_host = weight([(n, s, share) for n, s in hosts.values()])
+    host_share = {h: (s + of_host * share) / (n + of_host) for h, (n, s) in hosts.items()}
+    of_path = weight([(n, s, min(max(host_share[h], 1e-4), 1 - 1e-4)) for (h, _), (n, s) in paths.items()])
+    logit = lambda p: math.log(p / (1 - p))
+    for r in got:
+        n, s = paths[r.host, r.path]
+        path = (s + of_path * host_share[r.host] - r.p_doc) / (n + of_path - 1)
+        path = min(max(path, 1e-4), 1 - 1e-4)
+        shift = min(max(logit(path) - logit(share), -quality.MOST_SHIFT), quality.MOST_SHIFT)
+        assert abs(r.host_share - host_share[r.host]) < 1e-9 and abs(r.path_share - path) < 1e-9
+        score = 1 / (1 + (1 - r.p_doc) / r.p_doc * math.exp(-shift))
+        assert abs(r.score - score) < 1e-6 and r.keep == (r.score >= quality.THRESHOLD)
+    assert len(got) > 900 and len(paths) > len(hosts) > 1
+
+
 def test_sites_shrink_toward_their_parents(spark):
     docs, labels = corpus(spark)
     got = quality.classify(clashing(docs), clashing(labels)).collect()

@@ -26,7 +26,7 @@ from ..hierarchy import Hierarchy
 from ..plans.layout import keyed
 from ..plans.materialize import RoundWriter
 from ..plans.skew import SALT, salt_one
-from ..sources.edges import clustered, write_snapshot
+from ..sources.edges import clustered
 
 INDEX_SCHEMA = StructType([
     StructField("id", LongType(), False),
@@ -44,6 +44,8 @@ INDEX_CLUSTERING = ["path", "id"]
 FEW_BYTES, FEW_IDS = 1 << 16, 256
 #: Ids of one pushed list: longer ones Spark turns into a range from the smallest to the largest.
 LIST_IDS = 10
+#: Layers of nodes without children that are taken off before the rounds of a whole index.
+PEELS = 3
 #: Different ids that a row group's Bloom filter is made for.
 BLOOM_IDS = 1 << 17
 
@@ -109,8 +111,27 @@ def _build_by_levels(h: Hierarchy, max_level: int) -> DataFrame:
     return writer.read(tags, INDEX_SCHEMA)
 
 
+def _peeled(edges: DataFrame, writer: RoundWriter) -> tuple[DataFrame, list[DataFrame]]:
+    """``(id, top)`` edges as those of a core, and layers around it whose nodes have no children further in.
+
+    A layer is one join of the edges left with their own parents. Layers are taken off while they have at least
+    half of what is left, ``PEELS`` at most: the many nodes at the bottom of a wide tree then never enter the rounds."""
+    layers: list[DataFrame] = []
+    while len(layers) < PEELS:
+        parents = edges.select(F.col("top").alias("id")).distinct().withColumn("_p", F.lit(True))
+        flagged = edges.join(parents, "id", "left").select("id", "top", F.col("_p").isNull().alias("outer"))
+        seen = Observation(f"peel{len(layers)}")
+        outer = F.sum(F.when(F.col("outer"), 1).otherwise(0)).alias("outer")
+        cut = writer.write(flagged.observe(seen, F.count(F.lit(1)).alias("rows"), outer), f"peel-{len(layers)}", split="outer")
+        layers.append(cut.where("outer").select("id", "top"))
+        edges = cut.where("NOT outer").select("id", "top")
+        if 2 * (seen.get["outer"] or 0) < seen.get["rows"] or seen.get["outer"] == seen.get["rows"]:
+            break
+    return edges, layers
+
+
 def _build_by_doubling(h: Hierarchy) -> DataFrame:
-    """Pointer jumping over partial ancestor chains.
+    """Pointer jumping over partial ancestor chains, for the nodes that have others below them.
 
     A row ``(id, top, anc)`` says: going up from ``id`` through ``anc`` (root-first,
     ending at the parent) reaches ``top = anc[0]``. It is complete when ``top`` is
@@ -122,12 +143,15 @@ def _build_by_doubling(h: Hierarchy) -> DataFrame:
     has one row per root path, as the level walk gives. Complete rows are written
     once, to their round's ``done=true`` partition, and never moved again; the
     partial chains are in ``done=false`` and are deleted at the end.
+
+    Nodes without children are on nobody's path: they are taken off before the rounds
+    (:func:`_peeled`) and get their parents' complete rows in one join each.
     """
     spark = h.spark
     root = F.lit(h.root)
     writer = RoundWriter(spark, "index-doubling")
-    start = h.edges.where(F.col("src") != root).select(
-        F.col("src").alias("id"), F.col("dst").alias("top"), F.array(F.col("dst")).alias("anc"))
+    edges, layers = _peeled(h.edges.where(F.col("src") != root).select(F.col("src").alias("id"), F.col("dst").alias("top")), writer)
+    start = edges.select("id", "top", F.array(F.col("top")).alias("anc"))
     # the root's own row rides along as complete (never joined: no open row has the root as top)
     seed = spark.range(1).select(root.cast("bigint").alias("id"), root.cast("bigint").alias("top"),
                                  F.array().cast("array<bigint>").alias("anc"))
@@ -161,9 +185,16 @@ def _build_by_doubling(h: Hierarchy) -> DataFrame:
         tags.append(f"round-{k}")
         if not obs.get["open"]:
             break
+    # a node of a layer has its parents in the core or in a layer further in
+    for n, layer in reversed(list(enumerate(layers))):
+        above = writer.read(tags, schema).where(F.col("done")).select(F.col("id").alias("_lid"), "anc")
+        rows = layer.join(above, F.col("top") == F.col("_lid")).select(
+            "id", root.cast("bigint").alias("top"), F.concat("anc", F.array("top")).alias("anc"), F.lit(True).alias("done"))
+        writer.write(rows, f"layer-{n}", split="done")
+        tags.append(f"layer-{n}")
     # the partial chains have been extended; only finished rows are the index
     writer.release("done", keep=("true",))
-    for tag in [t for t in writer.paths if t.startswith("tops-")]:
+    for tag in [t for t in writer.paths if t.startswith(("tops-", "peel-"))]:
         writer.drop(tag)
     done = writer.read(tags, schema).where(F.col("done"))
     return done.select(
@@ -181,19 +212,31 @@ def write_index(index: DataFrame, path: str) -> None:
 
     All children of a node share one ``path``, so the range key is ``(path, id)``: a node with a
     third of all rows as children is still cut into many ranges, written by many tasks."""
-    write_snapshot(index, path, sort_by=INDEX_CLUSTERING)
+    spread(index, INDEX_CLUSTERING).write.mode("overwrite").parquet(path)
+
+
+def spread(index: DataFrame, keys: list[str]) -> DataFrame:
+    """Index rows as they are stored, range-partitioned and sorted on ``keys``.
+
+    Ids, paths and keys alone are shuffled; what else the rows have is read off the path after that."""
+    sent = index.select(*dict.fromkeys(["id", "path", *keys]))
+    return with_derived(clustered(sent, keys)).select(*index.columns)
+
+
+def with_derived(rows: DataFrame) -> DataFrame:
+    """Rows with ``(id, path)`` and the other columns of an index, as the path says them where they are missing."""
+    if "ancestors" not in rows.columns:
+        rows = rows.withColumn("ancestors", ancestors_of(F.col("path")))
+    if "depth" not in rows.columns:
+        rows = rows.withColumn("depth", F.size("ancestors").cast("int"))
+    if "parent" not in rows.columns:
+        rows = rows.withColumn("parent", F.try_element_at(F.col("ancestors"), F.lit(-1)).cast("bigint"))
+    return rows
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """Read a stored index; an index holding only ``(id, path)`` gets the derived columns added."""
-    df = spark.read.parquet(path)
-    if "ancestors" not in df.columns:
-        df = df.withColumn("ancestors", ancestors_of(F.col("path")))
-    if "depth" not in df.columns:
-        df = df.withColumn("depth", F.size("ancestors").cast("int"))
-    if "parent" not in df.columns:
-        df = df.withColumn("parent", F.try_element_at(F.col("ancestors"), F.lit(-1)).cast("bigint"))
-    return df
+    return with_derived(spark.read.parquet(path))
 
 
 def is_small(questions: DataFrame) -> bool:
@@ -245,7 +288,7 @@ class StoredIndex:
         return self.copy(copy)
 
     def write_copy(self, rows: DataFrame, name: str, keys: list[str], folder: str, row_group: int | None = None) -> None:
-        out = clustered(rows, keys).write.mode("overwrite")
+        out = spread(rows, keys).write.mode("overwrite")
         if name in self.LOOKUPS:
             out = out.option(f"parquet.bloom.filter.enabled#{name}", "true").option(
                 f"parquet.bloom.filter.expected.ndv#{name}", str(BLOOM_IDS))

@@ -122,3 +122,46 @@ def test_running_totals_across_partitions(spark):
             total[g] = total.get(g, 0) + v
             want.append((g, i, v, total[g]))
     assert sorted((r.g, r.i, r.v, r.s) for r in out.collect()) == sorted(want)
+
+
+def test_members_where_a_node_has_other_children_on_other_paths(spark):
+    # cycles and a depth limit: rows of one id have different rows below them, and some have none
+    pairs = [(2, 1), (3, 1), (4, 2), (4, 3), (5, 4), (6, 5), (2, 6), (7, 6), (8, 4), (8, 4), (9, 8), (10, 3), (4, 10), (11, 10), (12, 11), (3, 12)]
+    h = Hierarchy(edges_of(spark, pairs), root=1)
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    for index in (build_index(h, -1).cache(), build_index(h, 3).cache(), build_index(h, 4).cache()):
+        labels, asked = interval.label_index(index), spark.range(0, 14).select(F.col("id").alias("vid"))
+        assert rows(interval.subtree_members(labels, asked)) == rows(indexed.subtree_members(index, asked))
+        q = asked.select(F.col("vid").alias("target")).crossJoin(asked.select(F.col("vid").alias("source")))
+        assert rows(interval.is_subtree(labels, q)) == rows(indexed.is_subtree(index, q))
+
+
+def test_rows_are_numbered_in_one_pass_over_many_partitions(spark, monkeypatch):
+    written = {}
+    plain = RoundWriter.write
+
+    def counted(self, df, tag, split=None):
+        out = plain(self, df, tag, split)
+        written[tag] = out.count()
+        return out
+
+    monkeypatch.setattr(RoundWriter, "write", counted)
+    pairs = random_pairs(8) + [(10_000 + i, 2 + i % 100) for i in range(4000)]
+    index = build_index(Hierarchy(edges_of(spark, pairs), root=1), -1).cache()
+    n = index.count()
+    written.clear()
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        labels = interval.label_index(index)
+        spans = {(r.first, r.last): (r.depth, r.path) for r in labels.rows.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    # the rows themselves are written once; besides them there is a row for a piece, or for a depth of a piece
+    assert written["sizes"] > 1 and sorted(x for x in written.values() if x > n // 4) == [n]
+    assert sorted(f for f, _ in spans) == list(range(1, n + 1))
+    sizes = dict.fromkeys((r.id for r in index.collect()), 0)
+    for r in index.collect():
+        for a in [r.id, *r.ancestors]:
+            sizes[a] += 1
+    assert {r.id: r.last - r.first + 1 for r in labels.rows.collect()} == sizes

@@ -74,6 +74,7 @@ def name_rows_of(names: DataFrame, ids: DataFrame, id_col: str = "vid") -> DataF
     """``(vid, ord, name)``: every name of each distinct id, one row each, out of the name records ``(id, ord, name)``.
 
     The form of :func:`names_of` for ids with any number of names: nothing is packed into one value. Unknown ids and
-    ids below 1 have no rows. The records keep their place; the ids are the side that Spark may broadcast."""
-    q = ids.select(F.col(id_col).cast("bigint").alias("vid")).where(F.col("vid") >= 1).distinct()
+    ids below 1 have no rows. The records keep their place; the ids are the side that Spark may broadcast. A semi join
+    asks once for a repeated id, so the ids are not gathered in a hash table of their own before it."""
+    q = ids.select(F.col(id_col).cast("bigint").alias("vid")).where(F.col("vid") >= 1)
     return names.select(F.col("id").cast("bigint").alias("vid"), "ord", "name").join(q, "vid", "left_semi")

@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .plans.layout import dealt
 from .plans.skew import SkewConf, hot_keys, hot_table, salt_many
 
 
@@ -58,7 +59,7 @@ class Hierarchy:
 
     def first_parent(self) -> DataFrame:
         """``(src, parent)``: the smallest parent of each child; the root's own edges are ignored."""
-        e = self.edges.where(F.col("src") != F.lit(self.root))
+        e = dealt(self.edges.where(F.col("src") != F.lit(self.root)).select("src", "dst"), "src")
         return e.groupBy("src").agg(F.min("dst").alias("parent"))
 
     def walk_table(self) -> DataFrame:

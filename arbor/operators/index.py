@@ -111,7 +111,7 @@ def _build_by_levels(h: Hierarchy, max_level: int) -> DataFrame:
     return writer.read(tags, INDEX_SCHEMA)
 
 
-def _peeled(edges: DataFrame, writer: RoundWriter) -> tuple[DataFrame, list[DataFrame]]:
+def peeled(edges: DataFrame, writer: RoundWriter) -> tuple[DataFrame, list[DataFrame]]:
     """``(id, top)`` edges as those of a core, and layers around it whose nodes have no children further in.
 
     A layer is one join of the edges left with their own parents. Layers are taken off while they have at least
@@ -145,12 +145,12 @@ def _build_by_doubling(h: Hierarchy) -> DataFrame:
     partial chains are in ``done=false`` and are deleted at the end.
 
     Nodes without children are on nobody's path: they are taken off before the rounds
-    (:func:`_peeled`) and get their parents' complete rows in one join each.
+    (:func:`peeled`) and get their parents' complete rows in one join each.
     """
     spark = h.spark
     root = F.lit(h.root)
     writer = RoundWriter(spark, "index-doubling")
-    edges, layers = _peeled(h.edges.where(F.col("src") != root).select(F.col("src").alias("id"), F.col("dst").alias("top")), writer)
+    edges, layers = peeled(h.edges.where(F.col("src") != root).select(F.col("src").alias("id"), F.col("dst").alias("top")), writer)
     start = edges.select("id", "top", F.array(F.col("top")).alias("anc"))
     # the root's own row rides along as complete (never joined: no open row has the root as top)
     seed = spark.range(1).select(root.cast("bigint").alias("id"), root.cast("bigint").alias("top"),

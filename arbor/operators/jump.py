@@ -13,6 +13,10 @@ about log2(D) of them. Once stored,
 
 All joins are between stored tables, so Spark splits a node that very many rows point to.
 
+A hierarchy's table (:func:`tree_jumps`) is built over its core: layers of nodes without children
+further in hang on it by their parent, so the many nodes at the bottom of a wide tree are on no level.
+What is asked of them is asked of their parents and extended by one join for each layer.
+
 Nodes on or above a cycle's reach never run out of ancestors: building stops when a level has
 as many rows as the one before, and these nodes are ``endless``; they have no path.
 """
@@ -26,20 +30,25 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import empty_ids
 from ..hierarchy import Hierarchy
+from ..plans.layout import dealt
 from ..plans.materialize import RoundWriter
 from .common import question_ids as _ids, union_all
+from .index import peeled
 
 LEVEL_SCHEMA = "node bigint, up bigint"
 
 
 @dataclass
 class JumpTable:
-    """``levels[k]``: ``(node, up)``, where ``up`` is 2^k steps above ``node``; ``endless``: nodes that lead into a cycle."""
+    """``levels[k]``: ``(node, up)``, where ``up`` is 2^k steps above ``node``; ``endless``: nodes that lead into a cycle.
+
+    ``layers``: ``(node, up)`` of nodes that are on no level, with their parents; parents are in a later layer or on a level."""
 
     levels: list[DataFrame]
     endless: DataFrame | None
     writer: RoundWriter
     rounds: int = field(default=0)  # joins of the last search
+    layers: list[DataFrame] = field(default_factory=list)
 
     def release(self) -> None:
         self.writer.release()
@@ -72,14 +81,32 @@ def build_jumps(parents: DataFrame, node: str = "node", up: str = "up") -> JumpT
 
 def tree_jumps(h: Hierarchy) -> JumpTable:
     """The jump table of a hierarchy's first parents, kept on the hierarchy."""
-    return h.derived("jumps", lambda: build_jumps(h.first_parent(), "src", "parent"))
+    def make() -> JumpTable:
+        writer = RoundWriter(h.spark, "jump-layers")
+        core, layers = peeled(h.first_parent().select(F.col("src").alias("id"), F.col("parent").alias("top")), writer)
+        jumps = build_jumps(core, "id", "top")
+        jumps.layers = [x.select(F.col("id").alias("node"), F.col("top").alias("up")) for x in layers]
+        jumps.writer.paths.update(writer.paths)
+        if jumps.endless is not None:
+            for layer in reversed(jumps.layers):
+                over = jumps.endless.withColumnRenamed("node", "up")
+                jumps.endless = jumps.endless.unionByName(layer.join(over, "up", "left_semi").select("node"))
+        return jumps
+
+    return h.derived("jumps", make)
 
 
 def path_to_root(jumps: JumpTable, ids: DataFrame, root: int, id_col: str = "vid") -> DataFrame:
     """``(vid, path)``: root-first path ending in ``vid``; ``[]`` for the root, unknown ids, and chains that do not reach it."""
     writer = RoundWriter(ids, "jump-path")
     q = writer.write(_ids(ids, id_col), "asked")
-    walkers = q.where(F.col("vid") != F.lit(root))
+    # asked nodes of a layer ask for their parent, which many of them share
+    steps, asked = [], q
+    for n, layer in enumerate(jumps.layers):
+        step = asked.join(layer.withColumnRenamed("node", "vid"), "vid", "left").select("vid", F.coalesce("up", "vid").alias("next"))
+        steps.append(writer.write(step, f"step-{n}"))
+        asked = writer.write(steps[-1].select(F.col("next").alias("vid")).distinct(), f"asked-{n}")
+    walkers = asked.where(F.col("vid") != F.lit(root))
     if jumps.endless is not None:
         walkers = walkers.join(jumps.endless.withColumnRenamed("node", "vid"), "vid", "left_anti")
     zero = F.lit(0).cast("bigint")
@@ -93,11 +120,18 @@ def path_to_root(jumps: JumpTable, ids: DataFrame, root: int, id_col: str = "vid
         found = writer.read(tags, schema)
         jumps.rounds += 1
     # a path is as long as the tree is deep
-    paths = found.groupBy("vid").agg(
+    lists = dealt(found, "vid").groupBy("vid").agg(
         F.array_sort(F.collect_list(F.struct((-F.col("dist")).alias("d"), F.col("node").alias("n")))).alias("_l"),
         F.max(F.col("node") == F.lit(root)).alias("_there"))
+    paths = lists.where("_there").select("vid", F.transform("_l", lambda x: x["n"]).alias("path"))
+    top = asked.where(F.col("vid") == F.lit(root)).select("vid", F.array("vid").alias("path"))
+    paths = paths.unionByName(top)
+    for n, step in reversed(list(enumerate(steps))):
+        over = writer.write(paths, f"paths-{n}").withColumnRenamed("vid", "next")
+        here = F.when(F.col("vid") == F.col("next"), F.col("path")).otherwise(F.concat("path", F.array("vid")))
+        paths = step.join(over, "next").select("vid", here.alias("path"))
     out = q.join(paths, "vid", "left")
-    path = F.when(F.coalesce("_there", F.lit(False)), F.transform("_l", lambda x: x["n"])).otherwise(empty_ids())
+    path = F.when(F.col("vid") == F.lit(root), empty_ids()).otherwise(F.coalesce("path", empty_ids()))
     return out.select("vid", path.alias("path"))
 
 
@@ -121,14 +155,24 @@ def descendant_sums(jumps: JumpTable, values: DataFrame, value: str, tag: str =
     return state.withColumnRenamed("s", value)
 
 
+#: In the sums of :func:`depths`, what the root adds beside the steps.
+HIT = 1 << 48
+
+
 def depths(jumps: JumpTable, h: Hierarchy) -> DataFrame:
-    """``(node, depth)`` of every node that reaches the root."""
-    nodes = h.edges.where(F.col("src") != F.lit(h.root)).select(F.col("src").alias("node"), F.lit(1).cast("bigint").alias("depth"), F.lit(0).cast("bigint").alias("hit"))
-    root = h.spark.range(1).select(F.lit(h.root).cast("bigint").alias("node"), F.lit(0).cast("bigint").alias("depth"), F.lit(1).cast("bigint").alias("hit"))
-    tops = h.edges.select(F.col("dst").alias("node"), F.lit(0).cast("bigint").alias("depth"), F.lit(0).cast("bigint").alias("hit"))
-    all_nodes = union_all([nodes, root, tops]).groupBy("node").agg(F.max("depth").alias("depth"), F.max("hit").alias("hit"))
-    if jumps.endless is not None:
-        all_nodes = all_nodes.join(jumps.endless, "node", "left_anti")
-    far = ancestor_sums(jumps, all_nodes, "depth", "depth")
-    hits = ancestor_sums(jumps, all_nodes, "hit", "hit")
-    return far.join(hits, "node").where("hit > 0").select("node", "depth")
+    """``(node, depth)`` of every node that reaches the root. The jump table is that of :func:`tree_jumps`."""
+    root = h.spark.range(1).select(F.lit(h.root).cast("bigint").alias("node"), F.lit(HIT).cast("bigint").alias("depth"))
+    nodes = root
+    if jumps.levels:
+        steps = jumps.levels[0].select("node", F.lit(1).cast("bigint").alias("depth"))
+        if jumps.endless is not None:
+            steps = steps.join(jumps.endless, "node", "left_anti")
+        nodes = steps.unionByName(root)
+    # steps and the root's mark in one sum
+    far = ancestor_sums(jumps, nodes, "depth", "depth").where(F.col("depth") >= HIT)
+    parts = [far.select("node", (F.col("depth") - HIT).alias("depth"))]
+    for n, layer in reversed(list(enumerate(jumps.layers))):
+        over = union_all(parts).select(F.col("node").alias("up"), "depth")
+        below = layer.join(over, "up").select("node", (F.col("depth") + 1).alias("depth"))
+        parts.append(jumps.writer.write(below, f"depth-layer-{n}"))
+    return union_all(parts)

@@ -34,3 +34,11 @@ def keyed(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame
     """``df`` hash-partitioned and sorted on ``keys``, persisted (memory, spilling to disk)."""
     n = partitions or partitions_for(df)
     return df.repartition(n, *keys).sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def dealt(df: DataFrame, *keys: str, target_bytes: int = 16 << 20) -> DataFrame:
+    """``df`` hash-partitioned on ``keys`` before it is grouped by them, in parts of about ``target_bytes`` by the plan's estimate.
+
+    For keys of which each has a few rows: a partial aggregate would hold every key of an input split, and its
+    memory would follow the split. Here it follows the part, which adaptive execution does not merge with others."""
+    return df.repartition(partitions_for(df, target_bytes), *keys)

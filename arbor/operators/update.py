@@ -23,7 +23,7 @@ from ..hierarchy import Hierarchy
 from ..plans.materialize import RoundWriter
 from ..plans.skew import SALT, salt_one
 from .common import union_all
-from .index import INDEX_CLUSTERING, INDEX_SCHEMA, StoredIndex
+from .index import INDEX_SCHEMA, StoredIndex
 from .rejects import reached
 
 
@@ -84,8 +84,8 @@ def update_stored(index: StoredIndex, before: Hierarchy, added: DataFrame, remov
     stay = index.lookup("id").join(touched, "id", "left_anti")
     new = rebuilt_rows(stay, after, touched, max_level)
     version, files = uuid.uuid4().hex[:12], {}
-    for copy, names, keys in (("path", INDEX_SCHEMA.names, INDEX_CLUSTERING), ("id", INDEX_SCHEMA.names, ["id", "path"]),
-                              ("parent", StoredIndex.LOOKUPS["parent"].names, ["parent", "id"])):
+    for copy in StoredIndex.KEYS:
+        names = StoredIndex.LOOKUPS.get(copy, INDEX_SCHEMA).names
         rows = index.copy(copy)
         held = rows.withColumn("_file", F.input_file_name()).join(touched, "id", "left_semi")
         hit = [r[0] for r in held.select("_file").distinct().collect()]  # a name for each file
@@ -94,6 +94,6 @@ def update_stored(index: StoredIndex, before: Hierarchy, added: DataFrame, remov
         if hit:
             parts.append(index.spark.read.schema(rows.schema).parquet(*hit).join(touched, "id", "left_anti").select(*names))
         folder = f"{index.path}/{copy}-{version}"
-        index.write_copy(union_all(parts), copy, keys, folder)
+        index.write_copy(union_all(parts), copy, folder)
         files[copy] = left + index.spark.read.schema(rows.schema).parquet(folder).inputFiles()
     return StoredIndex(index.spark, index.path, files)

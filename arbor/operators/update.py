@@ -92,8 +92,8 @@ def update_stored(index: StoredIndex, before: Hierarchy, added: DataFrame, remov
         left = [f for f in rows.inputFiles() if f not in set(hit)]
         parts = [new.select(*names)]
         if hit:
-            parts.append(index.spark.read.schema(rows.schema).parquet(*hit).join(touched, "id", "left_anti").select(*names))
+            parts.append(index.read(copy, *hit).join(touched, "id", "left_anti").select(*names))
         folder = f"{index.path}/{copy}-{version}"
         index.write_copy(union_all(parts), copy, folder)
-        files[copy] = left + index.spark.read.schema(rows.schema).parquet(folder).inputFiles()
+        files[copy] = left + index.read(copy, folder).inputFiles()
     return StoredIndex(index.spark, index.path, files)
